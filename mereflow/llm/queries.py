@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mereflow.llm import bpe
+from mereflow.llm import bpe, simhash, suffixes
 from mereflow.llm.common import table
 
 
@@ -16,12 +16,22 @@ def vocabulary() -> tuple[dict[bytes, int], str]:
     return bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary()
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {}
