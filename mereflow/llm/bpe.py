@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,25 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """32-bit numbers byte plane by byte plane, which compresses well."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _whole(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _pack(numbers: np.ndarray, rest: bytes = b"") -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(len(numbers).to_bytes(8, "little") + _planes(numbers) + rest)
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    end = 8 + 4 * int.from_bytes(raw[:8], "little")
+    return _whole(raw[8:end]), raw[end:]
+
+
 def _blocks(pattern: str, fast: bool, deal: int):
     """Batches of documents to blocks: words dealt into ``deal`` lots, and texts as indices into them."""
     slow = regex.compile(pattern)
@@ -94,15 +114,20 @@ def _blocks(pattern: str, fast: bool, deal: int):
         held = 0
 
         def close() -> pa.RecordBatch:
-            words = [w.encode("utf-8", "surrogatepass") for w in seen]
-            lot = np.fromiter((zlib.crc32(w) % deal for w in words), np.int64, len(words))
-            order = np.argsort(lot, kind="stable")
-            place = np.empty(len(words), np.int32)
-            place[order] = np.arange(len(words), dtype=np.int32)
-            cuts = np.searchsorted(lot[order], np.arange(deal + 1))
-            groups = [[words[i] for i in order[cuts[k] : cuts[k + 1]]] for k in range(deal)]
-            lots = [{"lot": k, "words": g} for k, g in enumerate(groups) if g]
-            docs = [{"id": d, "at": place[t]} for d, t in zip(ids, texts)]
+            words, at = list(seen), np.concatenate(texts)
+            order = sorted(range(len(words)), key=words.__getitem__)
+            order = np.array(order, np.int64)[np.argsort(-np.bincount(at, minlength=len(words))[order], kind="stable")]
+            rank = np.empty(len(words), np.uint32)
+            rank[order] = np.arange(len(words), dtype=np.uint32)
+            words = [words[i].encode("utf-8", "surrogatepass") for i in order]
+            lot = np.fromiter((zlib.crc32(w) % deal for w in words), np.uint32, len(words))
+            by_lot = np.argsort(lot, kind="stable")
+            cuts = np.searchsorted(lot[by_lot], np.arange(deal + 1))
+            lots = []
+            for k in range(deal):
+                if own := [words[i] for i in by_lot[cuts[k] : cuts[k + 1]]]:
+                    lots.append({"lot": k, "words": _pack(np.fromiter(map(len, own), np.uint32, len(own)), b"".join(own))})
+            docs = {"ids": ids, "sizes": [len(t) for t in texts], "at": _pack(rank[at]), "lots": _pack(lot)}
             return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), pa.array([lots], LOTS), pa.array([docs], DOCS)], names=["block", "lots", "docs"])
 
         for batch in batches:
@@ -122,44 +147,48 @@ def _blocks(pattern: str, fast: bool, deal: int):
     return run
 
 
-LOTS = pa.list_(pa.struct([("lot", pa.int32()), ("words", pa.list_(pa.binary()))]))
-DOCS = pa.list_(pa.struct([("id", pa.int64()), ("at", pa.list_(pa.int32()))]))
+LOTS = pa.list_(pa.struct([("lot", pa.int32()), ("words", pa.binary())]))
+DOCS = pa.struct([("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("at", pa.binary()), ("lots", pa.binary())])
 
 
 def _encode_words(ranks):
-    """Rows (block, lot, words) to (block, lot, ids of all words end to end, ids per word)."""
+    """Rows (block, lot, words) to (block, lot, ids: the number of ids of each word, and all ids end to end)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, known = ranks.value, {}
         for batch in batches:
-            flat, lengths = [], []
-            for words in batch.column("words").to_pylist():
+            packed = []
+            for blob in batch.column("words").to_pylist():
+                sizes, data = _unpack(blob)
                 out: list[int] = []
-                each = []
-                for w in words:
+                each, at = [], 0
+                for n in sizes.tolist():
+                    w = data[at : at + n]
+                    at += n
                     if (got := known.get(w)) is None:
                         if len(known) >= REMEMBERED:
                             known.clear()
                         got = known[w] = merge(w, table)
                     out += got
                     each.append(len(got))
-                flat.append(np.array(out, np.uint32).tobytes())
-                lengths.append(np.array(each, np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("lot"), pa.array(flat, pa.binary()), pa.array(lengths, pa.binary())], names=["block", "lot", "flat", "lengths"])
+                packed.append(_pack(np.array(each, np.uint32), _planes(np.array(out, np.uint32))))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("lot"), pa.array(packed, pa.binary())], names=["block", "lot", "ids"])
 
     return run
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (docs, parts) of whole blocks to a row per text with its ids in order."""
+    none = np.empty(0, np.uint32)
     for batch in batches:
-        for docs, parts in zip(batch.column("docs"), batch.column("parts").to_pylist()):
-            parts = sorted(parts or [], key=lambda p: p["lot"])
-            flat = np.concatenate([np.frombuffer(p["flat"], np.uint32) for p in parts] or [np.empty(0, np.uint32)])
-            size = np.concatenate([np.frombuffer(p["lengths"], np.uint32) for p in parts] or [np.empty(0, np.uint32)]).astype(np.int64)
-            start = np.cumsum(size) - size
-            own = docs.values
-            at, cuts = own.field("at").flatten().to_numpy(zero_copy_only=False), own.field("at").value_lengths().to_numpy(zero_copy_only=False)
+        for docs, parts in zip(batch.column("docs").to_pylist(), batch.column("parts").to_pylist()):
+            got = [_unpack(p["ids"]) for p in sorted(parts or [], key=lambda p: p["lot"])]
+            flat = np.concatenate([_whole(g[1]) for g in got] or [none])
+            place = np.argsort(_unpack(docs["lots"])[0], kind="stable")
+            size, start = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+            size[place] = by_lot = np.concatenate([g[0] for g in got] or [none]).astype(np.int64)
+            start[place] = np.cumsum(by_lot) - by_lot
+            at, cuts = _unpack(docs["at"])[0], np.array(docs["sizes"], np.int64)
             n = size[at]
             total = np.cumsum(n)
             ids = flat[np.repeat(start[at] - (total - n), n) + np.arange(int(n.sum()))].astype(np.int32)
@@ -167,7 +196,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(cuts), 256):
                 z = min(a + 256, len(cuts))
                 lists = pa.ListArray.from_arrays(pa.array(ends[a : z + 1] - ends[a], pa.int32()), pa.array(ids[ends[a] : ends[z]], pa.int32()))
-                yield pa.RecordBatch.from_arrays([own.field("id").slice(a, z - a), lists], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(docs["ids"][a:z], pa.int64()), lists], names=["doc_id", "ids"])
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", fast: bool | None = None) -> DataFrame:
@@ -183,13 +212,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     deal = max(16, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     blocks = scratch.save(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-            _blocks(pattern, fast, deal), "block long, lots array<struct<lot: int, words: array<binary>>>, docs array<struct<id: long, at: array<int>>>"
+            _blocks(pattern, fast, deal), "block long, lots array<struct<lot: int, words: binary>>, docs struct<ids: array<long>, sizes: array<long>, at: binary, lots: binary>"
         ),
         "bpe-blocks",
     )
     shared = spark.sparkContext.broadcast(ranks)
-    ids = blocks.select("block", F.inline("lots")).repartition(deal, "lot").mapInArrow(_encode_words(shared), "block long, lot int, flat binary, lengths binary")
-    parts = ids.groupBy("block").agg(F.collect_list(F.struct("lot", "flat", "lengths")).alias("parts"))
+    ids = blocks.select("block", F.inline("lots")).repartition(deal, "lot").mapInArrow(_encode_words(shared), "block long, lot int, ids binary")
+    parts = ids.groupBy("block").agg(F.collect_list(F.struct("lot", "ids")).alias("parts"))
     return blocks.select("block", "docs").join(parts, "block", "left").select("docs", "parts").mapInArrow(_assemble, "doc_id long, ids array<int>")
 
 
