@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mereflow import scratch
 from mereflow.llm.common import arrow_rows
 
 #: Same splits as the vocabulary's pattern for texts of the letters below U+0250, where ``re`` and
@@ -123,12 +123,12 @@ def _blocks(pattern: str, fast: bool, deal: int):
             lot = np.fromiter((zlib.crc32(w) % deal for w in words), np.uint32, len(words))
             by_lot = np.argsort(lot, kind="stable")
             cuts = np.searchsorted(lot[by_lot], np.arange(deal + 1))
-            lots = []
+            lots = {}
             for k in range(deal):
                 if own := [words[i] for i in by_lot[cuts[k] : cuts[k + 1]]]:
-                    lots.append({"lot": k, "words": _pack(np.fromiter(map(len, own), np.uint32, len(own)), b"".join(own))})
+                    lots[k] = _pack(np.fromiter(map(len, own), np.uint32, len(own)), b"".join(own))
             docs = {"ids": ids, "sizes": [len(t) for t in texts], "at": _pack(rank[at]), "lots": _pack(lot)}
-            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), pa.array([lots], LOTS), pa.array([docs], DOCS)], names=["block", "lots", "docs"])
+            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), pa.array([pickle.dumps((lots, docs), 5)], pa.binary())], names=["block", "data"])
 
         for batch in batches:
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -147,8 +147,12 @@ def _blocks(pattern: str, fast: bool, deal: int):
     return run
 
 
-LOTS = pa.list_(pa.struct([("lot", pa.int32()), ("words", pa.binary())]))
-DOCS = pa.struct([("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("at", pa.binary()), ("lots", pa.binary())])
+def _deal_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks to rows (block, lot, words)."""
+    for batch in batches:
+        for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist()):
+            lots = pickle.loads(data)[0]
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(lots), pa.int64()), pa.array(lots.keys(), pa.int32()), pa.array(lots.values(), pa.binary())], names=["block", "lot", "words"])
 
 
 def _encode_words(ranks):
@@ -178,10 +182,11 @@ def _encode_words(ranks):
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (docs, parts) of whole blocks to a row per text with its ids in order."""
+    """Rows (data, parts) of whole blocks to a row per text with its ids in order."""
     none = np.empty(0, np.uint32)
     for batch in batches:
-        for docs, parts in zip(batch.column("docs").to_pylist(), batch.column("parts").to_pylist()):
+        for data, parts in zip(batch.column("data").to_pylist(), batch.column("parts").to_pylist()):
+            docs = pickle.loads(data)[1]
             got = [_unpack(p["ids"]) for p in sorted(parts or [], key=lambda p: p["lot"])]
             flat = np.concatenate([_whole(g[1]) for g in got] or [none])
             place = np.argsort(_unpack(docs["lots"])[0], kind="stable")
@@ -210,16 +215,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     arrow_rows(spark)
     fast = pattern == FAST.pattern.replace(r"[^\W\d_]", r"\p{L}").replace(r"\d", r"\p{N}").replace(r"(?:[^\s\w]|_)", r"[^\s\p{L}\p{N}]") if fast is None else fast
     deal = max(16, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    blocks = scratch.save(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-            _blocks(pattern, fast, deal), "block long, lots array<struct<lot: int, words: binary>>, docs struct<ids: array<long>, sizes: array<long>, at: binary, lots: binary>"
-        ),
-        "bpe-blocks",
-    )
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # a block is one column, so that both uses below read the same shuffle
+    blocks = texts.mapInArrow(_blocks(pattern, fast, deal), "block long, data binary").repartition(deal, "block")
     shared = spark.sparkContext.broadcast(ranks)
-    ids = blocks.select("block", F.inline("lots")).repartition(deal, "lot").mapInArrow(_encode_words(shared), "block long, lot int, ids binary")
-    parts = ids.groupBy("block").agg(F.collect_list(F.struct("lot", "ids")).alias("parts"))
-    return blocks.select("block", "docs").join(parts, "block", "left").select("docs", "parts").mapInArrow(_assemble, "doc_id long, ids array<int>")
+    words = blocks.mapInArrow(_deal_words, "block long, lot int, words binary")
+    ids = words.repartition(deal, "lot").mapInArrow(_encode_words(shared), "block long, lot int, ids binary")
+    parts = ids.repartition(deal, "block").groupBy("block").agg(F.collect_list(F.struct("lot", "ids")).alias("parts"))
+    return blocks.join(parts, "block", "left").select("data", "parts").mapInArrow(_assemble, "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:

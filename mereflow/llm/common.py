@@ -15,10 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def arrow_rows(spark: SparkSession, most: int = 256) -> None:
-    """At most ``most`` rows per Arrow batch: texts can be long, and a task's memory is bounded by a batch."""
+    """At most ``most`` rows and 16 MB per Arrow batch: texts can be long, and a task's memory is bounded by a batch."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= most:
         spark.conf.set(key, str(most))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
 def ascii_lower(c: Column) -> Column:
