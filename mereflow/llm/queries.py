@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mereflow.llm import bpe, decontaminate, simhash, suffixes
+from mereflow.llm import bitsliced, bpe, decontaminate, langid, quality, simhash, suffixes, toxicity
 from mereflow.llm.common import table
 
 
@@ -16,6 +16,11 @@ def vocabulary() -> tuple[dict[bytes, int], str]:
     return bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
@@ -24,21 +29,39 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return bitsliced.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary()
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
+    "op5_quality": op5_quality,
+    "op6_language": op6_language,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_exact_topk": op9_exact_topk,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {
     "op3_decontamination": decontaminate.ORACLE,
+    "op9_exact_topk": bitsliced.ORACLE,
 }
