@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mereflow import scratch
@@ -100,6 +100,21 @@ def _variants(fps: DataFrame) -> DataFrame:
     return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _first_key(differs: Column) -> Column:
+    """Of the keys that two fingerprints share, this is the first: so each link comes once."""
+    at = F.shiftright("key", 32)
+    none = F.lit(False)
+    for s, (lo, n) in reversed(list(enumerate(SEGMENTS))):
+        apart = F.bit_count(differs.bitwiseAND(F.lit(_signed(((1 << n) - 1) << lo))))
+        here = (at >= s * 32) & (at < s * 32 + 32) & ((apart == 1) | (at == s * 32))
+        none = F.when(apart <= 1, here).otherwise(none)
+    return none
+
+
 def _neighbours(fps: DataFrame) -> DataFrame:
     """(a, b) with b each value within two bits of a: fingerprints within four bits share such a value."""
     one = [1 << i for i in range(64)]
@@ -129,7 +144,8 @@ def links(fps: DataFrame, bits: int = 4, dense: int = DENSE) -> DataFrame:
     sized = _variants(fps).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
     few = sized.where(F.col("n").between(2, most)).drop("n")
     other = few.select(F.col("fp").alias("fp2"), F.col("key").alias("key2"))
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= bits
+    differs = F.col("fp").bitwiseXOR(F.col("fp2"))
+    near = (F.bit_count(differs) <= bits) & _first_key(differs)
     pairs = few.join(other, (F.col("key") == F.col("key2")) & (F.col("fp") < F.col("fp2")) & near).select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
     crowd = scratch.save(sized.where(F.col("n") > most).select("fp").distinct(), "crowd")
     if crowd.isEmpty():
