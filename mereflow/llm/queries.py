@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mereflow.llm import bitsliced, bpe, decontaminate, langid, quality, simhash, suffixes, toxicity
+from mereflow.llm import bitsliced, bpe, decontaminate, langid, quality, simhash, suffixes, toxicity, urls, warc
 from mereflow.llm.common import table
 
 
@@ -29,6 +29,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Rules (host, path) of the url filter, with their verdicts.
+URL_RULES = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +45,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(table(spark, sf_dir, "documents"))
 
@@ -55,8 +67,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_decontamination": op3_decontamination,
+    "op4_url_filter": op4_url_filter,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
+    "op7_warc": op7_warc,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_topk": op9_exact_topk,
     "op10_byte_bpe": op10_byte_bpe,
