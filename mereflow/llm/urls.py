@@ -3,8 +3,8 @@
 Distinct paths of a host grow a tree, level by level. A segment is written with its digits
 levelled; where a node has many different ones of which few recur, they become one wildcard.
 Branches whose labelled share of bad pages does not differ from their siblings' by more than
-chance are merged. What is left are templates; their share of bad labels, smoothed towards the
-host's and that towards all hosts', decides.
+chance are merged, and so are those with too few labels to tell. What is left are templates;
+their share of bad labels, smoothed, decides.
 """
 
 from __future__ import annotations
@@ -21,10 +21,11 @@ DEPTH = 4
 VARIED, RECUR = 8, 4.0
 #: Labelled pages that a branch needs before it can differ from its siblings, and the normal score at which it does.
 LEAST_LABELS, DIFFERS = 5, 1.96
-#: Labels that the smoothing counts as.
+#: The smoothing counts as so many labels, half of them bad: a template without labels is at 0.5.
 STRENGTH = 10.0
 REJECT = 0.5
-WILD, MERGED, REST = "*", "~", "**"
+#: Branches of variable segments, similar labelled ones, those of too few labels, and all that is deeper.
+WILD, MERGED, UNKNOWN, REST = "*", "~", "~?", "**"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -71,7 +72,7 @@ def templates(pages: DataFrame) -> DataFrame:
         score = F.abs(F.col("bad") / labels - share) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-4)) / labels)
         differs = (labels >= LEAST_LABELS) & (score > DIFFERS)
         variable = (F.col("kinds") >= VARIED) & (F.col("all_n") < RECUR * F.col("kinds"))
-        name = F.when(variable, WILD).when(F.col("kinds") == 1, F.col("seg")).when(F.coalesce(differs, F.lit(False)), F.col("seg")).otherwise(MERGED)
+        name = F.when(variable, WILD).when(F.col("kinds") == 1, F.col("seg")).when(labels < LEAST_LABELS, UNKNOWN).when(F.coalesce(differs, F.lit(False)), F.col("seg")).otherwise(MERGED)
         branch = joined.select("host", "template", "seg", name.alias("branch"))
         grown = own.join(branch, ["host", "template", "seg"], "left")
         grown = grown.withColumn("template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "branch")))
@@ -79,12 +80,8 @@ def templates(pages: DataFrame) -> DataFrame:
         scratch.drop(paths)
         scratch.drop(nodes)
         paths = nxt
-    hosts = paths.groupBy("host").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    whole = hosts.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
-    middle = (whole["bad"] + 1) / (whole["bad"] + whole["good"] + 2)
-    by_host = hosts.select("host", ((F.col("bad") + STRENGTH * middle) / (F.col("bad") + F.col("good") + STRENGTH)).alias("prior"))
-    sums = paths.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).join(by_host, "host")
-    purity = sums.select("host", "template", ((F.col("bad") + STRENGTH * F.col("prior")) / (F.col("bad") + F.col("good") + STRENGTH)).alias("purity"))
+    sums = paths.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    purity = sums.select("host", "template", ((F.col("bad") + STRENGTH / 2) / (F.col("bad") + F.col("good") + STRENGTH)).alias("purity"))
     return paths.select("host", "path", "template").join(purity, ["host", "template"])
 
 
