@@ -107,7 +107,13 @@ def _first(keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tup
     return order[lead], order[~lead & later]
 
 
-_SAMPLED = pa.schema([("repeat", pa.bool_()), ("q", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+#: q: bucket by Q bytes; c: bucket by all that a run of strings spans, its lowest byte the run's length less one; doc; lo:
+#: the run's first byte. Where lo < 0 the row is a repeat from byte -lo - 1 on of c + 1 strings.
+_SAMPLED = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64())])
+_KINDS = "q long, c long, doc long, lo long"
+_BYTE_MASK = np.uint64(255)
+#: Contested buckets of up to so many different contexts are refined within one task, larger ones string by string.
+SMALL = 4096
 
 
 def _rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -143,75 +149,119 @@ def _sample(length: int):
                 x, own = least[turn], own[turn]
                 span = hi - lo + length
                 q = ids[x]
-                c = _mix(_deeper(ids, lo, span), (x - lo).astype(np.uint64), 11)
+                c = (_mix(_deeper(ids, lo, span), (x - lo).astype(np.uint64), 11) & ~_BYTE_MASK) | (hi - lo).astype(np.uint64)
                 doc = keys[np.array([k for k, _, _ in lot])][own]
                 shift = np.array([a for _, a, _ in lot])[own] - begins[own]
                 lo, hi = lo + shift, hi + shift
                 keep, drop = _first((c, q), doc, lo)
-                yield _rows(_SAMPLED, np.zeros(len(keep), bool), q[keep], c[keep], doc[keep], lo[keep], hi[keep])
-                d, s, e = _joined(doc[drop], lo[drop], hi[drop] + length)
-                if len(d):
-                    yield _rows(_SAMPLED, np.ones(len(d), bool), d, s, d, s, e - length)
+                yield _rows(_SAMPLED, q[keep], c[keep], doc[keep], lo[keep])
+                yield from _repeats(doc[drop], lo[drop], hi[drop] + length, length)
 
     return run
 
 
-_STRINGS = pa.schema([("repeat", pa.bool_()), ("q", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+def _repeats(doc: np.ndarray, start: np.ndarray, end: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+    d, s, e = _joined(doc, start, end)
+    if len(d):
+        yield _rows(_SAMPLED, d, e - s - length, d, -s - 1)
 
 
-def _refine(length: int):
-    """Texts with contested suffixes to a row for each string of these, by its own bucket."""
+def _contexts(length: int):
+    """Texts with contested runs to a row per run with the bytes that it spans (runs: q, lo, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("at")
-            flat, cuts = lists.flatten(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
-            all_q, all_lo, all_hi = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("q", "lo", "hi"))
-            keys = batch.column("doc").to_numpy(zero_copy_only=False)
-            for lot in _pieces([x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()], length):
-                ids = _buckets(np.frombuffer(b"".join(p for _, _, p in lot), np.uint8))
-                qs, docs, ats, bases = [], [], [], []
-                base = 0
-                for k, a, part in lot:
-                    lo, hi, q = all_lo[cuts[k] : cuts[k + 1]], all_hi[cuts[k] : cuts[k + 1]], all_q[cuts[k] : cuts[k + 1]]
-                    inside = (lo >= a) & (lo < a + PIECE)  # a run of strings lies in one piece
-                    lo, hi, q = lo[inside], hi[inside], q[inside]
-                    n = hi - lo + 1
-                    total = np.cumsum(n)
-                    if len(n):
-                        qs.append(np.repeat(q, n))
-                        ats.append(np.arange(total[-1]) + np.repeat(lo - (total - n), n))
-                        docs.append(np.full(total[-1], keys[k]))
-                        bases.append(np.full(total[-1], base - a))
-                    base += len(part)
-                if not qs:
-                    continue
-                q, doc, at, shift = (np.concatenate(v) for v in (qs, docs, ats, bases))
-                c = _deeper(ids, at + shift, length)
-                keep, drop = _first((c, q), doc, at)
-                yield _rows(_STRINGS, np.zeros(len(keep), bool), q[keep], c[keep], doc[keep], at[keep], at[keep])
-                d, s, e = _joined(doc[drop], at[drop], at[drop] + length)
-                if len(d):
-                    yield _rows(_STRINGS, np.ones(len(d), bool), d, s, d, s, e - length)
+            q, doc, lo, raw = [], [], [], []
+            for d, text, runs in zip(batch.column("doc").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("at").to_pylist()):
+                for r in runs:
+                    part = (text or b"")[r["lo"] : r["lo"] + r["n"] + length]
+                    if len(part) == r["n"] + length:  # another row of the same id may be shorter
+                        q.append(r["q"])
+                        doc.append(d)
+                        lo.append(r["lo"])
+                        raw.append(part)
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(doc, pa.int64()), pa.array(lo, pa.int64()), pa.array(raw, pa.binary())], names=["q", "doc", "lo", "raw"])
 
     return run
 
 
-_KINDS = "repeat boolean, q long, c long, doc long, lo long, hi long"
+def _spell(q, doc, lo, raw: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """(q, bucket by ``length`` bytes, doc, first byte) of every string of the runs."""
+    ids = _buckets(np.frombuffer(b"".join(raw), np.uint8))
+    sizes = np.array([len(r) for r in raw])
+    n = sizes - length + 1
+    total = np.cumsum(n)
+    step = np.arange(total[-1]) - np.repeat(total - n, n)
+    at = np.repeat(np.cumsum(sizes) - sizes, n) + step
+    return np.repeat(q, n), _deeper(ids, at, length), np.repeat(doc, n), np.repeat(lo, n) + step
+
+
+def _refine_within(length: int):
+    """Runs sorted by q, whole buckets at a time, to repeats."""
+
+    def settle(rows):
+        q, c, doc, at = _spell(*(np.concatenate([r[k] for r in rows]) for k in range(3)), [x for r in rows for x in r[3]], length)
+        _, drop = _first((c, q), doc, at)
+        yield from _repeats(doc[drop], at[drop], at[drop] + length, length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in ("q", "doc", "lo")) + (batch.column("raw").to_pylist(),)
+            done = int(np.flatnonzero(np.concatenate([[True], new[0][1:] != new[0][:-1]]))[-1])  # the last bucket may go on
+            if held and (done or held[-1][0][-1] != new[0][0]):
+                own = [*held, tuple(x[:done] for x in new)] if done else held
+                yield from settle(own)
+                held = [tuple(x[done:] for x in new)]
+            elif done:
+                yield from settle([tuple(x[:done] for x in new)])
+                held = [tuple(x[done:] for x in new)]
+            else:
+                held.append(new)
+        if held:
+            yield from settle(held)
+
+    return run
+
+
+def _refine_apart(length: int):
+    """Runs of large buckets to a row for each string, by its own bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            q, c, doc, at = _spell(*(batch.column(k).to_numpy(zero_copy_only=False) for k in ("q", "doc", "lo")), batch.column("raw").to_pylist(), length)
+            c = c & ~_BYTE_MASK
+            keep, drop = _first((c, q), doc, at)
+            yield _rows(_SAMPLED, q[keep], c[keep], doc[keep], at[keep])
+            yield from _repeats(doc[drop], at[drop], at[drop] + length, length)
+
+    return run
 
 
 def _settle(rows: DataFrame) -> DataFrame:
-    """Adds ``later`` (an earlier row has the same q and c) and ``contested`` (first of its c, its q has others)."""
-    by_c, by_q = Window.partitionBy("q", "c", "repeat").orderBy("doc", "lo"), Window.partitionBy("q")
-    head = F.first(F.struct("doc", "lo")).over(by_c.rowsBetween(Window.unboundedPreceding, 0))
-    lead = F.row_number().over(by_c) == 1
-    told = rows.withColumn("head", head).withColumn("lead", lead)
-    c = F.when(~F.col("repeat"), F.col("c"))
-    several = F.min(c).over(by_q) != F.max(c).over(by_q)
-    return told.withColumn("later", F.col("repeat") | (F.struct("doc", "lo") != F.col("head"))).withColumn("contested", F.col("lead") & ~F.col("repeat") & F.coalesce(several, F.lit(False)))
+    """Adds ``later`` (an earlier row has the same q and c) and ``rivals`` (how many c its q has, if it is the first of its c)."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    in_order = Window.partitionBy("q").orderBy("c", "doc", "lo")
+    own = F.col("lo") >= 0
+    lead = own & F.coalesce(F.lag("c").over(in_order) != F.col("c"), F.lit(True))
+    dealt = rows.repartition(parts, "q").withColumn("lead", lead)
+    head = F.last(F.when(F.col("lead"), F.struct("doc", "lo")), ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    dealt = dealt.withColumn("head", head).withColumn("rivals", F.sum(F.col("lead").cast("int")).over(Window.partitionBy("q")))
+    return dealt.withColumn("later", ~own | (F.struct("doc", "lo") != F.col("head"))).drop("head")
+
 
+def _extent(rows: DataFrame, length: int) -> DataFrame:
+    """(doc, s, e) of rows that are repeats as a whole."""
+    own = F.col("lo") >= 0
+    s = F.when(own, F.col("lo")).otherwise(-F.col("lo") - 1)
+    return rows.select("doc", s.alias("s"), (s + F.when(own, F.col("c").bitwiseAND(F.lit(255))).otherwise(F.col("c")) + length).alias("e"))
 
-def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
     """(doc, spans): per document the byte ranges [s, e) covered by earlier strings of ``length`` bytes, not yet merged.
 
     Earlier is: in a document of smaller id, or in the same one from an earlier byte. ``doc`` is the
@@ -220,15 +270,26 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     if not 64 <= length <= 128:
         raise ValueError("length is from 64 to 128 bytes")
-    arrow_rows(docs.sparkSession)
+    spark = docs.sparkSession
+    arrow_rows(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    sampled = _settle(texts.mapInArrow(_sample(length), _KINDS)).where("later or contested").select("later", "q", "doc", "lo", "hi")
+    contested = ~F.col("later") & (F.col("rivals") > 1)
+    sampled = _settle(texts.mapInArrow(_sample(length), _KINDS)).where(F.col("later") | contested).select("later", "rivals", *_SAMPLED.names)
     first = scratch.save(sampled, "suffixes")
-    rims = first.where("not later").groupBy("doc").agg(F.collect_list(F.struct("q", "lo", "hi")).alias("at"))
-    strings = texts.join(rims, "doc").select("doc", "text", "at").mapInArrow(_refine(length), _KINDS)
-    second = _settle(strings).where("later").select("doc", "lo", "hi")
-    spans = first.where("later").select("doc", "lo", "hi").union(second)
-    return spans.groupBy("doc").agg(F.collect_list(F.struct(F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))).alias("spans"))
+    spans = _extent(first.where("later"), length)
+    for apart in (False, True):
+        own = first.where(~F.col("later") & ((F.col("rivals") > small) if apart else (F.col("rivals") <= small)))
+        if apart and own.isEmpty():
+            break
+        runs = own.groupBy("doc").agg(F.collect_list(F.struct("q", "lo", F.col("c").bitwiseAND(F.lit(255)).alias("n"))).alias("at"))
+        raw = texts.join(runs, "doc").select("doc", "text", "at").mapInArrow(_contexts(length), "q long, doc long, lo long, raw binary")
+        if apart:
+            found = _settle(raw.mapInArrow(_refine_apart(length), _KINDS)).where("later")
+        else:
+            found = raw.repartition(parts, "q").sortWithinPartitions("q").mapInArrow(_refine_within(length), _KINDS)
+        spans = spans.union(_extent(found, length))
+    return spans.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
 def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
