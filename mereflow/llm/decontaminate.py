@@ -119,9 +119,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a window of any item; all columns stay."""
     _, places = hit_words(docs, items, window, id_col, text_col)
-    hit = places.select("d", "h").distinct()
+    hit = places.select(F.col("d").alias("__d2"), F.col("h").alias("__h2")).distinct()
     keyed = docs.withColumns({"__d": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "__h": F.xxhash64(F.col(text_col).cast("string"))})
-    return keyed.join(hit, (F.col("__d") == F.col("d")) & (F.col("__h") == F.col("h")), "left_anti").drop("__d", "__h")
+    return keyed.join(hit, (F.col("__d") == F.col("__d2")) & (F.col("__h") == F.col("__h2")), "left_anti").drop("__d", "__h")
 
 
 #: The same rows in DuckDB SQL.

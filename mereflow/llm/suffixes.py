@@ -293,8 +293,9 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
 
 
 def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
-    spans = repeated_spans(docs, length, id_col, text_col)
-    return docs.join(spans, F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == spans.doc, "left").drop("doc")
+    """``docs`` with a column ``__spans``."""
+    spans = repeated_spans(docs, length, id_col, text_col).select(F.col("doc").alias("__doc"), F.col("spans").alias("__spans"))
+    return docs.join(spans, F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == F.col("__doc"), "left").drop("__doc")
 
 
 def _cut(raw: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int, int]]]:
@@ -326,7 +327,7 @@ def digests(docs: DataFrame, length: int = 100) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(zip(*out), list(schema)[1:]))] if out else [pa.array([], f.type) for f in schema], schema=schema)
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = _with_spans(own, length, "doc_id", "text").select("doc_id", "text", "spans")
+    joined = _with_spans(own, length, "doc_id", "text").select("doc_id", "text", F.col("__spans").alias("spans"))
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -360,4 +361,4 @@ def remove(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     from pyspark.sql.types import StringType
 
     joined = _with_spans(docs, length, id_col, text_col)
-    return joined.withColumn(text_col, F.pandas_udf(cut, StringType())(F.col(text_col), F.col("spans"))).drop("spans")
+    return joined.withColumn(text_col, F.pandas_udf(cut, StringType())(F.col(text_col), F.col("__spans"))).drop("__spans")
