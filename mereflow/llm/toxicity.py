@@ -20,8 +20,11 @@ from mereflow.llm.common import arrow_rows
 from mereflow.llm.linear import labelled_sample, natural, sigmoid, sparse_logistic
 
 WORD = re.compile(r"[^\W\d_]+")
-WIDTH = 1 << 18
+WIDTH = 1 << 20
 FOLDS = 4
+STEMS = (4, 5, 6)
+#: Normal score from which a word's shares among the labels count as different.
+SIGNIFICANT = 4.0
 #: Categories before the last, by words that name them: a labelled toxic text with such a word is an example.
 CATEGORIES = {
     "insult": ("idiot", "moron", "loser", "clown", "stupid", "fool", "dumb"),
@@ -30,15 +33,19 @@ CATEGORIES = {
 }
 
 
-def _features(text: str, known: dict[str, int]) -> np.ndarray:
-    """Hashed distinct words, each once."""
-    out = set()
+def _hash(w: str) -> int:
+    return zlib.crc32(w.encode("utf-8", "surrogatepass")) % WIDTH
+
+
+def _features(text: str, known: dict[str, tuple[int, ...]]) -> np.ndarray:
+    """Hashed distinct words and their beginnings of 4, 5 and 6 letters, which words with other endings share."""
+    out: set[int] = set()
     for w in set(WORD.findall(text.lower())):
         if (k := known.get(w)) is None:
-            if len(known) >= 1_000_000:
+            if len(known) >= 500_000:
                 known.clear()
-            k = known[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % WIDTH
-        out.add(k)
+            k = known[w] = (_hash(w), *(_hash(w[:n] + "-") for n in STEMS if len(w) >= n))
+        out.update(k)
     return np.fromiter(out, np.int64, len(out))
 
 
@@ -56,11 +63,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     names = [*categories, label]
     if not rows:
         return {"names": names, "links": [0.0] * len(names), "slot": np.full(WIDTH, -1, np.int32)}
-    known: dict[str, int] = {}
+    known: dict[str, tuple[int, ...]] = {}
     found = [_features(t, known) for t, _ in rows]
     toxic = np.array([v for _, v in rows], float)
     words = [set(WORD.findall(t.lower())) if v else set() for t, v in rows]
-    often = np.bincount(np.concatenate(found), minlength=WIDTH) >= least
+    # words that one label holds more often than chance would have it; the rest only fit noise
+    in_toxic, in_other = (np.bincount(np.concatenate([f for f, y in zip(found, toxic) if y == k] or [np.empty(0, np.int64)]), minlength=WIDTH) for k in (1, 0))
+    n1, n0 = max(1.0, toxic.sum()), max(1.0, (1 - toxic).sum())
+    share = (in_toxic + in_other) / (n1 + n0)
+    z = (in_toxic / n1 - in_other / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
+    often = (in_toxic + in_other >= least) & (np.abs(z) > SIGNIFICANT)
     slot = np.full(WIDTH, -1, np.int32)
     slot[often] = np.arange(often.sum(), dtype=np.int32)
     found = [slot[f][slot[f] >= 0] for f in found]

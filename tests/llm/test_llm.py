@@ -266,7 +266,7 @@ def test_quality(spark):
 def test_toxicity(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     held = labels.where("doc_id % 5 = 0")
-    model = toxicity.fit(docs, labels.where("doc_id % 5 <> 0"), per_class=400)
+    model = toxicity.fit(docs, labels.where("doc_id % 5 <> 0"))
     got = toxicity.score(docs.join(held.select("doc_id"), "doc_id", "left_semi"), model).join(held, "doc_id").collect()
     assert np.mean([r.predicted == r.toxic for r in got]) > 0.97
     odd = docs_frame(spark, list(enumerate(ODD)))
