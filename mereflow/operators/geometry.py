@@ -219,7 +219,7 @@ def convex_hulls(points: DataFrame, keys: list[str], row: str = "azimuth_index")
     ends = points.withColumns({"__a": F.row_number().over(order[0]), "__b": F.row_number().over(order[1])}).where("__a = 1 or __b = 1").select(*keys, "x", "y")
     types = dict(points.dtypes)
 
-    def hull(pdf: pd.DataFrame) -> pd.DataFrame:
+    def hull(pdf):
         pts = sorted(set(zip(pdf["x"], pdf["y"])))
 
         def half(seq):
@@ -235,3 +235,46 @@ def convex_hulls(points: DataFrame, keys: list[str], row: str = "azimuth_index")
         return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, "ring": [ring]})
 
     return ends.groupBy(*keys).applyInPandas(hull, ", ".join([*(f"{k} {types[k]}" for k in keys), "ring array<struct<x: double, y: double>>"]))
+
+
+def clip_cells(cells: DataFrame, influence: DataFrame, key: str, size: float, x: str = "x", y: str = "y") -> DataFrame:
+    """(cells' columns, lake_id): a lake's cells cut by influence areas, before a boundary is drawn around them."""
+    own = cells.withColumn("__k", F.struct(key))
+    held = points_in_polygons(own.select(key, F.col(x).alias("x"), F.col(y).alias("y")), influence, key, "lake_id", size)
+    return cells.join(held, key)
+
+
+def coverage(areas: DataFrame, cells: DataFrame, cell_area: float, size: float) -> DataFrame:
+    """(area_id, ratio): how much of each area the cells (id, x, y) inside it cover."""
+    inside = points_in_polygons(cells, areas, "id", "area_id", size).groupBy("area_id").agg((F.count(F.lit(1)) * cell_area).alias("covered"))
+    whole = areas.select("area_id", polygon_area(F.col("rings")).alias("whole"))
+    return whole.join(inside, "area_id", "left").select("area_id", (F.coalesce("covered", F.lit(0.0)) / F.col("whole")).alias("ratio"))
+
+
+def ring_elevation(points: DataFrame, keys: list[str], value: str = "z") -> DataFrame:
+    """(keys, value): mean over the cells on each region's boundary that have one."""
+    from mereflow.functions.scalars import finite
+
+    return boundary_cells(points, keys).groupBy(*keys).agg(F.avg(finite(F.col(value))).alias(value)).where(F.col(value).isNotNull())
+
+
+def disjoint_smallest(regions: DataFrame, meets: DataFrame, key: str = "id", size: str = "area") -> DataFrame:
+    """Greedy disjoint set: regions by increasing area (smaller key first), each taken if it meets none that is taken.
+
+    Every round takes all regions that are least among those they still meet, and drops what these meet, so the
+    result is the one-by-one greedy's. ``meets`` has a row (a, b) per pair that meets.
+    """
+    rank = regions.select(key, F.struct(F.col(size).alias("s"), F.col(key).alias("k")).alias("rank"))
+    pairs = meets.where("a <> b").select("a", "b")
+    pairs = pairs.union(pairs.select("b", "a")).distinct()
+    left, chosen = scratch.save(rank, "regions"), None
+    while not left.isEmpty():
+        a, b = left.select(F.col(key).alias("a"), F.col("rank").alias("ra")), left.select(F.col(key).alias("b"), F.col("rank").alias("rb"))
+        live = pairs.join(a, "a").join(b, "b")
+        beaten = live.where("rb < ra").select(F.col("a").alias(key)).distinct()
+        best = scratch.save(left.join(beaten, key, "left_anti").select(key), "chosen")
+        gone = live.join(best.withColumnRenamed(key, "a"), "a", "left_semi").select(F.col("b").alias(key)).union(best).distinct()
+        nxt = scratch.save(left.join(gone, key, "left_anti"), "regions")
+        scratch.drop(left)
+        left, chosen = nxt, best if chosen is None else chosen.union(best)
+    return regions.join(chosen, key, "left_semi") if chosen is not None else regions

@@ -155,3 +155,36 @@ def absorb_small(labelled: DataFrame, keys: list[str], least: int) -> DataFrame:
     choice = votes.groupBy(*keys, "label").agg(F.max_by("near", F.struct("n", -F.col("near"))).alias("near"))
     out = labelled.join(choice, [*keys, "label"], "left").join(none, keys, "left")
     return out.withColumn("label", F.coalesce("one", "near", "label")).drop("near", "one")
+
+
+def height_kmeans(labelled: DataFrame, keys: list[str], most: int = 4, rounds: int = 8, spread: float = 1.0) -> DataFrame:
+    """``labelled`` with ``cluster``: 1-D k-means of each object's heights, with the least k whose clusters all deviate by at most ``spread``.
+
+    Centres start at even quantiles. The distinct heights of an object, with their counts, are what the rounds
+    run over; objects that no k up to ``most`` fits take ``most``.
+    """
+    h = labelled.where(F.col("height").isNotNull() & ~F.isnan("height"))
+    levels = scratch.save(h.groupBy(*keys, "height").agg(F.count(F.lit(1)).alias("n")), "levels")
+    todo, out = levels.select(*keys).distinct(), None
+    for k in range(1, most + 1):
+        own = levels.join(todo, keys, "left_semi")
+        quantiles = F.percentile("height", F.array(*(F.lit((i + 0.5) / k) for i in range(k))), F.col("n"))
+        centres = own.groupBy(*keys).agg(quantiles.alias("c"))
+        for _ in range(rounds if k > 1 else 0):
+            named = own.join(centres, keys).withColumn("cluster", _nearest_centre(F.col("c")))
+            means = named.groupBy(*keys, "cluster").agg((F.sum(F.col("height") * F.col("n")) / F.sum("n")).alias("m"))
+            centres = scratch.save(means.groupBy(*keys).agg(F.sort_array(F.collect_list("m")).alias("c")), "centres")
+        named = scratch.save(own.join(centres, keys).withColumn("cluster", _nearest_centre(F.col("c"))).drop("c"), "clusters")
+        mean = F.sum(F.col("height") * F.col("n")) / F.sum("n")
+        sd = F.sqrt(F.greatest(F.sum(F.col("height") ** 2 * F.col("n")) / F.sum("n") - mean**2, F.lit(0.0)))
+        wide = named.groupBy(*keys, "cluster").agg(sd.alias("sd")).where(F.col("sd") > spread).select(*keys).distinct()
+        done = named if k == most else named.join(wide, keys, "left_anti")
+        out = done if out is None else out.union(done)
+        todo = wide
+    return labelled.join(out.drop("n"), [*keys, "height"])
+
+
+def _nearest_centre(centres: Column) -> Column:
+    """Number from 0 of the centre nearest the height, the lower of equals."""
+    gaps = F.transform(centres, lambda c: F.abs(F.col("height") - c))
+    return (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
