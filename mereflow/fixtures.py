@@ -11,10 +11,10 @@ PIXC = {
     "pass_number": "cast(tile_number%7+1 as int)",
     "swath_side": "case when tile_number%2=0 then 'L' else 'R' end",
     "classification": "cast(max(l_linenumber)%6+2 as int)",
-    "longitude": "tile_number*0.01+range_index*0.0001",
-    "latitude": "45+tile_number*0.01+azimuth_index*0.0001",
+    "longitude": "cast(tile_number*0.01+range_index*0.0001 as double)",
+    "latitude": "cast(45+tile_number*0.01+azimuth_index*0.0001 as double)",
     "height": "case when max(l_partkey)%53=0 then cast('NaN' as double) else max(l_quantity)+min(l_discount) end",
-    "illumination_time": "600000000+tile_number*10+azimuth_index*0.01",
+    "illumination_time": "cast(600000000+tile_number*10+azimuth_index*0.01 as double)",
     "pixel_area": "50+max(l_quantity)",
     "height_std": "0.05+min(l_tax)",
     "water_frac": "0.1+max(l_discount)",

@@ -7,7 +7,20 @@ from pyspark.sql import functions as F
 from mereflow import fixtures as X
 from mereflow.functions import scalars as S
 from mereflow.operators import cycle as C
-from mereflow.plans.queries import KEY, KEYS, LAKE, ORACLE, QUERIES, query, r6  # noqa: F401
+from mereflow.plans.queries import KEY, KEYS, r6
+
+QUERIES: dict = {}
+ORACLE: dict = {}
+
+
+def query(sql=None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql.replace("{pixc}", X.PIXC_SQL).replace("{lakesp}", X.LAKESP_SQL).replace("{pld}", X.PLD_SQL)
+        return f
+
+    return put
 
 FIRST = """f as (select * from (select *, row_number() over (partition by cycle_number, lake_id, pass_number order by wse, area_total, wse_u, area_tot_u, geoid_hght, time, partial_f, quality_f, dark_frac, obs_id, n) as r from lakesp) where r=1)"""
 
@@ -109,7 +122,7 @@ def d10_pass_plan(spark, sf_dir):
 # Scalars --------------------------------------------------------------------------------------
 
 
-@query("with p as (select c_custkey, c_custkey*7.3%720-360 as lon from customer) select c_custkey, round(case when lon>180 then lon-360 else lon end,6) as a, round(case when lon<0 then lon+360 else lon end,6) as b from p")
+@query("with p as (select c_custkey, c_custkey*7.3e0%720-360 as lon from customer) select c_custkey, round(case when lon>180 then lon-360 else lon end,6) as a, round(case when lon<0 then lon+360 else lon end,6) as b from p")
 def x1_longitudes(spark, sf_dir):
     lon = F.col("c_custkey") * 7.3 % 720 - 360
     return r6(X.table(spark, sf_dir, "customer").select("c_custkey", S.lon_180(lon).alias("a"), S.lon_360(lon).alias("b")))
@@ -122,14 +135,14 @@ def x2_time_texts(spark, sf_dir):
     return X.table(spark, sf_dir, "customer").select("c_custkey", *(S.time_text(s, k).alias(f"t{k}") for k in range(4)))
 
 
-@query("""with p as (select c_custkey, c_custkey*7.3%360-180 as lon, c_custkey*3.7%160-80 as lat from customer)
+@query("""with p as (select c_custkey, c_custkey*7.3e0%360-180 as lon, c_custkey*3.7e0%160-80 as lat from customer)
   select c_custkey, concat(case when lat>=0 then '326' else '327' end, lpad(cast(cast(floor((lon+180)/6) as int)%60+1 as varchar),2,'0')) as epsg from p""")
 def x3_utm_codes(spark, sf_dir):
     lon, lat = F.col("c_custkey") * 7.3 % 360 - 180, F.col("c_custkey") * 3.7 % 160 - 80
     return X.table(spark, sf_dir, "customer").select("c_custkey", S.utm_epsg(lon, lat).alias("epsg"))
 
 
-@query("with p as (select c_custkey, c_custkey*7.3%360-180 as lon, c_custkey*3.7%160-80 as lat from customer) select c_custkey, round(lon,8) as lon, round(lat,8) as lat from p")
+@query("with p as (select c_custkey, c_custkey*7.3e0%360-180 as lon, c_custkey*3.7e0%160-80 as lat from customer) select c_custkey, round(lon,8) as lon, round(lat,8) as lat from p")
 def x3_utm_round_trip(spark, sf_dir):
     p = X.table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") * 7.3 % 360 - 180).alias("lon"), (F.col("c_custkey") * 3.7 % 160 - 80).alias("lat"))
     zone, north = S.utm_zone(F.col("lon")), F.col("lat") >= 0
@@ -167,7 +180,7 @@ def x6_local_frames(spark, sf_dir):
     return p.select(*KEY, *(F.round(k, 5).alias(k) for k in "enu"), F.round(az, 7).alias("az"), F.round(el, 7).alias("el"), F.round(r, 5).alias("r"))
 
 
-@query("""with p as (select c_custkey, radians(c_custkey*7.3%360-180) as l1, radians(c_custkey*3.7%160-80) as f1, radians(c_custkey*5.1%360-180) as l2, radians(c_custkey*2.9%160-80) as f2 from customer)
+@query("""with p as (select c_custkey, radians(c_custkey*7.3e0%360-180) as l1, radians(c_custkey*3.7e0%160-80) as f1, radians(c_custkey*5.1e0%360-180) as l2, radians(c_custkey*2.9e0%160-80) as f2 from customer)
   select c_custkey, round(6371008.8*acos(greatest(-1,least(1,sin(f1)*sin(f2)+cos(f1)*cos(f2)*cos(l2-l1)))),2) as d from p where c_custkey%50<>0""")
 def x7_great_circle(spark, sf_dir):
     k = F.col("c_custkey")

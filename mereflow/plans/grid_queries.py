@@ -157,7 +157,7 @@ def _points(spark, sf_dir):
 
 def _cells(r: str) -> str:
     return f"""box as (select cast(floor(min(x)/{r}) as bigint) as x0, cast(ceil(max(x)/{r}) as bigint)-1 as x1, cast(floor(min(y)/{r}) as bigint) as y0, cast(ceil(max(y)/{r}) as bigint)-1 as y1 from pts),
-  cells as (select ix, iy, (ix+0.5)*{r} as x, (iy+0.5)*{r} as y from box, range(x0, x1+1) a(ix), range(y0, y1+1) b(iy))"""
+  cells as (select ix, iy, (ix+0.5e0)*{r} as x, (iy+0.5e0)*{r} as y from box, range(x0, x1+1) a(ix), range(y0, y1+1) b(iy))"""
 
 
 @query("with " + _PTS + ", " + _cells("50") + " select ix, iy, x, y from cells")

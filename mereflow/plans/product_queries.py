@@ -162,7 +162,7 @@ def j1_nearest_sample(spark, sf_dir):
     return O.nearest_sample(X.pixc(spark, sf_dir).select(*KEY, "illumination_time"), _track(spark, sf_dir), ["tile_number"], 0.3).select(*KEY, "sample")
 
 
-@query(f"with {{pixc}} select {KEYS}, round(pixel_area,3) as height_imp, 0.0 as range_change, 0.0 as doppler_change from pixc where not isnan(height)")
+@query(f"with {{pixc}} select {KEYS}, round(pixel_area,3) as height_imp, 0e0 as range_change, 0e0 as doppler_change from pixc where not isnan(height)")
 def d1_move_to_height(spark, sf_dir):
     """The new points have the target height, and the range and Doppler of the old ones."""
     from mereflow.functions.scalars import to_ecef
@@ -179,7 +179,7 @@ def d1_move_to_height(spark, sf_dir):
     return out.select(*KEY, F.round("height_imp", 3).alias("height_imp"), F.abs(F.round(dist(new) - dist(old), 2)).alias("range_change"), F.abs(F.round(dop(new) - dop(old), 2)).alias("doppler_change"))
 
 
-@query(f"with {{pixc}} select {KEYS}, round(3+0.2*range_index-0.01*range_index*range_index+0.3*azimuth_index+0.002*range_index*azimuth_index,4) as height_model from pixc")
+@query(f"with {{pixc}} select {KEYS}, round(3+0.2e0*range_index-0.01e0*range_index*range_index+0.3e0*azimuth_index+0.002e0*range_index*azimuth_index,4) as height_model from pixc")
 def a28_polynomial_surface(spark, sf_dir):
     x, y = F.col("range_index"), F.col("azimuth_index")
     p = X.pixc(spark, sf_dir).select(*KEY, "lake", x.cast("double").alias("x"), y.cast("double").alias("y"), (3 + 0.2 * x - 0.01 * x * x + 0.3 * y + 0.002 * x * y).alias("height"))
@@ -300,7 +300,7 @@ def g3_convex_hull(spark, sf_dir):
     return own.join(hulls, LAKE).withColumn("ok", ok).groupBy(*LAKE).agg(F.min("ok").alias("holds_all"))
 
 
-@query("with c as (select s_suppkey, s_suppkey*1.0 as a, s_suppkey*2.0 as b from supplier) select s_suppkey, case when s_suppkey%2=0 then a+1 else a end as first_x, case when s_suppkey%2=0 then a else a+1 end as line_x2, 5 as corners from c")
+@query("with c as (select s_suppkey, s_suppkey*1e0 as a, s_suppkey*2e0 as b from supplier) select s_suppkey, case when s_suppkey%2=0 then a+1 else a end as first_x, case when s_suppkey%2=0 then a else a+1 end as line_x2, 5 as corners from c")
 def x16_tile_ring(spark, sf_dir):
     from mereflow.functions import scalars as S
 

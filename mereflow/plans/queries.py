@@ -270,7 +270,7 @@ _A12 = ["wse", "wse_u", "time", "wse_std", "layovr_val", "xtrk_dist", "quality_f
   g as (select tile_number, lake, median(geoid) as mg, stddev_pop(geoid) as sg, median(solid_earth_tide) as ms, stddev_pop(solid_earth_tide) as ss, median(model_dry_tropo_cor) as md, stddev_pop(model_dry_tropo_cor) as sd from c group by 1,2)
   select c.tile_number, c.lake, round(max(wse),8) as wse,
    round(sqrt(sum(case when isw and h is not null then w*pow(h-wse,2) end)/sum(case when isw and h is not null then w end))*sqrt(avg(case when isw and h is not null then eff_num_medium_looks/eff_num_rare_looks end)/count(case when isw then h end)),8) as wse_u,
-   round(avg(illumination_time),3) as time, round(stddev_pop(case when isi then h end),8) as wse_std, round(avg(case when isi then layover_impact end),8) as layovr_val, round(avg(cross_track),8) as xtrk_dist,
+   round(avg(illumination_time),4) as time, round(stddev_pop(case when isi then h end),8) as wse_std, round(avg(case when isi then layover_impact end),8) as layovr_val, round(avg(cross_track),8) as xtrk_dist,
    cast(avg(case when classification_qual*geolocation_qual=0 then 1.0 else 0 end)<0.5 as int) as quality_f,
    max(case when geolocation_qual&8388608<>0 then 2 when geolocation_qual&64<>0 then 1 else 0 end) as xovr_cal_q, count(*) as n_pix,
    round(sum(case when classification in (2,3) then pixel_area*water_frac else pixel_area end)/1e6,8) as area_total,
@@ -279,7 +279,7 @@ _A12 = ["wse", "wse_u", "time", "wse_std", "layovr_val", "xtrk_dist", "quality_f
    round(avg(case when abs(geoid-mg)<=2*sg then geoid end),8) as geoid_hght, round(avg(case when abs(solid_earth_tide-ms)<=2*ss then solid_earth_tide end),8) as solid_tide, round(avg(case when abs(model_dry_tropo_cor-md)<=2*sd then model_dry_tropo_cor end),8) as dry_trop_c
   from c join m using (tile_number, lake) join g using (tile_number, lake) group by 1,2""")
 def a12_lake_attributes(spark, sf_dir):
-    return r6(A.lake_attributes(P.with_roles(X.pixc(spark, sf_dir)), LAKE, F.col("height"), F.col("height_std")).select(*LAKE, *_A12).withColumn("time", F.round("time", 3)), digits=8)
+    return r6(A.lake_attributes(P.with_roles(X.pixc(spark, sf_dir)), LAKE, F.col("height"), F.col("height_std")).select(*LAKE, *_A12).withColumn("time", F.round("time", 4)), digits=8)
 
 
 @query("""with {pixc} select tile_number, lake, round(avg(case when classification_qual*geolocation_qual=0 then 1.0 else 0 end),9) as nominal,

@@ -1,3 +1,4 @@
+import decimal
 import os
 import sys
 import tempfile
@@ -39,6 +40,8 @@ def duck():
 
 
 def normal(v):
+    if isinstance(v, decimal.Decimal):
+        v = float(v)
     if isinstance(v, float):
         return None if v != v else round(v, 6) + 0.0
     if isinstance(v, (list, tuple)):

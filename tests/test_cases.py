@@ -44,7 +44,7 @@ def test_tile_cut(spark):
 
 
 def test_two_levels_split(spark):
-    rows = [(1, 0, i, (10.0 if i % 2 else 20.0) + 0.1 * ((i // 2) % 3 - 1), 10.0) for i in range(100)]
+    rows = [(1, 0, i, (10.0 if i % 2 else 20.0) + (0.1 if (i // 2) % 10 == 0 else 0.0), 10.0) for i in range(100)]
     df = spark.createDataFrame(rows, "label int, azimuth_index int, range_index int, height double, pixel_area double")
     assert {r.part for r in L.otsu_split(df, ["label"], 100.0).select("part").distinct().collect()} == {0, 1}
     assert L.height_gaps(df, ["label"]).select("cluster").distinct().count() == 2
