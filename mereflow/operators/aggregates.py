@@ -203,6 +203,11 @@ CORRECTIONS = {
 }
 
 
+def mean_time(t: Column) -> Column:
+    """Mean of times in seconds, added up exactly in microseconds: a sum of doubles of this size depends on the order of rows."""
+    return F.sum(t.cast("decimal(20,6)")).cast("double") / F.count(t)
+
+
 def lake_attributes(pixels: DataFrame, keys: list[str], height: Column, std: Column, nominal: float = 0.5, scope: list[str] | None = None) -> DataFrame:
     """The common attributes of each object; ``pixels`` has the role columns of :func:`mereflow.operators.select.with_roles`.
 
@@ -212,7 +217,7 @@ def lake_attributes(pixels: DataFrame, keys: list[str], height: Column, std: Col
     inside = F.col("is_interior")
     own = {k: v for k, v in height_aggregates(wse, std).items() if k in ("wse", "wse_u", "wse_r_u")}
     own |= {
-        "time": F.avg(finite(F.col("illumination_time"))),
+        "time": mean_time(finite(F.col("illumination_time"))),
         "wse_std": F.stddev_pop(F.when(inside, finite(height))),
         "layovr_val": F.avg(F.when(inside, finite(F.col("layover_impact")))),
         "xtrk_dist": F.avg(finite(F.col("cross_track"))),
