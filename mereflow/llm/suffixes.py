@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mereflow import scratch
@@ -242,15 +242,41 @@ def _refine_apart(length: int):
     return run
 
 
-def _settle(rows: DataFrame) -> DataFrame:
-    """Adds ``later`` (an earlier row has the same q and c) and ``rivals`` (how many c its q has, if it is the first of its c)."""
+#: Buckets are counted by so many slots before they are dealt.
+SLOTS = 1 << 16
+
+
+def _crowded(rows: DataFrame, small: int) -> Column | None:
+    """c where the bucket is in a slot of so many rows that it would weigh on its task, else null; None if there is no such slot.
+
+    A crowded slot holds over a quarter of a task's fair share, so there are at most four per task.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    slot = F.pmod(F.col("q"), F.lit(SLOTS))
+    counts = scratch.save(rows.where("lo >= 0").groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")), "slots")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    most = max(small, total / (4 * parts), 4 * total / SLOTS)
+    slots = [r["slot"] for r in counts.where(F.col("n") > most).select("slot").collect()]  # at most 4 x parts numbers
+    scratch.drop(counts)
+    return F.when(slot.isin(slots), F.col("c")) if slots else None
+
+
+def _settle(rows: DataFrame, apart: Column | None, small: int) -> DataFrame:
+    """Adds ``later`` (an earlier row has the same q and c) and ``rivals`` (how many c its q has, if it is the first of its c).
+
+    Buckets of which ``apart`` is not null are dealt by it too; they count as having more than ``small`` rivals.
+    """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    in_order = Window.partitionBy("q").orderBy("c", "doc", "lo")
+    by = [F.col("q")] if apart is None else [F.col("q"), apart]
+    in_order = Window.partitionBy(*by).orderBy("c", "doc", "lo")
     own = F.col("lo") >= 0
     lead = own & F.coalesce(F.lag("c").over(in_order) != F.col("c"), F.lit(True))
-    dealt = rows.repartition(parts, "q").withColumn("lead", lead)
+    dealt = rows.repartition(parts, *by).withColumn("lead", lead)
     head = F.last(F.when(F.col("lead"), F.struct("doc", "lo")), ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    dealt = dealt.withColumn("head", head).withColumn("rivals", F.sum(F.col("lead").cast("int")).over(Window.partitionBy("q")))
+    rivals = F.sum(F.col("lead").cast("int")).over(Window.partitionBy(*by))
+    if apart is not None:
+        rivals = F.when(apart.isNull(), rivals).otherwise(small + 1)
+    dealt = dealt.withColumn("head", head).withColumn("rivals", rivals)
     return dealt.withColumn("later", ~own | (F.struct("doc", "lo") != F.col("head"))).drop("head")
 
 
@@ -275,7 +301,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"))
     contested = ~F.col("later") & (F.col("rivals") > 1)
-    sampled = _settle(texts.mapInArrow(_sample(length), _KINDS)).where(F.col("later") | contested).select("later", "rivals", *_SAMPLED.names)
+    suffixes = texts.mapInArrow(_sample(length), _KINDS)
+    sampled = _settle(suffixes, _crowded(suffixes, small), small).where(F.col("later") | contested).select("later", "rivals", *_SAMPLED.names)
     first = scratch.save(sampled, "suffixes")
     spans = _extent(first.where("later"), length)
     for apart in (False, True):
@@ -285,7 +312,7 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         runs = own.groupBy("doc").agg(F.collect_list(F.struct("q", "lo", F.col("c").bitwiseAND(F.lit(255)).alias("n"))).alias("at"))
         raw = texts.join(runs, "doc").select("doc", "text", "at").mapInArrow(_contexts(length), "q long, doc long, lo long, raw binary")
         if apart:
-            found = _settle(raw.mapInArrow(_refine_apart(length), _KINDS)).where("later")
+            found = _settle(raw.mapInArrow(_refine_apart(length), _KINDS), F.col("c"), small).where("later")
         else:
             found = raw.repartition(parts, "q").sortWithinPartitions("q").mapInArrow(_refine_within(length), _KINDS)
         spans = spans.union(_extent(found, length))

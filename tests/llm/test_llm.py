@@ -124,6 +124,25 @@ def test_suffixes(spark):
     assert [r.n_removed for r in suffixes.digests(twice).collect()] == [0, 0]
 
 
+def test_suffixes_with_a_common_passage(spark):
+    rng = random.Random(8)
+    passage = "".join(rng.choice("klmnopqrs tuv") for _ in range(90))
+    ends = ["".join(rng.choice("abcdefg") for _ in range(30)) for _ in range(300)]
+    rows = [(i, rng.choice(ends) + passage + rng.choice(ends)) for i in range(2000)]
+    frame = docs_frame(spark, rows)
+    seen, want = set(), {}
+    for i, t in rows:
+        for p in range(len(t) - 99):
+            if t[p : p + 100] in seen:
+                want.setdefault(i, set()).update(range(p, p + 100))
+            seen.add(t[p : p + 100])
+    own = frame.select(frame.doc_id.alias("doc"), "text").mapInArrow(suffixes._sample(100), suffixes._KINDS)
+    assert suffixes._crowded(own, 16) is not None and suffixes._crowded(own, 10_000) is None
+    for small in (16, 10_000):
+        got = {r.doc: {p for x in r.spans for p in range(x.s, x.e)} for r in suffixes.repeated_spans(frame, small=small).collect()}
+        assert got == want
+
+
 def test_decontamination(spark, duck):
     own = decontaminate.contamination(spark.read.parquet(f"{SF_DIR}/documents.parquet"), spark.read.parquet(f"{SF_DIR}/benchmark.parquet"))
     same(own, duck, decontaminate.ORACLE)
