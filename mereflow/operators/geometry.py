@@ -244,11 +244,15 @@ def clip_cells(cells: DataFrame, influence: DataFrame, key: str, size: float, x:
     return cells.join(held, key)
 
 
-def coverage(areas: DataFrame, cells: DataFrame, cell_area: float, size: float) -> DataFrame:
-    """(area_id, ratio): how much of each area the cells (id, x, y) inside it cover."""
-    inside = points_in_polygons(cells, areas, "id", "area_id", size).groupBy("area_id").agg((F.count(F.lit(1)) * cell_area).alias("covered"))
+def coverage(areas: DataFrame, cells: DataFrame, cell_area: float, size: float, *by: str) -> DataFrame:
+    """(by, area_id, ratio): how much of each area the cells (id, by, x, y) inside it cover, for each ``by`` that cells have."""
+    inside = points_in_polygons(cells, areas, "id", "area_id", size)
     whole = areas.select("area_id", polygon_area(F.col("rings")).alias("whole"))
-    return whole.join(inside, "area_id", "left").select("area_id", (F.coalesce("covered", F.lit(0.0)) / F.col("whole")).alias("ratio"))
+    if by:
+        inside = inside.join(cells.select("id", *by), "id")
+        whole = whole.crossJoin(cells.select(*by).distinct())
+    covered = inside.groupBy(*by, "area_id").agg((F.count(F.lit(1)) * cell_area).alias("covered"))
+    return whole.join(covered, [*by, "area_id"], "left").select(*by, "area_id", (F.coalesce("covered", F.lit(0.0)) / F.col("whole")).alias("ratio"))
 
 
 def ring_elevation(points: DataFrame, keys: list[str], value: str = "z") -> DataFrame:

@@ -280,13 +280,16 @@ def t5_disjoint_smallest(spark, sf_dir):
 def g13_g1_ordered_rings(spark, sf_dir):
     """Rings around a raster's water, their vertices in order: consecutive ones are one step apart and enclose the cells."""
     c = X.pixc(spark, sf_dir).where("tile_number = 1 and classification in (3,4,5)").select(F.lit(1).alias("g"), "range_index", "azimuth_index")
-    v = G.ordered_rings(c, ["g"])
+    return _ring_sums(G.ordered_rings(c, ["g"]), "g").drop("g")
+
+
+def _ring_sums(v, key):
     from pyspark.sql import Window
 
-    w = Window.partitionBy("g", "ring").orderBy("position")
+    w = Window.partitionBy(key, "ring").orderBy("position")
     nx = lambda k: F.coalesce(F.lead(k).over(w), F.first(k).over(w))
     v = v.withColumns({"x2": nx("x"), "y2": nx("y")})
-    return v.agg(F.count(F.lit(1)).alias("vertices"), (F.sum(F.col("x") * F.col("y2") - F.col("x2") * F.col("y")) / 2).alias("area"), F.sum((F.abs(F.col("x") - F.col("x2")) + F.abs(F.col("y") - F.col("y2")) == 1).cast("long")).alias("steps"))
+    return v.groupBy(key).agg(F.count(F.lit(1)).alias("vertices"), (F.sum(F.col("x") * F.col("y2") - F.col("x2") * F.col("y")) / 2).alias("area"), F.sum((F.abs(F.col("x") - F.col("x2")) + F.abs(F.col("y") - F.col("y2")) == 1).cast("long")).alias("steps"))
 
 
 @query("with {pixc} select tile_number, lake, true as holds_all from pixc group by 1,2 having count(*)>=3")
@@ -309,3 +312,38 @@ def x16_tile_ring(spark, sf_dir):
     t = X.table(spark, sf_dir, "supplier").select("s_suppkey").withColumns(cols)
     side = F.when(F.col("s_suppkey") % 2 == 0, "L").otherwise("R")
     return t.select("s_suppkey", S.tile_ring(side)[0]["x"].alias("first_x"), S.row_line("first", side)[1]["x"].alias("line_x2"), F.size(S.tile_ring(side)).alias("corners"))
+
+
+# As above on every tile; the SQL of the queries without ``_all`` fixes one tile or two.
+@query("with {pixc} select range_index as x, azimuth_index as y, tile_number-1 as source, not isnan(height) as valid from pixc where range_index between 18 and 62 and azimuth_index between 8 and 42")
+def u7_combined_cloud_all(spark, sf_dir):
+    p = X.pixc(spark, sf_dir).select(F.col("range_index").alias("x"), F.col("azimuth_index").alias("y"), F.col("height").alias("z"), "tile_number")
+    return R.combined_cloud([p], (20, 60, 10, 40), 2).select("x", "y", (F.col("tile_number") - 1).alias("source"), "valid")
+
+
+@query("with {pixc}, q as (select tile_number, lake, range_index as r, azimuth_index as a, height from pixc), e as (select * from q where (select count(*) from q z where z.tile_number=q.tile_number and z.lake=q.lake and abs(z.a-q.a)+abs(z.r-q.r)=1)<4)"
+       " select tile_number, lake, round(avg(case when not isnan(height) then height end),8) as z from e group by 1,2")
+def a25_j20_ring_elevation_all(spark, sf_dir):
+    return r6(G.ring_elevation(X.pixc(spark, sf_dir).select(*KEY, "lake", F.col("height").alias("z")), LAKE), digits=8)
+
+
+@query("with {pixc}, {poly}, t as (select distinct tile_number from pixc), c as (select lake_id, tile_number, count(*) as k from pixc, poly where range_index>=x0 and range_index<x1 and azimuth_index>=y0 and azimuth_index<y1 group by 1,2)"
+       " select tile_number, lake_id as area_id, round(coalesce(k,0)/((x1-x0)*(y1-y0)),8) as ratio from poly cross join t left join c using (lake_id, tile_number)")
+def a32_coverage_all(spark, sf_dir):
+    cell = (F.col("tile_number") * 10000 + F.col("azimuth_index") * 100 + F.col("range_index")).alias("id")
+    cells = X.pixc(spark, sf_dir).select(cell, "tile_number", F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
+    return r6(G.coverage(X.box_rings(X.poly(spark, sf_dir)).withColumnRenamed("lake_id", "area_id"), cells, 1.0, 10.0, "tile_number"), digits=8)
+
+
+@query("with {pixc}, {poly} select lake_id, tile_number*10000+range_index*100+azimuth_index as cell from pixc, poly where classification in (3,4) and range_index>=x0 and range_index<x1 and azimuth_index>=y0 and azimuth_index<y1")
+def g7_r7_clip_cells_all(spark, sf_dir):
+    c = X.pixc(spark, sf_dir).where("classification in (3,4)").select((F.col("tile_number") * 10000 + F.col("range_index") * 100 + F.col("azimuth_index")).alias("cell"), F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
+    return G.clip_cells(c, X.box_rings(X.poly(spark, sf_dir)), "cell", 10.0).select("lake_id", "cell")
+
+
+@query("with {pixc}, q as (select tile_number as t, range_index as r, azimuth_index as a from pixc where classification in (3,4,5)), n as (select t, r+1 as r, a from q union all select t, r-1, a from q union all select t, r, a+1 from q union all select t, r, a-1 from q),"
+       " i as (select t, count(*) as inner_sides from n join q using (t, r, a) group by 1), s as (select t, count(*) as k from q group by 1)"
+       " select t as tile_number, cast(4*k-coalesce(inner_sides,0) as bigint) as vertices, cast(k as double) as area, cast(4*k-coalesce(inner_sides,0) as bigint) as steps from s left join i using (t)")
+def g13_g1_ordered_rings_all(spark, sf_dir):
+    c = X.pixc(spark, sf_dir).where("classification in (3,4,5)").select("tile_number", "range_index", "azimuth_index")
+    return _ring_sums(G.ordered_rings(c, ["tile_number"]), "tile_number")
