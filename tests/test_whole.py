@@ -1,9 +1,11 @@
 """Queries over whole tables: on sf0.01, which has 16 tiles, where sf0.001 has one."""
 
+import math
+
 import pytest
-from conftest import same
+from conftest import SF_DIR, same
 
-from mereflow.plans import geometry_queries, product_queries
+from mereflow.plans import geometry_queries, grid_queries, product_queries
 
 MORE = "/root/testdata/sf0.01"
 TILES = ["j6_points_in_polygons", "j7_j8_pixel_lakes", "j13_exempt_objects", "g1_g2_g11_mask_rings", "g14_boundary_cells", "g8_g9_dilate", "a25_j20_ring_elevation", "a32_coverage", "g7_r7_clip_cells", "g13_g1_ordered_rings", "u7_combined_cloud"]
@@ -36,3 +38,17 @@ def test_every_tile(spark, more, name):
     same(got, more, sql[f"{name}_all"])
     assert {tile_of(r) for r in got.collect()} == set(range(1, 17))
     got.unpersist()
+
+
+POINTS = ["r1_grid", "j18_t4_nearest", "j19_within_radius", "c7_small_components", "c8_outliers_removed", "c9_isolated_points", "r2_idw_grid", "r3_limited_idw", "r4_gaussian_grid", "r5_mask_grid"]
+
+
+def test_every_point(spark):
+    """All orders are points and neighbours, by brute force."""
+    q = grid_queries.QUERIES
+    rows = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_orderkey", "o_custkey").collect()
+    at = {r[0]: (r[0] * 7919 % 1000 + r[1] % 7 / 10, r[0] * 104729 % 1000 + r[1] % 11 / 20) for r in rows}
+    near = {(a, b) for a, p in at.items() for b, o in at.items() if math.dist(p, o) <= 12}
+    assert {(r["id"], r["other"]) for r in q["j19_within_radius_all"](spark, SF_DIR).collect()} == near
+    assert sum(r["n_in_cell"] for r in q["r4_gaussian_grid_all"](spark, SF_DIR).collect()) > len(rows) * 0.9
+    assert all("orders where" not in grid_queries.ORACLE[f"{name}_all"] for name in POINTS)
