@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,34 +158,41 @@ def absorb_small(labelled: DataFrame, keys: list[str], least: int) -> DataFrame:
     return out.withColumn("label", F.coalesce("one", "near", "label")).drop("near", "one")
 
 
-def height_kmeans(labelled: DataFrame, keys: list[str], most: int = 4, rounds: int = 8, spread: float = 1.0) -> DataFrame:
+def height_kmeans(labelled: DataFrame, keys: list[str], most: int = 11, spread: float = 1.0) -> DataFrame:
     """``labelled`` with ``cluster``: 1-D k-means of each object's heights, with the least k whose clusters all deviate by at most ``spread``.
 
-    Centres start at even quantiles. The distinct heights of an object, with their counts, are what the rounds
-    run over; objects that no k up to ``most`` fits take ``most``.
+    Centres start at even quantiles and move until no height changes its cluster. Objects that no k up to ``most``, the reference's
+    bound, fits take ``most``. The distinct heights of one object, with their counts, are in one task's memory.
     """
+    import pandas as pd
+
     h = labelled.where(F.col("height").isNotNull() & ~F.isnan("height"))
-    levels = scratch.save(h.groupBy(*keys, "height").agg(F.count(F.lit(1)).alias("n")), "levels")
-    todo, out = levels.select(*keys).distinct(), None
+    levels = h.groupBy(*keys, F.col("height").cast("double").alias("height")).agg(F.count(F.lit(1)).alias("n"))
+    types = dict(levels.dtypes)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("height")
+        return pdf[[*keys, "height"]].assign(cluster=_kmeans(pdf["height"].to_numpy(), pdf["n"].to_numpy(), most, spread))
+
+    out = levels.groupBy(*keys).applyInPandas(run, ", ".join([*(f"{k} {types[k]}" for k in keys), "height double, cluster int"]))
+    return labelled.join(out, [*keys, "height"])
+
+
+def _kmeans(height: np.ndarray, n: np.ndarray, most: int, spread: float) -> np.ndarray:
+    """Cluster of each of the ascending heights, of which there are ``n`` each; a height between two centres, to a billionth, goes to the lower one."""
+    upto = np.cumsum(n)
     for k in range(1, most + 1):
-        own = levels.join(todo, keys, "left_semi")
-        quantiles = F.percentile("height", F.array(*(F.lit((i + 0.5) / k) for i in range(k))), F.col("n"))
-        centres = own.groupBy(*keys).agg(quantiles.alias("c"))
-        for _ in range(rounds if k > 1 else 0):
-            named = own.join(centres, keys).withColumn("cluster", _nearest_centre(F.col("c")))
-            means = named.groupBy(*keys, "cluster").agg((F.sum(F.col("height") * F.col("n")) / F.sum("n")).alias("m"))
-            centres = scratch.save(means.groupBy(*keys).agg(F.sort_array(F.collect_list("m")).alias("c")), "centres")
-        named = scratch.save(own.join(centres, keys).withColumn("cluster", _nearest_centre(F.col("c"))).drop("c"), "clusters")
-        mean = F.sum(F.col("height") * F.col("n")) / F.sum("n")
-        sd = F.sqrt(F.greatest(F.sum(F.col("height") ** 2 * F.col("n")) / F.sum("n") - mean**2, F.lit(0.0)))
-        wide = named.groupBy(*keys, "cluster").agg(sd.alias("sd")).where(F.col("sd") > spread).select(*keys).distinct()
-        done = named if k == most else named.join(wide, keys, "left_anti")
-        out = done if out is None else out.union(done)
-        todo = wide
-    return labelled.join(out.drop("n"), [*keys, "height"])
-
-
-def _nearest_centre(centres: Column) -> Column:
-    """Number from 0 of the centre nearest the height, the lower of equals."""
-    gaps = F.transform(centres, lambda c: F.abs(F.col("height") - c))
-    return (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
+        place = (np.arange(k) + 0.5) / k * (upto[-1] - 1)
+        low, high = (height[np.searchsorted(upto, f(place), side="right")] for f in (np.floor, np.ceil))
+        centres, seen, cluster = low + (high - low) * (place - np.floor(place)), set(), None
+        while cluster is None or cluster.tobytes() not in seen:
+            if cluster is not None:
+                seen.add(cluster.tobytes())
+                centres = np.bincount(cluster, height * n) / np.bincount(cluster, n)
+            cluster = np.searchsorted((centres[1:] + centres[:-1]) / 2 + 1e-9, height, side="left")
+            cluster = np.unique(cluster, return_inverse=True)[1]  # without clusters that stand empty
+        count = np.bincount(cluster, n)
+        mean = np.bincount(cluster, height * n) / count
+        if (np.sqrt(np.bincount(cluster, (height - mean[cluster]) ** 2 * n) / count) <= spread).all():
+            break
+    return cluster

@@ -347,3 +347,9 @@ def g7_r7_clip_cells_all(spark, sf_dir):
 def g13_g1_ordered_rings_all(spark, sf_dir):
     c = X.pixc(spark, sf_dir).where("classification in (3,4,5)").select("tile_number", "range_index", "azimuth_index")
     return _ring_sums(G.ordered_rings(c, ["tile_number"]), "tile_number")
+
+
+# The SQL of c4_height_kmeans presses the heights to two values; these are the heights themselves, tested against plain Python.
+@query()
+def c4_height_kmeans_all(spark, sf_dir):
+    return L.height_kmeans(X.pixc(spark, sf_dir).select(*KEY, "lake", "height"), LAKE).select(*KEY, "cluster")

@@ -5,6 +5,8 @@ import math
 import pytest
 from conftest import SF_DIR, same
 
+from mereflow import fixtures
+from mereflow.operators import labels
 from mereflow.plans import geometry_queries, grid_queries, product_queries
 
 MORE = "/root/testdata/sf0.01"
@@ -52,3 +54,35 @@ def test_every_point(spark):
     assert {(r["id"], r["other"]) for r in q["j19_within_radius_all"](spark, SF_DIR).collect()} == near
     assert sum(r["n_in_cell"] for r in q["r4_gaussian_grid_all"](spark, SF_DIR).collect()) > len(rows) * 0.9
     assert all("orders where" not in grid_queries.ORACLE[f"{name}_all"] for name in POINTS)
+
+
+def plain_kmeans(values, most=11):
+    values = sorted(values)
+    for k in range(1, most + 1):
+        places = [(i + 0.5) / k * (len(values) - 1) for i in range(k)]
+        centres = [values[int(p)] + (values[math.ceil(p)] - values[int(p)]) * (p - int(p)) for p in places]
+        old = None
+        while True:
+            of = [next(j for j, c in enumerate(centres) if abs(v - c) <= min(abs(v - x) for x in centres) + 2e-9) for v in values]
+            groups = [[v for v, c in zip(values, of) if c == j] for j in sorted(set(of))]
+            if groups == old:
+                break
+            old, centres = groups, [sum(g) / len(g) for g in groups]
+        if all(math.sqrt(sum((v - sum(g) / len(g)) ** 2 for v in g) / len(g)) <= 1 for g in groups):
+            break
+    return {v: j for j, g in enumerate(groups) for v in g}
+
+
+def test_kmeans_grows_and_settles(spark):
+    rows = [(1, float(10 * i + j)) for i in range(7) for j in (0, 1)] + [(2, 3.0)] * 3 + [(3, float("nan")), (3, 5.0)]
+    got = labels.height_kmeans(spark.createDataFrame(rows, "label int, height double"), ["label"]).collect()
+    assert {(r.height, r.cluster) for r in got if r.label == 1} == {(h, int(h // 10)) for k, h in rows if k == 1}
+    assert [(r.height, r.cluster) for r in got if r.label != 1].count((3.0, 0)) == 3 and len(got) == 14 + 3 + 1
+    own = [r for r in fixtures.pixc(spark, SF_DIR).select("tile_number", "lake", "range_index", "azimuth_index", "height").collect() if r.height == r.height]
+    want = {}
+    for lake in {r.lake for r in own}:
+        of = plain_kmeans([float(r.height) for r in own if r.lake == lake])
+        want |= {(r.tile_number, r.range_index, r.azimuth_index): of[float(r.height)] for r in own if r.lake == lake}
+    found = product_queries.QUERIES["c4_height_kmeans_all"](spark, SF_DIR).collect()
+    assert {(r.tile_number, r.range_index, r.azimuth_index): r.cluster for r in found} == want
+    assert max(want.values()) > 3
