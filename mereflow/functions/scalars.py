@@ -135,10 +135,11 @@ def to_aer(east: Column, north: Column, up: Column) -> tuple[Column, Column, Col
 
 
 def great_circle(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """Distance in metres on the mean sphere; the cosine is clamped."""
+    """Distance in metres on the mean sphere; the cosine is clamped, and places within a billionth of a degree are 0 apart."""
     a, b = F.radians(lat1), F.radians(lat2)
     c = F.sin(a) * F.sin(b) + F.cos(a) * F.cos(b) * F.cos(F.radians(lon2 - lon1))
-    return EARTH_MEAN * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
+    same = (F.abs(lat2 - lat1) < 1e-9) & (F.abs(F.sin(F.radians(lon2 - lon1) / 2)) < 1e-11)
+    return F.when(same, 0.0).otherwise(EARTH_MEAN * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c))))
 
 
 def fill_out(c: Column, value) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from mereflow import fixtures as X
@@ -104,9 +106,9 @@ def d8_s16_cycle_product(spark, sf_dir):
 @query("""with o as (select distinct cast(o_orderdate as date) as d from orders), l as (select distinct cast(l_shipdate as date) as s from lineitem where day(l_shipdate)=15 and month(l_shipdate)%4=0),
   j as (select d, s, row_number() over (partition by d order by abs(s-d), s) as r from o left join l on abs(s-d)<=99)
   select d as acquired, s as nearest from j where r=1""")
-def j21_nearest_date(spark, sf_dir):
+def j21_nearest_date(spark, sf_dir, dates="day(l_shipdate) = 15 and month(l_shipdate) % 4 = 0"):
     o = X.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("acquired")).distinct()
-    m = X.table(spark, sf_dir, "lineitem").where("day(l_shipdate) = 15 and month(l_shipdate) % 4 = 0")
+    m = X.table(spark, sf_dir, "lineitem").where(dates)
     return C.nearest_date(o, m, "acquired", "l_shipdate")
 
 
@@ -182,10 +184,10 @@ def x6_local_frames(spark, sf_dir):
 
 @query("""with p as (select c_custkey, radians(c_custkey*7.3e0%360-180) as l1, radians(c_custkey*3.7e0%160-80) as f1, radians(c_custkey*5.1e0%360-180) as l2, radians(c_custkey*2.9e0%160-80) as f2 from customer)
   select c_custkey, round(6371008.8*acos(greatest(-1,least(1,sin(f1)*sin(f2)+cos(f1)*cos(f2)*cos(l2-l1)))),2) as d from p where c_custkey%50<>0""")
-def x7_great_circle(spark, sf_dir):
+def x7_great_circle(spark, sf_dir, rows="c_custkey % 50 <> 0"):
     k = F.col("c_custkey")
     d = S.great_circle(k * 7.3 % 360 - 180, k * 3.7 % 160 - 80, k * 5.1 % 360 - 180, k * 2.9 % 160 - 80)
-    return X.table(spark, sf_dir, "customer").where("c_custkey % 50 <> 0").select("c_custkey", F.round(d, 2).alias("d"))
+    return X.table(spark, sf_dir, "customer").where(rows).select("c_custkey", F.round(d, 2).alias("d"))
 
 
 @query("with {pld} select lake_id, coalesce(ref_area_u,-99999999) as o, nullif(ds_t0,-99999999) as i, coalesce(nullif(ds_t0,-99999999),9.96921e36) as r from pld")
@@ -223,3 +225,10 @@ def x11_x12_phase_and_angle(spark, sf_dir):
 def x15_x17_heights(spark, sf_dir):
     c = F.col
     return r6(X.pixc(spark, sf_dir).where("not isnan(height)").select(*KEY, S.exaggerate(c("height"), 3.5, 10.0).alias("h"), S.node_ellipsoid_height(c("height"), c("geoid"), c("load_tide_fes"), c("solid_earth_tide"), F.lit(0.001)).alias("e")))
+
+
+# The SQL of these leaves rows out; ``_all`` takes all dates, and all customers with 0 between equal places.
+QUERIES["j21_nearest_date_all"] = partial(j21_nearest_date, dates="true")
+ORACLE["j21_nearest_date_all"] = ORACLE["j21_nearest_date"].replace(" where day(l_shipdate)=15 and month(l_shipdate)%4=0", "")
+QUERIES["x7_great_circle_all"] = partial(x7_great_circle, rows="true")
+ORACLE["x7_great_circle_all"] = ORACLE["x7_great_circle"].replace(" where c_custkey%50<>0", "").replace("round(6371008.8", "case when abs(f2-f1)<1.7e-11 and abs(sin((l2-l1)/2))<1e-11 then 0 else round(6371008.8").replace(",2) as d", ",2) end as d")

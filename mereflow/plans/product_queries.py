@@ -353,3 +353,9 @@ def g13_g1_ordered_rings_all(spark, sf_dir):
 @query()
 def c4_height_kmeans_all(spark, sf_dir):
     return L.height_kmeans(X.pixc(spark, sf_dir).select(*KEY, "lake", "height"), LAKE).select(*KEY, "cluster")
+
+
+# All edge pixels within the 24 hours of production; the SQL of s3_edge_scan stops after 90 seconds.
+@query(f"with {{pixc}}, e as (select *, min(illumination_time) over (partition by cycle_number) as t0 from pixc where azimuth_index=0 or azimuth_index=95) select {KEYS} from e where illumination_time-t0<=86400")
+def s3_edge_scan_all(spark, sf_dir):
+    return R.edge_scan(X.pixc(spark, sf_dir).where("azimuth_index in (0, 95)"), ["cycle_number"]).select(*KEY)

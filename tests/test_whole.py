@@ -7,7 +7,7 @@ from conftest import SF_DIR, same
 
 from mereflow import fixtures
 from mereflow.operators import labels
-from mereflow.plans import geometry_queries, grid_queries, product_queries
+from mereflow.plans import cycle_queries, geometry_queries, grid_queries, product_queries
 
 MORE = "/root/testdata/sf0.01"
 TILES = ["j6_points_in_polygons", "j7_j8_pixel_lakes", "j13_exempt_objects", "g1_g2_g11_mask_rings", "g14_boundary_cells", "g8_g9_dilate", "a25_j20_ring_elevation", "a32_coverage", "g7_r7_clip_cells", "g13_g1_ordered_rings", "u7_combined_cloud"]
@@ -86,3 +86,15 @@ def test_kmeans_grows_and_settles(spark):
     found = product_queries.QUERIES["c4_height_kmeans_all"](spark, SF_DIR).collect()
     assert {(r.tile_number, r.range_index, r.azimuth_index): r.cluster for r in found} == want
     assert max(want.values()) > 3
+
+
+@pytest.mark.parametrize("module,name", [(product_queries, "s3_edge_scan"), (cycle_queries, "x7_great_circle"), (cycle_queries, "j21_nearest_date")])
+def test_no_row_left_out(spark, more, module, name):
+    got = module.QUERIES[f"{name}_all"](spark, MORE)
+    same(got, more, module.ORACLE[f"{name}_all"])
+    if name == "s3_edge_scan":
+        assert got.select("tile_number").distinct().count() == 16
+    elif name == "x7_great_circle":
+        assert got.count() == more.execute("select count(*) from customer").fetchone()[0] and got.where("d = 0").count() > 0
+    else:
+        assert got.where("day(nearest) <> 15").count() > 0
