@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from mereflow import scratch
 from mereflow.llm.common import ascii_lower
 
-#: Levels of the tree; deeper segments of a path are one branch.
-DEPTH = 4
 #: A node's segments are variable from this many different ones, seen less than RECUR times each on average.
 VARIED, RECUR = 8, 4.0
 #: Labelled pages that a branch needs before it can differ from its siblings, and the normal score at which it does.
@@ -24,8 +22,8 @@ LEAST_LABELS, DIFFERS = 5, 1.96
 #: The smoothing counts as so many labels, half of them bad: a template without labels is at 0.5.
 STRENGTH = 10.0
 REJECT = 0.5
-#: Branches of variable segments, similar labelled ones, those of too few labels, and all that is deeper.
-WILD, MERGED, UNKNOWN, REST = "*", "~", "~?", "**"
+#: Branches of variable segments, similar labelled ones, and those of too few labels.
+WILD, MERGED, UNKNOWN = "*", "~", "~?"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -46,26 +44,30 @@ def rule_of(host: Column, path: Column, rules: list[str]) -> Column:
     return out
 
 
-def _segment(path: Column, level: int) -> Column:
+def _rest(path: Column, level: int) -> Column:
+    """Segments from ``level`` on, digits levelled; empty where the path has none."""
     parts = F.split(F.regexp_replace(path, "^/", ""), "/")
-    own = F.get(parts, F.lit(level))
-    deeper = F.size(parts) > level
-    return F.when(~deeper, None).when(F.lit(level == DEPTH), F.lit(REST)).otherwise(F.regexp_replace(own, "[0-9]+", "#"))
+    return F.transform(F.slice(parts, level + 1, F.greatest(F.size(parts) - level, F.lit(0))), lambda p: F.regexp_replace(p, "[0-9]+", "#"))
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, path, template, purity): every distinct path of ``pages`` (host, path, bad, good) with its template.
 
     ``bad`` and ``good`` are 1 for pages labelled so, else 0. ``purity`` is the smoothed share of bad
-    labels below the template; 0.5 is the middle of all, as without any label.
+    labels below the template; 0.5 is the middle of all, as without any label. The tree grows until no path
+    has a further segment; a path that is alone below a node has no siblings and is written out at once.
     """
     paths = pages.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    paths = scratch.save(paths.withColumn("template", F.lit("")), "paths")
-    for level in range(DEPTH + 1):
-        own = paths.withColumn("seg", _segment(F.col("path"), level))
-        nodes = own.where("seg is not null").groupBy("host", "template", "seg").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    paths = scratch.save(paths.withColumns({"template": F.lit(""), "whole": F.lit(False)}), "paths")
+    level = 0
+    while True:
+        own = paths.withColumn("seg", F.when(~F.col("whole"), F.get(_rest(F.col("path"), level), F.lit(0))))
+        nodes = own.where("seg is not null").groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("paths"), F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         nodes = scratch.save(nodes, "nodes")
-        node = nodes.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good"))
+        if nodes.isEmpty():
+            scratch.drop(nodes)
+            break
+        node = nodes.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("paths").alias("all_paths"), F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good"))
         joined = nodes.join(node, ["host", "template"])
         share = F.col("all_bad") / (F.col("all_bad") + F.col("all_good"))
         labels = F.col("bad") + F.col("good")
@@ -73,13 +75,16 @@ def templates(pages: DataFrame) -> DataFrame:
         differs = (labels >= LEAST_LABELS) & (score > DIFFERS)
         variable = (F.col("kinds") >= VARIED) & (F.col("all_n") < RECUR * F.col("kinds"))
         name = F.when(variable, WILD).when(F.col("kinds") == 1, F.col("seg")).when(labels < LEAST_LABELS, UNKNOWN).when(F.coalesce(differs, F.lit(False)), F.col("seg")).otherwise(MERGED)
-        branch = joined.select("host", "template", "seg", name.alias("branch"))
+        branch = joined.select("host", "template", "seg", name.alias("branch"), (F.col("all_paths") == 1).alias("alone"))
         grown = own.join(branch, ["host", "template", "seg"], "left")
-        grown = grown.withColumn("template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "branch")))
-        nxt = scratch.save(grown.select("host", "path", "n", "bad", "good", "template"), "paths")
+        ahead = F.when(F.col("alone"), F.array_join(_rest(F.col("path"), level), "/")).otherwise(F.col("branch"))
+        whole = F.col("branch").isNull() | F.col("alone")
+        grown = grown.withColumn("template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), ahead)))
+        nxt = scratch.save(grown.select("host", "path", "n", "bad", "good", "template", whole.alias("whole")), "paths")
         scratch.drop(paths)
         scratch.drop(nodes)
         paths = nxt
+        level += 1
     sums = paths.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     purity = sums.select("host", "template", ((F.col("bad") + STRENGTH / 2) / (F.col("bad") + F.col("good") + STRENGTH)).alias("purity"))
     return paths.select("host", "path", "template").join(purity, ["host", "template"])
