@@ -7,36 +7,38 @@ from pyspark.sql import functions as F
 
 from mereflow import scratch
 
+#: Times that a round's pointers are doubled; what still points on is left to the next round.
+DOUBLINGS = 2
+
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with an edge; ``root`` is the smallest node id of its component.
 
-    Each round hooks every node to its smallest neighbour, follows the pointers to their ends by
-    doubling, and contracts the edges, so the edge table shrinks at least by half per round. Rounds
-    are written to the shared folder. Edges with a null end are ignored, self loops give a
-    component of one, repeated edges count once.
+    Each round hooks every node to its smallest neighbour, doubles the pointers a fixed number of times
+    and contracts the edges along them, so the edge table shrinks at least by half per round. Rounds
+    are written to the shared folder. Nodes are of any type that has an order. Edges with a null end
+    are ignored, self loops give a component of one, repeated edges count once.
     """
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     e = scratch.save(e.union(e.select("b", "a")).distinct(), "edges")
     labels = scratch.save(e.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("root")), "labels")
     while True:
         live = e.where("a <> b")
-        up = scratch.save(live.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("p")), "up")
+        hooked = live.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("p"))
+        up = scratch.save(hooked, "up")
         if up.isEmpty():
-            break
-        while True:
-            q = up.select(F.col("n").alias("n2"), F.col("p").alias("p2"))
-            nxt = scratch.save(up.join(q, up.p == q.n2, "left").select("n", F.coalesce("p2", "p").alias("p"), (F.coalesce("p2", "p") < F.col("p")).alias("moved")), "up")
-            done = nxt.where("moved").isEmpty()
             scratch.drop(up)
-            up = nxt.drop("moved")
-            up._scratch_path = nxt._scratch_path
-            if done:
-                break
-        ua, ub = up.select(F.col("n").alias("a"), F.col("p").alias("pa")), up.select(F.col("n").alias("b"), F.col("p").alias("pb"))
+            break
+        far = up
+        for _ in range(DOUBLINGS):
+            q = far.select(F.col("n").alias("n2"), F.col("p").alias("p2"))
+            far = far.join(q, far.p == q.n2, "left").select("n", F.coalesce("p2", "p").alias("p"))
+        far = scratch.save(far, "up")
+        scratch.drop(up)
+        ua, ub = far.select(F.col("n").alias("a"), F.col("p").alias("pa")), far.select(F.col("n").alias("b"), F.col("p").alias("pb"))
         e2 = scratch.save(live.join(ua, "a").join(ub, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b")).where("a <> b").distinct(), "edges")
-        l2 = scratch.save(labels.join(up, labels.root == up.n, "left").select("node", F.coalesce("p", "root").alias("root")), "labels")
-        for old in (e, labels, up):
+        l2 = scratch.save(labels.join(far, labels.root == far.n, "left").select("node", F.coalesce("p", "root").alias("root")), "labels")
+        for old in (e, labels, far):
             scratch.drop(old)
         e, labels = e2, l2
     scratch.drop(e)

@@ -11,11 +11,20 @@ _own: dict[str, str] = {}
 
 
 def folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder of our own only where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
+    """The cluster's ``spark.checkpoint.dir``, else the folder that ``SparkContext.setCheckpointDir`` was given.
+
+    Where neither is set, a temporary folder of our own, which only a master in this process can share;
+    on any other master that is an error.
+    """
+    context = spark.sparkContext
+    if named := spark.conf.get("spark.checkpoint.dir", None):
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
+    given = context._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get().rstrip("/")
+    if not context.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = context.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return _own[app]
@@ -25,10 +34,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/mereflow-{name}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    disk = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if at_exit:
+        disk.deleteOnExit(hadoop)
+    else:
+        disk.delete(hadoop, True)
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage is cut and lost executors lose nothing."""
+    """Write ``df`` to the shared folder and read it back: lineage is cut and lost executors lose nothing.
+
+    The table goes with the driver's process; :func:`drop` deletes it earlier.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    _delete(spark, path, at_exit=True)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
@@ -37,5 +59,4 @@ def save(df: DataFrame, name: str) -> DataFrame:
 def drop(df: DataFrame) -> None:
     """Delete a table that :func:`save` wrote and nothing reads any more."""
     if path := getattr(df, "_scratch_path", None):
-        hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        _delete(df.sparkSession, path)
