@@ -34,3 +34,22 @@ def id_fold(column: str, folds: int) -> Column:
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a batch; null counts as empty."""
     return [x if x is not None else "" for x in batch.column(column).to_pylist()]
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, n: str) -> DataFrame:
+    """Inner join of ``left`` with ``right``, whose ``key`` is unique and whose column ``n`` counts the left rows of each key.
+
+    Keys that hold more than a quarter of a partition's fair share would weigh on one task; there are at most four per
+    partition, so their right rows are broadcast, and only the other keys are shuffled. ``n`` is not returned.
+    """
+    spark = left.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    total = right.agg(F.sum(n)).first()[0] or 0
+    most = max(64, total / (4 * parts))
+    hot = [r[key] for r in right.where(F.col(n) > most).select(key).collect()]  # at most 4 x parts keys
+    cold = left.join(right.drop(n), key)
+    if not hot:
+        return cold
+    some = F.col(key).isin(hot)
+    warm = left.where(some).join(F.broadcast(right.where(some).drop(n)), key)
+    return left.where(~some).join(right.where(~some).drop(n), key).unionByName(warm)

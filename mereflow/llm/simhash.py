@@ -4,6 +4,7 @@ Two 64-bit fingerprints that differ in at most four bits agree up to one bit in
 segments. Every distinct fingerprint is indexed under its segments with one bit struck out, equal
 keys are joined, and the join itself verifies the distance. Segments of 21 or 22 bits keep the
 chance groups at a millionth of the fingerprints; five exact segments would have to do with 12 bits.
+Keys that very many fingerprints share go on to variants of the whole fingerprint.
 """
 
 from __future__ import annotations
@@ -12,18 +13,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mereflow import scratch
-from mereflow.llm.common import arrow_rows
+from mereflow.llm.common import arrow_rows, join_hot
 from mereflow.llm.xxh import xxh64
 from mereflow.operators.components import connected_components
 
 #: (first bit, bits) of the three segments.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 CHUNK_BYTES = 2 << 20
-#: Groups of distinct fingerprints under one key above this size take the neighbour way instead.
+#: Keys of more distinct fingerprints than this go on to variants of the whole fingerprint.
 DENSE = 1024
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -73,7 +74,7 @@ def fingerprints_of(texts: list[bytes], size: int = 4) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every whole text; null and wordless texts have fingerprint 0."""
+    """(doc_id, h, fp) of every whole text; ``h`` is a hash of the text. Null and wordless texts have fingerprint 0."""
     arrow_rows(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,19 +86,22 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
                 if held >= CHUNK_BYTES or i == len(texts) - 1:
                     fps.append(fingerprints_of(texts[a : i + 1], shingle))
                     a, held = i + 1, 0
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(fps).astype(np.int64) if fps else [], pa.int64())], names=["doc_id", "fp"])
+            fp = pa.array(np.concatenate(fps).astype(np.int64) if fps else [], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), fp], names=["doc_id", "h", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    return own.mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def _variants(fps: DataFrame) -> DataFrame:
-    """(fp, key): a key for each segment and struck-out bit, which go into its upper half."""
+    """The columns of ``fps`` and ``key``: a key for each segment and struck-out bit, which go into its upper half."""
     keys = [
         (F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit(((1 << n) - 1) & ~(1 << j)))).bitwiseOR(F.lit((s * 32 + j) << 32))
         for s, (lo, n) in enumerate(SEGMENTS)
         for j in range(n)
     ]
-    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+    return fps.withColumn("key", F.explode(F.array(*keys)))
 
 
 def _signed(x: int) -> int:
@@ -115,44 +119,71 @@ def _first_key(differs: Column) -> Column:
     return none
 
 
-def _neighbours(fps: DataFrame) -> DataFrame:
-    """(a, b) with b each value within two bits of a: fingerprints within four bits share such a value."""
+def _around(fps: DataFrame, radius: int, inner: int) -> DataFrame:
+    """(node, v, inside) with v each value within ``radius`` bits of the node's fingerprint; ``inside`` if within ``inner`` bits."""
     one = [1 << i for i in range(64)]
     masks = np.array([0, *one, *(one[i] | one[j] for i in range(64) for j in range(i))], np.uint64)
+    masks = masks[np.bitwise_count(masks) <= radius]
+    near = np.bitwise_count(masks) <= inner
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column("fp").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(fp, len(masks))), pa.array((fp.astype(np.uint64)[:, None] ^ masks).ravel().astype(np.int64))], names=["a", "b"])
+            node = batch.column("node").take(pa.array(np.repeat(np.arange(len(fp)), len(masks))))
+            values = (fp.astype(np.uint64)[:, None] ^ masks).ravel().astype(np.int64)
+            yield pa.RecordBatch.from_arrays([node, pa.array(values), pa.array(np.tile(near, len(fp)))], names=["node", "v", "inside"])
 
     arrow_rows(fps.sparkSession)
-    shared = fps.mapInArrow(run, "a long, b long")
-    return shared.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("b"))).where("n > 1").select("a", "b")
+    return fps.mapInArrow(run, f"node {fps.schema['node'].dataType.simpleString()}, v long, inside boolean")
+
+
+def _linked_around(crowd: DataFrame, bits: int) -> DataFrame:
+    """Edges (a, b) that connect what differs in at most ``bits`` bits, through the values between.
+
+    Two fingerprints differ in at most that many bits exactly if a value lies within half of them, rounded up, of the
+    one and rounded down of the other; all that lie around such a value with an inner one are one component.
+    """
+    about = _around(crowd, -(-bits // 2), bits // 2)
+    heads = about.groupBy("v").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some")
+    return about.join(heads.select("v", "head"), "v").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
 
 
 def links(fps: DataFrame, bits: int = 4, dense: int = DENSE) -> DataFrame:
-    """Edges (a, b) whose components are those of "differ in at most ``bits`` bits", for bits up to 4.
+    """Edges (a, b) of nodes whose components are those of "fingerprints differ in at most ``bits`` bits", for bits up to 4.
 
-    ``fps`` holds distinct fingerprints. Keys that hold over ``dense`` of them, and over 16 times what
-    chance would put there, are not joined; the fingerprints in them are linked through the values
-    within two bits instead (a value two of them share lies within two bits of both), so a dense group costs rows
-    in proportion to its size and no link is lost.
+    ``fps`` has columns node, of any type with an order, and fp, distinct. Keys that hold over ``dense``
+    fingerprints, and over 16 times what chance would put there, are not joined; the fingerprints in
+    them go on to variants of the whole fingerprint, so that a dense group costs rows in
+    proportion to its size and no link is lost.
     """
     if not 0 <= bits <= 4:
         raise ValueError("three segments hold for up to four bits")
     most = max(dense, 16 * fps.count() >> 20)
-    sized = _variants(fps).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    few = sized.where(F.col("n").between(2, most)).drop("n")
-    other = few.select(F.col("fp").alias("fp2"), F.col("key").alias("key2"))
+    variants = _variants(fps.select("node", "fp"))
+    sizes = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = scratch.save(variants.join(sizes, "key"), "shared-keys")
+    few = shared.where(F.col("n") <= most).drop("n")
+    other = few.select(F.col("node").alias("node2"), F.col("fp").alias("fp2"), F.col("key").alias("key2"))
     differs = F.col("fp").bitwiseXOR(F.col("fp2"))
     near = (F.bit_count(differs) <= bits) & _first_key(differs)
-    pairs = few.join(other, (F.col("key") == F.col("key2")) & (F.col("fp") < F.col("fp2")) & near).select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
-    crowd = scratch.save(sized.where(F.col("n") > most).select("fp").distinct(), "crowd")
-    if crowd.isEmpty():
-        return pairs
-    if bits < 4:
-        raise ValueError("dense groups are linked for four bits only")
-    return pairs.union(_neighbours(crowd))
+    pairs = few.join(other, (F.col("key") == F.col("key2")) & (F.col("fp") < F.col("fp2")) & near).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    crowd = scratch.save(shared.where(F.col("n") > most).select("node", "fp").distinct(), "crowd")
+    return pairs if crowd.isEmpty() else pairs.union(_linked_around(crowd, bits))
+
+
+def _rooted(docs: DataFrame, bits: int, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, h, fp) of every row; and (fp, n, root) of every fingerprint with the smallest row of its component.
+
+    A node is its fingerprint's smallest row (none, doc_id, h), rows without an id last, and the fingerprint itself;
+    so the component's smallest node already names its row, and nothing meets at the component.
+    """
+    fp = scratch.save(fingerprints(docs, shingle, id_col, text_col), "simhash")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    own = fp.groupBy("fp").agg(F.min(row).alias("m"), F.count(F.lit(1)).alias("n"))
+    own = scratch.save(own.select("fp", "n", F.struct("m.none", "m.doc_id", "m.h", "fp").alias("node")), "fps")
+    roots = connected_components(links(own, bits)).select(F.col("node").alias("node_"), "root")
+    named = own.join(roots, F.col("node") == F.col("node_"), "left").select("fp", "n", F.coalesce("root", "node").alias("root"))
+    return fp, scratch.save(named, "rooted")
 
 
 def groups(docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,21 +194,19 @@ def groups(docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_
     Repeated rows give a row each; a null doc_id is never a component_id unless its whole group has none.
     Other columns are left out.
     """
-    fp = scratch.save(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    own = scratch.save(fp.groupBy("fp").agg(F.min("doc_id").alias("m")), "fps")
-    roots = connected_components(links(own.select("fp"), bits))
-    named = own.join(roots, own.fp == roots.node, "left").select("fp", "m", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("m").alias("component_id"))
-    by_fp = named.join(least, "root").select(F.col("fp").alias("fp_"), "component_id")
-    return fp.join(by_fp, fp.fp == by_fp.fp_).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    fp, rooted = _rooted(docs, bits, shingle, id_col, text_col)
+    named = join_hot(fp, rooted.select("fp", "n", F.col("root.doc_id").alias("component_id")), "fp", "n")
+    return named.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def dedup(docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the document of smallest id of each near-duplicate group, all columns kept.
+    """``docs`` with one row of each near-duplicate group, all columns kept: that of smallest id.
 
-    Of rows that repeat a kept id one stays; rows without an id stay only where their group has no id.
+    Rows that share this id and their text count as one, of which any stays; of different texts under it, one
+    stays by a fixed order of the texts' hashes. A row without an id stays only where its group has no id.
     """
-    keep = groups(docs, bits, shingle, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    found = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["__kept"]), "left_semi")
-    one = Window.partitionBy(id_col).orderBy(id_col)
-    return found.withColumn("__r", F.row_number().over(one)).where("__r = 1").drop("__r")
+    _, rooted = _rooted(docs, bits, shingle, id_col, text_col)
+    keep = rooted.select(F.col("root.doc_id").alias("__id"), F.col("root.h").alias("__h")).distinct()
+    own = docs.withColumns({"__i": F.col(id_col).cast("long"), "__t": F.xxhash64(F.col(text_col).cast("string"))})
+    found = own.join(keep, own["__i"].eqNullSafe(keep["__id"]) & (own["__t"] == keep["__h"]), "left_semi")
+    return found.dropDuplicates(["__i", "__t"]).drop("__i", "__t")

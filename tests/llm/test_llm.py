@@ -52,7 +52,7 @@ def fingerprint(text):
     return sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
 
 
-def linked(fps):
+def linked(fps, bits=4):
     root = {i: i for i in fps}
 
     def find(i):
@@ -62,7 +62,7 @@ def linked(fps):
 
     for a in fps:
         for b in fps:
-            if a < b and (fps[a] ^ fps[b]).bit_count() <= 4:
+            if a < b and (fps[a] ^ fps[b]).bit_count() <= bits:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: find(i) for i in fps}
@@ -79,21 +79,34 @@ def test_simhash(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and "lang" in kept.columns
 
 
-def test_simhash_dense_groups_keep_all_links(spark):
+@pytest.mark.parametrize("bits", [0, 1, 2, 3, 4])
+def test_simhash_dense_groups_keep_all_links(spark, bits):
+    from mereflow.operators.components import connected_components
+
     rng = random.Random(5)
     base = rng.getrandbits(64)
     fps = {base ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(5))) for _ in range(60)} | {rng.getrandbits(64) for _ in range(30)}
+    fps |= {f ^ (1 << 7) for f in list(fps)[:20]}
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    df = spark.createDataFrame([(f,) for f in signed], "fp long")
-    want = linked({f: f % (1 << 64) for f in signed})
+    df = spark.createDataFrame([(f, f) for f in signed], "node long, fp long")
+    want = linked({f: f % (1 << 64) for f in signed}, bits)
     for dense in (1024, 2):
-        from mereflow.operators.components import connected_components
-
-        got = {r.node: r.root for r in connected_components(simhash.links(df, dense=dense)).collect()}
+        got = {r.node: r.root for r in connected_components(simhash.links(df, bits, dense)).collect()}
         sets = lambda of: {frozenset(x for x in signed if of(x) == r) for r in {of(x) for x in signed}}
         assert sets(lambda x: got.get(x, x)) == sets(lambda x: want[x])
 
 
+def test_simhash_of_repeated_ids_and_long_texts(spark):
+    long = " ".join(f"w{k % 5000} x{k}" for k in range(300_000))  # over a chunk of 2 MB
+    rows = [(3, "one two three four five"), (3, "other words stand here instead of them"), (1, long), (2, long), (None, "one two three four five"), (None, "alone without any id at all"), (None, "alone without any id at all")]
+    got = sorted((r.doc_id or 0, r.fingerprint, r.component_id or 0) for r in simhash.groups(docs_frame(spark, rows)).collect())
+    own = [f"{fingerprint(t):016x}" for _, t in rows]
+    assert got == sorted([(3, own[0], 3), (3, own[1], 3), (1, own[2], 1), (2, own[2], 1), (0, own[0], 3), (0, own[5], 0), (0, own[5], 0)])
+    kept = sorted((r.doc_id or 0, r.text) for r in simhash.dedup(docs_frame(spark, rows)).collect())
+    assert kept == sorted([(3, rows[0][1]), (3, rows[1][1]), (1, long), (0, rows[5][1])])
+    assert simhash.dedup(docs_frame(spark, [])).count() == 0
+
+
 def test_suffixes(spark):
     rng = random.Random(3)
     base = "".join(rng.choice("abcdefgh \u00e9\u00df") for _ in range(2000))
