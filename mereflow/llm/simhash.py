@@ -94,14 +94,29 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     return own.mapInArrow(run, "doc_id long, h long, fp long")
 
 
-def _variants(fps: DataFrame) -> DataFrame:
-    """The columns of ``fps`` and ``key``: a key for each segment and struck-out bit, which go into its upper half."""
-    keys = [
-        (F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit(((1 << n) - 1) & ~(1 << j)))).bitwiseOR(F.lit((s * 32 + j) << 32))
-        for s, (lo, n) in enumerate(SEGMENTS)
-        for j in range(n)
-    ]
-    return fps.withColumn("key", F.explode(F.array(*keys)))
+def _keys(fp: str) -> Column:
+    """A key for each segment and struck-out bit, which go into its upper half."""
+    return F.array(
+        *(
+            (F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit(((1 << n) - 1) & ~(1 << j)))).bitwiseOR(F.lit((s * 32 + j) << 32))
+            for s, (lo, n) in enumerate(SEGMENTS)
+            for j in range(n)
+        )
+    )
+
+
+def _crowded(fps: DataFrame, most: int) -> DataFrame:
+    """Keys of the segments' values that over half of ``most`` fingerprints have: among them are all that over ``most`` share.
+
+    A struck-out bit makes one key of two values, so three values of a fingerprint are counted instead of its 64 keys.
+    """
+    values = F.array(*(F.struct(F.lit(s).alias("s"), F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << n) - 1)).alias("v")) for s, (lo, n) in enumerate(SEGMENTS)))
+    heavy = fps.select(F.explode(values).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most // 2)
+    back = F.lit(None).cast("long")
+    for s, (lo, _) in enumerate(SEGMENTS):
+        back = F.when(F.col("x.s") == s, F.shiftleft("x.v", lo)).otherwise(back)
+    own = heavy.select("x.s", back.alias("fp"))
+    return own.select(F.explode(F.filter(_keys("fp"), lambda k: F.shiftright(k, 37) == F.col("s"))).alias("key")).distinct()
 
 
 def _signed(x: int) -> int:
@@ -159,16 +174,20 @@ def links(fps: DataFrame, bits: int = 4, dense: int = DENSE) -> DataFrame:
     if not 0 <= bits <= 4:
         raise ValueError("three segments hold for up to four bits")
     most = max(dense, 16 * fps.count() >> 20)
-    variants = _variants(fps.select("node", "fp"))
-    sizes = variants.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = scratch.save(variants.join(sizes, "key"), "shared-keys")
-    few = shared.where(F.col("n") <= most).drop("n")
-    other = few.select(F.col("node").alias("node2"), F.col("fp").alias("fp2"), F.col("key").alias("key2"))
+    variants = fps.select("fp", F.explode(_keys("fp")).alias("key"))
+    crowded = scratch.save(_crowded(fps, most), "crowded")
+    some = not crowded.isEmpty()
+    few = variants.join(crowded, "key", "left_anti") if some else variants
+    other = few.select(F.col("fp").alias("fp2"), F.col("key").alias("key2"))
     differs = F.col("fp").bitwiseXOR(F.col("fp2"))
     near = (F.bit_count(differs) <= bits) & _first_key(differs)
-    pairs = few.join(other, (F.col("key") == F.col("key2")) & (F.col("fp") < F.col("fp2")) & near).select(F.col("node").alias("a"), F.col("node2").alias("b"))
-    crowd = scratch.save(shared.where(F.col("n") > most).select("node", "fp").distinct(), "crowd")
-    return pairs if crowd.isEmpty() else pairs.union(_linked_around(crowd, bits))
+    pairs = few.join(other, (F.col("key") == F.col("key2")) & (F.col("fp") < F.col("fp2")) & near).select("fp", "fp2")
+    pairs = scratch.save(pairs, "pairs")
+    edges = pairs.join(fps.select("fp", F.col("node").alias("a")), "fp").join(fps.select(F.col("fp").alias("fp2"), F.col("node").alias("b")), "fp2").select("a", "b")
+    if not some:
+        return edges
+    crowd = fps.join(variants.join(crowded, "key", "left_semi").select("fp").distinct(), "fp").select("node", "fp")
+    return edges.union(_linked_around(scratch.save(crowd, "crowd"), bits))
 
 
 def _rooted(docs: DataFrame, bits: int, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
