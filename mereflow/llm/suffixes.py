@@ -95,25 +95,31 @@ def _joined(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return doc[first], start[first], far[last] - number[last] * lift
 
 
-def _first(keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the earliest of each key, and of those that have an earlier one."""
-    order = np.lexsort((at, doc, *keys))
+def _first(keys: tuple[np.ndarray, ...], doc: np.ndarray, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of those of each key that no other comes before, and of those that have an earlier one.
+
+    Earlier is: of a smaller doc, or of the same doc and h and at a smaller place.
+    """
+    order = np.lexsort((at, h, doc, *keys))
     same = np.ones(max(0, len(order) - 1), bool)
     for k in keys:
         same &= k[order][1:] == k[order][:-1]
     lead = np.concatenate([[True], ~same])[: len(order)]
-    head = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
-    later = (doc[order] != doc[head]) | (at[order] != at[head])
-    return order[lead], order[~lead & later]
+    text = np.concatenate([[True], ~same | (doc[order][1:] != doc[order][:-1]) | (h[order][1:] != h[order][:-1])])[: len(order)]
+    head, own = (order[np.maximum.accumulate(np.where(x, np.arange(len(order)), 0))] for x in (lead, text))
+    later = (doc[order] != doc[head]) | (at[order] != at[own])
+    return order[text & ~later], order[later]
 
 
-#: q: bucket by Q bytes; c: bucket by all that a run of strings spans, its lowest byte the run's length less one; doc; lo:
-#: the run's first byte. Where lo < 0 the row is a repeat from byte -lo - 1 on of c + 1 strings.
-_SAMPLED = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64())])
-_KINDS = "q long, c long, doc long, lo long"
+#: q: bucket by Q bytes; c: bucket by all that a run of strings spans, its lowest byte the run's length less one; doc and h:
+#: the row of the text; lo: the run's first byte. Where lo < 0 the row is a repeat from byte -lo - 1 on of c + 1 strings.
+_SAMPLED = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("h", pa.int64()), ("lo", pa.int64())])
+_KINDS = "q long, c long, doc long, h long, lo long"
 _BYTE_MASK = np.uint64(255)
-#: Contested buckets of up to so many different contexts are refined within one task, larger ones string by string.
+#: Contested buckets of up to so many different contexts are refined within one task, larger ones string by string; the spans are the same.
 SMALL = 4096
+#: Slots of fewer rows never weigh on a task.
+LIGHT = 256
 
 
 def _rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -126,8 +132,8 @@ def _sample(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            for lot in _pieces([x or b"" for x in batch.column(1).cast(pa.binary()).to_pylist()], length):
+            keys, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("doc", "h"))
+            for lot in _pieces([x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()], length):
                 ids = _buckets(np.frombuffer(b"".join(p for _, _, p in lot), np.uint8))
                 low = (ids & ~_INDEX) | np.arange(len(ids), dtype=np.uint64)
                 step = 1
@@ -150,20 +156,23 @@ def _sample(length: int):
                 span = hi - lo + length
                 q = ids[x]
                 c = (_mix(_deeper(ids, lo, span), (x - lo).astype(np.uint64), 11) & ~_BYTE_MASK) | (hi - lo).astype(np.uint64)
-                doc = keys[np.array([k for k, _, _ in lot])][own]
+                text = np.array([k for k, _, _ in lot])[own]
+                doc, h = keys[text], hashes[text]
                 shift = np.array([a for _, a, _ in lot])[own] - begins[own]
                 lo, hi = lo + shift, hi + shift
-                keep, drop = _first((c, q), doc, lo)
-                yield _rows(_SAMPLED, q[keep], c[keep], doc[keep], lo[keep])
-                yield from _repeats(doc[drop], lo[drop], hi[drop] + length, length)
+                keep, drop = _first((c, q), doc, h, lo)
+                yield _rows(_SAMPLED, q[keep], c[keep], doc[keep], h[keep], lo[keep])
+                yield from _repeats(doc[drop], h[drop], lo[drop], hi[drop] + length, length)
 
     return run
 
 
-def _repeats(doc: np.ndarray, start: np.ndarray, end: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
-    d, s, e = _joined(doc, start, end)
-    if len(d):
-        yield _rows(_SAMPLED, d, e - s - length, d, -s - 1)
+def _repeats(doc: np.ndarray, h: np.ndarray, start: np.ndarray, end: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
+    rows, first, text = np.unique(np.column_stack([doc, h]), axis=0, return_index=True, return_inverse=True) if len(doc) else (doc, doc, doc)
+    k, s, e = _joined(text.ravel(), start, end)
+    if len(k):
+        d, h = rows[k, 0], rows[k, 1]
+        yield _rows(_SAMPLED, d, e - s - length, d, h, -s - 1)
 
 
 def _contexts(length: int):
@@ -171,45 +180,44 @@ def _contexts(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q, doc, lo, raw = [], [], [], []
-            for d, text, runs in zip(batch.column("doc").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("at").to_pylist()):
+            q, doc, hs, lo, raw = [], [], [], [], []
+            for d, h, text, runs in zip(*(batch.column(k).to_pylist() for k in ("doc", "h")), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("at").to_pylist()):
                 for r in runs:
-                    part = (text or b"")[r["lo"] : r["lo"] + r["n"] + length]
-                    if len(part) == r["n"] + length:  # another row of the same id may be shorter
-                        q.append(r["q"])
-                        doc.append(d)
-                        lo.append(r["lo"])
-                        raw.append(part)
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(doc, pa.int64()), pa.array(lo, pa.int64()), pa.array(raw, pa.binary())], names=["q", "doc", "lo", "raw"])
+                    q.append(r["q"])
+                    doc.append(d)
+                    hs.append(h)
+                    lo.append(r["lo"])
+                    raw.append(text[r["lo"] : r["lo"] + r["n"] + length])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (q, doc, hs, lo)), pa.array(raw, pa.binary())], names=["q", "doc", "h", "lo", "raw"])
 
     return run
 
 
-def _spell(q, doc, lo, raw: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """(q, bucket by ``length`` bytes, doc, first byte) of every string of the runs."""
+def _spell(q, doc, h, lo, raw: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """(q, bucket by ``length`` bytes, doc, h, first byte) of every string of the runs."""
     ids = _buckets(np.frombuffer(b"".join(raw), np.uint8))
     sizes = np.array([len(r) for r in raw])
     n = sizes - length + 1
     total = np.cumsum(n)
     step = np.arange(total[-1]) - np.repeat(total - n, n)
     at = np.repeat(np.cumsum(sizes) - sizes, n) + step
-    return np.repeat(q, n), _deeper(ids, at, length), np.repeat(doc, n), np.repeat(lo, n) + step
+    return np.repeat(q, n), _deeper(ids, at, length), np.repeat(doc, n), np.repeat(h, n), np.repeat(lo, n) + step
 
 
 def _refine_within(length: int):
     """Runs sorted by q, whole buckets at a time, to repeats."""
 
     def settle(rows):
-        q, c, doc, at = _spell(*(np.concatenate([r[k] for r in rows]) for k in range(3)), [x for r in rows for x in r[3]], length)
-        _, drop = _first((c, q), doc, at)
-        yield from _repeats(doc[drop], at[drop], at[drop] + length, length)
+        q, c, doc, h, at = _spell(*(np.concatenate([r[k] for r in rows]) for k in range(4)), [x for r in rows for x in r[4]], length)
+        _, drop = _first((c, q), doc, h, at)
+        yield from _repeats(doc[drop], h[drop], at[drop], at[drop] + length, length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in ("q", "doc", "lo")) + (batch.column("raw").to_pylist(),)
+            new = tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in ("q", "doc", "h", "lo")) + (batch.column("raw").to_pylist(),)
             done = int(np.flatnonzero(np.concatenate([[True], new[0][1:] != new[0][:-1]]))[-1])  # the last bucket may go on
             if held and (done or held[-1][0][-1] != new[0][0]):
                 own = [*held, tuple(x[:done] for x in new)] if done else held
@@ -233,11 +241,11 @@ def _refine_apart(length: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            q, c, doc, at = _spell(*(batch.column(k).to_numpy(zero_copy_only=False) for k in ("q", "doc", "lo")), batch.column("raw").to_pylist(), length)
+            q, c, doc, h, at = _spell(*(batch.column(k).to_numpy(zero_copy_only=False) for k in ("q", "doc", "h", "lo")), batch.column("raw").to_pylist(), length)
             c = c & ~_BYTE_MASK
-            keep, drop = _first((c, q), doc, at)
-            yield _rows(_SAMPLED, q[keep], c[keep], doc[keep], at[keep])
-            yield from _repeats(doc[drop], at[drop], at[drop] + length, length)
+            keep, drop = _first((c, q), doc, h, at)
+            yield _rows(_SAMPLED, q[keep], c[keep], doc[keep], h[keep], at[keep])
+            yield from _repeats(doc[drop], h[drop], at[drop], at[drop] + length, length)
 
     return run
 
@@ -246,7 +254,7 @@ def _refine_apart(length: int):
 SLOTS = 1 << 16
 
 
-def _crowded(rows: DataFrame, small: int) -> Column | None:
+def _crowded(rows: DataFrame, least: int) -> Column | None:
     """c where the bucket is in a slot of so many rows that it would weigh on its task, else null; None if there is no such slot.
 
     A crowded slot holds over a quarter of a task's fair share, so there are at most four per task.
@@ -255,7 +263,7 @@ def _crowded(rows: DataFrame, small: int) -> Column | None:
     slot = F.pmod(F.col("q"), F.lit(SLOTS))
     counts = scratch.save(rows.where("lo >= 0").groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")), "slots")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    most = max(small, total / (4 * parts), 4 * total / SLOTS)
+    most = max(least, total / (4 * parts), 4 * total / SLOTS)
     slots = [r["slot"] for r in counts.where(F.col("n") > most).select("slot").collect()]  # at most 4 x parts numbers
     scratch.drop(counts)
     return F.when(slot.isin(slots), F.col("c")) if slots else None
@@ -266,63 +274,71 @@ def _settle(rows: DataFrame, apart: Column | None, small: int) -> DataFrame:
 
     Buckets of which ``apart`` is not null are dealt by it too; they count as having more than ``small`` rivals.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     by = [F.col("q")] if apart is None else [F.col("q"), apart]
-    in_order = Window.partitionBy(*by).orderBy("c", "doc", "lo")
+    in_order = Window.partitionBy(*by).orderBy("c", "doc", "h", "lo")
+    changed = lambda *of: F.coalesce(F.lag(F.struct(*of)).over(in_order) != F.struct(*of), F.lit(True))
     own = F.col("lo") >= 0
-    lead = own & F.coalesce(F.lag("c").over(in_order) != F.col("c"), F.lit(True))
-    dealt = rows.repartition(parts, *by).withColumn("lead", lead)
-    head = F.last(F.when(F.col("lead"), F.struct("doc", "lo")), ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    dealt = rows.withColumns({"lead": own & changed("c"), "text": own & changed("c", "doc", "h")})
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    head = lambda mark, c: F.last(F.when(F.col(mark), F.col(c)), ignorenulls=True).over(so_far)
     rivals = F.sum(F.col("lead").cast("int")).over(Window.partitionBy(*by))
     if apart is not None:
         rivals = F.when(apart.isNull(), rivals).otherwise(small + 1)
-    dealt = dealt.withColumn("head", head).withColumn("rivals", rivals)
-    return dealt.withColumn("later", ~own | (F.struct("doc", "lo") != F.col("head"))).drop("head")
+    dealt = dealt.withColumns({"head": head("lead", "doc"), "place": head("text", "lo"), "rivals": rivals})
+    return dealt.withColumn("later", ~own | (F.col("doc") != F.col("head")) | (F.col("lo") != F.col("place"))).drop("head", "place", "lead", "text")
 
 
 def _extent(rows: DataFrame, length: int) -> DataFrame:
-    """(doc, s, e) of rows that are repeats as a whole."""
+    """(doc, h, s, e) of rows that are repeats as a whole."""
     own = F.col("lo") >= 0
     s = F.when(own, F.col("lo")).otherwise(-F.col("lo") - 1)
-    return rows.select("doc", s.alias("s"), (s + F.when(own, F.col("c").bitwiseAND(F.lit(255))).otherwise(F.col("c")) + length).alias("e"))
+    return rows.select("doc", "h", s.alias("s"), (s + F.when(own, F.col("c").bitwiseAND(F.lit(255))).otherwise(F.col("c")) + length).alias("e"))
+
+
+def _rows_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
+    """What tells the rows of ``docs`` apart: the id, the least long for null, and a hash of the text where ids repeat, else 0."""
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    repeated = docs.select(doc.alias("doc")).groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return doc, F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64(F.col(text_col).cast("string"))
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
-    """(doc, spans): per document the byte ranges [s, e) covered by earlier strings of ``length`` bytes, not yet merged.
+    """(doc, h, spans): per row the byte ranges [s, e) covered by earlier strings of ``length`` bytes, not yet merged.
 
-    Earlier is: in a document of smaller id, or in the same one from an earlier byte. ``doc`` is the
-    id, or the least long for a null id, which so counts as the smallest. Rows that repeat an id are
-    one document: copies of a row leave each other alone, spans of any of them hold for all.
+    Earlier is: in a row of smaller id, or in the same row from an earlier byte. ``doc`` is the id, or
+    the least long for a null id, which so counts as the smallest; ``h`` is a hash of the text where ids
+    repeat, else 0. Rows that share an id leave each other alone, whatever their texts.
     """
     if not 64 <= length <= 128:
         raise ValueError("length is from 64 to 128 bytes")
-    spark = docs.sparkSession
-    arrow_rows(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    arrow_rows(docs.sparkSession)
+    doc, h = _rows_of(docs, id_col, text_col)
+    texts = docs.select(doc.alias("doc"), h.alias("h"), F.col(text_col).cast("string").alias("text"))
     contested = ~F.col("later") & (F.col("rivals") > 1)
     suffixes = texts.mapInArrow(_sample(length), _KINDS)
-    sampled = _settle(suffixes, _crowded(suffixes, small), small).where(F.col("later") | contested).select("later", "rivals", *_SAMPLED.names)
+    sampled = _settle(suffixes, _crowded(suffixes, min(small, LIGHT)), small).where(F.col("later") | contested).select("later", "rivals", *_SAMPLED.names)
     first = scratch.save(sampled, "suffixes")
     spans = _extent(first.where("later"), length)
     for apart in (False, True):
         own = first.where(~F.col("later") & ((F.col("rivals") > small) if apart else (F.col("rivals") <= small)))
         if apart and own.isEmpty():
             break
-        runs = own.groupBy("doc").agg(F.collect_list(F.struct("q", "lo", F.col("c").bitwiseAND(F.lit(255)).alias("n"))).alias("at"))
-        raw = texts.join(runs, "doc").select("doc", "text", "at").mapInArrow(_contexts(length), "q long, doc long, lo long, raw binary")
+        runs = own.groupBy("doc", "h").agg(F.collect_list(F.struct("q", "lo", F.col("c").bitwiseAND(F.lit(255)).alias("n"))).alias("at"))
+        raw = texts.join(runs, ["doc", "h"]).select("doc", "h", "text", "at").mapInArrow(_contexts(length), "q long, doc long, h long, lo long, raw binary")
         if apart:
             found = _settle(raw.mapInArrow(_refine_apart(length), _KINDS), F.col("c"), small).where("later")
         else:
-            found = raw.repartition(parts, "q").sortWithinPartitions("q").mapInArrow(_refine_within(length), _KINDS)
+            found = raw.repartition("q").sortWithinPartitions("q").mapInArrow(_refine_within(length), _KINDS)
         spans = spans.union(_extent(found, length))
-    return spans.groupBy("doc").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    return spans.groupBy("doc", "h").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
 def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with a column ``__spans``."""
-    spans = repeated_spans(docs, length, id_col, text_col).select(F.col("doc").alias("__doc"), F.col("spans").alias("__spans"))
-    return docs.join(spans, F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)) == F.col("__doc"), "left").drop("__doc")
+    doc, h = _rows_of(docs, id_col, text_col)
+    spans = repeated_spans(docs, length, id_col, text_col).select(F.col("doc").alias("__doc"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
+    own = docs.withColumns({"__d": doc, "__t": h})
+    return own.join(spans, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__h")), "left").drop("__doc", "__h", "__d", "__t")
 
 
 def _cut(raw: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int, int]]]:
