@@ -49,8 +49,8 @@ def _matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
 def _index(k: int):
     """Rows (vec_id, q) of a partition to bit-sliced blocks of distinct vectors.
 
-    Of equal vectors the k + 1 smallest ids are kept: no other can be among a query's k best, as the
-    query leaves out one id at most.
+    Of equal vectors the k + 1 smallest ids are kept, each with up to k of its rows: no other can be
+    among a query's k best, as the query leaves out the rows of one id only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,8 +59,10 @@ def _index(k: int):
             ids, values = ids[order], values[order]
             new = np.concatenate([[True], (values[1:] != values[:-1]).any(1)])
             group = np.cumsum(new) - 1
-            place = np.arange(len(ids)) - np.flatnonzero(new)[group]
-            near = place <= k
+            fresh = new | np.concatenate([[True], ids[1:] != ids[:-1]])
+            number = np.cumsum(fresh)  # of the (vector, id)
+            copy = np.arange(len(ids)) - np.flatnonzero(fresh)[number - 1]
+            near = (number - number[np.flatnonzero(new)[group]] <= k) & (copy < k)
             base = values.min(0) if values.size else np.zeros(values.shape[1], np.int64)
             distinct = values[new]
             lifted = (distinct - base).astype(np.uint64)
@@ -140,7 +142,8 @@ def _best(block: dict, slices: np.ndarray, first: np.ndarray, query_id: int, q:
                         s = slices[first[d] + b] ^ full if flip else slices[first[d] + b]
                     levels.setdefault(b + j, []).append(s)
     total = _add(levels)
-    sure, even, need = np.zeros_like(full), full, k + 1  # one more, as the query's own row may be among them
+    own_vectors = len(np.unique(block["group"][block["ids"] == query_id]))
+    sure, even, need = np.zeros_like(full), full, k + own_vectors  # the query's own rows may be among them
     floor = 0
     for p in sorted(total, reverse=True):
         up = even & total[p]
@@ -175,8 +178,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     """(query_id, rank, vec_id, score): the k rows of largest integer inner product for each query, ties to the smaller id.
 
     ``queries`` are rows of the same kind. Vectors that are null or hold null or non-finite components
-    take no part, nor do rows without an id; a query meets vectors of its own length only. Rows
-    that share the query's id count as its own. Repeated queries are asked once.
+    take no part, nor do rows without an id; a query meets vectors of its own length only. Candidates
+    are rows: one that is repeated takes a rank for each repeat. Rows that share the query's id count
+    as its own. Queries repeated with their vector are asked once; different vectors under one query id are
+    asked together, and their scores ranked as one list.
     """
     spark = vectors.sparkSession
     arrow_rows(spark, 4096)
@@ -204,7 +209,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
                     names=["query_id", "vec_id", "score"],
                 )
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long").distinct()
+    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
