@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-A task splits its texts into pre-tokens and keeps, per block of about 8 MB of text, each distinct
-word once plus every text's positions as indices into them. The distinct words are dealt by a hash of
-the word, so all blocks' copies of a word meet in one task, which merges each word once. The ids go
-back to their blocks and every text is put together again by position.
+A task splits its texts into pre-tokens and keeps, per block of about 16 MB of text, each distinct
+word once plus every text's positions as indices into them. A row per word and block would weigh
+more than the texts, so a block's words are packed by lots, which are dealt by a hash of the word. All
+blocks' copies of a word meet in its lot, which merges each distinct word once. The ids are joined back
+to their blocks and every text is put together again by position. A block is about an input split,
+so there are no more packets than a shuffle has pieces.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,9 +31,11 @@ from mereflow.llm.common import arrow_rows
 #: ``regex`` agree about letters, digits and space; other texts take the pattern itself.
 FAST = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+""")
 UNUSUAL = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe]|[^\x00-ɏ]")
-BLOCK_BYTES = 8 << 20
-#: Words whose ids a task remembers before it starts anew.
-REMEMBERED = 1_000_000
+BLOCK_BYTES = 16 << 20
+#: A block: its documents with their numbers of pre-tokens, all pre-tokens as indices into its distinct words, the lot of each
+#: distinct word, and the words by lot. Numbers and words are packed.
+_BLOCK = pa.struct([("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("at", pa.binary()), ("lots", pa.binary()), ("words", pa.list_(pa.struct([("lot", pa.int32()), ("words", pa.binary())])))])
+_BLOCK_DDL = "block long, data struct<docs: array<bigint>, sizes: array<int>, at: binary, lots: binary, words: array<struct<lot: int, words: binary>>>"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -123,12 +126,12 @@ def _blocks(pattern: str, fast: bool, deal: int):
             lot = np.fromiter((zlib.crc32(w) % deal for w in words), np.uint32, len(words))
             by_lot = np.argsort(lot, kind="stable")
             cuts = np.searchsorted(lot[by_lot], np.arange(deal + 1))
-            lots = {}
+            dealt = []
             for k in range(deal):
                 if own := [words[i] for i in by_lot[cuts[k] : cuts[k + 1]]]:
-                    lots[k] = _pack(np.fromiter(map(len, own), np.uint32, len(own)), b"".join(own))
-            docs = {"ids": ids, "sizes": [len(t) for t in texts], "at": _pack(rank[at]), "lots": _pack(lot)}
-            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), pa.array([pickle.dumps((lots, docs), 5)], pa.binary())], names=["block", "data"])
+                    dealt.append({"lot": k, "words": _pack(np.fromiter(map(len, own), np.uint32, len(own)), b"".join(own))})
+            data = {"docs": ids, "sizes": [len(t) for t in texts], "at": _pack(rank[at]), "lots": _pack(lot), "words": dealt}
+            return pa.RecordBatch.from_arrays([pa.array([serial], pa.int64()), pa.array([data], _BLOCK)], names=["block", "data"])
 
         for batch in batches:
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -150,19 +153,25 @@ def _blocks(pattern: str, fast: bool, deal: int):
 def _deal_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks to rows (block, lot, words)."""
     for batch in batches:
-        for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist()):
-            lots = pickle.loads(data)[0]
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(lots), pa.int64()), pa.array(lots.keys(), pa.int32()), pa.array(lots.values(), pa.binary())], names=["block", "lot", "words"])
+        packets = batch.column("data").field("words")
+        n = packets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        flat = packets.flatten()
+        yield pa.RecordBatch.from_arrays([batch.column("block").take(pa.array(np.repeat(np.arange(len(n)), n))), flat.field("lot"), flat.field("words")], names=["block", "lot", "words"])
 
 
 def _encode_words(ranks):
-    """Rows (block, lot, words) to (block, lot, ids: the number of ids of each word, and all ids end to end)."""
+    """Rows (block, lot, words) in the order of lots to (block, lot, ids: the number of ids of each word, and all ids end to end).
+
+    A lot's distinct words are remembered while it lasts, so each is merged once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known = ranks.value, {}
+        table, known, now = ranks.value, {}, None
         for batch in batches:
             packed = []
-            for blob in batch.column("words").to_pylist():
+            for lot, blob in zip(batch.column("lot").to_pylist(), batch.column("words").to_pylist()):
+                if lot != now:
+                    known, now = {}, lot
                 sizes, data = _unpack(blob)
                 out: list[int] = []
                 each, at = [], 0
@@ -170,8 +179,6 @@ def _encode_words(ranks):
                     w = data[at : at + n]
                     at += n
                     if (got := known.get(w)) is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
                         got = known[w] = merge(w, table)
                     out += got
                     each.append(len(got))
@@ -185,8 +192,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (data, parts) of whole blocks to a row per text with its ids in order."""
     none = np.empty(0, np.uint32)
     for batch in batches:
-        for data, parts in zip(batch.column("data").to_pylist(), batch.column("parts").to_pylist()):
-            docs = pickle.loads(data)[1]
+        for docs, parts in zip(batch.column("data").to_pylist(), batch.column("parts").to_pylist()):
             got = [_unpack(p["ids"]) for p in sorted(parts or [], key=lambda p: p["lot"])]
             flat = np.concatenate([_whole(g[1]) for g in got] or [none])
             place = np.argsort(_unpack(docs["lots"])[0], kind="stable")
@@ -201,7 +207,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(cuts), 256):
                 z = min(a + 256, len(cuts))
                 lists = pa.ListArray.from_arrays(pa.array(ends[a : z + 1] - ends[a], pa.int32()), pa.array(ids[ends[a] : ends[z]], pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array(docs["ids"][a:z], pa.int64()), lists], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(docs["docs"][a:z], pa.int64()), lists], names=["doc_id", "ids"])
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", fast: bool | None = None) -> DataFrame:
@@ -217,19 +223,20 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     deal = max(16, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # a block is one column, so that both uses below read the same shuffle
-    blocks = texts.mapInArrow(_blocks(pattern, fast, deal), "block long, data binary").repartition(deal, "block")
+    blocks = texts.mapInArrow(_blocks(pattern, fast, deal), _BLOCK_DDL).repartition("block")
     shared = spark.sparkContext.broadcast(ranks)
     words = blocks.mapInArrow(_deal_words, "block long, lot int, words binary")
-    ids = words.repartition(deal, "lot").mapInArrow(_encode_words(shared), "block long, lot int, ids binary")
-    parts = ids.repartition(deal, "block").groupBy("block").agg(F.collect_list(F.struct("lot", "ids")).alias("parts"))
+    ids = words.repartition("lot").sortWithinPartitions("lot").mapInArrow(_encode_words(shared), "block long, lot int, ids binary")
+    parts = ids.groupBy("block").agg(F.collect_list(F.struct("lot", "ids")).alias("parts"))
     return blocks.join(parts, "block", "left").select("data", "parts").mapInArrow(_assemble, "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, bytes, *keep): the token-byte table joined to every id, put together by position.
 
-    The table has a row per vocabulary entry, which bounds what each task gets. Null ids give empty
-    bytes; an id outside the table fails the job.
+    The join is a broadcast one: the table has a row per vocabulary entry, which bounds it, and its keys are
+    0, 1, 2 and so on, so a row is found by its place. A shuffle of a row per token would weigh several
+    times the texts. Null ids give empty bytes; an id outside the table fails the job.
     """
     spark = tokens.sparkSession
     arrow_rows(spark)
