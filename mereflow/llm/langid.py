@@ -2,8 +2,10 @@
 
 Runs of four characters are counted per language over all learnable documents. The highest order
 uses these counts, the lower ones the numbers of different left neighbours, each order with its own discount
-and interpolated with the next lower one. A model is arrays sorted by a hash of the run, with the
-log-probabilities for every language side by side. The language of least cross-entropy per
+and interpolated with the next lower one; all of it in grouped tables, whatever their size. To score,
+the documents' different runs are joined to these tables once. What that gives is an array sorted by a
+hash of the run, with the log-probabilities for every language side by side; where it is too large to send to
+every task, the documents' runs are joined to it instead. The language of least cross-entropy per
 character is chosen.
 """
 
@@ -11,19 +13,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mereflow import scratch
 from mereflow.llm.common import arrow_rows, id_fold
-from mereflow.llm.linear import logistic, sigmoid
+from mereflow.llm.linear import logistic
 
 ORDER = 4
 CHUNK = 1 << 18
-#: Different runs of four over all languages that a model holds; beyond it the rarest counts go.
-MOST_RUNS = 4_000_000
+#: Bytes of log-probabilities that are broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 128 << 20
 
 _LETTER = np.array([chr(c).isalpha() if not 0xD800 <= c < 0xE000 else True for c in range(1 << 16)])
 _ASTRAL = re.compile("[\U00010000-\U0010ffff\ud800-\udfff]")
@@ -79,30 +83,6 @@ def _lots(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
             a, held = i + 1, 0
 
 
-def count_runs(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, run, n) over all documents with a language; counts are added up per batch before the shuffle."""
-    arrow_rows(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            by_lang: dict[str, list[str]] = {}
-            for k, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                if t:
-                    by_lang.setdefault(k, []).append(t)
-            for k, texts in by_lang.items():
-                keys = np.concatenate([_runs(*_units(lot))[0] for _, lot in _lots(texts)])
-                u, n = np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(u), pa.string()), pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "run", "n"])
-
-    own = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(run, "lang string, run long, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
-
-
-def _sums(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u, at = np.unique(key, return_inverse=True)
-    return u, np.bincount(at, n, len(u))
-
-
 class _Sorted:
     """Rows found by key: hashes in order, with the places where their leading bits begin."""
 
@@ -133,157 +113,223 @@ class _Sorted:
         return out
 
 
-def build(lang: np.ndarray, run: np.ndarray, n: np.ndarray) -> dict:
-    """Tables of log-probabilities from the counts of runs per language."""
-    names = sorted(set(lang.tolist()))
-    counts = {k: (run[lang == k].view(np.uint64), n[lang == k].astype(float)) for k in names}
-    masks = [np.uint64((1 << (16 * o)) - 1) for o in range(1, ORDER + 1)]
-    orders: list[dict] = []  # per order and language: keys, counts, contexts
-    for k in names:
-        key, c = counts[k]
-        levels = [(key, c)]
-        for o in range(ORDER - 1, 0, -1):
-            short = np.unique(levels[0][0]) & masks[o - 1]
-            levels.insert(0, _sums(short, np.ones(len(short))))
-        orders.append({"levels": levels})
-    model = {"names": names, "tables": []}
-    letters = len(np.unique(np.concatenate([o["levels"][0][0] for o in orders]))) + 1
-    for o in range(1, ORDER + 1):
-        keys = np.unique(np.concatenate([x["levels"][o - 1][0] for x in orders]))
-        contexts = np.unique(keys >> np.uint64(16)) if o > 1 else np.zeros(1, np.uint64)
-        table = {"find": _Sorted(keys), "context": _Sorted(contexts), "logp": np.empty((len(keys), len(names)), np.float32), "gamma": np.zeros((len(contexts), len(names)), np.float32)}
-        ctx_of = np.searchsorted(contexts, keys >> np.uint64(16)) if o > 1 else np.zeros(len(keys), np.int64)
-        lower = np.full((len(keys), len(names)), 1 / letters) if o == 1 else np.exp(_logp(model, keys & masks[o - 2], o - 1))
-        for j, x in enumerate(orders):
-            key, c = x["levels"][o - 1]
-            once, twice = (c == 1).sum(), (c == 2).sum()
-            d = once / (once + 2 * twice) if once and twice else 0.5
-            full = np.zeros(len(keys))
-            full[np.searchsorted(keys, key)] = c
-            total = np.bincount(ctx_of, full, len(contexts))
-            kinds = np.bincount(ctx_of, full > 0, len(contexts))
-            seen = total > 0
-            gamma = np.where(seen, d * kinds / np.where(seen, total, 1), 1.0)
-            p = np.maximum(full - d, 0) / np.where(seen, total, 1)[ctx_of] + gamma[ctx_of] * lower[:, j]
-            table["logp"][:, j] = np.log(p)[table["find"].order]
-            table["gamma"][:, j] = np.log(gamma)[table["context"].order]
-        model["tables"].append(table)
-    model["floor"] = float(-np.log(letters))
-    return model
+def count_runs(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(lang, run, n) over all documents with a language; counts are added up per batch before the shuffle."""
+    own = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("key"), F.col(text_col).cast("string").alias("text"))
+    return _counted(own, "string").groupBy(F.col("key").alias("lang"), "run").agg(F.sum("n").alias("n"))
 
 
-def _logp(model: dict, keys: np.ndarray, order: int) -> np.ndarray:
-    """Log-probability of the last unit after those before it, a column per language."""
-    if order == 0:
-        return np.full((len(keys), len(model["names"])), model["floor"])
-    t = model["tables"][order - 1]
-    at = t["find"].find(keys)
-    out = t["logp"][at].astype(float) if len(t["logp"]) else np.zeros((len(keys), len(model["names"])))
-    none = np.flatnonzero(at < 0)
-    if len(none):
-        own = keys[none]
-        low = _logp(model, own & np.uint64((1 << (16 * (order - 1))) - 1), order - 1)
-        c = t["context"].find(own >> np.uint64(16)) if order > 1 else np.zeros(len(own), np.int64)
-        out[none] = low + np.where((c >= 0)[:, None], t["gamma"][c], 0)
-    return out
-
-
-def cross_entropy(model: dict, texts: list[str]) -> np.ndarray:
-    """Mean negative log-probability per character, a row per text and a column per language."""
-    out = np.zeros((len(texts), len(model["names"])))
-    for a, lot in _lots(texts):
-        keys, text = _runs(*_units(lot))
-        if not len(keys):
-            continue
-        total = np.zeros((len(lot), len(model["names"])))
-        for b in range(0, len(keys), CHUNK):
-            own, lp = text[b : b + CHUNK], _logp(model, keys[b : b + CHUNK], ORDER)
-            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            total[own[first]] += np.add.reduceat(lp, first, axis=0)
-        out[a : a + len(lot)] = -total / np.maximum(np.bincount(text, minlength=len(lot)), 1)[:, None]
-    return out
-
-
-def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = 2000, longest: int = 20_000) -> dict | None:
-    """Models of all languages of ``docs``; null if none has text.
+def _counted(own: DataFrame, kind: str) -> DataFrame:
+    """(key, run, n) for texts (key, text): the runs of each batch's texts, counted by key."""
+    arrow_rows(own.sparkSession)
 
-    Counts cover all documents. The confidence is calibrated on at most ``sample`` documents of at
-    most ``longest`` characters, in hash order. The model's size is bounded by MOST_RUNS.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_key: dict = {}
+            for k, t in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                if t:
+                    by_key.setdefault(k, []).append(t)
+            for k, texts in by_key.items():
+                keys = np.concatenate([_runs(*_units(lot))[0] for _, lot in _lots(texts)])
+                u, n = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(u), batch.column("key").type), pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "run", "n"])
+
+    return own.mapInArrow(run, f"key {kind}, run long, n long")
+
+
+@dataclass
+class Model:
+    """Kneser-Ney tables by order, and what calibrates them."""
+
+    names: list[str]  # languages, in order
+    seen: list[DataFrame] = field(default_factory=list)  # per order: key, lp: by language, null where it never saw the key
+    back: list[DataFrame] = field(default_factory=list)  # per order above 1: context, g: log weight of the next lower order
+    floor: list[float] = field(default_factory=list)  # by language: of a character that it never saw
+    slope: tuple[float, float] = (0.0, 1.0)
+    strange: np.ndarray = field(default_factory=lambda: np.empty(0))
+
+
+def _short(key: Column, order: int) -> Column:
+    """The last ``order`` characters of a run."""
+    return key if order == ORDER else key.bitwiseAND(F.lit((1 << (16 * order)) - 1))
+
+
+def probabilities(runs: DataFrame) -> tuple[list[DataFrame], list[DataFrame], int]:
+    """Per order 1, 2, ...: (lang, key, p) of the keys that a language saw, and (lang, context, gamma); and the number of characters and one more.
+
+    The chance of a key that a language did not see is its context's gamma, 1 for an unseen context, times the chance of the key without its
+    first character; below order 1 it is one by that number.
+    """
+    counts = [runs.select("lang", F.col("run").alias("key"), F.col("n").alias("c"))]
+    for order in range(ORDER - 1, 0, -1):
+        counts.insert(0, scratch.save(counts[0].groupBy("lang", _short(F.col("key"), order).alias("key")).agg(F.count(F.lit(1)).alias("c")), f"order-{order}"))
+    letters = counts[0].select("key").distinct().count() + 1
+    seen, back = [], []
+    for order, own in enumerate(counts, 1):
+        often = lambda n: F.count(F.when(F.col("c") == n, 1))  # noqa: E731, B023
+        d = own.groupBy("lang").agg(F.when((often(1) > 0) & (often(2) > 0), often(1) / (often(1) + 2 * often(2))).otherwise(0.5).alias("d"))
+        context = F.shiftrightunsigned("key", 16).alias("context") if order > 1 else F.lit(0).cast("long").alias("context")
+        own = own.select("lang", "key", "c", context)
+        total = own.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        gamma = scratch.save(total.join(d, "lang").select("lang", "context", "total", "d", (F.col("d") * F.col("kinds") / F.col("total")).alias("gamma")), f"contexts-{order}")
+        p = own.join(gamma, ["lang", "context"]).withColumn("share", F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total"))
+        if order == 1:
+            p = p.withColumn("low", F.lit(1.0 / letters))
+        else:
+            p = p.withColumn("short", _short(F.col("key"), order - 1)).join(seen[-1].select("lang", F.col("key").alias("short"), F.col("p").alias("low")), ["lang", "short"])
+        seen.append(scratch.save(p.select("lang", "key", (F.col("share") + F.col("gamma") * F.col("low")).alias("p")), f"seen-{order}"))
+        back.append(gamma.select("lang", "context", "gamma"))
+    return seen, back, letters
+
+
+def _by_language(table: DataFrame, key: str, value: str, names: list[str]) -> DataFrame:
+    """(key, logs): the logarithms of a value side by side for all languages, null where one has none."""
+    number = F.array_position(F.array(*map(F.lit, names)), F.col("lang")).cast("int")
+    by = table.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(number.alias("l"), F.log(value).alias("v")))).alias("m"))
+    return by.select(key, F.transform(F.sequence(F.lit(1), F.lit(len(names))), lambda l: F.element_at("m", l)).alias("logs"))
+
+
+def log_probabilities(runs: DataFrame, model: Model) -> DataFrame:
+    """(run, lp) for distinct runs: the log-probability of the last character after those before it, by language."""
+    out = runs.select("run")
+    for order in range(ORDER, 0, -1):
+        s = model.seen[order - 1].select(F.col("key").alias(f"k{order}"), F.col("logs").alias(f"s{order}"))
+        out = out.withColumn(f"k{order}", _short(F.col("run"), order)).join(s, f"k{order}", "left")
+        if order > 1:
+            g = model.back[order - 1].select(F.col("context").alias(f"c{order}"), F.col("logs").alias(f"g{order}"))
+            out = out.withColumn(f"c{order}", F.shiftrightunsigned(f"k{order}", 16)).join(g, f"c{order}", "left")
+
+    def at(order: int, l: Column) -> Column:
+        if order == 0:
+            return F.get(F.array(*map(F.lit, model.floor)), l)
+        own = F.get(F.col(f"s{order}"), l)
+        weight = F.get(F.col(f"g{order}"), l) if order > 1 else F.lit(0.0)
+        return F.coalesce(own, F.coalesce(weight, F.lit(0.0)) + at(order - 1, l))
+
+    return out.select("run", F.transform(F.sequence(F.lit(0), F.lit(len(model.names) - 1)), lambda l: at(ORDER, l)).alias("lp"))
+
+
+def cross_entropies(docs: DataFrame, model: Model, most: int = BROADCAST_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ce) of every row: the mean negative log-probability per character by language, null for texts without a letter.
+
+    Log-probabilities of up to ``most`` bytes go to every task as arrays in the order of hashes; beyond, different texts' runs are joined to them.
     """
-    from mereflow import scratch
+    spark, width = docs.sparkSession, len(model.names)
+    arrow_rows(spark)
+    text = F.col(text_col).cast("string")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    asked = _counted(own.select(F.lit(0).alias("key"), "text"), "int").select("run").distinct()
+    table = scratch.save(log_probabilities(asked, model), "log-probabilities")
+    rows = table.count()
+    if rows * (8 + 8 * width) > most:
+        return _joined_entropies(own, table, width)
+    got = table.toArrow()  # of the bytes just counted
+    runs = got["run"].to_numpy().astype(np.int64).view(np.uint64)
+    find = _Sorted(runs)
+    lp = got["lp"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)[find.order] if rows else np.zeros((0, width))
+    shared = spark.sparkContext.broadcast((find, lp))
+    scratch.drop(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, lp = shared.value
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            some = [i for i, t in enumerate(texts) if has_letter(t)]
+            ce: list = [None] * len(texts)
+            for a, lot in _lots([texts[i] for i in some]):
+                keys, text = _runs(*_units(lot))
+                total = np.zeros((len(lot), width))
+                for b in range(0, len(keys), CHUNK):
+                    own, part = text[b : b + CHUNK], lp[find.find(keys[b : b + CHUNK])]
+                    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                    total[own[first]] += np.add.reduceat(part, first, axis=0)
+                mean = -total / np.maximum(np.bincount(text, minlength=len(lot)), 1)[:, None]
+                for k in range(len(lot)):
+                    ce[some[a + k]] = mean[k]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ce, pa.list_(pa.float64()))], names=["doc_id", "ce"])
+
+    return own.mapInArrow(run, "doc_id long, ce array<double>")
+
+
+def _joined_entropies(own: DataFrame, table: DataFrame, width: int) -> DataFrame:
+    """The same by a join of the runs of each different text."""
+    told = own.withColumn("h", F.xxhash64("text"))
+    runs = _each(told.select("h", "text").dropDuplicates(["h"]))
+    sums = runs.join(table, "run").groupBy("h").agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.col("lp")[j]).alias(f"t{j}") for j in range(width)))
+    ce = sums.select(F.col("h").alias("h_"), F.array(*(-F.col(f"t{j}") / F.col("n") for j in range(width))).alias("ce"))
+    return told.join(ce, F.col("h") == F.col("h_"), "left").select("doc_id", "ce")
+
+
+def _each(texts: DataFrame) -> DataFrame:
+    """(h, run, n) of every text with a letter."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for h, t in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist()):
+                if has_letter(t):
+                    u, n = np.unique(_runs(*_units([t]))[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), h, np.int64)), pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "run", "n"])
+
+    return texts.mapInArrow(run, "h long, run long, n long")
+
+
+def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = 2000, longest: int = 20_000) -> Model | None:
+    """Models of all languages of ``docs``; none if none has text.
+
+    Counts cover all documents. The confidence is calibrated on at most ``sample`` documents of at
+    most ``longest`` characters, in hash order.
+    """
     runs = scratch.save(count_runs(docs, lang_col, text_col), "runs")
-    least, n = 1, runs.count()
-    while n > MOST_RUNS:
-        least *= 2
-        n = runs.where(F.col("n") >= least).count()
-    names = [r["lang"] for r in runs.select("lang").distinct().orderBy("lang").collect()]
+    names = [r["lang"] for r in runs.select("lang").distinct().orderBy("lang").collect()]  # as many as languages
     if not names:
         return None
-    number = F.array_position(F.array(*map(F.lit, names)), F.col("lang")).cast("short")
-    got = runs.where(F.col("n") >= least).select(number.alias("l"), "run", "n").toArrow()  # at most MOST_RUNS rows of 18 bytes
-    scratch.drop(runs)
-    model = build(np.array(names)[got["l"].to_numpy() - 1], got["run"].to_numpy(), got["n"].to_numpy())
+    seen, back, letters = probabilities(runs)
+    by = lambda t, key, value, name: scratch.save(_by_language(t, key, value, names), name)
+    lowest = {r["lang"]: r["gamma"] / letters for r in back[0].collect()}  # as many as languages
+    model = Model(names, [by(t, "key", "p", "model") for t in seen], [by(t, "context", "gamma", "model") for t in back], [float(np.log(lowest.get(k, 1 / letters))) for k in names])
     text = F.col(text_col).cast("string")
     drawn = docs.where(F.col(lang_col).isNotNull() & (F.length(text) <= longest) & (F.length(text) > 0))
     drawn = drawn.select(F.xxhash64(id_col).alias("o"), F.col(lang_col).cast("string").alias("l"), text.alias("t"))
     first = drawn.select("o").orderBy("o").limit(sample).distinct()  # hashes only, so that no task sends texts it may not need to
     rows = sorted(drawn.join(F.broadcast(first), "o").limit(sample).collect())
-    rows = [r for r in rows if has_letter(r["t"])]
-    k = len(model["names"])
-    x, y, best = [], [], []
-    if rows and k > 1:
-        for part in (rows, [dict(l=r["l"], t=r["t"][:40]) for r in rows if has_letter(r["t"][:40])]):  # whole texts, and short ones for the slope
-            ce = cross_entropy(model, [r["t"] for r in part])
-            for r, c in zip(part, ce):
-                for j, name in enumerate(model["names"]):
-                    x.append(np.delete(c, j).min() - c[j])
-                    y.append(float(r["l"] == name))
-            if part is rows:
-                best = [c[model["names"].index(r["l"])] for r, c in zip(rows, ce)]
-        x = np.array(x)
-        model["slope"] = logistic(np.column_stack([np.ones(len(x)), x]), np.array(y), l2=1e-3)
-    else:
-        model["slope"] = np.array([0.0, 1.0])
-    model["strange"] = np.sort(np.array(best))
+    kinds = [(k, r["l"], t) for r in rows for k, t in enumerate((r["t"], r["t"][:40])) if has_letter(t)]  # whole texts, and short ones for the slope
+    if kinds and len(names) > 1:
+        spark = docs.sparkSession
+        given = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(kinds)], "doc_id long, text string")
+        ce = {r["doc_id"]: np.array(r["ce"]) for r in cross_entropies(given, model).collect()}  # at most twice ``sample`` rows
+        x, y, best = [], [], []
+        for i, (k, lang, _) in enumerate(kinds):
+            for j, name in enumerate(names):
+                x.append(np.delete(ce[i], j).min() - ce[i][j])
+                y.append(float(lang == name))
+            if k == 0:
+                best.append(ce[i][names.index(lang)])
+        w = logistic(np.column_stack([np.ones(len(x)), x]), np.array(y), l2=1e-3)
+        model.slope, model.strange = (float(w[0]), float(w[1])), np.sort(np.array(best))
     return model
 
 
-def predict(docs: DataFrame, model: dict | None, reject: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model | None, reject: float | None = None, id_col: str = "doc_id", text_col: str = "text", most: int = BROADCAST_BYTES) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text.
 
     ``und`` and score 0 for null, for texts without a letter and where there is no model. With ``reject``, also for texts
     whose best cross-entropy only that share of the calibrating texts exceeds in their own language.
     Rows go one by one; ties go to the first language by name.
     """
-    spark = docs.sparkSession
-    arrow_rows(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by MOST_RUNS
+    if model is None:
+        return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     limit = float("inf")
-    if model and reject is not None and len(model["strange"]):
-        limit = float(np.quantile(model["strange"], 1 - reject))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            some = [i for i, t in enumerate(texts) if m and has_letter(t)]
-            lang, score = ["und"] * len(texts), np.zeros(len(texts))
-            if some:
-                ce = cross_entropy(m, [texts[i] for i in some])
-                best = ce.argmin(1)
-                low = ce.min(1)
-                rest = ce.copy()
-                rest[np.arange(len(some)), best] = np.inf
-                margin = np.where(np.isfinite(rest.min(1)), rest.min(1) - low, 30.0)
-                p = sigmoid(m["slope"][0] + m["slope"][1] * margin)
-                for k, i in enumerate(some):
-                    if low[k] <= limit:
-                        lang[i], score[i] = m["names"][best[k]], p[k]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
-
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    if reject is not None and len(model.strange):
+        limit = float(np.quantile(model.strange, 1 - reject))
+    ce = cross_entropies(docs, model, most, id_col, text_col)
+    low = F.array_min("ce")
+    best = F.array_position("ce", low).cast("int")
+    rest = F.array_min(F.filter("ce", lambda x, i: i != best - 1))
+    z = F.lit(model.slope[0]) + F.lit(model.slope[1]) * F.coalesce(rest - low, F.lit(30.0))
+    p = 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
+    known = F.col("ce").isNotNull() & (low <= limit)
+    name = F.element_at(F.array(*map(F.lit, model.names)), best)
+    return ce.select("doc_id", F.when(known, name).otherwise("und").alias("lang_pred"), F.when(known, p).otherwise(0.0).alias("score"))
 
 
 def predictions(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:

@@ -133,8 +133,29 @@ def test_suffixes(spark):
     assert {k: cover(v) for k, v in apart.items()} == {k: cover(v) for k, v in within.items()}
     left = suffixes.remove(docs_frame(spark, [(1, base), (2, base[:300]), (3, None)]))
     assert {r.doc_id: r.text for r in left.collect()} == {1: base, 2: "", 3: None}
-    twice = docs_frame(spark, [(1, base), (1, base)])
-    assert [r.n_removed for r in suffixes.digests(twice).collect()] == [0, 0]
+    assert suffixes.digests(docs_frame(spark, [])).count() == 0 and suffixes.remove(docs_frame(spark, [])).count() == 0
+
+
+def test_suffixes_of_repeated_ids_and_long_texts(spark):
+    """Rows that share an id leave each other alone; each is judged by rows of smaller ids and by itself."""
+    rng = random.Random(12)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(1500))
+    long = "".join(rng.choice("klmnopqr") for _ in range(1000)) * 2200  # over a piece of 2 MB
+    rows = [(1, "abc " * 30), (1, "abc " * 30), (1, "other text here now yes"), (2, base), (2, base), (2, base[:400] + "z" + base[400:700]), (2, base[600:800] * 2), (3, base[100:350]), (3, base[500:620] + "abc " * 26), (None, base[:200]), (9, long)]
+    key = lambda i: -1 if i is None else i
+    want = []
+    for i, t in rows:
+        before = {b[p : p + 100] for b in {x for j, x in rows if key(j) < key(i)} if len(b) < 10_000 for p in range(len(b) - 99)}
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - 99):
+            if t[p : p + 100] in before:
+                gone[p : p + 100] = True
+            before.add(t[p : p + 100])
+        kept = "".join(x for x, g in zip(t, gone) if not g)
+        want.append((key(i), len(t), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int), [0]])) == 1).sum()), hashlib.sha256(kept.encode()).hexdigest()))
+    got = [(key(r[0]), *r[1:]) for r in map(tuple, suffixes.digests(docs_frame(spark, rows)).collect())]
+    assert sorted(got) == sorted(want)
+    assert sorted(len(r.text) for r in suffixes.remove(docs_frame(spark, rows)).collect()) == sorted(w[1] - w[2] for w in want)
 
 
 def test_suffixes_with_a_common_passage(spark):
@@ -149,7 +170,7 @@ def test_suffixes_with_a_common_passage(spark):
             if t[p : p + 100] in seen:
                 want.setdefault(i, set()).update(range(p, p + 100))
             seen.add(t[p : p + 100])
-    own = frame.select(frame.doc_id.alias("doc"), "text").mapInArrow(suffixes._sample(100), suffixes._KINDS)
+    own = frame.select(frame.doc_id.alias("doc"), F.lit(0).cast("long").alias("h"), "text").mapInArrow(suffixes._sample(100), suffixes._KINDS)
     assert suffixes._crowded(own, 16) is not None and suffixes._crowded(own, 10_000) is None
     for small in (16, 10_000):
         got = {r.doc: {p for x in r.spans for p in range(x.s, x.e)} for r in suffixes.repeated_spans(frame, small=small).collect()}
@@ -183,6 +204,20 @@ def test_bpe(spark):
     assert d.ids_sha256 == hashlib.sha256(",".join(map(str, enc.encode_ordinary(rows[0][1]))).encode()).hexdigest()
 
 
+def test_bpe_of_texts_over_a_block(spark):
+    import tiktoken
+
+    ranks, pattern = queries.vocabulary()
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = [r["text"] or "" for r in rows_of("documents")]
+    long = " ".join(texts)
+    rows = [(1, long * (1 + (17 << 20) // len(long))), (2, long), (3, ""), (3, None)]
+    want = sorted((i, enc.encode_ordinary(t or "")) for i, t in rows)
+    got = bpe.encode(docs_frame(spark, rows), ranks, pattern)
+    assert sorted((r.doc_id, r.ids) for r in got.collect()) == want
+    assert bpe.digests(docs_frame(spark, []), ranks, pattern).count() == 0
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.binary(min_size=1, max_size=300))
 def test_long_and_short_merges_agree(word):
@@ -222,6 +257,22 @@ def test_topk(spark, duck):
     assert bitsliced.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_topk_of_repeated_rows(spark):
+    rng = random.Random(4)
+    rows = [(50, [1.0, 0.0])] + [(7, [2.0, 0.0])] * 7 + [(8, [2.0, 0.0]), (9, [2.0, 0.0]), (10, [1.0, 1.0]), (11, [1.0, 0.5]), (12, [0.5, 0.0])]
+    rows += [(100, [2.0, 0.0])] * 9 + [(100, [3.0, rng.uniform(0, 1)]) for _ in range(8)] + [(150, [0.0, 1.0]), (150, [0.0, 1.0]), (150, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = [(i, tuple(int(np.floor(256 * x)) for x in e)) for i, e in rows]
+    want = []
+    for a in (50, 100, 150):
+        s = sorted((-sum(x * y for x, y in zip(q, v)), b) for q in {v for i, v in ints if i == a} for b, v in ints if b != a)[:5]
+        want += [(a, k + 1, b, -v) for k, (v, b) in enumerate(s)]
+    for parts in (1, 3):
+        own = df.repartition(parts)
+        got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in bitsliced.top_k(own, own.where("vec_id % 50 = 0")).collect())
+        assert got == sorted(want)
+
+
 def test_warc(spark):
     rows = [(r["page_id"], r["url"], r["html"]) for r in rows_of("pages")]
     rows += [(1001, "http://a.B.com/x y\n?q", "<p>\u00e9"), (1002, None, None), (1003, "no host", ""), (None, "http://a.b.com/", "<p>\u00e9"), (1005, "http://a.b.com", "zz"), (1005, "http://a.b.com", "zz"), (1004, "https://\u00fc.de/%20%zz#f", "zz")]
@@ -319,16 +370,55 @@ def test_language(spark):
     assert langid.predict(docs, langid.fit(docs.limit(0))).where("lang_pred <> 'und'").count() == 0
 
 
-@pytest.mark.parametrize("order", [2, 3, 4])
-def test_language_models_are_distributions(order):
-    seq, begins = langid._units(["the cat sat on the mat", "a cat and a hat"])
-    keys, counts = np.unique(langid._runs(seq, begins)[0], return_counts=True)
-    model = langid.build(np.array(["x"] * len(keys)), keys.view(np.int64), counts)
-    units = np.unique(seq).astype(np.uint64)
-    mask = np.uint64((1 << (16 * order)) - 1)
-    for context in (keys[:5] >> np.uint64(16)):
-        p = np.exp(langid._logp(model, ((context << np.uint64(16)) | units) & mask, order)).sum()
-        assert 0.9 < p <= 1 + 1e-6
+def plain_kneser_ney(texts):
+    """Chances of a character after up to three others, from dictionaries; texts are spelled as the operator spells them."""
+    runs = {}
+    for t in texts:
+        words = "   " + " ".join(re.findall(r"[^\W\d_]+", t.lower())) + " "
+        for i in range(len(words) - 3):
+            runs[words[i : i + 4]] = runs.get(words[i : i + 4], 0) + 1
+    counts = {4: runs}
+    for o in (3, 2, 1):
+        counts[o] = {}
+        for k in counts[o + 1]:
+            counts[o][k[1:]] = counts[o].get(k[1:], 0) + 1
+    letters = len(counts[1]) + 1
+
+    def chance(key):
+        if not key:
+            return 1 / letters
+        own = counts[len(key)]
+        once, twice = (sum(c == n for c in own.values()) for n in (1, 2))
+        d = once / (once + 2 * twice) if once and twice else 0.5
+        same = [c for k, c in own.items() if k[:-1] == key[:-1]]
+        low = chance(key[1:])
+        return low if not same else max(own.get(key, 0) - d, 0) / sum(same) + d * len(same) / sum(same) * low
+
+    return counts, chance
+
+
+def test_language_models_against_plain_ones(spark):
+    texts = ["the cat sat on the mat", "a cat and a hat", "the rat", "that hat sat"]
+    counts, chance = plain_kneser_ney(texts)
+    docs = spark.createDataFrame([(i, "x", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    model = langid.fit(docs)
+    asked = [a + b + c + e for a in " at" for b in "ah" for c in " cxt" for e in "tah z"] + list(counts[4])
+    number = lambda k: sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(k))
+    frame = spark.createDataFrame([(number(k),) for k in set(asked)], "run long")
+    got = {r.run: np.exp(r.lp[0]) for r in langid.log_probabilities(frame, model).collect()}
+    assert all(abs(got[number(k)] - chance(k)) < 1e-9 for k in asked)
+    for context in {k[:3] for k in counts[4]}:
+        assert abs(sum(chance(context + c) for c in counts[1]) + chance("~") - 1) < 0.1
+
+
+def test_languages_by_broadcast_and_by_join_agree(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = langid.fit(docs)
+    odd = docs_frame(spark, list(enumerate(ODD)) + [(1, "twice the same"), (1, "twice the same"), (None, "kein id")]).select("doc_id", "text")
+    both = docs.select("doc_id", "text").union(odd)
+    rows = lambda most: sorted((r.doc_id if r.doc_id is not None else -1, r.lang_pred, round(r.score, 6)) for r in langid.predict(both, model, most=most).collect())
+    assert rows(langid.BROADCAST_BYTES) == rows(0)
+    assert langid.predictions(docs.limit(0)).count() == 0
 
 
 def test_pipeline_against_stages(spark):
