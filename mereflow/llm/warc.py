@@ -2,8 +2,8 @@
 
 Records are written by tasks into archives of the shared folder, one gzip member each. Their captures
 (reversed-host key, archive, offset, length) are range-sorted and kept in compressed blocks; a sparse
-directory holds every block's first key. A lookup bisects the directory, then the block, and reads
-its range of the archive.
+directory holds every block's first key, in pages. A lookup bisects the pages, then a page of the
+directory, then the block, and reads its range of the archive.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import re
 import urllib.parse
 import uuid
 import zlib
@@ -24,23 +25,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mereflow import scratch
-from mereflow.llm.common import arrow_rows, ascii_lower
+from mereflow.llm.common import arrow_rows, ascii_lower, join_hot
 
 #: WARC asks for a date; the pages have none.
 DATE = "1970-01-01T00:00:00Z"
 BLOCK_LINES = 1000
-#: Directory entries (a key and a number) that a task may hold; a larger directory is joined instead.
-DIRECTORY_ROWS = 500_000
+#: Blocks to a page of the directory: every task holds the first key of each page, one for a million captures.
+PAGE_BLOCKS = 1000
 _PLAIN = "".join(chr(c) for c in range(33, 127) if chr(c) != "%")
 _LINE = "\t"
 
 
 @dataclass
 class Capture:
-    index: DataFrame  # block, first, data
+    index: DataFrame  # page (the first key of its first block), first, data
     entries: int
 
 
+def _disk(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder, whose scheme may be one that only Hadoop knows by that name."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", folder))
+
+
 def sort_key(url: Column, page: Column) -> Column:
     """Host with its labels reversed, then what follows it, then the page's id: ``com,example,www)/a?b 17``."""
     rest = F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"(?s)^.*?://(.*)$", 1)
@@ -78,11 +84,11 @@ def write(pages: DataFrame, folder: str, least: int = 0, id_col: str = "page_id"
     own = own.withColumn("sha", F.unhex(F.sha1("html")))
     small = own.select("page", "sha", F.length("html").alias("n")).where(F.col("n") >= least)
     first = small.groupBy("sha").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1 and first is not null")
-    again = small.join(first, "sha").where(~F.col("page").eqNullSafe(F.col("first"))).select(F.col("page").alias("page_"), F.col("sha").alias("sha_"), "first").distinct()
+    again = join_hot(small, scratch.save(first, "payloads"), "sha", "rows").where(~F.col("page").eqNullSafe(F.col("first"))).select(F.col("page").alias("page_"), F.col("sha").alias("sha_"), "first").distinct()
     told = own.join(again, F.col("page").eqNullSafe(F.col("page_")) & (F.col("sha") == F.col("sha_")), "left").select("page", "url", "html", "first", sort_key(F.col("url"), F.col("page")).alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        disk, top = fs.FileSystem.from_uri(folder)
+        disk, top = _disk(folder)
         out, name, at = None, f"{uuid.uuid4().hex}.warc.gz", 0
         for batch in batches:
             if out is None:
@@ -101,20 +107,25 @@ def write(pages: DataFrame, folder: str, least: int = 0, id_col: str = "page_id"
     return scratch.save(told.mapInArrow(run, "key string, archive string, at long, size long"), "captures")
 
 
-def build_index(captures: DataFrame, lines: int = BLOCK_LINES) -> Capture:
-    """Captures in key order, ``lines`` to a compressed block; equal keys are never parted."""
+def build_index(captures: DataFrame, lines: int = BLOCK_LINES, page: int = PAGE_BLOCKS) -> Capture:
+    """Captures in key order, ``lines`` to a compressed block and ``page`` blocks to a page; equal keys may go on in the next block."""
     spark = captures.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        name, blocks = None, 0
 
         def close(rows):
+            nonlocal name, blocks
+            if blocks % page == 0:
+                name = rows[0][0]
+            blocks += 1
             data = zlib.compress("\n".join(_LINE.join(map(str, r)) for r in rows).encode("utf-8", "surrogatepass"))
-            return pa.RecordBatch.from_arrays([pa.array([rows[0][0]]), pa.array([rows[-1][0]]), pa.array([data], pa.binary())], names=["first", "last", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows[0][0]]), pa.array([data], pa.binary())], names=["page", "first", "data"])
 
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in ("key", "archive", "at", "size"))):
-                if len(held) >= lines and row[0] != held[-1][0]:
+                if len(held) >= lines:
                     yield close(held)
                     held = []
                 held.append(row)
@@ -122,52 +133,57 @@ def build_index(captures: DataFrame, lines: int = BLOCK_LINES) -> Capture:
             yield close(held)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ordered = captures.repartitionByRange(parts, "key").sortWithinPartitions("key", "archive", "at")
-    return Capture(scratch.save(ordered.mapInArrow(run, "first string, last string, data binary"), "capture-index"), captures.count())
+    order = ("key", "archive", "at")  # the places part equal keys
+    ordered = captures.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return Capture(scratch.save(ordered.mapInArrow(run, "page string, first string, data binary"), "capture-index"), captures.count())
 
 
 def _lines(data: bytes) -> list[list[str]]:
     return [x.split(_LINE) for x in zlib.decompress(data).decode("utf-8", "surrogatepass").split("\n")]
 
 
+def _bytes(x: str) -> bytes:
+    return x.encode("utf-8", "surrogatepass")
+
+
+def _may_hold(firsts: list[bytes], key: bytes) -> set[bytes]:
+    """Of the sorted first keys those of the parts that may hold a key: all that begin with it, and the one before."""
+    return set(firsts[max(0, bisect.bisect_left(firsts, key) - 1) : bisect.bisect_right(firsts, key)])
+
+
 def look_up(capture: Capture, keys: DataFrame) -> DataFrame:
     """(archive, at, size) of every capture whose key is among ``keys`` (column key)."""
     spark = keys.sparkSession
     asked = keys.select("key").where("key is not null").distinct()
-    blocks = capture.index.count()
-    if blocks > DIRECTORY_ROWS:
-
-        def spell(batches):
-            for batch in batches:
-                for data in batch.column("data").to_pylist():
-                    rows = _lines(data)
-                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([int(r[2]) for r in rows], pa.int64()), pa.array([int(r[3]) for r in rows], pa.int64())], names=["key", "archive", "at", "size"])
+    directory = capture.index.groupBy("page").agg(F.sort_array(F.collect_set("first")).alias("firsts"))
+    pages = spark.sparkContext.broadcast(sorted(_bytes(r["page"]) for r in directory.select("page").collect()))  # one for a million captures
 
-        return capture.index.mapInArrow(spell, "key string, archive string, at long, size long").join(asked, "key", "left_semi").select("archive", "at", "size")
-    directory = spark.sparkContext.broadcast(sorted(r["first"].encode("utf-8", "surrogatepass") for r in capture.index.select("first").collect()))  # at most DIRECTORY_ROWS keys
+    def to_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(k, p.decode("utf-8", "surrogatepass")) for k in batch.column("key").to_pylist() for p in _may_hold(pages.value, _bytes(k))]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string())], names=["key", "page"])
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = [bisect.bisect_right(directory.value, k.encode("utf-8", "surrogatepass")) - 1 for k in batch.column("key").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([directory.value[p].decode("utf-8", "surrogatepass") if p >= 0 else None for p in place], pa.string())], names=["key", "first"])
+            for keys_, firsts in zip(batch.column("keys").to_pylist(), batch.column("firsts").to_pylist()):
+                own = [_bytes(f) for f in firsts]
+                found = [(k, f.decode("utf-8", "surrogatepass")) for k in keys_ for f in _may_hold(own, _bytes(k))]
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.string())], names=["key", "first"])
 
-    routed = asked.mapInArrow(route, "key string, first string").where("first is not null").groupBy("first").agg(F.collect_list("key").alias("keys"))
+    # keys go to a page in lots, so that a page is unpacked once for many and no task gets all keys of a page
+    lots = asked.mapInArrow(to_pages, "key string, page string").groupBy("page", F.pmod(F.xxhash64("key"), F.lit(64)).alias("lot")).agg(F.collect_list("key").alias("keys"))
+    routed = lots.join(directory, "page").select("keys", "firsts").mapInArrow(to_blocks, "key string, first string")
+    wanted = routed.groupBy("first").agg(F.collect_set("key").alias("keys"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, keys_ in zip(batch.column("data").to_pylist(), batch.column("keys").to_pylist()):
                 rows = _lines(data)
-                own = [r[0].encode("utf-8", "surrogatepass") for r in rows]
-                got = []
-                for k in keys_:
-                    k = k.encode("utf-8", "surrogatepass")
-                    i = bisect.bisect_left(own, k)
-                    while i < len(own) and own[i] == k:
-                        got.append(rows[i])
-                        i += 1
+                own = [_bytes(r[0]) for r in rows]
+                got = [r for k in map(_bytes, keys_) for r in rows[bisect.bisect_left(own, k) : bisect.bisect_right(own, k)]]
                 yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in got], pa.string()), pa.array([int(r[2]) for r in got], pa.int64()), pa.array([int(r[3]) for r in got], pa.int64())], names=["archive", "at", "size"])
 
-    return capture.index.join(routed, "first").select("data", "keys").mapInArrow(find, "archive string, at long, size long")
+    return capture.index.join(wanted, "first").select("data", "keys").mapInArrow(find, "archive string, at long, size long")
 
 
 def _parse(member: bytes) -> tuple:
@@ -193,11 +209,10 @@ def read(places: DataFrame, folder: str, payload: bool = True) -> DataFrame:
     """
     spark = places.sparkSession
     arrow_rows(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        disk, top = fs.FileSystem.from_uri(folder)
+        disk, top = _disk(folder)
         name, source = None, None
         for batch in batches:
             out = []
@@ -215,7 +230,7 @@ def read(places: DataFrame, folder: str, payload: bool = True) -> DataFrame:
             source.close()
 
     slab = F.floor(F.col("at") / (4 << 20))  # a large archive is read by many tasks
-    ordered = places.repartition(parts, "archive", slab).sortWithinPartitions("archive", "at")
+    ordered = places.repartition("archive", slab).sortWithinPartitions("archive", "at")
     return ordered.mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
 
 
