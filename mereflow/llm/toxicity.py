@@ -2,7 +2,9 @@
 
 Categories are predicted one after the other by linear models over the words of a text. Every later
 model also gets the earlier categories' probabilities; in training these are out-of-fold
-predictions, so that later models see them as they will be on new texts.
+predictions, so that later models see them as they will be on new texts. The labels know toxic texts but not their
+kinds, so the earlier categories are kinds that the labelled toxic texts fall into by the words that set them apart,
+in whatever language; the last is the label itself.
 """
 
 from __future__ import annotations
@@ -25,12 +27,8 @@ FOLDS = 4
 STEMS = (4, 5, 6)
 #: Normal score from which a word's shares among the labels count as different.
 SIGNIFICANT = 4.0
-#: Categories before the last, by words that name them: a labelled toxic text with such a word is an example.
-CATEGORIES = {
-    "insult": ("idiot", "moron", "loser", "clown", "stupid", "fool", "dumb"),
-    "contempt": ("scum", "trash", "worthless", "disgusting", "pathetic", "filth", "vermin"),
-    "threat": ("kill", "die", "hurt", "destroy", "hang", "shoot"),
-}
+#: Kinds of toxic texts before the last category, and the most telling words that part them.
+KINDS, TELLING = 3, 512
 
 
 def _hash(w: str) -> int:
@@ -53,20 +51,53 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(np.clip(p, 1e-6, 1 - 1e-6) / (1 - np.clip(p, 1e-6, 1 - 1e-6)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2500, longest: int = 50_000, categories: dict[str, tuple[str, ...]] = CATEGORIES, least: int = 3) -> dict:
+def _kinds(found: list[np.ndarray], telling: np.ndarray, k: int) -> np.ndarray:
+    """Kind 0 to k - 1 of each text, the largest first, by spherical k-means over its telling words; -1 for a text without any.
+
+    Centres start at the text least like the centres so far, so that the same texts always give the same kinds.
+    """
+    place = {int(w): i for i, w in enumerate(telling)}
+    x = np.zeros((len(found), len(telling)), np.float32)
+    for i, f in enumerate(found):
+        x[i, [place[int(w)] for w in f if int(w) in place]] = 1
+    size = np.linalg.norm(x, axis=1)
+    some = np.flatnonzero(size > 0)
+    out = np.full(len(found), -1)
+    if not len(some):
+        return out
+    x = x[some] / size[some, None]
+    centres = [x[np.argmax(x @ x.mean(0))]]
+    while len(centres) < min(k, len(some)):
+        centres.append(x[np.argmin(np.max(np.stack(centres) @ x.T, axis=0))])
+    c = np.stack(centres)
+    of = None
+    for _ in range(50):
+        new = np.argmax(x @ c.T, axis=1)
+        if of is not None and (new == of).all():
+            break
+        of = new
+        for j in range(len(c)):
+            if (of == j).any():
+                m = x[of == j].mean(0)
+                c[j] = m / max(np.linalg.norm(m), 1e-9)
+    order = np.argsort(-np.bincount(of, minlength=len(c)), kind="stable")
+    out[some] = np.argsort(order)[of]
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2500, longest: int = 50_000, kinds: int = KINDS, least: int = 3) -> dict:
     """The chain, from at most ``per_class`` labelled texts of each class of at most ``longest`` characters.
 
-    Words of fewer than ``least`` sampled texts have no weight. A category without both kinds of
+    Words of fewer than ``least`` sampled texts have no weight. A category without both sorts of
     examples is its share among the labels.
     """
     rows, sizes = labelled_sample(docs, labels, label, per_class, longest)
-    names = [*categories, label]
+    names = [*(f"kind_{k + 1}" for k in range(kinds)), label]
     if not rows:
         return {"names": names, "links": [0.0] * len(names), "slot": np.full(WIDTH, -1, np.int32)}
     known: dict[str, tuple[int, ...]] = {}
     found = [_features(t, known) for t, _ in rows]
     toxic = np.array([v for _, v in rows], float)
-    words = [set(WORD.findall(t.lower())) if v else set() for t, v in rows]
     # words that one label holds more often than chance would have it; the rest only fit noise
     in_toxic, in_other = (np.bincount(np.concatenate([f for f, y in zip(found, toxic) if y == k] or [np.empty(0, np.int64)]), minlength=WIDTH) for k in (1, 0))
     n1, n0 = max(1.0, toxic.sum()), max(1.0, (1 - toxic).sum())
@@ -75,6 +106,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     often = (in_toxic + in_other >= least) & (np.abs(z) > SIGNIFICANT)
     slot = np.full(WIDTH, -1, np.int32)
     slot[often] = np.arange(often.sum(), dtype=np.int32)
+    of = np.full(len(rows), -1)
+    telling = np.flatnonzero(often & (z > 0))
+    telling = np.sort(telling[np.argsort(-z[telling], kind="stable")[:TELLING]])
+    bad = np.flatnonzero(toxic == 1)
+    of[bad] = _kinds([found[i] for i in bad], telling, kinds)
     found = [slot[f][slot[f] >= 0] for f in found]
     weight, width = natural(toxic, sizes), int(often.sum())
     fold = np.arange(len(rows)) % FOLDS
@@ -89,8 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         z = np.bincount(np.repeat(np.arange(len(some)), np.diff(cuts)), w[index], len(some))
         return sigmoid(z + dense[some] @ w[width:-1] + w[-1])
 
-    for name in names:
-        y = toxic if name == label else np.array([float(bool(w & set(categories[name]))) for w in words])
+    for step, name in enumerate(names):
+        y = toxic if name == label else (of == step).astype(float)
         everyone = np.arange(len(rows))
         if min(y.sum(), len(y) - y.sum()) < FOLDS:
             links.append(float((y * weight).sum() / weight.sum()))
