@@ -49,9 +49,8 @@ def _votes(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.packbits(2 * total > n[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
 
 
-def fingerprints_of(texts: list[bytes], size: int = 4) -> np.ndarray:
-    """Fingerprints of texts by XXH64 of their shingles of ``size`` words; no word gives 0."""
-    out = np.zeros(len(texts), np.uint64)
+def _words(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased texts with one space after each word; and where each word begins and stops in it, and its text."""
     raw = _FOLD[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
     ends = np.cumsum([len(t) + 1 for t in texts])
     gap = _SPACE[raw]
@@ -59,20 +58,47 @@ def fingerprints_of(texts: list[bytes], size: int = 4) -> np.ndarray:
     kept = np.flatnonzero(~gap | ~after)
     norm = raw[kept]
     stop = np.flatnonzero(gap[kept])  # the one gap after each word
-    if not len(stop):
-        return out
     norm[stop] = 0x20
-    doc = np.searchsorted(ends, kept[stop], side="right")
-    begin = np.concatenate([[0], stop[:-1] + 1])
+    begin = np.concatenate([[0], stop[:-1] + 1]) if len(stop) else stop
+    return norm.tobytes(), begin, stop, np.searchsorted(ends, kept[stop], side="right")
+
+
+def _shingles(norm: bytes, begin: np.ndarray, stop: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts that have words, their shingles' hashes one after the other, and the cuts between texts."""
     owners, first, n = np.unique(doc, return_index=True, return_counts=True)
     shingles = np.maximum(1, n - size + 1)
     total = np.cumsum(shingles)
     i = np.repeat(first - (total - shingles), shingles) + np.arange(total[-1])
     last = np.minimum(i + size - 1, np.repeat(first + n - 1, shingles))
-    out[owners] = _votes(xxh64(norm.tobytes(), begin[i], stop[last]), np.concatenate([[0], total]))
+    return owners, xxh64(norm, begin[i], stop[last]), np.concatenate([[0], total])
+
+
+def fingerprints_of(texts: list[bytes], size: int = 4) -> np.ndarray:
+    """Fingerprints of texts by XXH64 of their shingles of ``size`` words; no word gives 0."""
+    out = np.zeros(len(texts), np.uint64)
+    norm, begin, stop, doc = _words(texts)
+    if len(stop):
+        owners, h, cuts = _shingles(norm, begin, stop, doc, size)
+        out[owners] = _votes(h, cuts)
     return out
 
 
+def _distinct(h: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's different hashes in order, and the cuts between texts."""
+    own = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    order = np.lexsort((h, own))
+    h, own = h[order], own[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])])
+    return h[new], np.concatenate([[0], np.cumsum(np.bincount(own[new], minlength=len(cuts) - 1))])
+
+
+def _scatter(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of independent hashes made of one."""
+    h = h * np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x632BE59BD9B4E019 & (1 << 64) - 1)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, h, fp) of every whole text; ``h`` is a hash of the text. Null and wordless texts have fingerprint 0."""
     arrow_rows(docs.sparkSession)
@@ -152,18 +178,24 @@ def _around(fps: DataFrame, radius: int, inner: int) -> DataFrame:
     return fps.mapInArrow(run, f"node {fps.schema['node'].dataType.simpleString()}, v long, inside boolean")
 
 
-def _linked_around(crowd: DataFrame, bits: int) -> DataFrame:
+def _linked_around(crowd: DataFrame, bits: int, hubs: bool = False) -> DataFrame:
     """Edges (a, b) that connect what differs in at most ``bits`` bits, through the values between.
 
     Two fingerprints differ in at most that many bits exactly if a value lies within half of them, rounded up, of the
-    one and rounded down of the other; all that lie around such a value with an inner one are one component.
+    one and rounded down of the other; all that lie around such a value with an inner one are one component. They are
+    linked to the smallest of them or, with ``hubs``, to the one that most others lie around as well.
     """
     about = _around(crowd, -(-bits // 2), bits // 2)
-    heads = about.groupBy("v").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some")
+    if hubs:
+        about = scratch.save(about, "around")
+        met = about.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        about = about.join(about.join(met, "v").groupBy("node").agg(F.sum("n").alias("met")), "node")
+    head = F.max_by("node", F.struct("met", "node")) if hubs else F.min("node")
+    heads = about.groupBy("v").agg(head.alias("head"), F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some")
     return about.join(heads.select("v", "head"), "v").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
 
 
-def links(fps: DataFrame, bits: int = 4, dense: int = DENSE) -> DataFrame:
+def links(fps: DataFrame, bits: int = 4, dense: int = DENSE, hubs: bool = False) -> DataFrame:
     """Edges (a, b) of nodes whose components are those of "fingerprints differ in at most ``bits`` bits", for bits up to 4.
 
     ``fps`` has columns node, of any type with an order, and fp, distinct. Keys that hold over ``dense``
@@ -187,7 +219,7 @@ def links(fps: DataFrame, bits: int = 4, dense: int = DENSE) -> DataFrame:
     if not some:
         return edges
     crowd = fps.join(variants.join(crowded, "key", "left_semi").select("fp").distinct(), "fp").select("node", "fp")
-    return edges.union(_linked_around(scratch.save(crowd, "crowd"), bits))
+    return edges.union(_linked_around(scratch.save(crowd, "crowd"), bits, hubs))
 
 
 def _rooted(docs: DataFrame, bits: int, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -225,7 +257,109 @@ def dedup(docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_i
     stays by a fixed order of the texts' hashes. A row without an id stays only where its group has no id.
     """
     _, rooted = _rooted(docs, bits, shingle, id_col, text_col)
+    return _kept(docs, rooted, id_col, text_col)
+
+
+def _kept(docs: DataFrame, rooted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that are roots, one of each."""
     keep = rooted.select(F.col("root.doc_id").alias("__id"), F.col("root.h").alias("__h")).distinct()
     own = docs.withColumns({"__i": F.col(id_col).cast("long"), "__t": F.xxhash64(F.col(text_col).cast("string"))})
     found = own.join(keep, own["__i"].eqNullSafe(keep["__id"]) & (own["__t"] == keep["__h"]), "left_semi")
     return found.dropDuplicates(["__i", "__t"]).drop("__i", "__t")
+
+
+# Similar texts ---------------------------------------------------------------------------------
+
+#: Fingerprints over a text's different words, of which one within four bits makes a candidate.
+VIEWS = 4
+#: Keys of more fingerprints than this link to hubs, so that a group of g near copies has no g * g candidates.
+CROWD = 64
+
+
+def _signatures(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, h, sig, f0, f1, ...) of every row: a hash of the text, one of its set of shingles, and its fingerprints over words."""
+    arrow_rows(docs.sparkSession)
+    names = ["sig", *(f"f{k}" for k in range(VIEWS))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
+            out, a, held = np.zeros((len(texts), 1 + VIEWS), np.uint64), 0, 0
+            for i, t in enumerate(texts):
+                held += len(t)
+                if held >= CHUNK_BYTES or i == len(texts) - 1:
+                    norm, begin, stop, doc = _words(texts[a : i + 1])
+                    if len(stop):
+                        owners, h, cuts = _shingles(norm, begin, stop, doc, shingle)
+                        h, cuts = _distinct(h, cuts)
+                        out[a + owners, 0] = np.add.reduceat(_scatter(h, 0), cuts[:-1])
+                        words, cuts = _distinct(*_shingles(norm, begin, stop, doc, 1)[1:])
+                        for k in range(VIEWS):
+                            out[a + owners, 1 + k] = _votes(_scatter(words, k), cuts)
+                    a, held = i + 1, 0
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), *(pa.array(out[:, k].astype(np.int64)) for k in range(1 + VIEWS))], names=["doc_id", "h", *names])
+
+    text = F.col(text_col).cast("string")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    return own.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "h", *names)))
+
+
+def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(sig, hashes) for texts (sig, text): the different shingles in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for t in batch.column("text").cast(pa.binary()).to_pylist():
+                norm, begin, stop, doc = _words([t or b""])
+                sets.append(np.unique(_shingles(norm, begin, stop, doc, shingle)[1]).view(np.int64) if len(stop) else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(sets, pa.list_(pa.int64()))], names=["sig", "hashes"])
+
+    return texts.mapInArrow(run, "sig long, hashes array<long>")
+
+
+def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+    """Two tables: (doc_id, h, sig) of every row; and (sig, root) of the different texts, with the smallest row of their group.
+
+    Texts are one group where a chain of links joins them; a link is a Jaccard similarity of the sets of ``shingle``
+    words of at least ``similarity``, compared exactly. Candidates are texts that one of ``VIEWS`` fingerprints
+    over their different words puts within four bits, found by deletion variants. Words change less than shingles
+    do, so few bits do: a text of which every fiftieth word is replaced keeps a shingle similarity of 0.82, and 96 % of the words' angle.
+    Texts without words are one group.
+    """
+    rows = scratch.save(_signatures(docs, shingle, id_col, text_col), "signatures")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    own = rows.groupBy("sig").agg(F.min(row).alias("m"), *(F.min(f"f{k}").alias(f"f{k}") for k in range(VIEWS)))
+    own = scratch.save(own, "texts")
+    # what a large group of near copies was copied from shares its fingerprints with the most of them: it speaks for them
+    weighed = own
+    for k in range(VIEWS):
+        weighed = weighed.join(own.groupBy(f"f{k}").agg(F.count(F.lit(1)).alias(f"n{k}")), f"f{k}")
+    weighed = scratch.save(weighed.withColumn("shared", sum(F.col(f"n{k}") for k in range(VIEWS))).select("sig", "shared", *(f"f{k}" for k in range(VIEWS))), "weighed")
+    found = None
+    for k in range(VIEWS):
+        fps = scratch.save(weighed.groupBy(F.col(f"f{k}").alias("fp")).agg(F.max_by("sig", F.struct("shared", "sig")).alias("node")), "fps")
+        same = own.select(F.col("sig").alias("b"), F.col(f"f{k}").alias("fp")).join(fps, "fp").where("node <> b").select(F.col("node").alias("a"), "b")
+        part = scratch.save(links(fps, 4, crowd, hubs=True).union(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+        found = part if found is None else found.union(part)
+    pairs = scratch.save(found.distinct(), "candidates")
+    asked = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    reps = own.join(asked, "sig", "left_semi").select("sig", F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_"))
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text).alias("t"), text.alias("text"))
+    texts = texts.join(reps, F.col("i").eqNullSafe(F.col("i_")) & (F.col("t") == F.col("h_"))).select("sig", "text")
+    sets = scratch.save(_shingle_sets(texts, shingle), "sets").dropDuplicates(["sig"])
+    both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    linked = both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    node = F.struct("m.none", "m.doc_id", "m.h", "sig")
+    named = own.select("sig", node.alias("node"))
+    edges = linked.join(named.select(F.col("sig").alias("a"), F.col("node").alias("x")), "a").join(named.select(F.col("sig").alias("b"), F.col("node").alias("y")), "b").select("x", "y")
+    roots = connected_components(edges, "x", "y").select(F.col("node").alias("node_"), "root")
+    return rows, named.join(roots, F.col("node") == F.col("node_"), "left").select("sig", F.coalesce("root", "node").alias("root"))
+
+
+def dedup_similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of :func:`similar` texts, all columns kept; which one is as in :func:`dedup`."""
+    _, rooted = similar(docs, similarity, shingle, id_col, text_col)
+    return _kept(docs, rooted, id_col, text_col)

@@ -107,6 +107,60 @@ def test_simhash_of_repeated_ids_and_long_texts(spark):
     assert simhash.dedup(docs_frame(spark, [])).count() == 0
 
 
+def similar_pairs(rows, least=0.8):
+    sets = {}
+    for i, t in rows:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))))
+        sets[i] = frozenset(b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+    return {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])}
+
+
+def test_similar_texts(spark):
+    """All links are true ones; few true ones are missed; a large group of near copies is one group."""
+    rng = random.Random(9)
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "klmnp"]
+    text = lambda n: [rng.choice(words) + str(rng.randrange(40)) for _ in range(n)]
+    rows, own = [], 0
+    for n in (60, 130, 250, 500):
+        for _ in range(8):
+            base = text(n)
+            for edits in (0, 1, max(1, n // 60), max(1, n // 50)):
+                t = list(base)
+                for k in rng.sample(range(n), edits):
+                    t[k] = "new" + str(rng.randrange(10**6))
+                rows.append((own, " ".join(t)))
+                own += 1
+    base = text(200)
+    group = range(own, own + 150)
+    for i in group:
+        t = list(base)
+        for k in rng.sample(range(200), 3):
+            t[k] = "other" + str(rng.randrange(10**6))
+        rows.append((i, " ".join(t)))
+    rows += [(5000, " ".join(base)), (5001, ""), (5002, None), (5003, " \n"), (5004, "two words"), (5005, "TWO  words"), (5006, "two other"), (None, " ".join(base))]
+    true = similar_pairs([r for r in rows if r[0] is not None and r[0] not in group])
+    signs, rooted = simhash.similar(docs_frame(spark, rows))
+    root = {r.sig: r.root.doc_id for r in rooted.collect()}
+    got = {r.doc_id: root[r.sig] for r in signs.collect() if r.doc_id is not None}
+    caught = sum(got[a] == got[b] for a, b in true)
+    assert caught >= 0.93 * len(true), (caught, len(true))
+    chained = {}
+    for a, b in sorted(similar_pairs([r for r in rows if r[0] is not None])):
+        chained.setdefault(a, set()).add(b)
+        chained.setdefault(b, set()).add(a)
+    for i, r in got.items():
+        seen, todo = {i}, [i]
+        while todo:
+            new = chained.get(todo.pop(), set()) - seen
+            seen |= new
+            todo += new
+        assert r in seen and r <= i
+    assert len({got[i] for i in group}) <= 5 and got[5001] == got[5002] == got[5003] == 5001 and got[5004] == got[5005] == 5004 != got[5006]
+    kept = [r.doc_id for r in simhash.dedup_similar(docs_frame(spark, rows)).collect()]
+    assert sorted(kept, key=str) == sorted(set(got.values()), key=str)
+    assert simhash.dedup_similar(docs_frame(spark, [])).count() == 0
+
+
 def test_suffixes(spark):
     rng = random.Random(3)
     base = "".join(rng.choice("abcdefgh \u00e9\u00df") for _ in range(2000))
@@ -300,11 +354,20 @@ def test_warc_lookup_returns_payloads(spark):
     asked = df.where("page_id % 40 = 3").select(warc.sort_key(F.col("url"), F.col("page_id")).alias("key"))
     got = {r.page_id: (r.url, bytes(r.payload).decode()) for r in warc.read(warc.look_up(capture, asked), folder).collect()}
     assert got == {i: (u, h) for i, u, h in rows if i % 40 == 3}
-    limit, warc.DIRECTORY_ROWS = warc.DIRECTORY_ROWS, 1
-    try:
-        assert warc.look_up(capture, asked).count() == 5
-    finally:
-        warc.DIRECTORY_ROWS = limit
+
+
+def test_warc_of_many_equal_keys(spark):
+    """Rows without an id and with one url share a key over many blocks and pages of the index."""
+    from mereflow import scratch
+
+    rows = [(None, "http://a.example.org/p", f"<p>{i}") for i in range(90)] + [(i, f"http://{c}.example.org/{i}", f"<b>{i}") for i, c in enumerate("ab" * 20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    folder = scratch.new_path(spark, "warc-test")
+    capture = warc.build_index(warc.write(df, folder), lines=4, page=3)
+    key = warc.sort_key(F.col("url"), F.col("page_id"))
+    for which in ("page_id is null", "page_id % 7 = 1", "true"):
+        got = warc.read(warc.look_up(capture, df.where(which).select(key.alias("key"))), folder).collect()
+        assert sorted(bytes(r.payload).decode() for r in got) == sorted(r.html for r in df.where(which).collect())
 
 
 def test_urls(spark):
@@ -357,6 +420,36 @@ def test_toxicity(spark):
     assert toxicity.score(odd, toxicity.fit(docs, labels.limit(0))).count() == len(ODD)
 
 
+def test_toxicity_chain_against_plain_one(spark):
+    """Three kinds of bad words in two languages: every link by plain loops, fed by the links before it."""
+    rng = random.Random(6)
+    kinds = [["grumf", "blarg", "snork"], ["zwitz", "krach", "dumpf"], ["pifpaf", "chouine", "merdouille"]]
+    plain = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    rows, tags = [], []
+    for i in range(600):
+        bad = i % 2
+        own = rng.sample(plain, 12) + (rng.sample(kinds[i // 2 % 3], 2) if bad else [])
+        rng.shuffle(own)
+        rows.append((i, " ".join(own)))
+        tags.append((i, bad))
+    docs, labels = docs_frame(spark, rows), spark.createDataFrame(tags, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for i, t in rows:
+        features = {f for w in t.split() for f in (w, *(w[:n] + "-" for n in (4, 5, 6) if len(w) >= n))}
+        slots = sorted({int(model["slot"][zlib.crc32(f.encode()) % toxicity.WIDTH]) for f in features} - {-1})
+        before = []
+        for w in model["links"]:
+            z = w[-1] + sum(w[k] for k in slots) + sum(a * b for a, b in zip(w[len(w) - 1 - len(before) : -1], before))
+            before.append(min(max(z, -30), 30))
+        p = [1 / (1 + np.exp(-z)) for z in before]
+        assert np.allclose(p, [got[i].kind_1, got[i].kind_2, got[i].kind_3, got[i].score], atol=1e-6)
+    assert all(r.predicted == tags[i][1] for i, r in got.items())
+    by_kind = {tuple(sorted({int(np.argmax([got[i].kind_1, got[i].kind_2, got[i].kind_3])) for i, _ in rows if i % 2 and i // 2 % 3 == k})) for k in range(3)}
+    assert sorted(by_kind) == [(0,), (1,), (2,)]
+    assert toxicity.score(docs_frame(spark, []), model).count() == 0
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id: r for r in langid.predictions(docs).collect()}
