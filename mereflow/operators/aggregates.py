@@ -13,6 +13,8 @@ INTERIOR, EDGES, DARK_CLASSES = (OPEN_WATER, LOW_COHERENCE, LOW_COHERENCE_EDGE),
 #: Prior probabilities of the composite area model.
 P_CORRECT, P_WATER, P_TRUE_FRACTION, DEM_STD = 0.9, 0.5, 0.5, 10.0
 TINY = 2.22e-16
+#: Phase derivatives whose mean is below this part of their mean size cancel: the object has no uncertainty by looks.
+CANCELS = 1e-12
 
 
 def metric(column: str, kind: str, percentile: float = 50.0) -> Column:
@@ -30,7 +32,7 @@ def metric(column: str, kind: str, percentile: float = 50.0) -> Column:
 
 
 def _weight(std: Column, method: str) -> Column:
-    return 1 / (std * std) if method == "weight" else F.lit(1.0)
+    return F.try_divide(F.lit(1.0), std * std) if method == "weight" else F.lit(1.0)
 
 
 def weighted(column: Column, std: Column, method: str = "weight") -> Column:
@@ -39,31 +41,35 @@ def weighted(column: Column, std: Column, method: str = "weight") -> Column:
     if method == "median":
         return F.median(h)
     w = F.when(h.isNotNull(), _weight(std, method))
-    return F.sum(w * h) / F.sum(w)
+    return F.try_divide(F.sum(w * h), F.sum(w))
 
 
 def scaled_std(column: Column, std: Column, method: str = "weight") -> Column:
     """Weighted sample deviation over the root of the independent looks."""
     h = finite(column)
     w = F.when(h.isNotNull(), _weight(std, method))
-    mean = F.sum(w * h) / F.sum(w)
-    spread = F.greatest(F.sum(w * h * h) / F.sum(w) - mean * mean, F.lit(0.0))
-    looks = F.avg(F.when(h.isNotNull(), F.col("eff_num_medium_looks") / F.col("eff_num_rare_looks")))
-    return F.sqrt(spread) * F.sqrt(looks / F.count(h))
+    mean = F.try_divide(F.sum(w * h), F.sum(w))
+    spread = F.greatest(F.try_divide(F.sum(w * h * h), F.sum(w)) - mean * mean, F.lit(0.0))
+    looks = F.avg(F.when(h.isNotNull(), F.try_divide("eff_num_medium_looks", "eff_num_rare_looks")))
+    return F.sqrt(spread) * F.sqrt(F.try_divide(looks, F.count(h)))
 
 
 def multilook_uncertainty(derivative: str, height: Column, std: Column, method: str = "weight") -> Column:
-    """Uncertainty from the object's coherence, for a derivative by phase: dheight, dlatitude or dlongitude."""
+    """Uncertainty from the object's coherence, for a derivative by phase: dheight, dlatitude or dlongitude.
+
+    Null for an object without weights, looks or coherence, and where the derivatives cancel.
+    """
     ok = finite(height).isNotNull()
     w = F.when(ok, _weight(std, method))
     total = F.sum(w)
-    v = lambda c: F.sum(w * c) / total
+    v = lambda c: F.try_divide(F.sum(w * c), total)
     vv = lambda c: F.sum(w * c)
-    coherence = F.sqrt(vv(F.col("ifg_re")) ** 2 + vv(F.col("ifg_im")) ** 2) / F.sqrt(vv(F.col("power_plus_y")) * vv(F.col("power_minus_y")))
+    coherence = F.try_divide(F.sqrt(vv(F.col("ifg_re")) ** 2 + vv(F.col("ifg_im")) ** 2), F.sqrt(vv(F.col("power_plus_y")) * vv(F.col("power_minus_y"))))
     looks = F.avg(F.when(ok, F.col("eff_num_rare_looks"))) * F.count(F.when(ok, 1))
-    variance = F.greatest(0.5 / looks * (1 - coherence**2) / coherence**2, F.lit(TINY))
+    variance = F.try_divide(F.try_divide(F.lit(0.5), looks) * (1 - coherence**2), coherence**2)
     d = F.col(f"{derivative}_dphase")
-    return F.sqrt(variance) * F.abs(v(d * d) / v(d))
+    mean = F.when(F.abs(v(d)) > CANCELS * v(F.abs(d)), v(d))
+    return F.sqrt(F.when(variance.isNotNull(), F.greatest(variance, F.lit(TINY)))) * F.abs(F.try_divide(v(d * d), mean))
 
 
 def height_aggregates(height: Column, std: Column, method: str = "weight") -> dict[str, Column]:
@@ -110,7 +116,7 @@ def area_uncertainty(pixels: DataFrame, klass: Column, keys: list[str], scope: l
     bdwf = (pfd * (1 - P_WATER) - pmd * P_WATER) * P_TRUE_FRACTION + P_WATER * bf
     va = u2 * pf + alpha * alpha * vf
     over = Window.partitionBy(*scope)
-    share = F.least(F.lit(1.0), F.sum(edge.cast("double")).over(over) / F.sum(either.cast("double")).over(over))
+    share = F.least(F.lit(1.0), F.try_divide(F.sum(edge.cast("double")).over(over), F.sum(either.cast("double")).over(over)))
     own = pixels.withColumn("pde", F.coalesce(share, F.lit(0.0)))
     bias = F.when(either, a * ((1 - F.col("pde")) * bdwf + F.col("pde") * alpha * bf))
     own = own.withColumn("bias", bias)
@@ -150,20 +156,20 @@ def areas(pixels: DataFrame, keys: list[str], scope: list[str] | None = None, me
         (F.col("tu") / 1e6).alias("area_tot_u"),
         F.coalesce("area_detct", F.lit(0.0)).alias("area_detct"),
         (F.col("du") / 1e6).alias("area_det_u"),
-        (F.coalesce("area_detct", F.lit(0.0)) / F.col("area_total")).alias("percent_det"),
+        F.try_divide(F.coalesce("area_detct", F.lit(0.0)), F.col("area_total")).alias("percent_det"),
         dark_fraction(F.coalesce("area_detct", F.lit(0.0)), F.col("area_total")).alias("dark_frac"),
     )
 
 
 def dark_fraction(detected: Column, total: Column) -> Column:
-    return 1 - detected / total
+    return 1 - F.try_divide(detected, total)
 
 
 def backscatter(kind: str = "rare") -> dict[str, Column]:
     """Mean, deviation and uncertainty of sig0; the uncertainty from rare or medium looks."""
     s = finite(F.col("sig0"))
     looks = F.col("eff_num_rare_looks" if kind == "rare" else "eff_num_medium_looks")
-    return {"sig0": F.avg(s), "sig0_std": F.stddev_pop(s), "sig0_u": F.sqrt(F.sum(s * s / looks)) / F.count(s)}
+    return {"sig0": F.avg(s), "sig0_std": F.stddev_pop(s), "sig0_u": F.try_divide(F.sqrt(F.sum(F.try_divide(s * s, looks))), F.count(s))}
 
 
 def two_sigma(df: DataFrame, keys: list[str], columns: list[str], how: str = "mean") -> DataFrame:
@@ -205,7 +211,7 @@ CORRECTIONS = {
 
 def mean_time(t: Column) -> Column:
     """Mean of times in seconds, added up exactly in microseconds: a sum of doubles of this size depends on the order of rows."""
-    return F.sum(t.cast("decimal(20,6)")).cast("double") / F.count(t)
+    return F.sum(t.cast("decimal(20,6)")).cast("double") / F.nullif(F.count(t), F.lit(0))
 
 
 def lake_attributes(pixels: DataFrame, keys: list[str], height: Column, std: Column, nominal: float = 0.5, scope: list[str] | None = None) -> DataFrame:
@@ -251,7 +257,7 @@ def fuse_duplicates(lakes: DataFrame, keys: list[str], ratio: list[str], total:
 
     def mean(c):
         known = F.sum(F.when(F.col(c).isNull() & a.isNotNull(), 1).otherwise(0)) == 0
-        fused = F.sum(F.when(a.isNotNull(), F.col(c) * a)) / F.sum(a)
+        fused = F.try_divide(F.sum(F.when(a.isNotNull(), F.col(c) * a)), F.sum(a))
         return F.when(F.count(a) == 0, F.avg(c)).when(known, fused).alias(c)
 
     def add(c):

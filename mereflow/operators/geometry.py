@@ -211,6 +211,66 @@ def dilate(cells: DataFrame, distance: int, *keep: str) -> DataFrame:
     return wide.withColumn("__b", around).withColumn("iy", F.col("iy") + F.col("__b")).drop("__b").distinct()
 
 
+def erode(cells: DataFrame, distance: int, *keep: str) -> DataFrame:
+    """(keep, ix, iy) of the cells whose whole square of ``distance`` cells around them is there."""
+    own = cells.select(*keep, "ix", "iy").distinct()
+    for c, other in (("ix", "iy"), ("iy", "ix")):
+        moved = own.withColumn(c, F.explode(F.sequence(F.col(c) - distance, F.col(c) + distance)))
+        own = moved.groupBy(*keep, other, c).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 2 * distance + 1).select(*keep, "ix", "iy")
+    return own
+
+
+def expand_water(cells: DataFrame, steps: list[tuple[int, float]], key: str = "id", height: str = "height") -> DataFrame:
+    """(step, key, height, ix, iy): every region's cells widened by each step's distance, its height moved by the step's change."""
+    out = None
+    for i, (distance, change) in enumerate(steps):
+        wide = dilate(cells, distance, key, height).select(F.lit(i).alias("step"), key, (F.col(height) + change).alias(height), "ix", "iy")
+        out = wide if out is None else out.unionByName(wide)
+    return out
+
+
+def extent_between(cells: DataFrame, distance: int, key: str = "id", share: float = 0.001) -> DataFrame:
+    """(ix, iy) between lowest and highest water, from the cells (key, ix, iy) of the regions of all dates.
+
+    The highest water is all regions widened by ``distance``; the lowest are the smallest regions that share no more than
+    ``share`` of their cells with a smaller one already taken, closed by the same distance.
+    """
+    own = scratch.save(cells.select(key, "ix", "iy").distinct(), "region-cells")
+    size = own.groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("area"))
+    other = own.select(F.col(key).alias("b"), "ix", "iy")
+    both = own.withColumnRenamed(key, "a").join(other, ["ix", "iy"]).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    sized = lambda c: size.select(F.col(key).alias(c), F.col("area").alias(f"area_{c}"))
+    meets = both.join(sized("a"), "a").join(sized("b"), "b").where(F.col("n") > share * F.greatest("area_a", "area_b")).select("a", "b")
+    least = disjoint_smallest(size, meets, key).select(key)
+    low = erode(dilate(own.join(least, key, "left_semi"), distance), distance)
+    return dilate(own, distance).join(low, ["ix", "iy"], "left_anti")
+
+
+def union_areas(shapes: DataFrame, keys: list[str], part: str) -> DataFrame:
+    """(keys, area) of the union of each group's polygons (keys, part, rings).
+
+    As in :func:`overlay_area` the plane is cut into slabs in which edges keep their order; there each polygon is entered at its odd edges
+    and left at its even ones, and stretches inside any of them count.
+    """
+    e = scratch.save(edges(shapes.select(F.struct(*keys, part).alias("k"), "rings"), "k").select("k.*", "x1", "y1", "x2", "y2"), "union-edges")
+    g = e.select(*keys, F.col(part).alias("part_"), *(F.col(c).alias(f"{c}_") for c in ("x1", "y1", "x2", "y2")))
+    sx, sy, tx, ty = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("x2_") - F.col("x1_"), F.col("y2_") - F.col("y1_")
+    det = sx * ty - sy * tx
+    t = F.try_divide((F.col("x1_") - F.col("x1")) * ty - (F.col("y1_") - F.col("y1")) * tx, det)
+    meet = (F.col(part) < F.col("part_")) & (F.greatest("y1", "y1_") < F.least("y2", "y2_")) & (F.least("x1", "x2") <= F.greatest("x1_", "x2_")) & (F.least("x1_", "x2_") <= F.greatest("x1", "x2")) & (det != 0)
+    cross = e.join(g, keys).where(meet).withColumn("t", t).where("t > 0 and t < 1").select(*keys, (F.col("y1") + F.col("t") * sy).alias("y"))
+    cuts = e.select(*keys, F.col("y1").alias("y")).union(e.select(*keys, F.col("y2").alias("y"))).union(cross).distinct()
+    slabs = cuts.select(*keys, F.col("y").alias("lo"), F.lead("y").over(Window.partitionBy(*keys).orderBy("y")).alias("hi")).where("hi is not null")
+    middle = (F.col("lo") + F.col("hi")) / 2
+    spans = e.join(slabs, keys).where((F.col("y1") <= F.col("lo")) & (F.col("y2") >= F.col("hi"))).withColumn("x", F.col("x1") + (middle - F.col("y1")) / (F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1")))
+    number = F.row_number().over(Window.partitionBy(*keys, "lo", part).orderBy("x"))
+    order = Window.partitionBy(*keys, "lo").orderBy("x", part)
+    spans = spans.withColumn("turn", F.when(number % 2 == 1, 1).otherwise(-1))
+    inside = F.sum("turn").over(order.rowsBetween(Window.unboundedPreceding, 0)) > 0
+    width = F.when(inside, (F.lead("x").over(order) - F.col("x")) * (F.col("hi") - F.col("lo"))).otherwise(0.0)
+    return spans.withColumn("w", width).groupBy(*keys).agg(F.sum("w").alias("area"))
+
+
 def convex_hulls(points: DataFrame, keys: list[str], row: str = "azimuth_index") -> DataFrame:
     """(keys, ring) of each group's points (x, y): only the outermost of every row reach the group's task."""
     import pandas as pd

@@ -29,29 +29,50 @@ def within(left: DataFrame, right: DataFrame, radius: float, dims: tuple[str, ..
 def nearest(left: DataFrame, right: DataFrame, k: int, key: str, right_key: str, size: float) -> DataFrame:
     """(key, the right's columns with ``_r``, d, rank): the k nearest right points of every left point in the plane.
 
-    Buckets start at ``size`` and double for points whose k-th neighbour may lie beyond those searched;
-    the largest covers everything. Ties go to the smaller right key.
+    Left points first meet the buckets of ``size`` next to their own. Those that find fewer than k points there go down a tree
+    of buckets instead, which halve from level to level: of a level's non-empty buckets a point keeps those
+    no further away than some of them that surely hold k points. So it meets few more than it needs, however far out it
+    lies. Ties go to the smaller right key; with fewer than k right points all are found.
     """
-    box = right.agg(F.min("x").alias("a"), F.max("x").alias("b"), F.min("y").alias("c"), F.max("y").alias("d"), F.count(F.lit(1)).alias("n")).first()
-    lbox = left.agg(F.min("x").alias("a"), F.max("x").alias("b"), F.min("y").alias("c"), F.max("y").alias("d")).first()
-    if not box["n"] or lbox["a"] is None:
-        spread = 0.0
-    else:
-        spread = max(box["b"], lbox["b"]) - min(box["a"], lbox["a"]) + max(box["d"], lbox["d"]) - min(box["c"], lbox["c"])
-    todo, out = left.select(key, "x", "y"), None
-    while True:
-        pairs = within(todo, right, size, inclusive=True)
-        rank = F.row_number().over(Window.partitionBy(key).orderBy("d", f"{right_key}_r"))
-        best = scratch.save(pairs.drop("x", "y").withColumn("rank", rank).where(F.col("rank") <= k), "nearest")
-        if size > spread:
-            return best if out is None else out.unionByName(best)
-        full = best.where(F.col("rank") == k).select(key)
-        done = best.join(full, key, "left_semi")
-        out = done if out is None else out.unionByName(done)
-        todo = scratch.save(todo.join(full, key, "left_anti"), "todo")
-        if todo.isEmpty():
-            return out
-        size *= 2
+    inside = "x is not null and y is not null"
+    right, todo = right.where(inside), left.select(key, "x", "y").where(inside)
+    ranked = F.row_number().over(Window.partitionBy(key).orderBy("d", f"{right_key}_r"))
+    best = scratch.save(within(todo, right, size).drop("x", "y").withColumn("rank", ranked).where(F.col("rank") <= k), "nearest")
+    full = best.where(F.col("rank") == k).select(key)
+    todo = scratch.save(todo.join(full, key, "left_anti"), "todo")
+    if todo.isEmpty():
+        return best
+    at = lambda d: F.floor(F.col(d) / size)
+    buckets = scratch.save(right.groupBy(at("x").alias("bx"), at("y").alias("by")).agg(F.count(F.lit(1)).alias("n")), "buckets")
+    box = buckets.agg(F.min("bx"), F.max("bx"), F.min("by"), F.max("by")).first()
+    level = 0
+    if box[0] is not None:
+        while (box[1] >> level) - (box[0] >> level) > 1 or (box[3] >> level) - (box[2] >> level) > 1:
+            level += 1
+    up = lambda j: [F.shiftright(c, j).alias(c) for c in ("bx", "by")]
+    tops = buckets.select(*up(level)).distinct().collect()  # four at most
+    found = todo.withColumn("b", F.explode(F.array(*(F.struct(F.lit(t["bx"]).alias("bx"), F.lit(t["by"]).alias("by")) for t in tops)))) if tops else todo.limit(0).withColumn("b", F.lit(None).cast("struct<bx: bigint, by: bigint>"))
+    found = found.select(key, "x", "y", "b.bx", "b.by")
+    halves = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))
+    for j in range(level - 1, -1, -1):
+        held = buckets.groupBy(*up(j)).agg(F.sum("n").alias("n"))
+        own = found.withColumn("h", F.explode(halves)).select(key, "x", "y", (2 * F.col("bx") + F.col("h.i")).alias("bx"), (2 * F.col("by") + F.col("h.j")).alias("by"))
+        own = own.join(held, ["bx", "by"])
+        side = size * 2**j
+        low = lambda c, b: F.col(c) - F.col(b) * side  # noqa: E731, B023
+        high = lambda c, b: (F.col(b) + 1) * side - F.col(c)  # noqa: E731, B023
+        reach = lambda f: F.sqrt(f("x", "bx") ** 2 + f("y", "by") ** 2)
+        near = reach(lambda c, b: F.greatest(-low(c, b), -high(c, b), F.lit(0.0)))
+        far = reach(lambda c, b: F.greatest(low(c, b), high(c, b)))
+        own = own.withColumns({"near": near, "far": far})
+        so_far = F.sum("n").over(Window.partitionBy(key).orderBy("far").rowsBetween(Window.unboundedPreceding, 0))
+        bound = F.min(F.when(F.col("sum") >= k, F.col("far"))).over(Window.partitionBy(key))
+        kept = own.withColumn("sum", so_far).withColumn("bound", bound).where("bound is null or near <= bound * (1 + 1e-12)").select(key, "x", "y", "bx", "by")
+        found = scratch.save(kept, "tree")
+    r = right.select(*(F.col(c).alias(f"{c}_r") for c in right.columns), at("x").alias("bx"), at("y").alias("by"))
+    d = F.sqrt((F.col("x") - F.col("x_r")) ** 2 + (F.col("y") - F.col("y_r")) ** 2)
+    rest = found.join(r, ["bx", "by"]).withColumn("d", d).drop("x", "y", "bx", "by").withColumn("rank", ranked).where(F.col("rank") <= k)
+    return best.join(full, key, "left_semi").unionByName(rest)
 
 
 def isolated_points(points: DataFrame, radius: float, more_than: int, key: str = "id") -> DataFrame:
@@ -81,7 +102,9 @@ def grid(points: DataFrame, resolution: float) -> DataFrame:
     """(ix, iy, x, y): centres of the cells, on multiples of the resolution, that cover the points' box."""
     r = resolution
     box = points.agg(F.floor(F.min("x") / r).alias("x0"), (F.ceil(F.max("x") / r) - 1).alias("x1"), F.floor(F.min("y") / r).alias("y0"), (F.ceil(F.max("y") / r) - 1).alias("y1")).where("x0 is not null")
-    cells = box.select(F.explode(F.sequence("x0", F.greatest("x0", "x1"))).alias("ix"), "y0", "y1").select("ix", F.explode(F.sequence("y0", F.greatest("y0", "y1"))).alias("iy"))
+    # columns of cells are dealt out before they are filled, so that many tasks make the grid
+    columns = box.select(F.explode(F.sequence("x0", F.greatest("x0", "x1"))).alias("ix"), "y0", "y1").repartition("ix")
+    cells = columns.select("ix", F.explode(F.sequence("y0", F.greatest("y0", "y1"))).alias("iy"))
     return cells.withColumns({"x": (F.col("ix") + 0.5) * r, "y": (F.col("iy") + 0.5) * r})
 
 
@@ -95,7 +118,7 @@ def idw(cells: DataFrame, points: DataFrame, k: int, size: float, value: str = "
     if limit is not None:
         near = near.where(F.col("d") < limit)
     v, w = F.col(f"{value}_r"), 1 / (F.col("d") + 1e-9)
-    out = near.groupBy("__c").agg((F.sum(v * w) / F.sum(w)).alias(value), F.min("d").alias("min_dist"), F.avg("d").alias("mean_dist"), F.abs(F.stddev_pop(v) / F.avg(v)).alias(f"{value}_rel"))
+    out = near.groupBy("__c").agg((F.sum(v * w) / F.sum(w)).alias(value), F.min("d").alias("min_dist"), F.avg("d").alias("mean_dist"), F.abs(F.try_divide(F.stddev_pop(v), F.avg(v))).alias(f"{value}_rel"))
     return own.select("ix", "iy", "__c").join(out, "__c").drop("__c")
 
 
@@ -120,6 +143,16 @@ def gaussian(cells: DataFrame, points: DataFrame, resolution: float, radius: flo
     return own.groupBy("ix", "iy").agg(mean.alias(value), F.sqrt(spread).alias("std"), F.count(F.lit(1)).alias("n_pts"), F.sum(inside.cast("int")).alias("n_in_cell"))
 
 
+def filtered_raster(points: DataFrame, resolution: float, link: float, least: int, k: int, factor: float, radius: float, sigma: float) -> DataFrame:
+    """(ix, iy, z, std, n_pts, n_in_cell): the raster of what small components and then statistical outliers leave of a cloud (id, x, y, z).
+
+    Either filter's result is written, so that the outliers' statistics are those of the points that the first one kept.
+    """
+    kept = scratch.save(small_components(points, link, least), "components-kept")
+    clean = scratch.save(outliers_removed(kept, k, factor, resolution), "inliers")
+    return gaussian(grid(clean, resolution), clean, resolution, radius, sigma)
+
+
 def mask_raster(cells: DataFrame, points: DataFrame, resolution: float, radius: float, sigma: float, value: str = "mask") -> DataFrame:
     """(ix, iy, value) of highest summed weight; null where two tie, 0 without a point of another value."""
     pairs = within(cells.select("ix", "iy", "x", "y"), points.where(F.col(value) != 0).select("x", "y", value), (radius + 0.5) * resolution)

@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mereflow import scratch
-from mereflow.functions.scalars import finite
+from mereflow.functions.scalars import finite, hour_bucket, lon_180, range_spacing, surface_elevation
 from mereflow.operators import aggregates as A
+from mereflow.operators import geometry as G
+from mereflow.operators import geoloc as O
 from mereflow.operators import labels as L
+from mereflow.operators import link as K
 from mereflow.operators import neighbours as N
 from mereflow.operators import select as P
 
@@ -23,6 +26,27 @@ def read(spark: SparkSession, path: str, schema: str | None = None, columns: lis
     return out.select(*columns) if columns else out
 
 
+#: Columns that the floodplain reads of a pixel cloud, beside its keys and position.
+SCANNED = ("classification", "pixel_area", "incidence", "cross_track", "pole_tide", "load_tide_got", "load_tide_fes", "solid_earth_tide", "geoid", "illumination_time")
+
+
+def floodplain_scan(pixels: DataFrame, vec: DataFrame, keys: list[str], nominal: float, near_range: float, altitude: float, load_tide: str = "both") -> DataFrame:
+    """Water pixels (classes above 1) at the complement's positions, with elevation, range spacing and hour.
+
+    Pixels without a complement row go, and so do rows with a null or NaN in any column that is read.
+    """
+    place = ("longitude", "latitude", "height")
+    own = pixels.where("classification > 1").select(*keys, *SCANNED).join(vec.select(*keys, *place), keys).dropna(subset=[*SCANNED, *place])
+    return own.withColumns(
+        {
+            "longitude": lon_180(F.col("longitude")),
+            "elevation": surface_elevation(*(F.col(c) for c in ("height", "geoid", "solid_earth_tide", "pole_tide", "load_tide_got", "load_tide_fes")), load_tide),
+            "range_spacing": range_spacing(F.lit(nominal), F.col("incidence"), F.lit(altitude), F.lit(near_range), F.col("range_index")),
+            "hour": hour_bucket(F.col("illumination_time")),
+        }
+    )
+
+
 def edge_scan(edge: DataFrame, keys: list[str], hours: float = 24.0, time: str = "illumination_time") -> DataFrame:
     """Edge pixels within ``hours`` of their swath's first time; tile order is the tile number's."""
     first = edge.groupBy(*keys).agg(F.min(time).alias("__first"))
@@ -85,6 +109,12 @@ def write(df: DataFrame, path: str, order: list[str] | None = None, by: list[str
     (out.write.partitionBy(*by) if by else out.write).parquet(path)
 
 
+def write_grid(grid: DataFrame, path: str, values: list[str], digits: int = 6) -> None:
+    """A raster (ix, iy, x, y, values) as a Parquet table in the order of its cells, dealt by columns of cells; missing values are filled."""
+    out = for_sink(grid, ["ix", "iy", "x", "y", *values], digits)
+    out.repartitionByRange("ix", "iy").sortWithinPartitions("ix", "iy").write.parquet(path)
+
+
 def export_points(pixels: DataFrame, columns: list[str], water_only: bool = False) -> DataFrame:
     """Chosen columns with the point as text."""
     own = pixels.where(F.col("classification").isin(3, 4, 6, 7)) if water_only else pixels
@@ -146,38 +176,80 @@ def row_spacing(pixels: DataFrame, keys: list[str]) -> DataFrame:
 
 def sample_per_lake(pixels: DataFrame, keys: list[str], most: int, key: list[str]) -> DataFrame:
     """At most ``most`` pixels of each lake, by the least hash of the pixel's key: the same ones every time."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*key), *key))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.md5(F.concat_ws("_", *key)), *key))
     return pixels.withColumn("__r", rank).where(F.col("__r") <= most).drop("__r")
 
 
 # Jobs -----------------------------------------------------------------------------------------
 
 
-def tile_product(pixels: DataFrame, min_size_km2: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """(lakes inside the tiles with their attributes, edge pixels): one plan over all tiles."""
-    good = P.with_roles(P.located(pixels)).where("is_for_hull").drop("lake")
-    labelled = scratch.save(L.lake_labels(good.where("is_water or is_dark")), "tile-labels")
-    flags = L.border_flags(labelled)
-    inside = labelled.join(flags.where("edge_loc is null").select("tile_number", "label"), ["tile_number", "label"], "left_semi")
-    keep = P.large_objects(inside, ["tile_number", "label"], min_size_km2, F.col("is_interior")).select("tile_number", "label")
-    lakes = A.lake_attributes(inside.join(keep, ["tile_number", "label"], "left_semi"), ["tile_number", "label"], P.corrected_height(), F.col("height_std"))
-    return lakes, L.edge_pixels(labelled)
-
-
-def pass_product(edge: DataFrame, meta: DataFrame, keys: list[str]) -> DataFrame:
-    """Attributes of the lakes that tile borders cut, merged along the pass."""
-    names = L.merge_tiles(edge, L.tile_layout(meta, keys), keys)
-    merged = edge.join(names, ["tile_number", "label"])
-    return A.lake_attributes(merged, [*keys, "merged"], P.corrected_height(), F.col("height_std"), scope=keys)
+def linked_cells(pixels: DataFrame, prior: DataFrame, key: str, size: float, least: float = 0.02) -> DataFrame:
+    """(key, lake_id, area, overlap): how many pixels (key, id, x, y) of each object lie in each prior lake, where that is over ``least`` of its pixels."""
+    held = G.points_in_polygons(pixels.select("id", "x", "y"), prior, "id", "lake_id", size)
+    whole = pixels.groupBy(key).agg(F.count(F.lit(1)).alias("whole"))
+    shared = held.join(pixels.select("id", key), "id").groupBy(key, "lake_id").agg(F.count(F.lit(1)).cast("double").alias("area"))
+    return shared.join(whole, key).withColumn("overlap", F.col("area") / F.col("whole")).where(F.col("overlap") > least).drop("whole")
 
 
-def floodplain(points: DataFrame, resolution: float, k: int = 5, near: float = 10000.0, min_area: float = 0.0) -> DataFrame:
-    """Elevation grid from the shoreline points of water bodies: borders off, small regions off, boundary cells, then inverse distances."""
-    from mereflow.operators.geometry import boundary_cells
+def tile_product(pixels: DataFrame, prior: DataFrame, min_size_km2: float = 0.0, size: float = 8.0) -> dict[str, DataFrame]:
+    """The tile job, one plan over all tiles, from pixels with a plane position x, y and prior lakes (lake_id, rings) in that plane.
 
+    ``obs``: lakes inside the tiles that overlap prior ones, with attributes, hull and the prior ids by decreasing overlap;
+    ``unassigned``: those that overlap none; ``prior``: all prior lakes with the ids of their lakes, null where unobserved;
+    ``vec``: every pixel of these lakes with the height that its geolocation is moved to; ``edge``: pixels of lakes that tile borders cut.
+    """
+    keys = ["tile_number", "label"]
+    good = P.with_roles(P.located(pixels)).where("is_for_hull").drop("lake")
+    labelled = scratch.save(L.lake_labels(good.where("is_water or is_dark")).withColumn("id", L.pixel_id()), "tile-labels")
+    inside = labelled.join(L.border_flags(labelled).where("edge_loc is null").select(*keys), keys, "left_semi")
+    keep = P.large_objects(inside, keys, min_size_km2, F.col("is_interior")).select(*keys)
+    own = scratch.save(inside.join(keep, keys, "left_semi"), "tile-lakes")
+    hulls = G.convex_hulls(own.select(*keys, "azimuth_index", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), keys)
+    lakes = A.lake_attributes(own, keys, P.corrected_height(), F.col("height_std")).join(hulls, keys)
+    lakes = lakes.withColumn("obs_id", F.col("label").cast("string"))
+    links = scratch.save(linked_cells(own.withColumn("obs_id", F.col("label").cast("string")), prior, "obs_id", size), "tile-links")
+    per_obs, per_lake = K.linked_lists(links)
+    return {
+        "obs": lakes.join(per_obs, "obs_id"),
+        "unassigned": lakes.join(per_obs, "obs_id", "left_anti"),
+        "prior": prior.select("lake_id").join(per_lake, "lake_id", "left"),
+        "vec": O.height_model(own, keys).select("tile_number", "range_index", "azimuth_index", "label", "height_target"),
+        "edge": L.edge_pixels(labelled),
+    }
+
+
+def pass_product(edge: DataFrame, meta: DataFrame, keys: list[str], prior: DataFrame, size: float = 8.0) -> dict[str, DataFrame]:
+    """The pass job: lakes that tile borders cut, merged along the pass.
+
+    ``objects``: every merged lake with its attributes; ``prior``: a row per linked prior lake, the values of its
+    observations fused; ``unassigned``: merged lakes without a prior one; ``vec``: the edge pixels with their merged lake's height,
+    which update the tiles' complements.
+    """
+    names = L.merge_tiles(edge, L.tile_layout(meta, keys), keys)
+    merged = scratch.save(edge.join(names, ["tile_number", "label"]), "pass-lakes")
+    objects = A.lake_attributes(merged, [*keys, "merged"], P.corrected_height(), F.col("height_std"), scope=keys).withColumn("obs_id", F.col("merged").cast("string"))
+    objects = scratch.save(objects, "pass-objects")
+    links = scratch.save(linked_cells(merged.withColumn("obs_id", F.col("merged").cast("string")), prior, "obs_id", size), "pass-links")
+    linked = objects.join(links.select("obs_id", "lake_id", "overlap"), "obs_id")
+    return {
+        "objects": objects,
+        "prior": A.fuse_duplicates(linked, ["lake_id"], ["wse"], ["n_pix"], ["quality_f"], {"obs_id": "overlap"}),
+        "unassigned": objects.join(links.select("obs_id").distinct(), "obs_id", "left_anti"),
+        "vec": O.height_model(merged, [*keys, "merged"]).select("tile_number", "range_index", "azimuth_index", "merged", "height_target"),
+    }
+
+
+def floodplain(points: DataFrame, resolution: float, k: int = 5, near: float = 10000.0, min_area: float = 0.0, widen: int = 1) -> DataFrame:
+    """Elevation between lowest and highest water, from scanned pixels with a plane position x, y and an elevation z.
+
+    Borders and small regions off, then the shorelines' points, and around them the grid cells between the smallest and the widest
+    extent of the regions, by inverse distances and with a quality flag.
+    """
     water = P.remove_borders(P.of_classes(points, (3, 4, 5, 6, 7)), near)
-    regions = L.large_regions(L.lake_labels(water, diagonal=True), min_area)
-    shore = boundary_cells(regions, ["label"]).where(finite(F.col("z")).isNotNull()).withColumn("id", L.pixel_id())
+    regions = scratch.save(L.large_regions(L.lake_labels(water, diagonal=True), min_area), "water-regions")
+    shore = G.boundary_cells(regions, ["label"]).where(finite(F.col("z")).isNotNull()).withColumn("id", L.pixel_id())
     shore = scratch.save(shore.select("id", "x", "y", "z"), "shore")
-    cells = N.grid(shore, resolution)
+    place = [F.floor(F.col(c) / resolution).alias(f"i{c}") for c in ("x", "y")]
+    mask = G.extent_between(regions.select(F.col("label").alias("id"), *place), widen)
+    cells = N.grid(shore, resolution).join(mask, ["ix", "iy"], "left_semi")
     return N.idw(cells, shore, k, resolution).withColumn("quality", N.quality())

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from mereflow import fixtures as X
@@ -65,6 +63,21 @@ def a23_nearest_full_pass(spark, sf_dir):
     return C.nearest_full_pass(C.archive(X.lakesp(spark, sf_dir)), ["area_total", "area_tot_u"])
 
 
+_SHAPE = "cast(pass_number%7*3 as double) as x0, cast(pass_number%7*3+2+pass_number%4 as double) as x1, cast(pass_number%5*2 as double) as y0, cast(pass_number%5*2+3 as double) as y1"
+
+
+@query("with {lakesp}, " + FIRST + ", " + NEAR + f""", s as (select *, {_SHAPE} from f), n as (select cycle_number, lake_id from f group by 1,2 having min(partial_f)=1),
+  u as (select cycle_number, lake_id, count(distinct ix*1000+iy) as a from s join n using (cycle_number, lake_id), range(0,40) i(ix), range(0,40) j(iy) where ix>=x0 and ix<x1 and iy>=y0 and iy<y1 group by 1,2),
+  v as (select cycle_number, lake_id, avg(area_tot_u) as u, count(*) as k from s join n using (cycle_number, lake_id) group by 1,2)
+  select cycle_number, lake_id, round(b.a,6) as area_avg, round(b.u,8) as area_avg_u, cast(1 as int) as parts from nr union all select cycle_number, lake_id, cast(a as double), round(u,8), cast(k as int) from u join v using (cycle_number, lake_id)""")
+def a23_cycle_shape(spark, sf_dir):
+    own = C.archive(X.lakesp(spark, sf_dir)).selectExpr("*", *(x.strip() for x in _SHAPE.replace(", cast", "|cast").split("|")))
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0"))
+    out = C.cycle_shape(own.withColumn("rings", F.array(ring)), [])
+    return out.select("cycle_number", "lake_id", F.round("area_avg", 6).alias("area_avg"), F.round("area_avg_u", 8).alias("area_avg_u"), F.size("parts").alias("parts"))
+
+
 def _bridge(spark, sf_dir):
     lakes = X.lakesp(spark, sf_dir).where("partial_f = 0 and quality_f < 2").select("lake_id", "cycle_number", "pass_number", "obs_id", "wse", "wse_u", F.col("area_total").alias("area"), F.col("area_tot_u").alias("area_u"), "partial_f", (F.col("n") * 10.0).alias("overlap"))
     return lakes.join(X.pld(spark, sf_dir), "lake_id")
@@ -103,12 +116,12 @@ def d8_s16_cycle_product(spark, sf_dir):
     return r6(out.select("cycle_number", "lake_id", "npass", "pass_full", "pass_part", "wse_avg", "wse_hmin", "wse_hmed", "wse_hmax", "area_avg", "ds1_l_avg", "ds1_q_avg"), digits=7)
 
 
-@query("""with o as (select distinct cast(o_orderdate as date) as d from orders), l as (select distinct cast(l_shipdate as date) as s from lineitem where day(l_shipdate)=15 and month(l_shipdate)%4=0),
+@query("""with o as (select distinct cast(o_orderdate as date) as d from orders), l as (select distinct cast(l_shipdate as date) as s from lineitem),
   j as (select d, s, row_number() over (partition by d order by abs(s-d), s) as r from o left join l on abs(s-d)<=99)
   select d as acquired, s as nearest from j where r=1""")
-def j21_nearest_date(spark, sf_dir, dates="day(l_shipdate) = 15 and month(l_shipdate) % 4 = 0"):
+def j21_nearest_date(spark, sf_dir):
     o = X.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("acquired")).distinct()
-    m = X.table(spark, sf_dir, "lineitem").where(dates)
+    m = X.table(spark, sf_dir, "lineitem")
     return C.nearest_date(o, m, "acquired", "l_shipdate")
 
 
@@ -183,11 +196,11 @@ def x6_local_frames(spark, sf_dir):
 
 
 @query("""with p as (select c_custkey, radians(c_custkey*7.3e0%360-180) as l1, radians(c_custkey*3.7e0%160-80) as f1, radians(c_custkey*5.1e0%360-180) as l2, radians(c_custkey*2.9e0%160-80) as f2 from customer)
-  select c_custkey, round(6371008.8*acos(greatest(-1,least(1,sin(f1)*sin(f2)+cos(f1)*cos(f2)*cos(l2-l1)))),2) as d from p where c_custkey%50<>0""")
-def x7_great_circle(spark, sf_dir, rows="c_custkey % 50 <> 0"):
+  select c_custkey, case when abs(f2-f1)<1.7e-11 and abs(sin((l2-l1)/2))<1e-11 then 0 else round(6371008.8*acos(greatest(-1,least(1,sin(f1)*sin(f2)+cos(f1)*cos(f2)*cos(l2-l1)))),2) end as d from p""")
+def x7_great_circle(spark, sf_dir):
     k = F.col("c_custkey")
     d = S.great_circle(k * 7.3 % 360 - 180, k * 3.7 % 160 - 80, k * 5.1 % 360 - 180, k * 2.9 % 160 - 80)
-    return X.table(spark, sf_dir, "customer").where(rows).select("c_custkey", F.round(d, 2).alias("d"))
+    return X.table(spark, sf_dir, "customer").select("c_custkey", F.round(d, 2).alias("d"))
 
 
 @query("with {pld} select lake_id, coalesce(ref_area_u,-99999999) as o, nullif(ds_t0,-99999999) as i, coalesce(nullif(ds_t0,-99999999),9.96921e36) as r from pld")
@@ -225,10 +238,3 @@ def x11_x12_phase_and_angle(spark, sf_dir):
 def x15_x17_heights(spark, sf_dir):
     c = F.col
     return r6(X.pixc(spark, sf_dir).where("not isnan(height)").select(*KEY, S.exaggerate(c("height"), 3.5, 10.0).alias("h"), S.node_ellipsoid_height(c("height"), c("geoid"), c("load_tide_fes"), c("solid_earth_tide"), F.lit(0.001)).alias("e")))
-
-
-# The SQL of these leaves rows out; ``_all`` takes all dates, and all customers with 0 between equal places.
-QUERIES["j21_nearest_date_all"] = partial(j21_nearest_date, dates="true")
-ORACLE["j21_nearest_date_all"] = ORACLE["j21_nearest_date"].replace(" where day(l_shipdate)=15 and month(l_shipdate)%4=0", "")
-QUERIES["x7_great_circle_all"] = partial(x7_great_circle, rows="true")
-ORACLE["x7_great_circle_all"] = ORACLE["x7_great_circle"].replace(" where c_custkey%50<>0", "").replace("round(6371008.8", "case when abs(f2-f1)<1.7e-11 and abs(sin((l2-l1)/2))<1e-11 then 0 else round(6371008.8").replace(",2) as d", ",2) end as d")

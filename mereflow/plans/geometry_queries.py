@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from mereflow import fixtures as X
@@ -93,17 +91,17 @@ def t2_obs_by_overlap(spark, sf_dir):
     return K.linked_lists(own)[1].select("lake_id", F.array_join("obs_ids", ";").alias("obs_ids"))
 
 
-_PX = f"px as (select tile_number*10000+azimuth_index*100+range_index as pixel, cast(range_index as double) as x, cast(azimuth_index as double) as y from pixc where tile_number<=4 and {WATER})"
+_PX = f"px as (select tile_number*10000+azimuth_index*100+range_index as pixel, cast(range_index as double) as x, cast(azimuth_index as double) as y from pixc where {WATER})"
 
 
-def _pixels(spark, sf_dir, tiles="tile_number <= 4"):
-    p = _water(spark, sf_dir).where(tiles)
+def _pixels(spark, sf_dir):
+    p = _water(spark, sf_dir)
     return p.select((F.col("tile_number") * 10000 + F.col("azimuth_index") * 100 + F.col("range_index")).alias("pixel"), F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
 
 
 @query("with {pixc}, {poly}, " + _PX + " select pixel, lake_id from px, poly where x>=x0 and x<x1 and y>=y0 and y<y1")
-def j6_points_in_polygons(spark, sf_dir, tiles="tile_number <= 4"):
-    return G.points_in_polygons(_pixels(spark, sf_dir, tiles), _prior(spark, sf_dir), "pixel", "lake_id", 8.0)
+def j6_points_in_polygons(spark, sf_dir):
+    return G.points_in_polygons(_pixels(spark, sf_dir), _prior(spark, sf_dir), "pixel", "lake_id", 8.0)
 
 
 @query("with {pixc}, {poly}, " + _PX + ", " + _OBS + ", " + _LINKS + """, po as (select pixel, x, y, min(obs_id) as obs_id from px join obs on x>=x0 and x<x1 and y>=y0 and y<y1 group by 1,2,3),
@@ -112,8 +110,8 @@ def j6_points_in_polygons(spark, sf_dir, tiles="tile_number <= 4"):
   v as (select lake_id, x0 as vx, y0 as vy from poly union all select lake_id, x1, y0 from poly union all select lake_id, x1, y1 from poly union all select lake_id, x0, y1 from poly),
   ne as (select pixel, arg_min(lake_id, struct_pack(d:=pow(x-vx,2)+pow(y-vy,2), l:=lake_id)) as lake from po join lk using (obs_id) join v using (lake_id) group by 1)
   select pixel, obs_id, case when n=1 then single else coalesce(i.lake, ne.lake) end as lake_id from po left join c using (obs_id) left join i using (pixel) left join ne using (pixel)""")
-def j7_j8_pixel_lakes(spark, sf_dir, tiles="tile_number <= 4"):
-    px, o = _pixels(spark, sf_dir, tiles), _observed(spark, sf_dir)
+def j7_j8_pixel_lakes(spark, sf_dir):
+    px, o = _pixels(spark, sf_dir), _observed(spark, sf_dir)
     held = G.points_in_polygons(px, o, "pixel", "obs_id", 8.0).groupBy("pixel").agg(F.min("obs_id").alias("obs_id"))
     return K.pixel_lakes(px.join(held, "pixel"), _links(spark, sf_dir), _prior(spark, sf_dir), 8.0).select("pixel", "obs_id", "lake_id")
 
@@ -146,9 +144,9 @@ def j12_edge_objects(spark, sf_dir):
     return K.edge_objects(G.boxes(_observed(spark, sf_dir), "obs_id"), border, "obs_id", 16.0).select("obs_id")
 
 
-@query("with {pixc}, {poly}, " + _PX + " select distinct pixel%100 as obj from px, poly where x>=x0 and x<x1 and y>=y0 and y<y1 and cast(right(lake_id,1) as int)*1.5>5")
-def j13_exempt_objects(spark, sf_dir, tiles="tile_number <= 4", obj="pixel % 100"):
-    points = _pixels(spark, sf_dir, tiles).select(F.col("pixel").alias("point"), F.expr(obj).alias("obj"), "x", "y")
+@query("with {pixc}, {poly}, " + _PX + " select distinct pixel//10000*100+pixel%100 as obj from px, poly where x>=x0 and x<x1 and y>=y0 and y<y1 and cast(right(lake_id,1) as int)*1.5>5")
+def j13_exempt_objects(spark, sf_dir):
+    points = _pixels(spark, sf_dir).select(F.col("pixel").alias("point"), F.expr("pixel div 10000 * 100 + pixel % 100").alias("obj"), "x", "y")
     lakes = _prior(spark, sf_dir).withColumns({"overlap_avg": F.lit(1.5), "nb_tiles": F.substring("lake_id", -1, 1).cast("int")})
     return K.exempt_objects(points, lakes, "obj", 8.0)
 
@@ -166,30 +164,30 @@ def x14_copy_prior(spark, sf_dir):
     return K.copy_prior(_links(spark, sf_dir).withColumn("overlap", F.round("overlap", 9)), prior).drop("p_res_id")
 
 
-_RINGS = _reach("tile_number<=2 and classification in (3,4,5,6)", FOUR)
+_RINGS = _reach("classification in (3,4,5,6)", FOUR)
 
 
 @query(_RINGS + """, q as (select p.*, label from p join l using (id)),
   s as (select label, count(*) as cells, sum(case when exists (select 1 from q z where z.label=q.label and z.t=q.t and z.a=q.a and z.r=q.r+1) then 0 else 1 end+case when exists (select 1 from q z where z.label=q.label and z.t=q.t and z.a=q.a and z.r=q.r-1) then 0 else 1 end
    +case when exists (select 1 from q z where z.label=q.label and z.t=q.t and z.a=q.a+1 and z.r=q.r) then 0 else 1 end+case when exists (select 1 from q z where z.label=q.label and z.t=q.t and z.a=q.a-1 and z.r=q.r) then 0 else 1 end) as n_edges from q group by 1)
   select label, cast(cells as double) as area, cast(n_edges as bigint) as n_edges, cast(1 as bigint) as n_outer from s""")
-def g1_g2_g11_mask_rings(spark, sf_dir, tiles="tile_number <= 2"):
-    own = L.lake_labels(_water(spark, sf_dir, f"{tiles} and classification in (3,4,5,6)"))
+def g1_g2_g11_mask_rings(spark, sf_dir):
+    own = L.lake_labels(_water(spark, sf_dir, "classification in (3,4,5,6)"))
     rings = G.mask_rings(own, ["label"])
     return rings.groupBy("label").agg(F.sum("area").alias("area"), F.sum("n_edges").alias("n_edges"), F.sum((F.col("area") > 0).cast("long")).alias("n_outer"))
 
 
 @query(_RINGS + """, q as (select p.*, label from p join l using (id)) select t as tile_number, r as range_index, a as azimuth_index from q where (select count(*) from q z where z.label=q.label and abs(z.a-q.a)+abs(z.r-q.r)=1)<4""")
-def g14_boundary_cells(spark, sf_dir, tiles="tile_number <= 2"):
-    own = L.lake_labels(_water(spark, sf_dir, f"{tiles} and classification in (3,4,5,6)"))
+def g14_boundary_cells(spark, sf_dir):
+    own = L.lake_labels(_water(spark, sf_dir, "classification in (3,4,5,6)"))
     return G.boundary_cells(own, ["label"]).select(*KEY)
 
 
-@query("""with {pixc}, c as (select range_index as ix, azimuth_index as iy from pixc where tile_number=1 and classification=4)
-  select distinct ix+i as ix, iy+j as iy from c, range(-2,3) a(i), range(-2,3) b(j)""")
+@query("""with {pixc}, c as (select tile_number, range_index as ix, azimuth_index as iy from pixc where classification=4)
+  select distinct tile_number, ix+i as ix, iy+j as iy from c, range(-2,3) a(i), range(-2,3) b(j)""")
 def g8_g9_dilate(spark, sf_dir):
-    c = X.pixc(spark, sf_dir).where("tile_number = 1 and classification = 4").select(F.col("range_index").alias("ix"), F.col("azimuth_index").alias("iy"))
-    return G.dilate(c, 2)
+    c = X.pixc(spark, sf_dir).where("classification = 4").select("tile_number", F.col("range_index").alias("ix"), F.col("azimuth_index").alias("iy"))
+    return G.dilate(c, 2, "tile_number")
 
 
 @query(f"""with {{pixc}}, k as (select {KEYS} from pixc), r as (select *, reach_id as rr from pixc where river=1) select k.*, rr as reach_id from k left join (select {KEYS}, rr from r) using ({KEYS})""")
@@ -215,18 +213,3 @@ def j16_w2_d3_node_heights(spark, sf_dir):
     nodes = p.where("node_id <> 5").select("reach_id", "node_id", (F.col("node_id") * 100.0).alias("s"), (10 + F.col("node_id") * 0.5).alias("fit_height")).distinct()
     px = p.select(*KEY, "reach_id", "node_id", (F.col("node_id") * 100.0 + F.col("range_index") % 41 - 20).alias("along_reach"), F.col("cross_track").alias("height"))
     return r6(K.node_heights(px, nodes).select(*KEY, "height_target"))
-
-
-# The SQL of these fixes a few tiles; ``_all`` is the same work on every tile, with the tile in its keys.
-for _f in (j6_points_in_polygons, j7_j8_pixel_lakes, g1_g2_g11_mask_rings, g14_boundary_cells):
-    QUERIES[f"{_f.__name__}_all"] = partial(_f, tiles="true")
-    ORACLE[f"{_f.__name__}_all"] = ORACLE[_f.__name__].replace("tile_number<=4 and ", "").replace("tile_number<=2 and ", "")
-QUERIES["j13_exempt_objects_all"] = partial(j13_exempt_objects, tiles="true", obj="pixel div 10000 * 100 + pixel % 100")
-ORACLE["j13_exempt_objects_all"] = ORACLE["j13_exempt_objects"].replace("tile_number<=4 and ", "").replace("pixel%100 as obj", "pixel//10000*100+pixel%100 as obj")
-
-
-@query("""with {pixc}, c as (select tile_number, range_index as ix, azimuth_index as iy from pixc where classification=4)
-  select distinct tile_number, ix+i as ix, iy+j as iy from c, range(-2,3) a(i), range(-2,3) b(j)""")
-def g8_g9_dilate_all(spark, sf_dir):
-    c = X.pixc(spark, sf_dir).where("classification = 4").select("tile_number", F.col("range_index").alias("ix"), F.col("azimuth_index").alias("iy"))
-    return G.dilate(c, 2, "tile_number")

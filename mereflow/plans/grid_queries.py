@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from mereflow import fixtures as X
@@ -150,11 +148,11 @@ def c6_absorb_small(spark, sf_dir):
 
 
 # Points: suppliers and orders laid out in the plane
-_PTS = """pts as (select o_orderkey as id, cast(o_orderkey*7919%1000 as double)+o_custkey%7/10.0 as x, cast(o_orderkey*104729%1000 as double)+o_custkey%11/20.0 as y, o_totalprice/10000 as z, cast(o_custkey%3 as int) as mask from orders where o_orderkey%4=0)"""
+_PTS = """pts as (select o_orderkey as id, cast(o_orderkey*7919%1000 as double)+o_custkey%7/10.0 as x, cast(o_orderkey*104729%1000 as double)+o_custkey%11/20.0 as y, o_totalprice/10000 as z, cast(o_custkey%3 as int) as mask from orders)"""
 
 
-def _points(spark, sf_dir, where="o_orderkey % 4 = 0"):
-    return X.table(spark, sf_dir, "orders").where(where).selectExpr("o_orderkey as id", "cast(o_orderkey*7919%1000 as double)+o_custkey%7/10.0D as x", "cast(o_orderkey*104729%1000 as double)+o_custkey%11/20.0D as y", "o_totalprice/10000 as z", "cast(o_custkey%3 as int) as mask")
+def _points(spark, sf_dir):
+    return X.table(spark, sf_dir, "orders").selectExpr("o_orderkey as id", "cast(o_orderkey*7919%1000 as double)+o_custkey%7/10.0D as x", "cast(o_orderkey*104729%1000 as double)+o_custkey%11/20.0D as y", "o_totalprice/10000 as z", "cast(o_custkey%3 as int) as mask")
 
 
 def _cells(r: str) -> str:
@@ -163,74 +161,68 @@ def _cells(r: str) -> str:
 
 
 @query("with " + _PTS + ", " + _cells("50") + " select ix, iy, x, y from cells")
-def r1_grid(spark, sf_dir, points=_points):
-    return N.grid(points(spark, sf_dir), 50.0)
+def r1_grid(spark, sf_dir):
+    return N.grid(_points(spark, sf_dir), 50.0)
 
 
 _KNN = """k as (select ix, iy, p.id, z, sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)) as d, row_number() over (partition by ix, iy order by sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)), p.id) as rank from cells c, pts p)"""
 
 
 @query("with " + _PTS + ", " + _cells("50") + ", " + _KNN + " select ix, iy, id, rank, round(d,6) as d from k where rank<=4")
-def j18_t4_nearest(spark, sf_dir, points=_points):
-    cells = N.grid(points(spark, sf_dir), 50.0).withColumn("c", F.struct("ix", "iy"))
-    near = N.nearest(cells.select("c", "x", "y"), points(spark, sf_dir).select("id", "x", "y"), 4, "c", "id", 10.0)
+def j18_t4_nearest(spark, sf_dir):
+    cells = N.grid(_points(spark, sf_dir), 50.0).withColumn("c", F.struct("ix", "iy"))
+    near = N.nearest(cells.select("c", "x", "y"), _points(spark, sf_dir).select("id", "x", "y"), 4, "c", "id", 10.0)
     return r6(near.select("c.ix", "c.iy", F.col("id_r").alias("id"), "rank", "d"))
 
 
 @query("with " + _PTS + " select a.id, b.id as other, round(sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)),6) as d from pts a join pts b on b.x between a.x-12 and a.x+12 and b.y between a.y-12 and a.y+12 where sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=12")
-def j19_within_radius(spark, sf_dir, points=_points):
-    p = points(spark, sf_dir).select("id", "x", "y")
+def j19_within_radius(spark, sf_dir):
+    p = _points(spark, sf_dir).select("id", "x", "y")
     return r6(N.within(p, p, 12.0).select("id", F.col("id_r").alias("other"), "d"))
 
 
 @query("with " + _PTS + " select a.id from pts a join pts b on b.x between a.x-15 and a.x+15 and b.y between a.y-15 and a.y+15 where sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=15 group by 1 having count(*)>3")
-def c9_isolated_points(spark, sf_dir, points=_points):
-    return N.isolated_points(points(spark, sf_dir), 15.0, 3).select("id")
+def c9_isolated_points(spark, sf_dir):
+    return N.isolated_points(_points(spark, sf_dir), 15.0, 3).select("id")
 
 
 @query("with recursive " + _PTS + """, e as materialized (select a.id as i, b.id as j from pts a join pts b on b.x between a.x-9 and a.x+9 and b.y between a.y-9 and a.y+9 where sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)+pow(a.z-b.z,2))<=9),
   w(i, j) as (select id, id from pts union select w.i, e.j from w join e on w.j=e.i), l as (select i as id, min(j) as root from w group by 1), s as (select root from l group by 1 having count(*)>=3) select id from l join s using (root)""")
-def c7_small_components(spark, sf_dir, points=_points):
-    return N.small_components(points(spark, sf_dir), 9.0, 3).select("id")
+def c7_small_components(spark, sf_dir):
+    return N.small_components(_points(spark, sf_dir), 9.0, 3).select("id")
 
 
-@query("with " + _PTS + """, k as (select a.id, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) as d, row_number() over (partition by a.id order by sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)), b.id) as r from pts a, pts b),
+@query("with " + _PTS + """, k as (select a.id, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) as d, row_number() over (partition by a.id order by sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)), b.id) as r from pts a join pts b on b.x between a.x-150 and a.x+150 and b.y between a.y-150 and a.y+150),
   m as (select id, sum(d)/4 as m from k where r<=5 group by 1) select id from m where m<=(select avg(m)+1.0*stddev_pop(m) from m)""")
-def c8_outliers_removed(spark, sf_dir, points=_points):
-    return N.outliers_removed(points(spark, sf_dir), 4, 1.0, 15.0).select("id")
+def c8_outliers_removed(spark, sf_dir):
+    return N.outliers_removed(_points(spark, sf_dir), 4, 1.0, 15.0).select("id")
 
 
 @query("with " + _PTS + ", " + _cells("50") + ", " + _KNN + """, g as (select ix, iy, sum(z/(d+1e-9))/sum(1/(d+1e-9)) as z, min(d) as mi, avg(d) as me, abs(stddev_pop(z)/avg(z)) as re from k where rank<=5 group by 1,2)
   select ix, iy, round(z,6) as z, round(mi,6) as min_dist, round(me,6) as mean_dist, round(re,6) as z_rel, case when re>0.3 and me*40>500 then 4 when me*40>500 then 3 when re>0.1 then 2 else 1 end as quality from g""")
-def r2_idw_grid(spark, sf_dir, points=_points):
-    p = points(spark, sf_dir)
+def r2_idw_grid(spark, sf_dir):
+    p = _points(spark, sf_dir)
     out = N.idw(N.grid(p, 50.0), p, 5, 15.0).withColumn("far", F.col("mean_dist") * 40)
     return r6(out.withColumn("quality", N.quality("far")).drop("far"))
 
 
 @query("with " + _PTS + ", " + _cells("20") + ", " + _KNN + " select ix, iy, round(sum(z/(d+1e-9))/sum(1/(d+1e-9)),6) as z from k where rank<=5 and d<20 group by 1,2")
-def r3_limited_idw(spark, sf_dir, points=_points):
-    p = points(spark, sf_dir)
+def r3_limited_idw(spark, sf_dir):
+    p = _points(spark, sf_dir)
     return r6(N.idw(N.grid(p, 20.0), p, 5, 20.0, limit=20.0).select("ix", "iy", "z"))
 
 
 @query("with " + _PTS + ", " + _cells("20") + """, j as (select ix, iy, z, p.x as px, p.y as py, sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)) as d from cells c join pts p on p.x between c.x-30 and c.x+30 and p.y between c.y-30 and c.y+30 where sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2))<=30),
   w as (select *, exp(-pow(d-min(d) over (partition by ix, iy),2)/(2*15*15)) as w from j), m as (select ix, iy, sum(w*z)/sum(w) as m from w group by 1,2)
   select ix, iy, round(max(m),6) as z, round(sqrt(sum(w*pow(z-m,2))/sum(w)),5) as std, count(*) as n_pts, cast(sum(case when floor(px/20)=ix and floor(py/20)=iy then 1 else 0 end) as bigint) as n_in_cell from w join m using (ix, iy) group by 1,2""")
-def r4_gaussian_grid(spark, sf_dir, points=_points):
-    p = points(spark, sf_dir)
+def r4_gaussian_grid(spark, sf_dir):
+    p = _points(spark, sf_dir)
     return r6(N.gaussian(N.grid(p, 20.0), p, 20.0, 1.0, 15.0).withColumn("std", F.round("std", 5)))
 
 
 @query("with " + _PTS + ", " + _cells("20") + """, j as (select ix, iy, mask, exp(-(pow(p.x-c.x,2)+pow(p.y-c.y,2))/(2*15*15)) as w from cells c join pts p on p.x between c.x-30 and c.x+30 and p.y between c.y-30 and c.y+30 where sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2))<=30 and mask<>0),
   v as (select ix, iy, mask, round(sum(w),9) as w from j group by 1,2,3), b as (select ix, iy, case when count(*)=1 then max(mask) end as mask, true as got from v where (ix, iy, w) in (select ix, iy, max(w) from v group by 1,2) group by 1,2)
   select ix, iy, case when got then mask else 0 end as mask from cells left join b using (ix, iy)""")
-def r5_mask_grid(spark, sf_dir, points=_points):
-    p = points(spark, sf_dir)
+def r5_mask_grid(spark, sf_dir):
+    p = _points(spark, sf_dir)
     return N.mask_raster(N.grid(p, 20.0), p, 20.0, 1.0, 15.0)
-
-
-# The SQL of these takes a quarter of the orders; ``_all`` is the same work on all of them.
-for _f in (r1_grid, j18_t4_nearest, j19_within_radius, c7_small_components, c8_outliers_removed, c9_isolated_points, r2_idw_grid, r3_limited_idw, r4_gaussian_grid, r5_mask_grid):
-    QUERIES[f"{_f.__name__}_all"] = partial(_f, points=partial(_points, where="true"))
-    ORACLE[f"{_f.__name__}_all"] = ORACLE[_f.__name__].replace(" where o_orderkey%4=0", "")

@@ -11,6 +11,7 @@ from mereflow.operators import labels as L
 from mereflow.operators import neighbours as N
 from mereflow.operators import products as R
 from mereflow.operators import select as P
+from mereflow.plans.grid_queries import _PTS, _cells, _points, _reach
 from mereflow.plans.queries import KEY, KEYS, LAKE, n, r6
 
 QUERIES: dict = {}
@@ -27,6 +28,10 @@ def query(sql=None):
     return put
 
 
+#: Gaussian weights of the points around every cell of 20.
+_GRID = "with " + _PTS + ", " + _cells("20") + """, j as (select ix, iy, z, sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)) as d from cells c join pts p on p.x between c.x-30 and c.x+30 and p.y between c.y-30 and c.y+30 where sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2))<=30),
+  w as (select *, exp(-pow(d-min(d) over (partition by ix, iy),2)/(2*15*15)) as w from j), m as (select ix, iy, sum(w*z)/sum(w) as m from w group by 1,2)"""
+
 #: File names made of order rows: cycle, pass, tile, kind.
 _FILES = """files as (select o_orderkey, printf('OUT_%s_%03d_%03d_%03d%s_20240101T%06d_20240102T%06d_PIC0_%02d.parquet', case o_orderkey%5 when 0 then 'Obs' when 1 then 'Prior' when 2 then 'Unassigned' when 3 then 'Edge' else 'PIXCVec' end,
    o_custkey%3+1, o_custkey%40+1, o_custkey%20+1, case when o_custkey%2=0 then 'L' else 'R' end, o_orderkey%240000, o_orderkey%240000, o_orderkey%100) as file, case o_orderkey%5 when 0 then 'Obs' when 1 then 'Prior' when 2 then 'Unassigned' when 3 then 'Edge' else 'PIXCVec' end as kind,
@@ -44,7 +49,8 @@ def _files(spark, sf_dir):
 
 @query(f"with {{pixc}} select {KEYS}, longitude, latitude from pixc")
 def s1_s2_s14_scan(spark, sf_dir):
-    return R.read(spark, _stored(spark, sf_dir), columns=[*KEY, "longitude", "latitude"])
+    schema = "tile_number long, range_index int, azimuth_index int, longitude double, latitude double, classification int, cycle_number int, pass_number int"
+    return R.read(spark, _stored(spark, sf_dir), schema, [*KEY, "longitude", "latitude"])
 
 
 def _stored(spark, sf_dir):
@@ -55,11 +61,9 @@ def _stored(spark, sf_dir):
     return path
 
 
-@query(f"with {{pixc}} select {KEYS} from pixc where illumination_time-(select min(illumination_time) from pixc)<=90 and (azimuth_index=0 or azimuth_index=95)")
+@query(f"with {{pixc}}, e as (select *, min(illumination_time) over (partition by cycle_number) as t0 from pixc where azimuth_index=0 or azimuth_index=95) select {KEYS} from e where illumination_time-t0<=86400")
 def s3_edge_scan(spark, sf_dir):
-    p = X.pixc(spark, sf_dir).where("azimuth_index in (0, 95)")
-    first = X.pixc(spark, sf_dir).agg(F.min("illumination_time")).first()[0]
-    return R.edge_scan(p.withColumn("illumination_time", F.col("illumination_time")), ["cycle_number"], 90 / 3600).where(F.col("illumination_time") - first <= 90).select(*KEY)
+    return R.edge_scan(X.pixc(spark, sf_dir).where("azimuth_index in (0, 95)"), ["cycle_number"]).select(*KEY)
 
 
 @query("with {lakesp} select lake_id, cycle_number, pass_number, wse from lakesp where starts_with(lake_id,'10000001') and time>0 and wse>-1e10 and area_total>0")
@@ -103,9 +107,34 @@ def s13_x8_sink_rows(spark, sf_dir):
     return R.for_sink(p, [*KEY, "height", "pole_tide", "classification", "reach_id", "obs_id"])
 
 
-@query(f"with {{pixc}} select {KEYS}, round(pixel_area,6) as pixel_area from pixc where classification in (3,4,6,7)")
+@query(f"with {{pixc}} select {KEYS}, round(pixel_area,6) as pixel_area, round(longitude,9) as lon, round(latitude,9) as lat from pixc where classification in (3,4,6,7)")
 def s17_s18_point_export(spark, sf_dir):
-    return R.export_points(X.pixc(spark, sf_dir), [*KEY, "pixel_area"], water_only=True).where("wkt like 'POINT(%)'").drop("wkt")
+    """The text holds the point's numbers to the last digit; the comparison reads them back."""
+    out = R.export_points(X.pixc(spark, sf_dir), [*KEY, "pixel_area"], water_only=True)
+    part = lambda k: F.round(F.regexp_extract("wkt", r"^POINT\((\S+) (\S+)\)$", k).cast("double"), 9)
+    return out.select(*KEY, "pixel_area", part(1).alias("lon"), part(2).alias("lat"))
+
+
+@query(_GRID + " select ix, iy, (ix+0.5e0)*20 as x, (iy+0.5e0)*20 as y, coalesce(round(max(m),6),-999999999999.0) as z, count(*) as n_pts from w join m using (ix, iy) group by 1,2")
+def s17_grid_sink(spark, sf_dir):
+    """The raster as it is read back from its table."""
+    from mereflow import scratch
+
+    p, path = _points(spark, sf_dir), scratch.new_path(spark, "grid")
+    cells = N.grid(p, 20.0)
+    R.write_grid(N.gaussian(cells, p, 20.0, 1.0, 15.0).join(cells, ["ix", "iy"]), path, ["z", "n_pts"])
+    return R.read(spark, path)
+
+
+@query(f"""with {{pixc}}, v as (select {KEYS}, longitude+340 as longitude, latitude, height from pixc where river=0)
+  select {KEYS}, round(case when v.longitude>180 then v.longitude-360 else v.longitude end,9) as longitude, round(v.height-p.pole_tide-p.load_tide_got-p.load_tide_fes-p.solid_earth_tide-p.geoid,6) as elevation,
+  round(0.75/sin(incidence),6) as range_spacing, cast(round_even(illumination_time/3600,0) as bigint) as hour
+  from pixc p join v using ({KEYS}) where classification>1 and not isnan(v.height) and not isinf(pole_tide)""")
+def s6_floodplain_scan(spark, sf_dir):
+    p = X.pixc(spark, sf_dir)
+    vec = p.where("river = 0").withColumn("longitude", F.col("longitude") + 340)
+    own = R.floodplain_scan(p.withColumn("pole_tide", F.nullif("pole_tide", F.lit(float("inf")))), vec, list(KEY), 0.75, 850000.0, 891000.0)
+    return r6(own.select(*KEY, F.round("longitude", 9).alias("longitude"), "elevation", "range_spacing", "hour"))
 
 
 @query("with " + _FILES + " select cycle, pass, min(regexp_extract(file,'_([0-9]{8}T[0-9]{6})_',1)) as start, max(regexp_extract(file,'_([0-9]{8}T[0-9]{6})_PIC',1)) as stop, min(lon_min) as lon_min, max(lon_max) as lon_max, string_agg(distinct file, ';' order by file) as inputs from files group by 1,2")
@@ -126,12 +155,10 @@ def u1_u2_u3_u6_merge(spark, sf_dir):
     return R.merge([own.where("pass_number % 2 = 0"), own.where("pass_number % 3 = 0")], "1", geometry="geometry").drop("geometry")
 
 
-@query("""with {pixc}, c as (select range_index as x, azimuth_index as y, height as z, 0 as source from pixc where tile_number=1 union all select range_index, azimuth_index, height, 1 from pixc where tile_number=2)
-  select x, y, source, not isnan(z) as valid from c where x between 18 and 62 and y between 8 and 42""")
+@query("with {pixc} select range_index as x, azimuth_index as y, case when isnan(height) then null else height end as z, tile_number-1 as source, not isnan(height) as valid from pixc where range_index between 18 and 62 and azimuth_index between 8 and 42")
 def u7_combined_cloud(spark, sf_dir):
-    p = X.pixc(spark, sf_dir)
-    part = lambda t: p.where(F.col("tile_number") == t).select(F.col("range_index").alias("x"), F.col("azimuth_index").alias("y"), F.col("height").alias("z"))
-    return R.combined_cloud([part(1), part(2)], (20, 60, 10, 40), 2).drop("z")
+    p = X.pixc(spark, sf_dir).select(F.col("range_index").alias("x"), F.col("azimuth_index").alias("y"), F.col("height").alias("z"), "tile_number")
+    return R.combined_cloud([p], (20, 60, 10, 40), 2).select("x", "y", F.nanvl("z", F.lit(None).cast("double")).alias("z"), (F.col("tile_number") - 1).alias("source"), "valid")
 
 
 @query("""with {pixc}, r as (select tile_number, azimuth_index, range_index, case when tile_number%2=0 then row_number() over (partition by tile_number, azimuth_index order by range_index desc) else row_number() over (partition by tile_number, azimuth_index order by range_index) end as r from pixc),
@@ -145,9 +172,9 @@ def w9_row_spacing(spark, sf_dir):
     return r6(R.row_spacing(X.pixc(spark, sf_dir), ["tile_number"]), digits=8)
 
 
-@query("with {pixc} select tile_number, lake, least(count(*),50) as n from pixc group by 1,2")
+@query(f"with {{pixc}}, r as (select {KEYS}, lake, row_number() over (partition by tile_number, lake order by md5(concat_ws('_', tile_number, range_index, azimuth_index)), {KEYS}) as r from pixc) select {KEYS}, lake from r where r<=50")
 def t6_sample_per_lake(spark, sf_dir):
-    return R.sample_per_lake(X.pixc(spark, sf_dir), LAKE, 50, list(KEY)).groupBy(*LAKE).agg(F.count(F.lit(1)).alias("n"))
+    return R.sample_per_lake(X.pixc(spark, sf_dir), LAKE, 50, list(KEY)).select(*KEY, "lake")
 
 
 _TRACK = "tr as (select tile_number, i as index, 600000000+tile_number*10+i*0.25 as time from (select distinct tile_number from pixc) t, range(0,6) r(i))"
@@ -218,55 +245,150 @@ def j22_passes_over(spark, sf_dir):
     return O.passes_over(track, areas, 0.6, 0.1)
 
 
-@query()
-def d6_tile_product(spark, sf_dir):
-    lakes, _ = R.tile_product(X.pixc(spark, sf_dir), 0.0001)
-    return r6(lakes)
+_H = "case when isinf(pole_tide) then null else height-geoid-solid_earth_tide-pole_tide-load_tide_fes end"
+_WSE = f"sum(case when classification in (3,4,6,7) then ({_H})/(height_std*height_std) end)/sum(case when classification in (3,4,6,7) and not isinf(pole_tide) then 1/(height_std*height_std) end)"
+_AREA = "sum(case when classification in (2,3) then pixel_area*water_frac else pixel_area end)/1e6"
+_TILE = _reach("not isnan(height) and classification in (3,4,5,6,7)", "abs(q.a-p.a)+abs(q.r-p.r)=1") + """, x as (select t, max(a) as top from p group by 1),
+  f as (select t, label, max(case when a=0 then 1 else 0 end) as b, max(case when a=top then 1 else 0 end) as tp from p join l using (id) join x using (t) group by 1,2),
+  px as (select c.*, p.id, l.label from p join l using (id) join pixc c on c.tile_number=p.t and c.range_index=p.r and c.azimuth_index=p.a)"""
+_TILE_LINKS = """lk as (select label, lake_id, cast(count(*) as double) as area, count(*)/max(k) as overlap from own join (select label, count(*)*1e0 as k from own group by 1) using (label) join poly on range_index+0.5>=x0 and range_index+0.5<x1 and azimuth_index+0.5>=y0 and azimuth_index+0.5<y1 group by 1,2 having count(*)/max(k)>0.02)"""
 
 
-@query()
+def _placed(spark, sf_dir):
+    return X.pixc(spark, sf_dir).withColumns({"x": F.col("range_index") + 0.5, "y": F.col("azimuth_index") + 0.5})
+
+
+def _listed(c):
+    return F.array_join(c, ";")
+
+
+@query(_TILE.replace("{pixc}", "{pixc}, {poly}") + f""", sz as (select t, label from px join f using (label) where b=0 and tp=0 group by 1,2 having sum(case when classification in (4,5) then pixel_area end)/1e6>=0.0001 and min(range_index)<max(range_index) and min(azimuth_index)<max(azimuth_index)),
+  own as (select px.* from px join sz using (label)), {_TILE_LINKS},
+  ob as (select label, count(*) as n_pix, {_WSE} as wse, {_AREA} as area_total, sum(height/(height_std*height_std))/sum(1/(height_std*height_std)) as moved_to from own group by 1),
+  li as (select label, string_agg(lake_id, ';' order by overlap desc, lake_id) as links from lk group by 1),
+  pr as (select lake_id, string_agg(cast(label as varchar), ';' order by area desc, cast(label as varchar)) as links from lk group by 1)
+  select case when links is null then 'Unassigned' else 'Obs' end as kind, cast(label as varchar) as id, links, n_pix, round(wse,6) as wse, round(area_total,9) as area_total, round(moved_to,6) as moved_to from ob left join li using (label)
+  union all select 'Prior', lake_id, links, null, null, null, null from poly left join pr using (lake_id)""")
+def d6_tile_product(spark, sf_dir):
+    """Observed, unassigned and prior lakes of the tile job in one table, with the height that their pixels are moved to."""
+    job = R.tile_product(_placed(spark, sf_dir), X.box_rings(X.poly(spark, sf_dir)), 0.0001)
+    moved = job["vec"].groupBy("label").agg(F.max("height_target").alias("moved_to"))
+    row = lambda df, kind, links: df.join(moved, "label").select(F.lit(kind).alias("kind"), F.col("obs_id").alias("id"), links.alias("links"), "n_pix", F.round("wse", 6).alias("wse"), F.round("area_total", 9).alias("area_total"), F.round("moved_to", 6).alias("moved_to"))
+    lakes = row(job["obs"], "Obs", _listed("lake_ids")).unionByName(row(job["unassigned"], "Unassigned", F.lit(None).cast("string")))
+    prior = job["prior"].select(F.lit("Prior").alias("kind"), F.col("lake_id").alias("id"), _listed("obs_ids").alias("links"))
+    return lakes.unionByName(prior, allowMissingColumns=True)
+
+
+@query(_TILE.replace("{pixc}", "{pixc}, {poly}") + f""", z as (select px.*, range_index+3*(tile_number-1) as rr, (select max(azimuth_index) from px q join f g using (label) where (g.b=1 or g.tp=1) and q.tile_number=px.tile_number) as top from px join f using (label) where b=1 or tp=1),
+  k as (select distinct u.label as i, v.label as j from z u join z v on v.tile_number=u.tile_number+1 and u.azimuth_index=u.top and v.azimuth_index=0 and u.rr=v.rr), kk as (select i, j from k union select j, i from k),
+  m(i, j) as (select distinct label, label from z union select m.i, kk.j from m join kk on m.j=kk.i), mg as (select i as old, min(j) as merged from m group by 1),
+  own as (select z.* exclude (label), merged as label from z join mg on old=label), {_TILE_LINKS},
+  ob as (select label, count(*) as n_pix, {_WSE} as wse, {_AREA} as area_total from own group by 1),
+  fu as (select lake_id, sum(n_pix) as n_pix, case when count(*)=count(wse) then sum(wse*area_total)/sum(area_total) end as wse, sum(area_total) as area_total, string_agg(cast(label as varchar), ';' order by overlap desc, cast(label as varchar)) as links from ob join lk using (label) group by 1)
+  select 'Prior' as kind, lake_id as id, links, cast(n_pix as bigint) as n_pix, round(wse,6) as wse, round(area_total,9) as area_total from fu
+  union all select 'Unassigned', cast(label as varchar), null, n_pix, round(wse,6), round(area_total,9) from ob where label not in (select label from lk)""")
 def d7_pass_product(spark, sf_dir):
-    p = X.pixc(spark, sf_dir).withColumn("pass_number", F.lit(1))
-    _, edge = R.tile_product(p)
+    """Fused prior lakes and unassigned lakes of the pass job."""
+    p = _placed(spark, sf_dir)
+    prior = X.box_rings(X.poly(spark, sf_dir))
+    edge = R.tile_product(p, prior)["edge"].withColumn("pass_number", F.lit(1))
     t = F.col("tile_number")
     meta = p.select("tile_number").distinct().select(F.lit(1).alias("pass_number"), t, (800000 + t * 2.3).alias("near_range"), F.lit(0.75).alias("nominal_slant_range_spacing"), F.lit(96).alias("interferogram_size_azimuth"))
-    return r6(R.pass_product(edge, meta, ["pass_number"]))
+    job = R.pass_product(edge, meta, ["pass_number"], prior)
+    row = lambda df, kind, key, links: df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), links.alias("links"), "n_pix", F.round("wse", 6).alias("wse"), F.round("area_total", 9).alias("area_total"))
+    return row(job["prior"], "Prior", "lake_id", F.col("obs_id")).unionByName(row(job["unassigned"], "Unassigned", "obs_id", F.lit(None).cast("string")))
 
 
-@query()
-def d9_r7_r8_floodplain(spark, sf_dir):
-    p = X.pixc(spark, sf_dir).withColumns({"x": F.col("range_index") + F.col("tile_number") * 100.0, "y": F.col("azimuth_index").cast("double"), "z": F.col("height")})
-    return r6(R.floodplain(p, 8.0, near=20000.0, min_area=100.0))
+#: Greedy disjoint set of regions: rk (id, k by size), mt (id, the ranks of the regions that it meets).
+_GREEDY = """gr(k, taken) as (select cast(0 as bigint), cast([] as bigint[]) union all select g.k+1, case when coalesce(list_has_any(g.taken, mt.bs), false) then g.taken else list_append(g.taken, rk.k) end from gr g join rk on rk.k=g.k+1 left join mt on mt.id=rk.id),
+  ch as (select id from rk where list_contains((select taken from gr order by k desc limit 1), k))"""
+#: Cells (ix, iy) between highest and lowest water, from rc (id, ix, iy).
+_BETWEEN = """sz as materialized (select id, count(*)*1e0 as area from rc group by 1), rk as materialized (select id, row_number() over (order by area, id) as k from sz),
+  sh as (select a.id as a, b.id as b, count(*) as n from rc a join rc b using (ix, iy) where a.id<>b.id group by 1,2), mt as materialized (select a as id, list(rk.k) as bs from sh join sz x on x.id=a join sz y on y.id=b join rk on rk.id=b where n>0.001*greatest(x.area,y.area) group by 1), """ + _GREEDY + """,
+  hi as (select distinct ix+i as ix, iy+j as iy from rc, range(-1,2) a(i), range(-1,2) b(j)), lw as (select distinct ix+i as ix, iy+j as iy from rc join ch using (id), range(-1,2) a(i), range(-1,2) b(j)),
+  er as (select ix+i as ix, iy+j as iy from lw, range(-1,2) a(i), range(-1,2) b(j) group by 1,2 having count(*)=9), bw as (select ix, iy from hi except select ix, iy from er)"""
+
+
+@query("with recursive {poly}, rc as materialized (select lake_id as id, cast(i as bigint) as ix, cast(j as bigint) as iy from poly, range(0,120) a(i), range(0,120) b(j) where i>=x0 and i<x1 and j>=y0 and j<y1), " + _BETWEEN + " select ix, iy from bw")
+def g8_extent_between(spark, sf_dir):
+    steps = lambda a, b: F.explode(F.sequence(F.col(a).cast("long"), F.col(b).cast("long") - 1))
+    cells = X.poly(spark, sf_dir).select(F.col("lake_id").alias("id"), "y0", "y1", steps("x0", "x1").alias("ix")).select("id", "ix", steps("y0", "y1").alias("iy"))
+    return G.extent_between(cells, 1)
 
 
-@query("with {pixc}, p as (select *, case when isnan(height) then null when height>25 then 30+height/1000 else 5+height/1000 end as hh from pixc), b as (select tile_number, lake, stddev_pop(hh)>1 as two, min(hh) as lo, max(hh) as hi from p where hh is not null group by 1,2)"
-       " select p.tile_number, range_index, azimuth_index, cast(case when two and hh>25 then 1 else 0 end as int) as cluster from p join b using (tile_number, lake) where hh is not null")
+@query("""with {pixc}, c as (select tile_number*100+lake as id, max(case when isnan(height) then 0 else height end) over (partition by tile_number, lake) as height, range_index as ix, azimuth_index as iy, classification from pixc),
+  s as (select * from (values (0, 1, 0.5e0), (1, 3, 2e0)) v(step, d, ch)) select distinct cast(step as int) as step, id, round(height+ch,6) as height, ix+i as ix, iy+j as iy from c, s, range(-3,4) a(i), range(-3,4) b(j) where classification=4 and abs(i)<=d and abs(j)<=d""")
+def g9_expand_water(spark, sf_dir):
+    from pyspark.sql import Window
+
+    p = X.pixc(spark, sf_dir).withColumn("h", F.max(F.nanvl("height", F.lit(0.0))).over(Window.partitionBy(*LAKE)))
+    c = p.where("classification = 4").select((F.col("tile_number") * 100 + F.col("lake")).alias("id"), F.col("h").alias("height"), F.col("range_index").alias("ix"), F.col("azimuth_index").alias("iy"))
+    return r6(G.expand_water(c, [(1, 0.5), (3, 2.0)]))
+
+
+_SMALL = """e as materialized (select a.id as i, b.id as j from pts a join pts b on b.x between a.x-9 and a.x+9 and b.y between a.y-9 and a.y+9 where sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)+pow(a.z-b.z,2))<=9),
+  w(i, j) as (select id, id from pts union select w.i, e.j from w join e on w.j=e.i), l as (select i as id, min(j) as root from w group by 1), s as (select root from l group by 1 having count(*)>=3), p1 as materialized (select pts.* from pts join l using (id) join s using (root))"""
+
+
+@query("with recursive " + _PTS + ", " + _SMALL + """, k as (select a.id, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) as d, row_number() over (partition by a.id order by sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)), b.id) as r from p1 a join p1 b on b.x between a.x-250 and a.x+250 and b.y between a.y-250 and a.y+250),
+  me as (select id, sum(d)/4 as m from k where r<=5 group by 1), p2 as materialized (select p1.* from p1 join me using (id) where m<=(select avg(m)+1.0*stddev_pop(m) from me)), """ + _cells("20").replace("from pts", "from p2") + """,
+  j as (select ix, iy, z, p.x as px, p.y as py, sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)) as d from cells c join p2 p on p.x between c.x-30 and c.x+30 and p.y between c.y-30 and c.y+30 where sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2))<=30),
+  ww as (select *, exp(-pow(d-min(d) over (partition by ix, iy),2)/(2*15*15)) as w from j), m as (select ix, iy, sum(w*z)/sum(w) as m from ww group by 1,2)
+  select ix, iy, round(max(m),6) as z, round(sqrt(sum(w*pow(z-m,2))/sum(w)),5) as std, count(*) as n_pts, cast(sum(case when floor(px/20)=ix and floor(py/20)=iy then 1 else 0 end) as bigint) as n_in_cell from ww join m using (ix, iy) group by 1,2""")
+def r8_filtered_raster(spark, sf_dir):
+    out = N.filtered_raster(_points(spark, sf_dir), 20.0, 9.0, 3, 4, 1.0, 1.0, 15.0)
+    return r6(out.withColumn("std", F.round("std", 5)))
+
+
+_FLOOD = f"""with recursive {{pixc}}, sc as (select *, height-pole_tide-load_tide_got-load_tide_fes-solid_earth_tide-geoid as z from pixc where classification in (3,4,5,6,7) and not isnan(height)),
+  li as (select tile_number, azimuth_index, min(case when cross_track>=20000 then range_index end) as fk, max(case when cross_track<20000 then range_index end) as lr from sc group by 1,2), mx as (select tile_number, max(azimuth_index) as am, max(range_index) as rm from sc group by 1),
+  p as materialized (select s.tile_number as t, s.azimuth_index as a, s.range_index as r, s.tile_number*1099511627776+s.azimuth_index*1048576+s.range_index as id, pixel_area, z from sc s join li using (tile_number, azimuth_index) join mx using (tile_number)
+    where cross_track>=20000 and azimuth_index not in (0,am) and range_index<>rm and not (coalesce(fk=lr+1,false) and range_index=fk)),
+  e as materialized (select p.id as i, q.id as j from p join p q on q.t=p.t and q.a between p.a-1 and p.a+1 and q.r between p.r-1 and p.r+1 and q.id<>p.id),
+  w(i, j) as (select id, id from p union select w.i, e.j from w join e on w.j=e.i), l as (select i as id, min(j) as label from w group by 1),
+  lg as (select label from p join l using (id) group by 1 having sum(pixel_area)>100), rg as materialized (select p.*, label, r+t*100e0 as x, a*1e0 as y from p join l using (id) join lg using (label)),
+  ar as (select g.id, count(q.id) as n from rg g left join rg q on q.label=g.label and q.t=g.t and q.a between g.a-1 and g.a+1 and q.r between g.r-1 and g.r+1 and abs(q.a-g.a)+abs(q.r-g.r)=1 group by 1),
+  pts as materialized (select rg.id, x, y, z from rg join ar using (id) where n<4 and not isinf(z)),
+  rc as materialized (select distinct label as id, cast(floor(x/8) as bigint) as ix, cast(floor(y/8) as bigint) as iy from rg), {_BETWEEN}, {_cells("8")},
+  kn as (select ix, iy, p.z, sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)) as d, row_number() over (partition by ix, iy order by sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)), p.id) as rank from cells c join bw using (ix, iy) join pts p on p.x between c.x-100 and c.x+100 and p.y between c.y-100 and c.y+100),
+  gg as (select ix, iy, sum(z/(d+1e-9))/sum(1/(d+1e-9)) as z, min(d) as mi, avg(d) as me, abs(stddev_pop(z)/avg(z)) as re from kn where rank<=5 group by 1,2)
+  select ix, iy, round(z,6) as z, round(mi,6) as min_dist, round(me,6) as mean_dist, round(re,6) as z_rel, case when re>0.3 and me>500 then 4 when me>500 then 3 when re>0.1 then 2 else 1 end as quality from gg"""
+
+
+@query(_FLOOD)
+def d9_r7_floodplain(spark, sf_dir):
+    p = X.pixc(spark, sf_dir)
+    scan = R.floodplain_scan(p, p.select(*KEY, "longitude", "latitude", "height"), list(KEY), 0.75, 850000.0, 891000.0)
+    own = scan.withColumns({"x": F.col("range_index") + F.col("tile_number") * 100.0, "y": F.col("azimuth_index").cast("double"), "z": F.col("elevation")})
+    return r6(R.floodplain(own, 8.0, near=20000.0, min_area=100.0))
+
+
+@query()
 def c4_height_kmeans(spark, sf_dir):
-    h = F.when(F.isnan("height"), None).when(F.col("height") > 25, 30 + F.col("height") / 1000).otherwise(5 + F.col("height") / 1000)
-    own = X.pixc(spark, sf_dir).select(*KEY, "lake", h.alias("height"))
-    return L.height_kmeans(own, LAKE).select(*KEY, "cluster")
+    return L.height_kmeans(X.pixc(spark, sf_dir).select(*KEY, "lake", "height"), LAKE).select(*KEY, "cluster")
 
 
-@query("with {pixc}, q as (select tile_number, lake, range_index as r, azimuth_index as a, height from pixc where tile_number<=2), e as (select * from q where (select count(*) from q z where z.tile_number=q.tile_number and z.lake=q.lake and abs(z.a-q.a)+abs(z.r-q.r)=1)<4)"
+@query("with {pixc}, q as (select tile_number, lake, range_index as r, azimuth_index as a, height from pixc), e as (select * from q where (select count(*) from q z where z.tile_number=q.tile_number and z.lake=q.lake and abs(z.a-q.a)+abs(z.r-q.r)=1)<4)"
        " select tile_number, lake, round(avg(case when not isnan(height) then height end),8) as z from e group by 1,2")
 def a25_j20_ring_elevation(spark, sf_dir):
-    p = X.pixc(spark, sf_dir).where("tile_number <= 2").select(*KEY, "lake", F.col("height").alias("z"))
-    return r6(G.ring_elevation(p, LAKE), digits=8)
+    return r6(G.ring_elevation(X.pixc(spark, sf_dir).select(*KEY, "lake", F.col("height").alias("z")), LAKE), digits=8)
 
 
-@query("with {pixc}, {poly}, c as (select lake_id, count(*) as k from pixc, poly where tile_number=3 and range_index>=x0 and range_index<x1 and azimuth_index>=y0 and azimuth_index<y1 group by 1) select lake_id as area_id, round(coalesce(k,0)/((x1-x0)*(y1-y0)),8) as ratio from poly left join c using (lake_id)")
+@query("with {pixc}, {poly}, t as (select distinct tile_number from pixc), c as (select lake_id, tile_number, count(*) as k from pixc, poly where range_index>=x0 and range_index<x1 and azimuth_index>=y0 and azimuth_index<y1 group by 1,2)"
+       " select tile_number, lake_id as area_id, round(coalesce(k,0)/((x1-x0)*(y1-y0)),8) as ratio from poly cross join t left join c using (lake_id, tile_number)")
 def a32_coverage(spark, sf_dir):
-    cells = X.pixc(spark, sf_dir).where("tile_number = 3").select((F.col("azimuth_index") * 100 + F.col("range_index")).alias("id"), F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
-    return r6(G.coverage(X.box_rings(X.poly(spark, sf_dir)).withColumnRenamed("lake_id", "area_id"), cells, 1.0, 10.0), digits=8)
+    cell = (F.col("tile_number") * 10000 + F.col("azimuth_index") * 100 + F.col("range_index")).alias("id")
+    cells = X.pixc(spark, sf_dir).select(cell, "tile_number", F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
+    return r6(G.coverage(X.box_rings(X.poly(spark, sf_dir)).withColumnRenamed("lake_id", "area_id"), cells, 1.0, 10.0, "tile_number"), digits=8)
 
 
-@query("with {pixc}, {poly} select lake_id, range_index*100+azimuth_index as cell from pixc, poly where tile_number=3 and classification in (3,4) and range_index>=x0 and range_index<x1 and azimuth_index>=y0 and azimuth_index<y1")
+@query("with {pixc}, {poly} select lake_id, tile_number*10000+range_index*100+azimuth_index as cell from pixc, poly where classification in (3,4) and range_index>=x0 and range_index<x1 and azimuth_index>=y0 and azimuth_index<y1")
 def g7_r7_clip_cells(spark, sf_dir):
-    c = X.pixc(spark, sf_dir).where("tile_number = 3 and classification in (3,4)").select((F.col("range_index") * 100 + F.col("azimuth_index")).alias("cell"), F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
+    c = X.pixc(spark, sf_dir).where("classification in (3,4)").select((F.col("tile_number") * 10000 + F.col("range_index") * 100 + F.col("azimuth_index")).alias("cell"), F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
     return G.clip_cells(c, X.box_rings(X.poly(spark, sf_dir)), "cell", 10.0).select("lake_id", "cell")
 
 
-@query()
+@query("with recursive {poly}, rk as materialized (select lake_id as id, row_number() over (order by (x1-x0)*(y1-y0), lake_id) as k, (x1-x0)*(y1-y0) as area from poly), mt as materialized (select a.lake_id as id, list(rk.k) as bs from poly a join poly b on a.lake_id<>b.lake_id and a.x0<=b.x1 and b.x0<=a.x1 and a.y0<=b.y1 and b.y0<=a.y1 join rk on rk.id=b.lake_id group by 1), " + _GREEDY + " select id, area from rk join ch using (id)")
 def t5_disjoint_smallest(spark, sf_dir):
     p = X.poly(spark, sf_dir)
     boxes = p.select(F.col("lake_id").alias("a"), "x0", "x1", "y0", "y1")
@@ -275,12 +397,12 @@ def t5_disjoint_smallest(spark, sf_dir):
     return G.disjoint_smallest(p.select(F.col("lake_id").alias("id"), area.alias("area")), meets)
 
 
-@query("with {pixc}, q as (select range_index as r, azimuth_index as a from pixc where tile_number=1 and classification in (3,4,5)), s as (select sum(case when exists (select 1 from q z where z.a=q.a and z.r=q.r+1) then 0 else 1 end+case when exists (select 1 from q z where z.a=q.a and z.r=q.r-1) then 0 else 1 end+case when exists (select 1 from q z where z.a=q.a+1 and z.r=q.r) then 0 else 1 end+case when exists (select 1 from q z where z.a=q.a-1 and z.r=q.r) then 0 else 1 end) as n, count(*) as k from q)"
-       " select cast(n as bigint) as vertices, cast(k as double) as area, cast(n as bigint) as steps from s")
+@query("with {pixc}, q as (select tile_number as t, range_index as r, azimuth_index as a from pixc where classification in (3,4,5)), n as (select t, r+1 as r, a from q union all select t, r-1, a from q union all select t, r, a+1 from q union all select t, r, a-1 from q),"
+       " i as (select t, count(*) as inner_sides from n join q using (t, r, a) group by 1), s as (select t, count(*) as k from q group by 1)"
+       " select t as tile_number, cast(4*k-coalesce(inner_sides,0) as bigint) as vertices, cast(k as double) as area, cast(4*k-coalesce(inner_sides,0) as bigint) as steps from s left join i using (t)")
 def g13_g1_ordered_rings(spark, sf_dir):
-    """Rings around a raster's water, their vertices in order: consecutive ones are one step apart and enclose the cells."""
-    c = X.pixc(spark, sf_dir).where("tile_number = 1 and classification in (3,4,5)").select(F.lit(1).alias("g"), "range_index", "azimuth_index")
-    return _ring_sums(G.ordered_rings(c, ["g"]), "g").drop("g")
+    c = X.pixc(spark, sf_dir).where("classification in (3,4,5)").select("tile_number", "range_index", "azimuth_index")
+    return _ring_sums(G.ordered_rings(c, ["tile_number"]), "tile_number")
 
 
 def _ring_sums(v, key):
@@ -292,18 +414,24 @@ def _ring_sums(v, key):
     return v.groupBy(key).agg(F.count(F.lit(1)).alias("vertices"), (F.sum(F.col("x") * F.col("y2") - F.col("x2") * F.col("y")) / 2).alias("area"), F.sum((F.abs(F.col("x") - F.col("x2")) + F.abs(F.col("y") - F.col("y2")) == 1).cast("long")).alias("steps"))
 
 
-@query("with {pixc} select tile_number, lake, true as holds_all from pixc group by 1,2 having count(*)>=3")
+@query("""with {pixc}, big as (select tile_number, lake from pixc group by 1,2 having count(*)>=3),
+  e as (select tile_number, lake, azimuth_index as y, unnest([min(range_index), max(range_index)]) as x from pixc join big using (tile_number, lake) group by 1,2,3), d as (select distinct tile_number, lake, x, y from e),
+  s as (select p.tile_number, p.lake, p.x, p.y, q.x as qx, q.y as qy, min(case when (q.x-p.x)*(r.y-p.y)-(q.y-p.y)*(r.x-p.x)>0 or ((q.x-p.x)*(r.y-p.y)=(q.y-p.y)*(r.x-p.x) and (q.x-p.x)*(r.x-p.x)+(q.y-p.y)*(r.y-p.y)>0) then 1 else 0 end) as ok
+    from d p join d q on q.tile_number=p.tile_number and q.lake=p.lake and (q.x<>p.x or q.y<>p.y) join d r on r.tile_number=p.tile_number and r.lake=p.lake and (r.x<>p.x or r.y<>p.y) group by 1,2,3,4,5,6)
+  select distinct tile_number, lake, cast(x as double) as x, cast(y as double) as y from s where ok=1""")
 def g3_convex_hull(spark, sf_dir):
-    """Every pixel lies on the left of all of its lake's hull edges."""
+    """The hulls' vertices; a point is one if all others lie on the left of a line from it to another, or ahead on it."""
     p = X.pixc(spark, sf_dir).select(*LAKE, "azimuth_index", F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
     big = p.groupBy(*LAKE).agg(F.count(F.lit(1)).alias("k")).where("k >= 3").select(*LAKE)
-    own = p.join(big, LAKE, "left_semi")
-    hulls = G.convex_hulls(own, LAKE)
-    ok = F.forall(F.sequence(F.lit(1), F.size("ring") - 1), lambda i: (F.element_at("ring", i + 1)["x"] - F.element_at("ring", i)["x"]) * (F.col("y") - F.element_at("ring", i)["y"]) - (F.element_at("ring", i + 1)["y"] - F.element_at("ring", i)["y"]) * (F.col("x") - F.element_at("ring", i)["x"]) >= 0)
-    return own.join(hulls, LAKE).withColumn("ok", ok).groupBy(*LAKE).agg(F.min("ok").alias("holds_all"))
+    hulls = G.convex_hulls(p.join(big, LAKE, "left_semi"), LAKE)
+    return hulls.select(*LAKE, F.explode(F.slice("ring", 1, F.size("ring") - 1)).alias("v")).select(*LAKE, "v.x", "v.y")
+
 
+_CORNERS = "[struct_pack(x:=b,y:=b), struct_pack(x:=b,y:=b+10), struct_pack(x:=a,y:=a+10), struct_pack(x:=a,y:=a), struct_pack(x:=b,y:=b)]", "[struct_pack(x:=a,y:=a), struct_pack(x:=a,y:=a+10), struct_pack(x:=b,y:=b+10), struct_pack(x:=b,y:=b), struct_pack(x:=a,y:=a)]"
 
-@query("with c as (select s_suppkey, s_suppkey*1e0 as a, s_suppkey*2e0 as b from supplier) select s_suppkey, case when s_suppkey%2=0 then a+1 else a end as first_x, case when s_suppkey%2=0 then a else a+1 end as line_x2, 5 as corners from c")
+
+@query(f"""with c as (select s_suppkey, s_suppkey*1e0 as a, s_suppkey+1e0 as b from supplier), r as (select *, case when s_suppkey%2=0 then {_CORNERS[0]} else {_CORNERS[1]} end as ring from c)
+  select s_suppkey, cast(k-1 as int) as position, ring[k].x as x, ring[k].y as y, case when s_suppkey%2=0 then a else b end as line_x2 from r, range(1,6) t(k)""")
 def x16_tile_ring(spark, sf_dir):
     from mereflow.functions import scalars as S
 
@@ -311,51 +439,5 @@ def x16_tile_ring(spark, sf_dir):
     cols = {f"{w}_{e}_{c}": (k if w == "inner" else k + 1) + (0 if e == "first" else 10) * (1 if c == "latitude" else 0) for w in ("inner", "outer") for e in ("first", "last") for c in ("longitude", "latitude")}
     t = X.table(spark, sf_dir, "supplier").select("s_suppkey").withColumns(cols)
     side = F.when(F.col("s_suppkey") % 2 == 0, "L").otherwise("R")
-    return t.select("s_suppkey", S.tile_ring(side)[0]["x"].alias("first_x"), S.row_line("first", side)[1]["x"].alias("line_x2"), F.size(S.tile_ring(side)).alias("corners"))
-
-
-# As above on every tile; the SQL of the queries without ``_all`` fixes one tile or two.
-@query("with {pixc} select range_index as x, azimuth_index as y, tile_number-1 as source, not isnan(height) as valid from pixc where range_index between 18 and 62 and azimuth_index between 8 and 42")
-def u7_combined_cloud_all(spark, sf_dir):
-    p = X.pixc(spark, sf_dir).select(F.col("range_index").alias("x"), F.col("azimuth_index").alias("y"), F.col("height").alias("z"), "tile_number")
-    return R.combined_cloud([p], (20, 60, 10, 40), 2).select("x", "y", (F.col("tile_number") - 1).alias("source"), "valid")
-
-
-@query("with {pixc}, q as (select tile_number, lake, range_index as r, azimuth_index as a, height from pixc), e as (select * from q where (select count(*) from q z where z.tile_number=q.tile_number and z.lake=q.lake and abs(z.a-q.a)+abs(z.r-q.r)=1)<4)"
-       " select tile_number, lake, round(avg(case when not isnan(height) then height end),8) as z from e group by 1,2")
-def a25_j20_ring_elevation_all(spark, sf_dir):
-    return r6(G.ring_elevation(X.pixc(spark, sf_dir).select(*KEY, "lake", F.col("height").alias("z")), LAKE), digits=8)
-
-
-@query("with {pixc}, {poly}, t as (select distinct tile_number from pixc), c as (select lake_id, tile_number, count(*) as k from pixc, poly where range_index>=x0 and range_index<x1 and azimuth_index>=y0 and azimuth_index<y1 group by 1,2)"
-       " select tile_number, lake_id as area_id, round(coalesce(k,0)/((x1-x0)*(y1-y0)),8) as ratio from poly cross join t left join c using (lake_id, tile_number)")
-def a32_coverage_all(spark, sf_dir):
-    cell = (F.col("tile_number") * 10000 + F.col("azimuth_index") * 100 + F.col("range_index")).alias("id")
-    cells = X.pixc(spark, sf_dir).select(cell, "tile_number", F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
-    return r6(G.coverage(X.box_rings(X.poly(spark, sf_dir)).withColumnRenamed("lake_id", "area_id"), cells, 1.0, 10.0, "tile_number"), digits=8)
-
-
-@query("with {pixc}, {poly} select lake_id, tile_number*10000+range_index*100+azimuth_index as cell from pixc, poly where classification in (3,4) and range_index>=x0 and range_index<x1 and azimuth_index>=y0 and azimuth_index<y1")
-def g7_r7_clip_cells_all(spark, sf_dir):
-    c = X.pixc(spark, sf_dir).where("classification in (3,4)").select((F.col("tile_number") * 10000 + F.col("range_index") * 100 + F.col("azimuth_index")).alias("cell"), F.col("range_index").cast("double").alias("x"), F.col("azimuth_index").cast("double").alias("y"))
-    return G.clip_cells(c, X.box_rings(X.poly(spark, sf_dir)), "cell", 10.0).select("lake_id", "cell")
-
-
-@query("with {pixc}, q as (select tile_number as t, range_index as r, azimuth_index as a from pixc where classification in (3,4,5)), n as (select t, r+1 as r, a from q union all select t, r-1, a from q union all select t, r, a+1 from q union all select t, r, a-1 from q),"
-       " i as (select t, count(*) as inner_sides from n join q using (t, r, a) group by 1), s as (select t, count(*) as k from q group by 1)"
-       " select t as tile_number, cast(4*k-coalesce(inner_sides,0) as bigint) as vertices, cast(k as double) as area, cast(4*k-coalesce(inner_sides,0) as bigint) as steps from s left join i using (t)")
-def g13_g1_ordered_rings_all(spark, sf_dir):
-    c = X.pixc(spark, sf_dir).where("classification in (3,4,5)").select("tile_number", "range_index", "azimuth_index")
-    return _ring_sums(G.ordered_rings(c, ["tile_number"]), "tile_number")
-
-
-# The SQL of c4_height_kmeans presses the heights to two values; these are the heights themselves, tested against plain Python.
-@query()
-def c4_height_kmeans_all(spark, sf_dir):
-    return L.height_kmeans(X.pixc(spark, sf_dir).select(*KEY, "lake", "height"), LAKE).select(*KEY, "cluster")
-
-
-# All edge pixels within the 24 hours of production; the SQL of s3_edge_scan stops after 90 seconds.
-@query(f"with {{pixc}}, e as (select *, min(illumination_time) over (partition by cycle_number) as t0 from pixc where azimuth_index=0 or azimuth_index=95) select {KEYS} from e where illumination_time-t0<=86400")
-def s3_edge_scan_all(spark, sf_dir):
-    return R.edge_scan(X.pixc(spark, sf_dir).where("azimuth_index in (0, 95)"), ["cycle_number"]).select(*KEY)
+    out = t.select("s_suppkey", F.posexplode(S.tile_ring(side)).alias("position", "p"), S.row_line("first", side)[1]["x"].alias("line_x2"))
+    return out.select("s_suppkey", "position", "p.x", "p.y", "line_x2")

@@ -181,7 +181,7 @@ W = "1/(height_std*height_std)"
 HEIGHT_SQL = f"""with {{pixc}}, c as (select *, {n("height")} as h, {W} as w from pixc), m as (
   select tile_number, lake, sum(w*h)/sum(w) as wse, count(*) as k, sum(w) as sw, avg(eff_num_rare_looks)*count(*) as looks, avg(eff_num_medium_looks/eff_num_rare_looks) as ratio,
     sqrt(pow(sum(w*ifg_re),2)+pow(sum(w*ifg_im),2))/sqrt(sum(w*power_plus_y)*sum(w*power_minus_y)) as coh,
-    sum(w*dheight_dphase*dheight_dphase)/sum(w*dheight_dphase) as vh, sum(w*dlatitude_dphase*dlatitude_dphase)/sum(w*dlatitude_dphase) as vla, sum(w*dlongitude_dphase*dlongitude_dphase)/sum(w*dlongitude_dphase) as vlo,
+    sum(w*dheight_dphase*dheight_dphase)/case when abs(sum(w*dheight_dphase))>1e-12*sum(w*abs(dheight_dphase)) then sum(w*dheight_dphase) end as vh, sum(w*dlatitude_dphase*dlatitude_dphase)/sum(w*dlatitude_dphase) as vla, sum(w*dlongitude_dphase*dlongitude_dphase)/sum(w*dlongitude_dphase) as vlo,
     stddev_pop(h) as wse_std
   from c where h is not null group by 1,2),
   s as (select c.tile_number, c.lake, sum(w*pow(h-wse,2))/sum(w) as spread from c join m using (tile_number, lake) where h is not null group by 1,2)"""
@@ -190,13 +190,10 @@ HEIGHT_SQL = f"""with {{pixc}}, c as (select *, {n("height")} as h, {W} as w fro
 @query(f"""{HEIGHT_SQL} select tile_number, lake, round(wse,6) as wse, round(wse_std,6) as wse_std, round(sqrt(spread)*sqrt(ratio/k),6) as wse_u,
   round(sqrt(greatest(0.5/looks*(1-coh*coh)/(coh*coh),2.22e-16))*abs(vh),5) as wse_r_u,
   round(sqrt(greatest(0.5/looks*(1-coh*coh)/(coh*coh),2.22e-16))*abs(vla),12) as lat_u, round(sqrt(greatest(0.5/looks*(1-coh*coh)/(coh*coh),2.22e-16))*abs(vlo),12) as lon_u
-  from m join s using (tile_number, lake) where abs(vh)<1000""")
+  from m join s using (tile_number, lake)""")
 def a2_a5_height(spark, sf_dir):
     out = X.pixc(spark, sf_dir).groupBy(*LAKE).agg(*(v.alias(k) for k, v in A.height_aggregates(F.col("height"), F.col("height_std")).items()), F.count(S.finite(F.col("height"))).alias("k"))
-    h = S.finite(F.col("height"))
-    w = F.when(h.isNotNull(), 1 / (F.col("height_std") * F.col("height_std")))
-    ratio = X.pixc(spark, sf_dir).groupBy(*LAKE).agg((F.sum(w * F.col("dheight_dphase") ** 2) / F.sum(w * F.col("dheight_dphase"))).alias("vh"))
-    out = out.where("k > 0").join(ratio.where("abs(vh) < 1000").select(*LAKE), LAKE, "left_semi").drop("k")
+    out = out.where("k > 0").drop("k")
     return out.select(*LAKE, *(F.round(c, 6).alias(c) for c in ("wse", "wse_std", "wse_u")), F.round("wse_r_u", 5).alias("wse_r_u"), F.round("lat_u", 12).alias("lat_u"), F.round("lon_u", 12).alias("lon_u"))
 
 

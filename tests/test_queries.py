@@ -17,7 +17,7 @@ def test_query(spark, duck, module, name):
     if name in m.ORACLE:
         same(df, duck, m.ORACLE[name])
     else:
-        assert df.count() >= 0
+        assert df.collect()
 
 
 def test_entry(spark):

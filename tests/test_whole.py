@@ -36,8 +36,8 @@ def tile_of(row):
 @pytest.mark.parametrize("name", TILES)
 def test_every_tile(spark, more, name):
     known, sql = geometry_queries.QUERIES | product_queries.QUERIES, geometry_queries.ORACLE | product_queries.ORACLE
-    got = known[f"{name}_all"](spark, MORE).cache()
-    same(got, more, sql[f"{name}_all"])
+    got = known[f"{name}"](spark, MORE).cache()
+    same(got, more, sql[f"{name}"])
     assert {tile_of(r) for r in got.collect()} == set(range(1, 17))
     got.unpersist()
 
@@ -51,9 +51,9 @@ def test_every_point(spark):
     rows = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_orderkey", "o_custkey").collect()
     at = {r[0]: (r[0] * 7919 % 1000 + r[1] % 7 / 10, r[0] * 104729 % 1000 + r[1] % 11 / 20) for r in rows}
     near = {(a, b) for a, p in at.items() for b, o in at.items() if math.dist(p, o) <= 12}
-    assert {(r["id"], r["other"]) for r in q["j19_within_radius_all"](spark, SF_DIR).collect()} == near
-    assert sum(r["n_in_cell"] for r in q["r4_gaussian_grid_all"](spark, SF_DIR).collect()) > len(rows) * 0.9
-    assert all("orders where" not in grid_queries.ORACLE[f"{name}_all"] for name in POINTS)
+    assert {(r["id"], r["other"]) for r in q["j19_within_radius"](spark, SF_DIR).collect()} == near
+    assert sum(r["n_in_cell"] for r in q["r4_gaussian_grid"](spark, SF_DIR).collect()) > len(rows) * 0.9
+    assert all("orders where" not in grid_queries.ORACLE[f"{name}"] for name in POINTS)
 
 
 def plain_kmeans(values, most=11):
@@ -83,15 +83,15 @@ def test_kmeans_grows_and_settles(spark):
     for lake in {r.lake for r in own}:
         of = plain_kmeans([float(r.height) for r in own if r.lake == lake])
         want |= {(r.tile_number, r.range_index, r.azimuth_index): of[float(r.height)] for r in own if r.lake == lake}
-    found = product_queries.QUERIES["c4_height_kmeans_all"](spark, SF_DIR).collect()
+    found = product_queries.QUERIES["c4_height_kmeans"](spark, SF_DIR).collect()
     assert {(r.tile_number, r.range_index, r.azimuth_index): r.cluster for r in found} == want
     assert max(want.values()) > 3
 
 
 @pytest.mark.parametrize("module,name", [(product_queries, "s3_edge_scan"), (cycle_queries, "x7_great_circle"), (cycle_queries, "j21_nearest_date")])
 def test_no_row_left_out(spark, more, module, name):
-    got = module.QUERIES[f"{name}_all"](spark, MORE)
-    same(got, more, module.ORACLE[f"{name}_all"])
+    got = module.QUERIES[f"{name}"](spark, MORE)
+    same(got, more, module.ORACLE[f"{name}"])
     if name == "s3_edge_scan":
         assert got.select("tile_number").distinct().count() == 16
     elif name == "x7_great_circle":
