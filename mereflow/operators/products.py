@@ -239,13 +239,13 @@ def pass_product(edge: DataFrame, meta: DataFrame, keys: list[str], prior: DataF
     }
 
 
-def floodplain(points: DataFrame, resolution: float, k: int = 5, near: float = 10000.0, min_area: float = 0.0, widen: int = 1) -> DataFrame:
+def floodplain(points: DataFrame, resolution: float, k: int = 5, near: float = 10000.0, min_area: float = 0.0, widen: int = 1, classes: tuple[int, ...] = (3, 4, 5, 6, 7)) -> DataFrame:
     """Elevation between lowest and highest water, from scanned pixels with a plane position x, y and an elevation z.
 
     Borders and small regions off, then the shorelines' points, and around them the grid cells between the smallest and the widest
     extent of the regions, by inverse distances and with a quality flag.
     """
-    water = P.remove_borders(P.of_classes(points, (3, 4, 5, 6, 7)), near)
+    water = P.remove_borders(P.of_classes(points, classes), near)
     regions = scratch.save(L.large_regions(L.lake_labels(water, diagonal=True), min_area), "water-regions")
     shore = G.boundary_cells(regions, ["label"]).where(finite(F.col("z")).isNotNull()).withColumn("id", L.pixel_id())
     shore = scratch.save(shore.select("id", "x", "y", "z"), "shore")

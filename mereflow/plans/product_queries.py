@@ -340,16 +340,16 @@ def r8_filtered_raster(spark, sf_dir):
     return r6(out.withColumn("std", F.round("std", 5)))
 
 
-_FLOOD = f"""with recursive {{pixc}}, sc as (select *, height-pole_tide-load_tide_got-load_tide_fes-solid_earth_tide-geoid as z from pixc where classification in (3,4,5,6,7) and not isnan(height)),
+_FLOOD = f"""with recursive {{pixc}}, sc as (select *, height-pole_tide-load_tide_got-load_tide_fes-solid_earth_tide-geoid as z from pixc where classification in (3,4) and not isnan(height)),
   li as (select tile_number, azimuth_index, min(case when cross_track>=20000 then range_index end) as fk, max(case when cross_track<20000 then range_index end) as lr from sc group by 1,2), mx as (select tile_number, max(azimuth_index) as am, max(range_index) as rm from sc group by 1),
   p as materialized (select s.tile_number as t, s.azimuth_index as a, s.range_index as r, s.tile_number*1099511627776+s.azimuth_index*1048576+s.range_index as id, pixel_area, z from sc s join li using (tile_number, azimuth_index) join mx using (tile_number)
     where cross_track>=20000 and azimuth_index not in (0,am) and range_index<>rm and not (coalesce(fk=lr+1,false) and range_index=fk)),
   e as materialized (select p.id as i, q.id as j from p join p q on q.t=p.t and q.a between p.a-1 and p.a+1 and q.r between p.r-1 and p.r+1 and q.id<>p.id),
   w(i, j) as (select id, id from p union select w.i, e.j from w join e on w.j=e.i), l as (select i as id, min(j) as label from w group by 1),
-  lg as (select label from p join l using (id) group by 1 having sum(pixel_area)>100), rg as materialized (select p.*, label, r+t*100e0 as x, a*1e0 as y from p join l using (id) join lg using (label)),
+  lg as (select label from p join l using (id) group by 1 having sum(pixel_area)>400), rg as materialized (select p.*, label, r+t*100e0 as x, a*1e0 as y from p join l using (id) join lg using (label)),
   ar as (select g.id, count(q.id) as n from rg g left join rg q on q.label=g.label and q.t=g.t and q.a between g.a-1 and g.a+1 and q.r between g.r-1 and g.r+1 and abs(q.a-g.a)+abs(q.r-g.r)=1 group by 1),
   pts as materialized (select rg.id, x, y, z from rg join ar using (id) where n<4 and not isinf(z)),
-  rc as materialized (select distinct label as id, cast(floor(x/8) as bigint) as ix, cast(floor(y/8) as bigint) as iy from rg), {_BETWEEN}, {_cells("8")},
+  rc as materialized (select distinct label as id, cast(floor(x/4) as bigint) as ix, cast(floor(y/4) as bigint) as iy from rg), {_BETWEEN}, {_cells("4")},
   kn as (select ix, iy, p.z, sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)) as d, row_number() over (partition by ix, iy order by sqrt(pow(p.x-c.x,2)+pow(p.y-c.y,2)), p.id) as rank from cells c join bw using (ix, iy) join pts p on p.x between c.x-100 and c.x+100 and p.y between c.y-100 and c.y+100),
   gg as (select ix, iy, sum(z/(d+1e-9))/sum(1/(d+1e-9)) as z, min(d) as mi, avg(d) as me, abs(stddev_pop(z)/avg(z)) as re from kn where rank<=5 group by 1,2)
   select ix, iy, round(z,6) as z, round(mi,6) as min_dist, round(me,6) as mean_dist, round(re,6) as z_rel, case when re>0.3 and me>500 then 4 when me>500 then 3 when re>0.1 then 2 else 1 end as quality from gg"""
@@ -360,7 +360,7 @@ def d9_r7_floodplain(spark, sf_dir):
     p = X.pixc(spark, sf_dir)
     scan = R.floodplain_scan(p, p.select(*KEY, "longitude", "latitude", "height"), list(KEY), 0.75, 850000.0, 891000.0)
     own = scan.withColumns({"x": F.col("range_index") + F.col("tile_number") * 100.0, "y": F.col("azimuth_index").cast("double"), "z": F.col("elevation")})
-    return r6(R.floodplain(own, 8.0, near=20000.0, min_area=100.0))
+    return r6(R.floodplain(own, 4.0, near=20000.0, min_area=400.0, classes=(3, 4)))
 
 
 @query()
