@@ -2,14 +2,14 @@
 
 Distinct paths of a host grow a tree, level by level. A segment is written with its digits
 levelled; where a node has many different ones of which few recur, they become one wildcard.
-Branches whose labelled share of bad pages does not differ from their siblings' by more than
-chance are merged, and so are those with too few labels to tell. What is left are templates;
-their share of bad labels, smoothed, decides.
+Sibling branches are put in the order of their labelled share of bad pages, and neighbours whose shares do not
+differ by more than chance are merged; those with too few labels to tell are one branch. What is left are
+templates; their share of bad labels, smoothed, decides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mereflow import scratch
@@ -50,6 +50,22 @@ def _rest(path: Column, level: int) -> Column:
     return F.transform(F.slice(parts, level + 1, F.greatest(F.size(parts) - level, F.lit(0))), lambda p: F.regexp_replace(p, "[0-9]+", "#"))
 
 
+def _merged(told: DataFrame) -> DataFrame:
+    """(host, template, seg, branch, alone) of siblings with enough labels: runs of similar neighbours by share are one branch.
+
+    Two neighbours are similar if the normal score of the difference of their shares, pooled, is at most ``DIFFERS``.
+    """
+    order = Window.partitionBy("host", "template").orderBy("share", "seg")
+    own = told.withColumn("share", F.col("bad") / F.col("labels"))
+    b0, n0 = F.lag("bad").over(order), F.lag("labels").over(order)
+    pooled = (F.col("bad") + b0) / (F.col("labels") + n0)
+    score = F.abs(F.col("share") - b0 / n0) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-4)) * (1 / F.col("labels") + 1 / n0))
+    own = own.withColumn("new", F.coalesce((score > DIFFERS).cast("int"), F.lit(0)))
+    own = own.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    alone = F.count(F.lit(1)).over(Window.partitionBy("host", "template", "run")) == 1
+    return own.select("host", "template", "seg", F.when(alone, F.col("seg")).otherwise(F.concat(F.lit(MERGED), F.col("run").cast("string"))).alias("branch"), "alone")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, path, template, purity): every distinct path of ``pages`` (host, path, bad, good) with its template.
 
@@ -69,13 +85,11 @@ def templates(pages: DataFrame) -> DataFrame:
             break
         node = nodes.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("paths").alias("all_paths"), F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good"))
         joined = nodes.join(node, ["host", "template"])
-        share = F.col("all_bad") / (F.col("all_bad") + F.col("all_good"))
-        labels = F.col("bad") + F.col("good")
-        score = F.abs(F.col("bad") / labels - share) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-4)) / labels)
-        differs = (labels >= LEAST_LABELS) & (score > DIFFERS)
         variable = (F.col("kinds") >= VARIED) & (F.col("all_n") < RECUR * F.col("kinds"))
-        name = F.when(variable, WILD).when(F.col("kinds") == 1, F.col("seg")).when(labels < LEAST_LABELS, UNKNOWN).when(F.coalesce(differs, F.lit(False)), F.col("seg")).otherwise(MERGED)
-        branch = joined.select("host", "template", "seg", name.alias("branch"), (F.col("all_paths") == 1).alias("alone"))
+        labels = F.col("bad") + F.col("good")
+        kind = F.when(variable, WILD).when(F.col("kinds") == 1, F.col("seg")).when(labels < LEAST_LABELS, UNKNOWN)
+        told = joined.select("host", "template", "seg", "bad", labels.alias("labels"), kind.alias("branch"), (F.col("all_paths") == 1).alias("alone"))
+        branch = told.where("branch is not null").select("host", "template", "seg", "branch", "alone").unionByName(_merged(told.where("branch is null")))
         grown = own.join(branch, ["host", "template", "seg"], "left")
         ahead = F.when(F.col("alone"), F.array_join(_rest(F.col("path"), level), "/")).otherwise(F.col("branch"))
         whole = F.col("branch").isNull() | F.col("alone")

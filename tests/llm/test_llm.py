@@ -392,6 +392,91 @@ def test_urls(spark):
     assert all(v == ("block" if i < 100 else "allow") for i, v in verdicts.items())
 
 
+def plain_templates(pages):
+    """{(host, path): (template, purity)} from (host, path, bad, good), by dictionaries."""
+    seen = {}
+    for h, p, b, g in pages:
+        n, x, y = seen.get((h, p), (0, 0, 0))
+        seen[h, p] = (n + 1, x + b, y + g)
+    segs = lambda p: [re.sub("[0-9]+", "#", x) for x in re.sub("^/", "", p).split("/")]
+    at, whole, level = {k: "" for k in seen}, dict.fromkeys(seen, False), 0
+    while True:
+        nodes = {}
+        for (h, p), t in at.items():
+            if not whole[h, p] and level < len(segs(p)):
+                node = nodes.setdefault((h, t), {}).setdefault(segs(p)[level], [0, 0, 0, 0])
+                for k, v in enumerate((1, *seen[h, p])):
+                    node[k] += v
+        if not nodes:
+            break
+        names, alone = {}, {}
+        for key, kids in nodes.items():
+            alone[key] = sum(v[0] for v in kids.values()) == 1
+            if len(kids) >= 8 and sum(v[1] for v in kids.values()) < 4 * len(kids):
+                names |= {(*key, s): "*" for s in kids}
+                continue
+            if len(kids) == 1:
+                names |= {(*key, s): s for s in kids}
+                continue
+            names |= {(*key, s): "~?" for s, v in kids.items() if v[2] + v[3] < 5}
+            told = sorted((v[2] / (v[2] + v[3]), s, v[2], v[2] + v[3]) for s, v in kids.items() if v[2] + v[3] >= 5)
+            runs = []
+            for k in told:
+                if runs:
+                    _, _, b, n = runs[-1][-1]
+                    p = (b + k[2]) / (n + k[3])
+                    z = abs(k[0] - b / n) / (max(p * (1 - p), 1e-4) * (1 / n + 1 / k[3])) ** 0.5
+                if runs and z <= 1.96:
+                    runs[-1].append(k)
+                else:
+                    runs.append([k])
+            names |= {(*key, k[1]): k[1] if len(r) == 1 else f"~{i}" for i, r in enumerate(runs) for k in r}
+        for (h, p), t in list(at.items()):
+            if whole[h, p] or level >= len(segs(p)):
+                whole[h, p] = True
+                continue
+            one = alone[h, t]
+            at[h, p] = t + "/" + ("/".join(segs(p)[level:]) if one else names[h, t, segs(p)[level]])
+            whole[h, p] = one
+        level += 1
+    sums = {}
+    for (h, p), t in at.items():
+        b, g = sums.get((h, t), (0, 0))
+        sums[h, t] = (b + seen[h, p][1], g + seen[h, p][2])
+    return {(h, p): (t, (sums[h, t][0] + 5) / (sum(sums[h, t]) + 10)) for (h, p), t in at.items()}
+
+
+def test_url_templates_against_plain_ones(spark):
+    rng = random.Random(3)
+    pages = []
+    for h in ("a.com", "b.org"):
+        for _ in range(400):
+            p = "/" + "/".join(rng.choice(["ads", "news", f"u{rng.randrange(30)}", "x", f"id{rng.randrange(4)}q", "blog"]) for _ in range(rng.randrange(1, 5)))
+            bad = "ads" in p or rng.random() < 0.1
+            known = rng.random() < 0.5
+            pages.append((h, p, int(known and bad), int(known and not bad)))
+    pages += [("c.net", "", 0, 0), ("c.net", "/", 1, 0), ("", "", 0, 1)]
+    pages += [("d.io", f"/{k}/{i}", int(i < share), int(i >= share)) for k, share in (("p", 18), ("q", 17), ("r", 2), ("s", 1), ("t", 10)) for i in range(20)]
+    want = plain_templates(pages)
+    got = {(r.host, r.path): (r.template, r.purity) for r in urls.templates(spark.createDataFrame(pages, "host string, path string, bad int, good int")).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 1e-12 for k in want)
+    assert len({want["d.io", f"/{k}/1"][0].split("/")[1] for k in "pqrst"}) == 3
+
+
+def test_url_verdicts_against_plain_ones(spark):
+    """The whole query: verdicts that no rule gives are the tree's, whose labels are the pages that rules decide."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = urls.judge(df, queries.URL_RULES).collect()
+    block = {r for r, v in queries.URL_RULES.items() if v == "block"}
+    want = plain_templates([(r.host, r.path, int(r.rule in block), int(r.rule is not None and r.rule not in block)) for r in rows])
+    for r in rows:
+        template, purity = want[r.host, r.path]
+        assert (r.template, round(r.purity, 12)) == (template, round(purity, 12))
+        assert r.verdict == (queries.URL_RULES[r.rule] if r.rule else "block" if purity > 0.5 else "allow")
+    assert urls.judge(df.limit(0), queries.URL_RULES).count() == 0
+
+
 def fold(i, n):
     return zlib.crc32(("null" if i is None else str(i)).encode()) % n
 
