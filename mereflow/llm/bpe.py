@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-A task splits its texts into pre-tokens and keeps, per block of about 16 MB of text, each distinct
+A task splits its texts into pre-tokens and keeps, per block of about 8 MB of text, each distinct
 word once plus every text's positions as indices into them. A row per word and block would weigh
 more than the texts, so a block's words are packed by lots, which are dealt by a hash of the word. All
 blocks' copies of a word meet in its lot, which merges each distinct word once. The ids are joined back
-to their blocks and every text is put together again by position. A block is about an input split,
-so there are no more packets than a shuffle has pieces.
+to their blocks and every text is put together again by position. A block is a good part of an input split,
+so there are few more packets than a shuffle has pieces.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from mereflow.llm.common import arrow_rows
 #: ``regex`` agree about letters, digits and space; other texts take the pattern itself.
 FAST = re.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+""")
 UNUSUAL = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe]|[^\x00-ɏ]")
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: A block: its documents with their numbers of pre-tokens, all pre-tokens as indices into its distinct words, the lot of each
 #: distinct word, and the words by lot. Numbers and words are packed.
 _BLOCK = pa.struct([("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("at", pa.binary()), ("lots", pa.binary()), ("words", pa.list_(pa.struct([("lot", pa.int32()), ("words", pa.binary())])))])
