@@ -18,8 +18,10 @@ from mereflow.llm.common import ascii_lower
 #: Bytes between words, as a Java pattern; what is left are digits, a-z and everything beyond ASCII.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHINGLE = 3
-#: Benchmark shingles up to this number are broadcast (under 100 MB); more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Benchmark shingles of up to so many bytes are broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
+#: Bytes of a shingle's row beside its words.
+ROW_BYTES = 80
 NO_ID = -(1 << 63)
 
 
@@ -37,9 +39,9 @@ def _shingles(df: DataFrame, w: str, size: int, *keep: str) -> DataFrame:
     return out.select(*keep, "pos", F.col("z.a").alias("a"), F.col("z.b").alias("b") if size > 1 else none.alias("b"), F.col("z.c").alias("c") if size > 2 else none.alias("c"), F.col("z.b").isNull().alias("last"))
 
 
-def _joinable(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast only if the counted rows are few."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _joinable(df: DataFrame, size: int) -> DataFrame:
+    """Broadcast only if the measured bytes are few."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def hit_words(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -58,7 +60,8 @@ def hit_words(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str =
         part = _shingles(own.where(fits), "w", size, "u", "item", "n").where(F.col("pos") <= F.col("n") - size).withColumn("size", F.lit(size))
         of_items = part if of_items is None else of_items.union(part)
     of_items = scratch.save(of_items.select("u", "item", "n", "size", F.col("pos").alias("s"), "a", "b", "c", F.xxhash64("a", "b", "c").alias("tok")), "item-shingles")
-    rows = of_items.count()
+    weight = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("a", "b", "c", "item")), F.lit(ROW_BYTES))
+    weighed = of_items.agg(F.sum(weight)).first()[0] or 0
     sizes = {r["size"] for r in of_items.select("size").distinct().collect()}  # at most three numbers
 
     hits = None
@@ -67,7 +70,7 @@ def hit_words(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str =
         place = _shingles(doc, "w", size, "doc_id", "h")
         same = (F.xxhash64("a", "b", "c") == F.col("tok")) & F.col("a").eqNullSafe(F.col("a2")) & F.col("b").eqNullSafe(F.col("b2")) & F.col("c").eqNullSafe(F.col("c2"))
         end = (F.col("last") if size == SHINGLE else F.lit(False)).alias("last")  # a row for every document, with its number of words
-        found = place.join(_joinable(known, rows), same, "left").select("doc_id", "h", "pos", "tok", end).where("tok is not null or last")
+        found = place.join(_joinable(known, weighed), same, "left").select("doc_id", "h", "pos", "tok", end).where("tok is not null or last")
         hits = found if hits is None else hits.union(found)
     hits = scratch.save(hits.withColumn("d", F.coalesce("doc_id", F.lit(NO_ID))), "shingle-hits")
     told = hits.where("last").select("doc_id", "d", "h", (F.coalesce("pos", F.lit(-1)) + 1).cast("long").alias("n_words"))
@@ -83,11 +86,11 @@ def hit_words(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str =
     prefix = scratch.save(prefix, "prefixes")
 
     base = F.col("pos") - F.col("at")
-    near = found.join(_joinable(prefix, rows), "tok").withColumn("base", base)
+    near = found.join(_joinable(prefix, weighed), "tok").withColumn("base", base)
     near = near.where(F.col("base") + F.col("hi") >= 0)  # some window of it starts within the text
     steps = F.sequence(F.greatest("lo", -F.col("base")), F.col("hi") + F.least(F.col("n"), F.lit(window)) - F.col("size"))
     near = near.select("d", "h", "u", "base", F.explode(steps).alias("s")).distinct()
-    near = near.join(_joinable(of_items.select("u", "s", "item", "n", "size", "tok"), rows), ["u", "s"]).withColumn("pos", F.col("base") + F.col("s"))
+    near = near.join(_joinable(of_items.select("u", "s", "item", "n", "size", "tok"), weighed), ["u", "s"]).withColumn("pos", F.col("base") + F.col("s"))
     sure = near.join(found, ["d", "h", "pos", "tok"], "left_semi")
     run = F.col("s") - F.row_number().over(Window.partitionBy("d", "h", "u", "base").orderBy("s"))
     runs = sure.withColumn("run", run).groupBy("d", "h", "u", "item", "n", "size", "base", "run").agg(F.min("s").alias("s0"), F.max("s").alias("s1"))

@@ -240,6 +240,12 @@ def test_decontamination(spark, duck):
     assert got == [(0, 4, 2, 1), (1, 3, 2, 1), (1, 3, 2, 1), (2, 0, 0, 0), (4, 0, 0, 0), (5, 4, 3, 1), (6, 1, 1, 1), (7, 3, 3, 2)]
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()) == [2, 4]
     assert decontaminate.contamination(docs, items.limit(0)).where("contaminated").count() == 0
+    limit, decontaminate.BROADCAST_BYTES = decontaminate.BROADCAST_BYTES, 0
+    try:
+        again = sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items) for r in decontaminate.contamination(docs, items).collect())
+    finally:
+        decontaminate.BROADCAST_BYTES = limit
+    assert again == got
 
 
 def test_bpe(spark):
