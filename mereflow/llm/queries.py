@@ -77,5 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE: dict[str, str] = {
     "op3_decontamination": decontaminate.ORACLE,
+    "op4_url_filter": urls.oracle(URL_RULES),
+    "op7_warc": warc.ORACLE,
+    "op8_suffix_dedup": suffixes.ORACLE,
     "op9_exact_topk": bitsliced.ORACLE,
 }

@@ -405,3 +405,20 @@ def remove(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
 
     joined = _with_spans(docs, length, id_col, text_col)
     return joined.withColumn(text_col, F.pandas_udf(cut, StringType())(F.col(text_col), F.col("__spans"))).drop("__spans")
+
+
+#: The same rows in DuckDB SQL, for documents whose ids are not null and differ: every string of 100 bytes, in hex, by its digest.
+ORACLE = """
+with t as materialized (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+w as (select doc_id, p, md5(substr(h, 2 * p + 1, 200)) as k from t, unnest(range(0, greatest(n - 99, 0))) as u(p)),
+r as (select doc_id, p from (select doc_id, p, row_number() over (partition by k order by doc_id, p) as r from w) where r > 1),
+g as (select doc_id, p, case when p - lag(p) over (partition by doc_id order by p) <= 100 then 0 else 1 end as new from r),
+i as (select doc_id, p, sum(new) over (partition by doc_id order by p) as run from g),
+s as (select doc_id, run, min(p) as a, max(p) + 100 as z from i group by 1, 2),
+m as (select doc_id, count(*) as n_spans, sum(z - a) as n_removed from s group by 1),
+e as (select doc_id, a, z from s union all select doc_id, n, n from t),
+k as (select doc_id, a, coalesce(lag(z) over (partition by doc_id order by a, z), 0) as b from e),
+o as (select doc_id, string_agg(substr(h, 2 * b + 1, 2 * (a - b)), '' order by b) as kept from k join t using (doc_id) where a > b group by 1)
+select t.doc_id, cast(n as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(kept, ''))) as kept_sha256
+from t left join m using (doc_id) left join o using (doc_id)
+"""

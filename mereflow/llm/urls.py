@@ -123,3 +123,39 @@ def judge(pages: DataFrame, rules: dict[str, str], labels: DataFrame | None = No
     tree = templates(known.select("host", "path", "bad", "good"))
     verdict = F.when(F.col("rule").isNotNull(), F.when(blocked, "block").otherwise("allow")).when(F.col("purity") > reject, "block").otherwise("allow")
     return own.join(tree, ["host", "path"]).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "template", "purity")
+
+
+def oracle(rules: dict[str, str], levels: int = 8) -> str:
+    """The rows of :func:`judge` without labels in DuckDB SQL, a group of tables for each of the tree's first ``levels`` levels."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    fits = ""
+    for rule in sorted(rules, key=lambda r: (-len(r), r)):
+        h, _, p = rule.partition("/")
+        fits += f" when (host = {quoted(h)} or ends_with(host, {quoted('.' + h)})) and starts_with(path, {quoted('/' + p)}) then {quoted(rule)}"
+    block = ", ".join(quoted(r) for r, v in rules.items() if v == "block")
+    out = f"""
+with u as (select page_id, coalesce(url, '') as u from pages),
+r as (select page_id, case when instr(u, '://') > 0 then substr(u, instr(u, '://') + 3) else '' end as rest from u),
+o as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from r),
+own as (select *, case{fits} end as rule from o),
+p0 as materialized (select host, path, list_transform(string_split(regexp_replace(path, '^/', ''), '/'), lambda x: regexp_replace(x, '[0-9]+', '#', 'g')) as segs, count(*) as n,
+  count(case when rule in ({block}) then 1 end) as bad, count(case when rule not in ({block}) then 1 end) as good, '' as template, false as whole from own group by host, path)"""
+    for k in range(levels):
+        out += f""",
+s{k} as (select *, case when not whole then segs[{k + 1}] end as seg from p{k}),
+n{k} as (select host, template, seg, count(*) as paths, sum(n) as n, sum(bad) as bad, sum(good) as good from s{k} where seg is not null group by 1, 2, 3),
+m{k} as (select host, template, count(*) as kinds, sum(paths) as all_paths, sum(n) as all_n from n{k} group by 1, 2),
+t{k} as (select n{k}.*, all_paths = 1 as alone, bad + good as labels, case when kinds >= {VARIED} and all_n < {RECUR} * kinds then '{WILD}' when kinds = 1 then seg when bad + good < {LEAST_LABELS} then '{UNKNOWN}' end as branch from n{k} join m{k} using (host, template)),
+q{k} as (select *, bad / labels as share, lag(bad) over w as b0, lag(labels) over w as n0 from t{k} where branch is null window w as (partition by host, template order by bad / labels, seg)),
+v{k} as (select *, (bad + b0) / (labels + n0) as pooled from q{k}),
+x{k} as (select *, case when abs(share - b0 / n0) / sqrt(greatest(pooled * (1 - pooled), 1e-4) * (1 / labels + 1 / n0)) > {DIFFERS} then 1 else 0 end as new from v{k}),
+y{k} as (select host, template, seg, sum(new) over (partition by host, template order by share, seg) as run from x{k}),
+z{k} as (select host, template, seg, case when count(*) over (partition by host, template, run) = 1 then seg else '{MERGED}' || cast(run as varchar) end as merged from y{k}),
+p{k + 1} as materialized (select s.host, s.path, s.segs, s.n, s.bad, s.good,
+  case when t.host is null then s.template when alone then s.template || '/' || array_to_string(segs[{k + 1}:], '/') else s.template || '/' || coalesce(branch, merged) end as template, t.host is null or alone as whole
+  from s{k} s left join t{k} t on t.host = s.host and t.template = s.template and t.seg = s.seg left join z{k} z on z.host = s.host and z.template = s.template and z.seg = s.seg)"""
+    return out + f""",
+f as (select host, template, (sum(bad) + {STRENGTH / 2}e0) / (sum(bad) + sum(good) + {STRENGTH}e0) as purity from p{levels} group by 1, 2)
+select page_id, host, path, rule, case when rule in ({block}) then 'block' when rule is not null then 'allow' when purity > {REJECT}e0 then 'block' else 'allow' end as verdict, template, purity
+from own join p{levels} using (host, path) join f using (host, template)
+"""

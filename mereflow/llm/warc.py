@@ -241,3 +241,15 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     capture = build_index(captures)
     keys = pages.select(sort_key(F.col("url"), F.col("page_id").cast("long")).alias("key"))
     return read(look_up(capture, keys), folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The same rows in DuckDB SQL, for pages whose ids are not null and differ. Base 32 takes twenty bits of the digest at a time.
+ORACLE = """
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+f as (select html, min(page_id) as least from p group by 1),
+d as (select page_id, html, least, list_transform(range(0, 8), lambda k: cast('0x' || substr(hex, cast(5 * k + 1 as bigint), 5) as integer)) as v from p join f using (html))
+select page_id, cast(strlen(html) as bigint) as payload_bytes,
+  array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)), '')), '') as payload_digest,
+  case when page_id = least then 'response' else 'revisit' end as record_type, case when page_id <> least then least end as refers_to
+from d
+"""

@@ -470,6 +470,11 @@ def test_url_templates_against_plain_ones(spark):
     assert len({want["d.io", f"/{k}/1"][0].split("/")[1] for k in "pqrst"}) == 3
 
 
+@pytest.mark.parametrize("name", ["op4_url_filter", "op7_warc", "op8_suffix_dedup"])
+def test_queries_against_sql(spark, duck, name):
+    same(queries.QUERIES[name](spark, SF_DIR), duck, queries.ORACLE[name])
+
+
 def test_url_verdicts_against_plain_ones(spark):
     """The whole query: verdicts that no rule gives are the tree's, whose labels are the pages that rules decide."""
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
