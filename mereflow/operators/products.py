@@ -206,7 +206,7 @@ def tile_product(pixels: DataFrame, prior: DataFrame, min_size_km2: float = 0.0,
     own = scratch.save(inside.join(keep, keys, "left_semi"), "tile-lakes")
     hulls = G.convex_hulls(own.select(*keys, "azimuth_index", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), keys)
     lakes = A.lake_attributes(own, keys, P.corrected_height(), F.col("height_std")).join(hulls, keys)
-    lakes = lakes.withColumn("obs_id", F.col("label").cast("string"))
+    lakes = scratch.save(lakes.withColumn("obs_id", F.col("label").cast("string")), "tile-attributes")
     links = scratch.save(linked_cells(own.withColumn("obs_id", F.col("label").cast("string")), prior, "obs_id", size), "tile-links")
     per_obs, per_lake = K.linked_lists(links)
     return {
