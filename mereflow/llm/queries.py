@@ -76,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {
+    "op2_simhash": simhash.ORACLE,
     "op3_decontamination": decontaminate.ORACLE,
     "op4_url_filter": urls.oracle(URL_RULES),
     "op7_warc": warc.ORACLE,

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from mereflow import scratch
 from mereflow.llm.common import arrow_rows, join_hot
 from mereflow.llm.xxh import xxh64
+from mereflow.llm.xxh_sql import xxh64 as xxh64_sql
 from mereflow.operators.components import connected_components
 
 #: (first bit, bits) of the three segments.
@@ -250,6 +251,24 @@ def groups(docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_
     return named.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+_BITS = ", ".join(f"count(case when (h >> {k}) & 1 = 1 then 1 end)" for k in reversed(range(64)))
+_NIBBLE = "8 * bits[4 * i + 1] + 4 * bits[4 * i + 2] + 2 * bits[4 * i + 3] + bits[4 * i + 4] + 1"
+#: The rows of :func:`groups` in DuckDB SQL, for documents whose ids are not null and differ: all pairs of fingerprints, and all that each reaches.
+ORACLE = rf"""
+with recursive w as materialized (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as materialized (select doc_id, array_to_string(w[i:i + 3], ' ') as g from w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as u(i) where len(w) > 0),
+dg as (select distinct g from s), {xxh64_sql("dg", "hh")},
+v as (select doc_id, count(*) as n, [{_BITS}] as b from s join hh using (g) group by 1),
+b as (select w.doc_id, list_transform(coalesce(b, list_transform(range(0, 64), lambda x: 0)), lambda x: case when 2 * x > coalesce(n, 0) then 1 else 0 end) as bits from w left join v using (doc_id)),
+f as materialized (select doc_id, array_to_string(list_transform(range(0, 16), lambda i: substr('0123456789abcdef', {_NIBBLE}, 1)), '') as fingerprint from b),
+d as materialized (select fingerprint, cast('0x' || fingerprint as ubigint) as fp, min(doc_id) as m from f group by 1, 2),
+e as materialized (select p.fingerprint as i, q.fingerprint as j from d p join d q on p.fp <> q.fp and bit_count(cast(xor(p.fp, q.fp) as hugeint)) <= 4),
+r(i, j) as (select fingerprint, fingerprint from d union select r.i, e.j from r join e on e.i = r.j),
+c as (select r.i as fingerprint, min(m) as component_id from r join d on d.fingerprint = r.j group by 1)
+select doc_id, fingerprint, component_id from f join c using (fingerprint)
+"""
+
+
 def dedup(docs: DataFrame, bits: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group, all columns kept: that of smallest id.
 

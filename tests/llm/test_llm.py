@@ -470,7 +470,7 @@ def test_url_templates_against_plain_ones(spark):
     assert len({want["d.io", f"/{k}/1"][0].split("/")[1] for k in "pqrst"}) == 3
 
 
-@pytest.mark.parametrize("name", ["op4_url_filter", "op7_warc", "op8_suffix_dedup"])
+@pytest.mark.parametrize("name", ["op2_simhash", "op4_url_filter", "op7_warc", "op8_suffix_dedup"])
 def test_queries_against_sql(spark, duck, name):
     same(queries.QUERIES[name](spark, SF_DIR), duck, queries.ORACLE[name])
 
