@@ -187,13 +187,13 @@ def _linked_around(crowd: DataFrame, bits: int, hubs: bool = False) -> DataFrame
     linked to the smallest of them or, with ``hubs``, to the one that most others lie around as well.
     """
     about = _around(crowd, -(-bits // 2), bits // 2)
+    met = about.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some").select("v", "n")
+    about = scratch.save(about.select("node", "v").join(met, "v"), "around")  # few values lie around more than one
     if hubs:
-        about = scratch.save(about, "around")
-        met = about.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        about = about.join(about.join(met, "v").groupBy("node").agg(F.sum("n").alias("met")), "node")
+        about = about.join(about.groupBy("node").agg(F.sum("n").alias("met")), "node")
     head = F.max_by("node", F.struct("met", "node")) if hubs else F.min("node")
-    heads = about.groupBy("v").agg(head.alias("head"), F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some")
-    return about.join(heads.select("v", "head"), "v").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    heads = about.groupBy("v").agg(head.alias("head"))
+    return about.join(heads, "v").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
 
 
 def links(fps: DataFrame, bits: int = 4, dense: int = DENSE, hubs: bool = False) -> DataFrame:
