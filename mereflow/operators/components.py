@@ -20,8 +20,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     are ignored, self loops give a component of one, repeated edges count once.
     """
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
-    e = scratch.save(e.union(e.select("b", "a")).distinct(), "edges")
-    labels = scratch.save(e.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("root")), "labels")
+    first = e = scratch.save(e.union(e.select("b", "a")).distinct(), "edges")
+    steps: list[DataFrame] = []
     while True:
         live = e.where("a <> b")
         hooked = live.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("p"))
@@ -37,9 +37,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         scratch.drop(up)
         ua, ub = far.select(F.col("n").alias("a"), F.col("p").alias("pa")), far.select(F.col("n").alias("b"), F.col("p").alias("pb"))
         e2 = scratch.save(live.join(ua, "a").join(ub, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b")).where("a <> b").distinct(), "edges")
-        l2 = scratch.save(labels.join(far, labels.root == far.n, "left").select("node", F.coalesce("p", "root").alias("root")), "labels")
-        for old in (e, labels, far):
-            scratch.drop(old)
-        e, labels = e2, l2
-    scratch.drop(e)
+        if e is not first:
+            scratch.drop(e)
+        e = e2
+        steps.append(far)
+    # every node follows the pointers of one round after the other
+    labels = first.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("root"))
+    for far in steps:
+        own = far.select(F.col("n").alias("n2"), F.col("p").alias("p2"))
+        labels = labels.join(own, labels.root == own.n2, "left").select("node", F.coalesce("p2", "root").alias("root"))
+    labels = scratch.save(labels, "labels")
+    for old in (e, first, *steps):
+        scratch.drop(old)
     return labels

@@ -326,7 +326,8 @@ def disjoint_smallest(regions: DataFrame, meets: DataFrame, key: str = "id", siz
     """Greedy disjoint set: regions by increasing area (smaller key first), each taken if it meets none that is taken.
 
     Every round takes all regions that are least among those they still meet, and drops what these meet, so the
-    result is the one-by-one greedy's. ``meets`` has a row (a, b) per pair that meets.
+    result is the one-by-one greedy's. ``meets`` has a row (a, b) per pair that meets. There are at most as many rounds as
+    the longest chain of ever smaller regions that meet has links.
     """
     rank = regions.select(key, F.struct(F.col(size).alias("s"), F.col(key).alias("k")).alias("rank"))
     pairs = meets.where("a <> b").select("a", "b")

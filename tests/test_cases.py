@@ -91,3 +91,69 @@ def test_scalars(spark):
 def test_empty_and_missing(spark):
     empty = spark.createDataFrame([], "tile_number long, azimuth_index int, range_index int, cross_track double")
     assert L.lake_labels(empty).count() == 0 and P.remove_borders(empty, 1.0).count() == 0
+
+
+def test_nearest_of_outliers_and_few_points(spark):
+    """A dense cluster, points far out on either side of it, ties, nulls, and fewer points than asked for."""
+    import math
+    import random
+
+    from mereflow.operators import neighbours as N
+
+    rng = random.Random(5)
+    right = [(i, rng.uniform(0, 3), rng.uniform(0, 3)) for i in range(150)] + [(200, 900.0, -700.0), (201, 900.0, -700.0), (202, -5000.25, 12.0), (203, None, 1.0)]
+    left = [(1, 1.0, 1.0), (2, 50.0, 50.0), (3, -4000.0, 3000.0), (4, 910.0, -690.0), (5, 1e6, -1e6), (6, None, 2.0), (7, 2.9, 0.1)]
+    l, r = spark.createDataFrame(left, "c int, x double, y double"), spark.createDataFrame(right, "id int, x double, y double")
+    for k in (1, 3, 7):
+        want = {(a, b) for a, x, y in left if x is not None for b in [p[0] for p in sorted((p for p in right if p[1] is not None), key=lambda p: (math.dist((x, y), p[1:]), p[0]))[:k]]}
+        assert {(n.c, n.id_r) for n in N.nearest(l, r, k, "c", "id", 0.5).collect()} == want
+    few = N.nearest(l, r.where("id in (0, 200)"), 5, "c", "id", 0.5).collect()
+    assert {(n.c, n.id_r) for n in few} == {(a, b) for a, x, _ in left if x is not None for b in (0, 200)} and {n["rank"] for n in few} == {1, 2}
+    assert N.nearest(l, r.limit(0), 5, "c", "id", 0.5).count() == 0
+    assert N.grid(r.limit(0), 1.0).count() == 0
+
+
+def test_components_of_paths_and_stars(spark):
+    """Long paths, stars and struct nodes; every node's root is the smallest of its component."""
+    from pyspark.sql import functions as F
+
+    from mereflow.operators.components import connected_components
+
+    edges = [(i, i + 1) for i in range(0, 60)] + [(500, i) for i in range(100, 140)] + [(900, 901), (903, 902), (902, 901), (700, 700), (None, 3), (5, None)]
+    df = spark.createDataFrame(edges, "a int, b int")
+    got = {r.node: r.root for r in connected_components(df).collect()}
+    assert got == {i: 0 for i in range(61)} | {i: 100 for i in (*range(100, 140), 500)} | {i: 900 for i in range(900, 904)} | {700: 700}
+    pairs = df.where("a is not null and b is not null").select(*(F.struct((-F.col(c)).alias("n"), F.col(c).alias("i")).alias(c) for c in "ab"))
+    got = {r.node.i: r.root.i for r in connected_components(pairs).collect()}
+    assert got == {i: 60 for i in range(61)} | {i: 500 for i in (*range(100, 140), 500)} | {i: 903 for i in range(900, 904)} | {700: 700}
+
+
+def test_scratch_folder(spark, tmp_path):
+    """The cluster's setting first, then the context's checkpoint folder; tables are deleted on request."""
+    import os
+
+    from mereflow import scratch
+
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert scratch.folder(spark) == named.rstrip("/")
+    kept = scratch.save(spark.range(3), "three")
+    path = kept._scratch_path.removeprefix("file://")
+    assert kept.count() == 3 and os.path.isdir(path)
+    scratch.drop(kept)
+    assert not os.path.exists(path)
+
+
+def test_union_and_extent_of_regions(spark):
+    """Areas of overlapping boxes, a triangle among them; and cells between the widest and the smallest regions."""
+    from mereflow.operators import geometry as G
+
+    ring = lambda *p: [[{"x": float(x), "y": float(y)} for x, y in (*p, p[0])]]
+    rows = [("a", 1, ring((0, 0), (4, 0), (4, 4), (0, 4))), ("a", 2, ring((2, 2), (6, 2), (6, 6), (2, 6))), ("a", 3, ring((0, 0), (4, 0), (4, 4), (0, 4))), ("b", 1, ring((0, 0), (4, 0), (0, 4))), ("b", 2, ring((0, 0), (4, 0), (4, 4)))]
+    shapes = spark.createDataFrame(rows, "g string, part int, rings array<array<struct<x: double, y: double>>>")
+    got = {r.g: round(r.area, 9) for r in G.union_areas(shapes, ["g"], "part").collect()}
+    assert got == {"a": 28.0, "b": 12.0}
+    cells = spark.createDataFrame([("small", i, j) for i in range(3) for j in range(3)] + [("large", i, j) for i in range(6) for j in range(6)], "id string, ix long, iy long")
+    between = {(r.ix, r.iy) for r in G.extent_between(cells, 1).collect()}
+    assert between == {(i, j) for i in range(-1, 7) for j in range(-1, 7)} - {(i, j) for i in range(3) for j in range(3)}
+    wide = G.expand_water(cells.where("id = 'small'").selectExpr("id", "1.5D as height", "ix", "iy"), [(0, 1.0), (2, -0.5)]).collect()
+    assert sorted((r.step, r.height) for r in wide) == [(0, 2.5)] * 9 + [(1, 1.0)] * 49
