@@ -121,29 +121,35 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     return own.mapInArrow(run, "doc_id long, h long, fp long")
 
 
-def _keys(fp: str) -> Column:
-    """A key for each segment and struck-out bit, which go into its upper half."""
+def _keys(fp: str, space: str) -> Column:
+    """A key for each segment and struck-out bit, which go into its upper half, as does the space above them."""
+    over = F.shiftleft(F.col(space).cast("long"), 40)
     return F.array(
         *(
-            (F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit(((1 << n) - 1) & ~(1 << j)))).bitwiseOR(F.lit((s * 32 + j) << 32))
+            (F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit(((1 << n) - 1) & ~(1 << j)))).bitwiseOR(F.lit((s * 32 + j) << 32)).bitwiseOR(over)
             for s, (lo, n) in enumerate(SEGMENTS)
             for j in range(n)
         )
     )
 
 
+def _place(key: str | Column) -> Column:
+    """Segment times 32 plus struck-out bit of a key."""
+    return F.shiftright(key, 32).bitwiseAND(F.lit(127))
+
+
 def _crowded(fps: DataFrame, most: int) -> DataFrame:
     """Keys of the segments' values that over half of ``most`` fingerprints have: among them are all that over ``most`` share.
 
     A struck-out bit makes one key of two values, so three values of a fingerprint are counted instead of its 64 keys.
     """
-    values = F.array(*(F.struct(F.lit(s).alias("s"), F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << n) - 1)).alias("v")) for s, (lo, n) in enumerate(SEGMENTS)))
+    values = F.array(*(F.struct("space", F.lit(s).alias("s"), F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << n) - 1)).alias("v")) for s, (lo, n) in enumerate(SEGMENTS)))
     heavy = fps.select(F.explode(values).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most // 2)
     back = F.lit(None).cast("long")
     for s, (lo, _) in enumerate(SEGMENTS):
         back = F.when(F.col("x.s") == s, F.shiftleft("x.v", lo)).otherwise(back)
-    own = heavy.select("x.s", back.alias("fp"))
-    return own.select(F.explode(F.filter(_keys("fp"), lambda k: F.shiftright(k, 37) == F.col("s"))).alias("key")).distinct()
+    own = heavy.select("x.space", "x.s", back.alias("fp"))
+    return own.select(F.explode(F.filter(_keys("fp", "space"), lambda k: F.shiftright(_place(k), 5) == F.col("s"))).alias("key")).distinct()
 
 
 def _signed(x: int) -> int:
@@ -152,7 +158,7 @@ def _signed(x: int) -> int:
 
 def _first_key(differs: Column) -> Column:
     """Of the keys that two fingerprints share, this is the first: so each link comes once."""
-    at = F.shiftright("key", 32)
+    at = _place("key")
     none = F.lit(False)
     for s, (lo, n) in reversed(list(enumerate(SEGMENTS))):
         apart = F.bit_count(differs.bitwiseAND(F.lit(_signed(((1 << n) - 1) << lo))))
@@ -162,7 +168,7 @@ def _first_key(differs: Column) -> Column:
 
 
 def _around(fps: DataFrame, radius: int, inner: int) -> DataFrame:
-    """(node, v, inside) with v each value within ``radius`` bits of the node's fingerprint; ``inside`` if within ``inner`` bits."""
+    """(node, space, v, inside) with v each value within ``radius`` bits of the node's fingerprint; ``inside`` if within ``inner`` bits."""
     one = [1 << i for i in range(64)]
     masks = np.array([0, *one, *(one[i] | one[j] for i in range(64) for j in range(i))], np.uint64)
     masks = masks[np.bitwise_count(masks) <= radius]
@@ -171,12 +177,13 @@ def _around(fps: DataFrame, radius: int, inner: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column("fp").to_numpy(zero_copy_only=False)
-            node = batch.column("node").take(pa.array(np.repeat(np.arange(len(fp)), len(masks))))
+            row = pa.array(np.repeat(np.arange(len(fp)), len(masks)))
+            node, space = batch.column("node").take(row), batch.column("space").take(row)
             values = (fp.astype(np.uint64)[:, None] ^ masks).ravel().astype(np.int64)
-            yield pa.RecordBatch.from_arrays([node, pa.array(values), pa.array(np.tile(near, len(fp)))], names=["node", "v", "inside"])
+            yield pa.RecordBatch.from_arrays([node, space, pa.array(values), pa.array(np.tile(near, len(fp)))], names=["node", "space", "v", "inside"])
 
     arrow_rows(fps.sparkSession)
-    return fps.mapInArrow(run, f"node {fps.schema['node'].dataType.simpleString()}, v long, inside boolean")
+    return fps.mapInArrow(run, f"node {fps.schema['node'].dataType.simpleString()}, space int, v long, inside boolean")
 
 
 def _linked_around(crowd: DataFrame, bits: int, hubs: bool = False) -> DataFrame:
@@ -187,40 +194,43 @@ def _linked_around(crowd: DataFrame, bits: int, hubs: bool = False) -> DataFrame
     linked to the smallest of them or, with ``hubs``, to the one that most others lie around as well.
     """
     about = _around(crowd, -(-bits // 2), bits // 2)
-    met = about.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some").select("v", "n")
-    about = scratch.save(about.select("node", "v").join(met, "v"), "around")  # few values lie around more than one
+    met = about.groupBy("space", "v").agg(F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some").select("space", "v", "n")
+    about = scratch.save(about.select("node", "space", "v").join(met, ["space", "v"]), "around")  # few values lie around more than one
     if hubs:
-        about = about.join(about.groupBy("node").agg(F.sum("n").alias("met")), "node")
+        about = about.join(about.groupBy("node", "space").agg(F.sum("n").alias("met")), ["node", "space"])
     head = F.max_by("node", F.struct("met", "node")) if hubs else F.min("node")
-    heads = about.groupBy("v").agg(head.alias("head"))
-    return about.join(heads, "v").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    heads = about.groupBy("space", "v").agg(head.alias("head"))
+    return about.join(heads, ["space", "v"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
 
 
 def links(fps: DataFrame, bits: int = 4, dense: int = DENSE, hubs: bool = False) -> DataFrame:
     """Edges (a, b) of nodes whose components are those of "fingerprints differ in at most ``bits`` bits", for bits up to 4.
 
-    ``fps`` has columns node, of any type with an order, and fp, distinct. Keys that hold over ``dense``
+    ``fps`` has columns node, of any type with an order, and fp, distinct; with a column space only fingerprints of one
+    space are compared, and are distinct in it. Keys that hold over ``dense``
     fingerprints, and over 16 times what chance would put there, are not joined; the fingerprints in
     them go on to variants of the whole fingerprint, so that a dense group costs rows in
     proportion to its size and no link is lost.
     """
     if not 0 <= bits <= 4:
         raise ValueError("three segments hold for up to four bits")
+    fps = fps.select("node", "fp", (F.col("space") if "space" in fps.columns else F.lit(0)).cast("int").alias("space"))
     most = max(dense, 16 * fps.count() >> 20)
-    variants = fps.select("fp", F.explode(_keys("fp")).alias("key"))
+    variants = fps.select("fp", F.explode(_keys("fp", "space")).alias("key"))
     crowded = scratch.save(_crowded(fps, most), "crowded")
     some = not crowded.isEmpty()
     few = variants.join(crowded, "key", "left_anti") if some else variants
     other = few.select(F.col("fp").alias("fp2"), F.col("key").alias("key2"))
     differs = F.col("fp").bitwiseXOR(F.col("fp2"))
     near = (F.bit_count(differs) <= bits) & _first_key(differs)
-    pairs = few.join(other, (F.col("key") == F.col("key2")) & (F.col("fp") < F.col("fp2")) & near).select("fp", "fp2")
+    pairs = few.join(other, (F.col("key") == F.col("key2")) & (F.col("fp") < F.col("fp2")) & near).select("fp", "fp2", F.shiftright("key", 40).cast("int").alias("space"))
     pairs = scratch.save(pairs, "pairs")
-    edges = pairs.join(fps.select("fp", F.col("node").alias("a")), "fp").join(fps.select(F.col("fp").alias("fp2"), F.col("node").alias("b")), "fp2").select("a", "b")
+    named = lambda fp, node: fps.select("space", F.col("fp").alias(fp), F.col("node").alias(node))
+    edges = pairs.join(named("fp", "a"), ["space", "fp"]).join(named("fp2", "b"), ["space", "fp2"]).select("a", "b")
     if not some:
         return edges
-    crowd = fps.join(variants.join(crowded, "key", "left_semi").select("fp").distinct(), "fp").select("node", "fp")
-    return edges.union(_linked_around(scratch.save(crowd, "crowd"), bits, hubs))
+    crowd = variants.join(crowded, "key", "left_semi").select("fp", F.shiftright("key", 40).cast("int").alias("space")).distinct()
+    return edges.union(_linked_around(scratch.save(fps.join(crowd, ["space", "fp"]).select("node", "space", "fp"), "crowd"), bits, hubs))
 
 
 def _rooted(docs: DataFrame, bits: int, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -351,17 +361,15 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col:
     own = rows.groupBy("sig").agg(F.min(row).alias("m"), *(F.min(f"f{k}").alias(f"f{k}") for k in range(VIEWS)))
     own = scratch.save(own, "texts")
     # what a large group of near copies was copied from shares its fingerprints with the most of them: it speaks for them
-    weighed = own
-    for k in range(VIEWS):
-        weighed = weighed.join(own.groupBy(f"f{k}").agg(F.count(F.lit(1)).alias(f"n{k}")), f"f{k}")
-    weighed = scratch.save(weighed.withColumn("shared", sum(F.col(f"n{k}") for k in range(VIEWS))).select("sig", "shared", *(f"f{k}" for k in range(VIEWS))), "weighed")
-    found = None
-    for k in range(VIEWS):
-        fps = scratch.save(weighed.groupBy(F.col(f"f{k}").alias("fp")).agg(F.max_by("sig", F.struct("shared", "sig")).alias("node")), "fps")
-        same = own.select(F.col("sig").alias("b"), F.col(f"f{k}").alias("fp")).join(fps, "fp").where("node <> b").select(F.col("node").alias("a"), "b")
-        part = scratch.save(links(fps, 4, crowd, hubs=True).union(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-        found = part if found is None else found.union(part)
-    pairs = scratch.save(found.distinct(), "candidates")
+    views = F.explode(F.array(*(F.struct(F.lit(k).alias("space"), F.col(f"f{k}").alias("fp")) for k in range(VIEWS))))
+    each = own.select("sig", views.alias("x")).select("sig", "x.space", "x.fp")
+    counts = each.groupBy("space", "fp").agg(F.count(F.lit(1)).alias("n"))
+    weight = each.join(counts, ["space", "fp"]).groupBy("sig").agg(F.sum("n").alias("shared"))
+    each = scratch.save(each.join(weight, "sig"), "views")
+    fps = scratch.save(each.groupBy("space", "fp").agg(F.max_by("sig", F.struct("shared", "sig")).alias("node")), "fps")
+    same = each.select(F.col("sig").alias("b"), "space", "fp").join(fps, ["space", "fp"]).where("node <> b").select(F.col("node").alias("a"), "b")
+    found = links(fps, 4, crowd, hubs=True).union(same)
+    pairs = scratch.save(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     asked = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     reps = own.join(asked, "sig", "left_semi").select("sig", F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_"))
     text = F.col(text_col).cast("string")
