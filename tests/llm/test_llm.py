@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -79,8 +80,8 @@ def test_simhash(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and "lang" in kept.columns
 
 
-@pytest.mark.parametrize("bits", [0, 1, 2, 3, 4])
-def test_simhash_dense_groups_keep_all_links(spark, bits):
+def test_simhash_dense_groups_keep_all_links(spark):
+    """For every distance, with keys joined and with all of them crowded; nodes of one distance meet those of that one only."""
     from mereflow.operators.components import connected_components
 
     rng = random.Random(5)
@@ -88,12 +89,17 @@ def test_simhash_dense_groups_keep_all_links(spark, bits):
     fps = {base ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(5))) for _ in range(60)} | {rng.getrandbits(64) for _ in range(30)}
     fps |= {f ^ (1 << 7) for f in list(fps)[:20]}
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    df = spark.createDataFrame([(f, f) for f in signed], "node long, fp long")
-    want = linked({f: f % (1 << 64) for f in signed}, bits)
-    for dense in (1024, 2):
-        got = {r.node: r.root for r in connected_components(simhash.links(df, bits, dense)).collect()}
-        sets = lambda of: {frozenset(x for x in signed if of(x) == r) for r in {of(x) for x in signed}}
-        assert sets(lambda x: got.get(x, x)) == sets(lambda x: want[x])
+    sets = lambda of: {frozenset(x for x in signed if of(x) == r) for r in {of(x) for x in signed}}
+    for dense, hubs in ((1024, False), (2, False), (2, True)):
+        edges = None
+        for bits in range(5):
+            df = spark.createDataFrame([((bits, f), f) for f in signed], "node struct<bits: int, f: long>, fp long")
+            part = simhash.links(df, bits, dense, hubs)
+            edges = part if edges is None else edges.union(part)
+        got = {(r.node.bits, r.node.f): r.root.f for r in connected_components(edges).collect()}
+        for bits in range(5):
+            want = linked({f: f % (1 << 64) for f in signed}, bits)
+            assert sets(lambda x: got.get((bits, x), x)) == sets(lambda x: want[x]), (dense, bits)  # noqa: B023
 
 
 def test_simhash_of_repeated_ids_and_long_texts(spark):
@@ -336,6 +342,7 @@ def test_topk_of_repeated_rows(spark):
 def test_warc(spark):
     rows = [(r["page_id"], r["url"], r["html"]) for r in rows_of("pages")]
     rows += [(1001, "http://a.B.com/x y\n?q", "<p>\u00e9"), (1002, None, None), (1003, "no host", ""), (None, "http://a.b.com/", "<p>\u00e9"), (1005, "http://a.b.com", "zz"), (1005, "http://a.b.com", "zz"), (1004, "https://\u00fc.de/%20%zz#f", "zz")]
+    rows += [(6000 + i, f"http://e.org/{i}", None) for i in range(150)]  # one payload for many
     first = {}
     for p, _, h in rows:
         if p is not None:
@@ -350,6 +357,16 @@ def test_warc(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_join_of_hot_keys(spark):
+    from mereflow.llm.common import join_hot
+
+    left = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 7, id) as k")
+    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    want = left.join(right.drop("n"), "k")
+    assert sorted(map(tuple, join_hot(left, right, "k", "n").select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert join_hot(left.limit(0), right.limit(0), "k", "n").count() == 0
+
+
 def test_warc_lookup_returns_payloads(spark):
     from mereflow import scratch
 
@@ -505,6 +522,27 @@ def test_quality(spark):
     assert "lang" in quality.keep_good(odd, labels).columns
 
 
+def test_quality_scores_against_plain_ones(spark):
+    """Every score again from the model's dictionaries: four compressed sizes a text, their differences, and the calibration."""
+    import zstandard
+
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.fit(docs, labels)
+    some = docs_frame(spark, [(r["doc_id"], r["text"]) for r in rows_of("documents")[:40]] + [(1000 + i, t) for i, t in enumerate(ODD)])
+    kind = lambda b: "a" if b >= 128 or 97 <= b < 123 else "A" if 65 <= b < 91 else "0" if 48 <= b < 58 else chr(b)
+    texts = {r.doc_id: r.text or "" for r in some.collect()}
+    for r in quality.score(some, model).collect():
+        raw = texts[r.doc_id].encode()
+        x = []
+        for view, (good, bad) in ((raw, model["dictionaries"][:2]), ("".join(map(kind, raw)).encode("latin-1"), model["dictionaries"][2:])):
+            g, b = (len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d)).compress(view)) for d in (good, bad))
+            x += [(b - g) / max(g, b), (b - g) / len(view), math.log(min(g, b) / len(view))] if view else [0, 0, 0]
+        z = [min(max((v - m) / d, -6), 6) for v, m, d in zip(x, model["mean"], model["sd"])]
+        score = 1 / (1 + math.exp(-sum(a * w for a, w in zip([1, *z, *(v * v for v in z)], model["w"]))))
+        assert abs(score - r.score) < 1e-9
+    assert quality.predictions(docs.limit(0), labels).count() == 0
+
+
 def test_toxicity(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     held = labels.where("doc_id % 5 = 0")
