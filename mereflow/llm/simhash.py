@@ -195,7 +195,9 @@ def _linked_around(crowd: DataFrame, bits: int, hubs: bool = False) -> DataFrame
     """
     about = _around(crowd, -(-bits // 2), bits // 2)
     met = about.groupBy("space", "v").agg(F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some").select("space", "v", "n")
-    about = scratch.save(about.select("node", "space", "v").join(met, ["space", "v"]), "around")  # few values lie around more than one
+    # the planner takes a table before it multiplies for its size, so joins of such tables are told to shuffle
+    shared = about.select("node", "space", "v").join(met.hint("shuffle_merge"), ["space", "v"])
+    about = scratch.save(shared, "around")  # few values lie around more than one
     if hubs:
         about = about.join(about.groupBy("node", "space").agg(F.sum("n").alias("met")), ["node", "space"])
     head = F.max_by("node", F.struct("met", "node")) if hubs else F.min("node")
@@ -220,10 +222,12 @@ def links(fps: DataFrame, bits: int = 4, dense: int = DENSE, hubs: bool = False)
     crowded = scratch.save(_crowded(fps, most), "crowded")
     some = not crowded.isEmpty()
     few = variants.join(crowded, "key", "left_anti") if some else variants
-    other = few.select(F.col("fp").alias("fp2"), F.col("key").alias("key2"))
-    differs = F.col("fp").bitwiseXOR(F.col("fp2"))
+    # both sides are renamed alike, so that they read one shuffle
+    one, other = (few.select(F.col("fp").alias(f), F.col("key").alias(k)) for f, k in (("fp1", "key"), ("fp2", "key2")))
+    differs = F.col("fp1").bitwiseXOR(F.col("fp2"))
     near = (F.bit_count(differs) <= bits) & _first_key(differs)
-    pairs = few.join(other, (F.col("key") == F.col("key2")) & (F.col("fp") < F.col("fp2")) & near).select("fp", "fp2", F.shiftright("key", 40).cast("int").alias("space"))
+    pairs = one.join(other.hint("shuffle_merge"), (F.col("key") == F.col("key2")) & (F.col("fp1") < F.col("fp2")) & near)
+    pairs = pairs.select(F.col("fp1").alias("fp"), "fp2", F.shiftright("key", 40).cast("int").alias("space"))
     pairs = scratch.save(pairs, "pairs")
     named = lambda fp, node: fps.select("space", F.col("fp").alias(fp), F.col("node").alias(node))
     edges = pairs.join(named("fp", "a"), ["space", "fp"]).join(named("fp2", "b"), ["space", "fp2"]).select("a", "b")
