@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from mereflow import scratch
 
-#: Times that a round's pointers are doubled; what still points on is left to the next round.
+#: Times that pointers are doubled between two writes.
 DOUBLINGS = 2
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with an edge; ``root`` is the smallest node id of its component.
 
-    Each round hooks every node to its smallest neighbour, doubles the pointers a fixed number of times
-    and contracts the edges along them, so the edge table shrinks at least by half per round. Rounds
-    are written to the shared folder. Nodes are of any type that has an order. Edges with a null end
+    Each round hooks every node to its smallest neighbour, follows the pointers to their ends by doubling
+    and contracts the edges, so the edge table shrinks at least by half per round, and a chain of any length
+    takes one. Rounds are written to the shared folder. Nodes are of any type that has an order. Edges with a null end
     are ignored, self loops give a component of one, repeated edges count once.
     """
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
@@ -30,11 +30,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             scratch.drop(up)
             break
         far = up
-        for _ in range(DOUBLINGS):
-            q = far.select(F.col("n").alias("n2"), F.col("p").alias("p2"))
-            far = far.join(q, far.p == q.n2, "left").select("n", F.coalesce("p2", "p").alias("p"))
-        far = scratch.save(far, "up")
-        scratch.drop(up)
+        while True:
+            nxt = far
+            for _ in range(DOUBLINGS):
+                q = nxt.select(F.col("n").alias("n2"), F.col("p").alias("p2"))
+                nxt = nxt.join(q, nxt.p == q.n2, "left").select("n", F.coalesce("p2", "p").alias("p"), (F.coalesce("p2", "p") < F.col("p")).alias("moved"))
+            nxt = scratch.save(nxt, "up")
+            scratch.drop(far)
+            far = nxt
+            if far.where("moved").isEmpty():
+                break
         ua, ub = far.select(F.col("n").alias("a"), F.col("p").alias("pa")), far.select(F.col("n").alias("b"), F.col("p").alias("pb"))
         e2 = scratch.save(live.join(ua, "a").join(ub, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b")).where("a <> b").distinct(), "edges")
         if e is not first:
