@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mereflow import scratch
@@ -193,16 +193,16 @@ def _linked_around(crowd: DataFrame, bits: int, hubs: bool = False) -> DataFrame
     one and rounded down of the other; all that lie around such a value with an inner one are one component. They are
     linked to the smallest of them or, with ``hubs``, to the one that most others lie around as well.
     """
-    about = _around(crowd, -(-bits // 2), bits // 2)
-    met = about.groupBy("space", "v").agg(F.count(F.lit(1)).alias("n"), F.max("inside").alias("some")).where("n > 1 and some").select("space", "v", "n")
-    # the planner takes a table before it multiplies for its size, so joins of such tables are told to shuffle
-    shared = about.select("node", "space", "v").join(met.hint("shuffle_merge"), ["space", "v"])
-    about = scratch.save(shared, "around")  # few values lie around more than one
+    # at most 2081 distinct fingerprints lie within two bits of a value, and as many values of a fingerprint: no window is larger
+    value, own = Window.partitionBy("space", "v"), Window.partitionBy("node", "space")
+    about = _around(crowd, -(-bits // 2), bits // 2).withColumns({"n": F.count(F.lit(1)).over(value), "some": F.max("inside").over(value)})
+    about = scratch.save(about.where("n > 1 and some").select("node", "space", "v", "n"), "around")  # few values lie around more than one
     if hubs:
-        about = about.join(about.groupBy("node", "space").agg(F.sum("n").alias("met")), ["node", "space"])
-    head = F.max_by("node", F.struct("met", "node")) if hubs else F.min("node")
-    heads = about.groupBy("space", "v").agg(head.alias("head"))
-    return about.join(heads, ["space", "v"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+        about = about.withColumn("met", F.sum("n").over(own))
+        head = F.first("node").over(value.orderBy(F.desc("met"), F.desc("node")))
+    else:
+        head = F.min("node").over(value)
+    return about.withColumn("head", head).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
 
 
 def links(fps: DataFrame, bits: int = 4, dense: int = DENSE, hubs: bool = False) -> DataFrame:
