@@ -98,14 +98,3 @@ def test_no_row_left_out(spark, more, module, name):
         assert got.count() == more.execute("select count(*) from customer").fetchone()[0] and got.where("d = 0").count() > 0
     else:
         assert got.where("day(nearest) <> 15").count() > 0
-
-
-def test_deep_paths_part(spark):
-    """Pages that differ only below the fourth segment, and one path that goes on alone."""
-    from mereflow.llm import urls
-
-    rows = [("h", f"/a/b/c/d/e/{kind}/{k}/x{k}", int(kind == "bad"), int(kind == "good")) for kind in ("bad", "good") for k in range(10)]
-    got = urls.templates(spark.createDataFrame([*rows, ("i", "/" + "/".join(f"s{k}" for k in range(40)), 0, 0), ("j", "", 0, 0)], "host string, path string, bad int, good int")).collect()
-    assert {r.template for r in got if "/bad/" in r.path} == {"/a/b/c/d/e/bad/#/x#"} and all(r.purity > 0.5 for r in got if "/bad/" in r.path)
-    assert all(r.purity < 0.5 for r in got if "/good/" in r.path)
-    assert len(got) == 22 and "/s#" * 40 in {r.template for r in got}
