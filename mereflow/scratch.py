@@ -43,13 +43,13 @@ def _delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
         disk.delete(hadoop, True)
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and lost executors lose nothing.
 
-    The table goes with the driver's process; :func:`drop` deletes it earlier.
+    The table goes with the driver's process; :func:`drop` deletes it earlier. ``options`` are the writer's.
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     _delete(spark, path, at_exit=True)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
