@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mereflow.llm import bitsliced, bpe, decontaminate, langid, quality, simhash, suffixes, toxicity, urls, warc
+from mereflow.llm import bitsliced, bpe, decontaminate, exact, langid, negatives, phrases, quality, simhash, suffixes, toxicity, urls, warc
 from mereflow.llm.common import table
 
 
@@ -63,6 +64,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    vectors = vectors.withColumn("label", F.expr("case when vec_id % 7 = 0 then (label + 1) % 10 else label end"))
+    return negatives.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -74,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_topk": op9_exact_topk,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 ORACLE: dict[str, str] = {
     "op2_simhash": simhash.ORACLE,
@@ -82,4 +100,7 @@ ORACLE: dict[str, str] = {
     "op7_warc": warc.ORACLE,
     "op8_suffix_dedup": suffixes.ORACLE,
     "op9_exact_topk": bitsliced.ORACLE,
+    "op11_collocations": phrases.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
+    "op13_exact_dedup": exact.ORACLE,
 }
