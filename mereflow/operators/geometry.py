@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mereflow import scratch
 from mereflow.functions.scalars import to_utm, utm_zone
+from mereflow.operators import overlay
 from mereflow.operators.components import connected_components
 
 
@@ -56,10 +57,10 @@ def vertices(polygons: DataFrame, key: str, *keep: str) -> DataFrame:
 
 def edges(polygons: DataFrame, key: str) -> DataFrame:
     """(key, x1, y1, x2, y2) of all rings, from lower to upper end; horizontal edges are left out."""
-    rings = polygons.select(key, F.explode("rings").alias("r")).where("size(r) > 1")
-    pairs = F.zip_with(F.slice("r", 1, F.size("r") - 1), F.slice("r", 2, F.size("r") - 1), lambda p, q: F.struct(F.when(p["y"] <= q["y"], p).otherwise(q).alias("a"), F.when(p["y"] <= q["y"], q).otherwise(p).alias("b")))
-    e = rings.select(key, F.explode(pairs).alias("e"))
-    return e.select(key, F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2")).where("y1 < y2")
+    rings = polygons.select(key, F.explode("rings").alias("__r")).where("size(__r) > 1")
+    pairs = F.zip_with(F.slice("__r", 1, F.size("__r") - 1), F.slice("__r", 2, F.size("__r") - 1), lambda p, q: F.struct(F.when(p["y"] <= q["y"], p).otherwise(q).alias("a"), F.when(p["y"] <= q["y"], q).otherwise(p).alias("b")))
+    e = rings.select(key, F.explode(pairs).alias("__e"))
+    return e.select(key, F.col("__e.a.x").alias("x1"), F.col("__e.a.y").alias("y1"), F.col("__e.b.x").alias("x2"), F.col("__e.b.y").alias("y2")).where("y1 < y2")
 
 
 def boxes(polygons: DataFrame, key: str) -> DataFrame:
@@ -108,25 +109,10 @@ def overlay_area(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key:
     covered stretches between neighbouring edges are trapezoids.
     """
     keys = [left_key, right_key]
-    a = pairs.join(edges(left, left_key), left_key).withColumn("side", F.lit(0))
-    b = pairs.join(edges(right, right_key), right_key).withColumn("side", F.lit(1))
+    a = pairs.join(edges(left, left_key), left_key).withColumn("part", F.lit(0))
+    b = pairs.join(edges(right, right_key), right_key).withColumn("part", F.lit(1))
     both = scratch.save(a.unionByName(b), "pair-edges")
-    e, g = both.where("side = 0"), both.where("side = 1").select(*keys, *(F.col(c).alias(f"{c}_") for c in ("x1", "y1", "x2", "y2")))
-    sx, sy, tx, ty = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("x2_") - F.col("x1_"), F.col("y2_") - F.col("y1_")
-    det = sx * ty - sy * tx
-    t = ((F.col("x1_") - F.col("x1")) * ty - (F.col("y1_") - F.col("y1")) * tx) / det
-    meet = (F.greatest("y1", "y1_") < F.least("y2", "y2_")) & (det != 0)
-    cross = e.join(g, keys).where(meet).withColumn("t", t).where("t > 0 and t < 1").select(*keys, (F.col("y1") + F.col("t") * sy).alias("y"))
-    cuts = both.select(*keys, F.col("y1").alias("y")).union(both.select(*keys, F.col("y2").alias("y"))).union(cross).distinct()
-    slabs = cuts.select(*keys, F.col("y").alias("lo"), F.lead("y").over(Window.partitionBy(*keys).orderBy("y")).alias("hi")).where("hi is not null")
-    at = lambda y: F.col("x1") + (y - F.col("y1")) / (F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1"))
-    spans = both.join(slabs, keys).where((F.col("y1") <= F.col("lo")) & (F.col("y2") >= F.col("hi"))).withColumn("x", at((F.col("lo") + F.col("hi")) / 2))
-    order = Window.partitionBy(*keys, "lo").orderBy("x", "side")
-    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    inside = [F.sum((F.col("side") == k).cast("int")).over(so_far) % 2 == 1 for k in (0, 1)]
-    covered = inside[0] & inside[1] if how == "intersection" else inside[0] | inside[1]
-    width = F.when(covered, (F.lead("x").over(order) - F.col("x")) * (F.col("hi") - F.col("lo"))).otherwise(0.0)
-    sums = spans.withColumn("w", width).groupBy(*keys).agg(F.sum("w").alias("area"))
+    sums = overlay.covered_area(overlay.slabs(both, keys), keys, 2 if how == "intersection" else 1)
     return pairs.join(sums, keys, "left").select(*keys, F.coalesce("area", F.lit(0.0)).alias("area"))
 
 
@@ -173,12 +159,60 @@ def mask_rings(cells: DataFrame, keys: list[str], x: str = "range_index", y: str
     return named.groupBy(*keys, "root").agg(F.sum(cross).alias("area"), F.count(F.lit(1)).alias("n_edges"), F.min("edge").alias("ring")).drop("root").select(*keys, "ring", "area", "n_edges")
 
 
+def ring_nesting(cells: DataFrame, keys: list[str], scene: list[str], x: str = "range_index", y: str = "azimuth_index") -> DataFrame:
+    """(keys, ring, area, parent_keys, parent, depth): the ring that each ring of each group lies directly in, null outside, and how many enclose it.
+
+    Groups are regions of a scene, and rings of all its groups nest: a hole in its region's outer ring, a region on an island in
+    the hole around the island. A ring's lowest leftmost upright edge looks left along its row, by a window over the row's
+    edges: the next edge to the left belongs to the parent, or to a sibling, whose parent is found by pointer doubling.
+    """
+    rim = scratch.save(mask_boundary(cells, keys, x, y), "rings")
+    name = F.xxhash64(*keys, "edge")
+    root = connected_components(rim.select(name.alias("a"), F.xxhash64(*keys, "next").alias("b")))
+    own = scratch.save(rim.withColumn("__e", name).join(root, F.col("__e") == root.node).drop("__e", "node"), "named-rings")
+    cross = (F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2
+    low = F.struct(F.least("y1", "y2"), "x1")
+    rings = own.groupBy(*keys, "root").agg(F.sum(cross).alias("area"), F.min("edge").alias("ring"), F.min(F.when(F.col("x1") == F.col("x2"), low)).alias("low"))
+    rings = scratch.save(rings, "ring-areas")
+    # upright edges: those that go down have their region on the right; one that ends a region comes before one that begins there
+    upright = own.where("x1 = x2").select(*keys, "root", F.least("y1", "y2").alias("row"), "x1", (F.col("y2") < F.col("y1")).alias("begins"))
+    upright = upright.join(rings.select(*keys, "root", "area"), [*keys, "root"])
+    row = Window.partitionBy(*scene, "row").orderBy("x1", "begins")
+    before = lambda c: F.lag(c).over(row)
+    looked = upright.withColumns({"left": before("root"), "left_hole": before("area") < 0, "left_begins": before("begins")})
+    first = looked.join(rings.select(*keys, "root", "low"), [*keys, "root"]).where((F.col("low.col1") == F.col("row")) & (F.col("low.x1") == F.col("x1")))
+    # a region's hole sees its outer ring begin, a region on an island the hole begin; anything else is a sibling
+    direct = F.when(F.col("area") < 0, F.col("left_begins") & ~F.col("left_hole")).otherwise(~F.col("left_begins") & F.col("left_hole"))
+    links = first.select(F.col("root").alias("node"), F.col("left").alias("to"), F.coalesce(direct, F.lit(True)).alias("known"))
+    links = scratch.save(links, "nesting")
+    while not links.where("not known").isEmpty():
+        far = links.select(F.col("node").alias("to"), F.col("to").alias("to2"), F.col("known").alias("known2"))
+        nxt = links.join(far, "to", "left").select("node", F.when(F.col("known"), F.col("to")).otherwise(F.col("to2")).alias("to"), F.coalesce(F.col("known") | F.col("known2"), F.lit(True)).alias("known"))
+        nxt = scratch.save(nxt, "nesting")
+        scratch.drop(links)
+        links = nxt
+    parents = links.select("node", "to")
+    steps = scratch.save(parents.select("node", "to", F.when(F.col("to").isNull(), 0).otherwise(1).alias("depth")), "depths")
+    while not steps.where("to is not null").isEmpty():
+        far = steps.select(F.col("node").alias("to"), F.col("to").alias("to2"), F.col("depth").alias("more"))
+        nxt = scratch.save(steps.join(far, "to", "left").select("node", F.col("to2").alias("to"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "depths")
+        scratch.drop(steps)
+        steps = nxt
+    up = rings.select(F.col("root").alias("to"), F.struct(*keys).alias("parent_keys"), F.col("ring").alias("parent"))
+    named = rings.join(parents.withColumnRenamed("node", "root"), "root").join(steps.select(F.col("node").alias("root"), F.col("depth").cast("int").alias("depth")), "root").join(up, "to", "left")
+    return named.select(*keys, "ring", "area", "parent_keys", "parent", "depth")
+
+
 def ordered_rings(cells: DataFrame, keys: list[str], x: str = "range_index", y: str = "azimuth_index") -> DataFrame:
     """(keys, ring, position, x, y): vertices of each ring in order, from its smallest edge on.
 
     Positions come from pointer doubling: each round doubles the distance that every edge knows to the ring's start.
     """
-    rim = scratch.save(mask_boundary(cells, keys, x, y), "rings")
+    return _in_order(scratch.save(mask_boundary(cells, keys, x, y), "rings"), keys)
+
+
+def _in_order(rim: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ring, position, x, y) of edges (keys, edge, next, x1, y1), which are unique in their group."""
     root = connected_components(rim.select(F.xxhash64(*keys, "edge").alias("a"), F.xxhash64(*keys, "next").alias("b")))
     first = rim.withColumn("__e", F.xxhash64(*keys, "edge")).join(root, F.col("__e") == root.node).withColumn("ring", F.min("edge").over(Window.partitionBy(*keys, "root")))
     own = scratch.save(first.select(*keys, "ring", "edge", "next", "x1", "y1", F.count(F.lit(1)).over(Window.partitionBy(*keys, "root")).alias("n")), "ring-edges")
@@ -246,29 +280,70 @@ def extent_between(cells: DataFrame, distance: int, key: str = "id", share: floa
     return dilate(own, distance).join(low, ["ix", "iy"], "left_anti")
 
 
+def _part_edges(shapes: DataFrame, keys: list[str], part: str) -> DataFrame:
+    e = edges(shapes.select(F.struct(*keys, F.col(part).alias("part")).alias("k"), "rings"), "k")
+    return scratch.save(e.select("k.*", "x1", "y1", "x2", "y2"), "union-edges")
+
+
 def union_areas(shapes: DataFrame, keys: list[str], part: str) -> DataFrame:
     """(keys, area) of the union of each group's polygons (keys, part, rings).
 
     As in :func:`overlay_area` the plane is cut into slabs in which edges keep their order; there each polygon is entered at its odd edges
     and left at its even ones, and stretches inside any of them count.
     """
-    e = scratch.save(edges(shapes.select(F.struct(*keys, part).alias("k"), "rings"), "k").select("k.*", "x1", "y1", "x2", "y2"), "union-edges")
-    g = e.select(*keys, F.col(part).alias("part_"), *(F.col(c).alias(f"{c}_") for c in ("x1", "y1", "x2", "y2")))
-    sx, sy, tx, ty = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("x2_") - F.col("x1_"), F.col("y2_") - F.col("y1_")
-    det = sx * ty - sy * tx
-    t = F.try_divide((F.col("x1_") - F.col("x1")) * ty - (F.col("y1_") - F.col("y1")) * tx, det)
-    meet = (F.col(part) < F.col("part_")) & (F.greatest("y1", "y1_") < F.least("y2", "y2_")) & (F.least("x1", "x2") <= F.greatest("x1_", "x2_")) & (F.least("x1_", "x2_") <= F.greatest("x1", "x2")) & (det != 0)
-    cross = e.join(g, keys).where(meet).withColumn("t", t).where("t > 0 and t < 1").select(*keys, (F.col("y1") + F.col("t") * sy).alias("y"))
-    cuts = e.select(*keys, F.col("y1").alias("y")).union(e.select(*keys, F.col("y2").alias("y"))).union(cross).distinct()
-    slabs = cuts.select(*keys, F.col("y").alias("lo"), F.lead("y").over(Window.partitionBy(*keys).orderBy("y")).alias("hi")).where("hi is not null")
-    middle = (F.col("lo") + F.col("hi")) / 2
-    spans = e.join(slabs, keys).where((F.col("y1") <= F.col("lo")) & (F.col("y2") >= F.col("hi"))).withColumn("x", F.col("x1") + (middle - F.col("y1")) / (F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1")))
-    number = F.row_number().over(Window.partitionBy(*keys, "lo", part).orderBy("x"))
-    order = Window.partitionBy(*keys, "lo").orderBy("x", part)
-    spans = spans.withColumn("turn", F.when(number % 2 == 1, 1).otherwise(-1))
-    inside = F.sum("turn").over(order.rowsBetween(Window.unboundedPreceding, 0)) > 0
-    width = F.when(inside, (F.lead("x").over(order) - F.col("x")) * (F.col("hi") - F.col("lo"))).otherwise(0.0)
-    return spans.withColumn("w", width).groupBy(*keys).agg(F.sum("w").alias("area"))
+    return overlay.covered_area(overlay.slabs(_part_edges(shapes, keys, part), keys), keys, 1)
+
+
+def union_polygons(shapes: DataFrame, keys: list[str], part: str, least: int = 1) -> DataFrame:
+    """(keys, rings): the union of each group's polygons (keys, part, rings), or what ``least`` of them have in common.
+
+    Rings are closed, by falling size; outer ones run anticlockwise, holes clockwise, so :func:`rings_area` is the sum of signed
+    areas. Polygons that only touch in a point stay apart. Vertices on a straight line are left out. Groups that
+    cover nothing have no row.
+    """
+    pieces = overlay.outline(overlay.slabs(_part_edges(shapes, keys, part), keys), keys, least)
+    return collect_rings(without_straight(_stitched(pieces, keys), keys), keys)
+
+
+def rings_area(rings: Column) -> Column:
+    """Area of rings of which the outer ones run anticlockwise and the holes clockwise."""
+    return F.aggregate(F.transform(rings, ring_area), F.lit(0.0), lambda a, t: a + t)
+
+
+def _stitched(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ring, position, x, y) of directed pieces (keys, x1, y1, x2, y2) that close to rings; of several ways on the sharpest left turn is taken."""
+    rim = scratch.save(pieces.withColumn("edge", F.monotonically_increasing_id()), "pieces")
+    onward = rim.select(*keys, F.col("x1").alias("x2"), F.col("y1").alias("y2"), F.col("x2").alias("x3"), F.col("y2").alias("y3"), F.col("edge").alias("next"))
+    ux, uy, vx, vy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("x3") - F.col("x2"), F.col("y3") - F.col("y2")
+    found = rim.join(onward, [*keys, "x2", "y2"]).groupBy(*keys, "edge").agg(F.max_by("next", F.struct(F.atan2(ux * vy - uy * vx, ux * vx + uy * vy), "next")).alias("next"))
+    return _in_order(scratch.save(rim.join(found, [*keys, "edge"]), "rim"), keys)
+
+
+def without_straight(points: DataFrame, keys: list[str], near: float = 1e-9, sine: float = 1e-6) -> DataFrame:
+    """Vertices (keys, ring, position, x, y) at which their ring turns, numbered anew.
+
+    Of vertices nearer to one another than ``near`` of their ring's extent the last is taken; a ring that is no wider has none.
+    """
+    ring = Window.partitionBy(*keys, "ring")
+    order = ring.orderBy("position")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    beside = lambda f, end, c: F.coalesce(f(c).over(order), end(c).over(whole))
+    wide = F.greatest(F.max("x").over(ring) - F.min("x").over(ring), F.max("y").over(ring) - F.min("y").over(ring))
+    own = points.withColumns({"qx": beside(F.lead, F.first, "x"), "qy": beside(F.lead, F.first, "y"), "wide": wide})
+    own = own.where((F.abs(F.col("qx") - F.col("x")) > near * F.col("wide")) | (F.abs(F.col("qy") - F.col("y")) > near * F.col("wide"))).drop("wide")
+    own = own.withColumns({"px": beside(F.lag, F.last, "x"), "py": beside(F.lag, F.last, "y"), "qx": beside(F.lead, F.first, "x"), "qy": beside(F.lead, F.first, "y")})
+    ux, uy, vx, vy = F.col("x") - F.col("px"), F.col("y") - F.col("py"), F.col("qx") - F.col("x"), F.col("qy") - F.col("y")
+    straight = (F.abs(ux * vy - uy * vx) <= sine * F.sqrt((ux * ux + uy * uy) * (vx * vx + vy * vy))) & (ux * vx + uy * vy > 0)
+    kept = own.where(~straight)
+    return kept.withColumn("position", F.row_number().over(order) - 1).select(*keys, "ring", "position", "x", "y")
+
+
+def collect_rings(points: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rings): each group's closed rings of vertices (keys, ring, position, x, y), by falling size."""
+    line = F.transform(F.sort_array(F.collect_list(F.struct("position", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    one = points.groupBy(*keys, "ring").agg(line.alias("r")).withColumn("r", F.concat("r", F.slice("r", 1, 1)))
+    own = one.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct((-F.abs(ring_area(F.col("r")))).alias("a"), F.col("r")))).alias("rs"))
+    return own.select(*keys, F.transform("rs", lambda x: x["r"]).alias("rings"))
 
 
 def convex_hulls(points: DataFrame, keys: list[str], row: str = "azimuth_index") -> DataFrame:

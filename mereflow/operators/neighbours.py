@@ -75,6 +75,67 @@ def nearest(left: DataFrame, right: DataFrame, k: int, key: str, right_key: str,
     return best.join(full, key, "left_semi").unionByName(rest)
 
 
+#: Targets that a leaf of a class's tree may hold, and halvings of a class's box.
+LEAF, HALVINGS = 32, 20
+
+
+def nearest_of_classes(points: DataFrame, targets: DataFrame, key: str, cls: str) -> DataFrame:
+    """(key, cls, d2): for each point (key, cls, x, y; a row for each class it may take) its nearest target (cls, x, y), of equals the smaller class.
+
+    Every class has a tree of buckets over its own box, halved where a bucket holds over ``LEAF`` targets. All points go down
+    together, a level a round, with the buckets that may hold their nearest target, whichever of their classes it is of; so a
+    point meets a few leaves, however many targets a class has.
+    """
+    inside = "x is not null and y is not null"
+    own = targets.where(inside).select(cls, F.col("x").cast("double").alias("tx"), F.col("y").cast("double").alias("ty")).distinct()
+    box = own.groupBy(cls).agg(F.min("tx").alias("x0"), F.min("ty").alias("y0"), F.greatest(F.max("tx") - F.min("tx"), F.max("ty") - F.min("ty")).alias("side"))
+    cell = lambda v, o: F.when(F.col("side") > 0, F.least(F.floor((F.col(v) - F.col(o)) / F.col("side") * (1 << HALVINGS)), F.lit((1 << HALVINGS) - 1))).otherwise(0)
+    placed = scratch.save(own.join(box, cls).select(cls, "tx", "ty", cell("tx", "x0").alias("u"), cell("ty", "y0").alias("v")), "targets")
+    up = lambda j: [F.shiftright(c, j).alias(c) for c in "uv"]
+    # the nodes of all trees, a level a round, as long as some node is to be halved
+    level, nodes, deep = HALVINGS, None, placed
+    while True:
+        count = deep.groupBy(cls, *up(level)).agg(F.count(F.lit(1)).alias("n")).withColumn("level", F.lit(level))
+        count = scratch.save(count.withColumn("leaf", (F.col("n") <= LEAF) | (F.col("level") == 0)), "nodes")
+        nodes = count if nodes is None else nodes.unionByName(count)
+        open_ = count.where("not leaf")
+        if open_.isEmpty():
+            break
+        at = deep.withColumns({"pu": F.shiftright("u", level), "pv": F.shiftright("v", level)})
+        deep = at.join(open_.select(cls, F.col("u").alias("pu"), F.col("v").alias("pv")), [cls, "pu", "pv"], "left_semi").drop("pu", "pv")
+        level -= 1
+    least = level
+    spread = box.withColumn("unit", F.col("side") / (1 << HALVINGS))
+    todo = points.where(inside).select(key, cls, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).distinct()
+    root = nodes.where(F.col("level") == HALVINGS).drop("n")
+    found = todo.join(spread.select(cls, "x0", "y0", "unit"), cls).join(root, cls)
+    done = None
+    for j in range(HALVINGS, least - 1, -1):
+        side = F.col("unit") * (1 << j)
+        low = lambda c, o, b: F.col(c) - F.col(o) - F.col(b) * side  # noqa: E731, B023
+        high = lambda c, o, b: F.col(o) + (F.col(b) + 1) * side - F.col(c)  # noqa: E731, B023
+        square = lambda f: f("x", "x0", "u") ** 2 + f("y", "y0", "v") ** 2
+        near = square(lambda *a: F.greatest(-low(*a), -high(*a), F.lit(0.0)))
+        far = square(lambda *a: F.greatest(F.abs(low(*a)), F.abs(high(*a))))
+        live = found.withColumns({"near": near, "far": far})
+        if done is not None:
+            live = live.unionByName(done)
+        bound = F.min("far").over(Window.partitionBy(key))
+        live = scratch.save(live.withColumn("bound", bound).where("near <= bound * (1 + 1e-9)").drop("bound"), "tree")
+        done, open_ = live.where("leaf"), live.where("not leaf").drop("near", "far", "level", "leaf")
+        if j == least:
+            break
+        child = nodes.where(F.col("level") == j - 1).drop("n").withColumns({"pu": F.shiftright("u", 1), "pv": F.shiftright("v", 1)})
+        found = open_.withColumnsRenamed({"u": "pu", "v": "pv"}).join(child, [cls, "pu", "pv"]).drop("pu", "pv")
+    # a target's leaf is the first node on its way down that is one
+    way = placed.withColumn("level", F.explode(F.sequence(F.lit(least), F.lit(HALVINGS)))).withColumns({"u": F.expr("shiftright(u, level)"), "v": F.expr("shiftright(v, level)")})
+    leaves = way.join(nodes.where("leaf").select(cls, "level", "u", "v"), [cls, "level", "u", "v"])
+    d2 = (F.col("x") - F.col("tx")) ** 2 + (F.col("y") - F.col("ty")) ** 2
+    met = done.join(leaves, [cls, "level", "u", "v"]).withColumn("d2", d2)
+    best = met.groupBy(key).agg(F.min(F.struct(F.col("d2"), F.col(cls))).alias("b"))
+    return best.select(key, F.col(f"b.{cls}").alias(cls), F.col("b.d2").alias("d2"))
+
+
 def isolated_points(points: DataFrame, radius: float, more_than: int, key: str = "id") -> DataFrame:
     """Points with more than ``more_than`` points within the radius, themselves counted."""
     n = within(points.select(key, "x", "y"), points.select("x", "y"), radius).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))

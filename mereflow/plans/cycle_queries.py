@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from mereflow import fixtures as X
 from mereflow.functions import scalars as S
 from mereflow.operators import cycle as C
+from mereflow.operators import geometry as G
 from mereflow.plans.queries import KEY, KEYS, r6
 
 QUERIES: dict = {}
@@ -17,7 +18,7 @@ def query(sql=None):
     def put(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLE[f.__name__] = sql.replace("{pixc}", X.PIXC_SQL).replace("{lakesp}", X.LAKESP_SQL).replace("{pld}", X.PLD_SQL)
+            ORACLE[f.__name__] = sql.replace("{pixc}", X.PIXC_SQL).replace("{lakesp}", X.LAKESP_SQL).replace("{lakesp_part}", X.LAKESP_PART_SQL).replace("{pld}", X.PLD_SQL)
         return f
 
     return put
@@ -66,15 +67,20 @@ def a23_nearest_full_pass(spark, sf_dir):
 _SHAPE = "cast(pass_number%7*3 as double) as x0, cast(pass_number%7*3+2+pass_number%4 as double) as x1, cast(pass_number%5*2 as double) as y0, cast(pass_number%5*2+3 as double) as y1"
 
 
+def _shaped(lakes):
+    """``lakes`` with a box of whole numbers as rings."""
+    own = lakes.selectExpr("*", *(x.strip() for x in _SHAPE.replace(", cast", "|cast").split("|")))
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0"))
+    return own.withColumn("rings", F.array(ring)).drop("x0", "x1", "y0", "y1")
+
+
 @query("with {lakesp}, " + FIRST + ", " + NEAR + f""", s as (select *, {_SHAPE} from f), n as (select cycle_number, lake_id from f group by 1,2 having min(partial_f)=1),
   u as (select cycle_number, lake_id, count(distinct ix*1000+iy) as a from s join n using (cycle_number, lake_id), range(0,40) i(ix), range(0,40) j(iy) where ix>=x0 and ix<x1 and iy>=y0 and iy<y1 group by 1,2),
   v as (select cycle_number, lake_id, avg(area_tot_u) as u, count(*) as k from s join n using (cycle_number, lake_id) group by 1,2)
   select cycle_number, lake_id, round(b.a,6) as area_avg, round(b.u,8) as area_avg_u, cast(1 as int) as parts from nr union all select cycle_number, lake_id, cast(a as double), round(u,8), cast(k as int) from u join v using (cycle_number, lake_id)""")
 def a23_cycle_shape(spark, sf_dir):
-    own = C.archive(X.lakesp(spark, sf_dir)).selectExpr("*", *(x.strip() for x in _SHAPE.replace(", cast", "|cast").split("|")))
-    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    ring = F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0"))
-    out = C.cycle_shape(own.withColumn("rings", F.array(ring)), [])
+    out = C.cycle_shape(C.archive(_shaped(X.lakesp(spark, sf_dir))), [])
     return out.select("cycle_number", "lake_id", F.round("area_avg", 6).alias("area_avg"), F.round("area_avg_u", 8).alias("area_avg_u"), F.size("parts").alias("parts"))
 
 
@@ -116,6 +122,36 @@ def d8_s16_cycle_product(spark, sf_dir):
     return r6(out.select("cycle_number", "lake_id", "npass", "pass_full", "pass_part", "wse_avg", "wse_hmin", "wse_hmed", "wse_hmax", "area_avg", "ds1_l_avg", "ds1_q_avg"), digits=7)
 
 
+_UNION = f"""s1 as (select *, {_SHAPE} from f), n1 as (select cycle_number, lake_id from f group by 1,2 having min(partial_f)=1),
+  u1 as (select distinct cycle_number, lake_id, ix, iy from s1 join n1 using (cycle_number, lake_id), range(0,40) i(ix), range(0,40) j(iy) where ix>=x0 and ix<x1 and iy>=y0 and iy<y1)"""
+
+
+@query("with {lakesp_part}, " + FIRST + ", " + _UNION + """, q as (select cycle_number, lake_id, x, y, max(case when ix=x and iy=y then 1 else 0 end) as ne, max(case when ix=x-1 and iy=y then 1 else 0 end) as nw, max(case when ix=x and iy=y-1 then 1 else 0 end) as se, max(case when ix=x-1 and iy=y-1 then 1 else 0 end) as sw
+    from (select *, ix+i as x, iy+j as y from u1, range(0,2) a(i), range(0,2) b(j)) group by 1,2,3,4)
+  select cycle_number, lake_id, sum(case when ne+nw+se+sw in (1,3) then 1 when ne+nw+se+sw=2 and ne=sw then 2 else 0 end)::bigint as n_vertices, min(x)::double as x0, max(x)::double as x1, min(y)::double as y0, max(y)::double as y1,
+    (select count(*) from u1 where u1.cycle_number=q.cycle_number and u1.lake_id=q.lake_id)::double as area from q group by 1,2""")
+def a23_g6_union_shapes(spark, sf_dir):
+    """Rings of the lakes that no pass saw whole: their corners, extents and area, against a count of unit cells."""
+    own = C.archive(_shaped(X.lakesp_part(spark, sf_dir)))
+    whole = own.where("partial_f = 0").select("cycle_number", "lake_id").distinct()
+    u = G.union_polygons(own.join(whole, ["cycle_number", "lake_id"], "left_anti"), ["cycle_number", "lake_id"], "pass_number")
+    ends = lambda f, k: f(F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p[k]))))
+    corners = F.aggregate("rings", F.lit(0).cast("long"), lambda a, r: a + F.size(r) - 1)
+    return u.select("cycle_number", "lake_id", corners.alias("n_vertices"), ends(F.array_min, "x").alias("x0"), ends(F.array_max, "x").alias("x1"), ends(F.array_min, "y").alias("y0"), ends(F.array_max, "y").alias("y1"), F.round(G.rings_area(F.col("rings")), 6).alias("area"))
+
+
+_D8_SHAPES = _D8.replace("  o as (select", "  " + _UNION + """, ua as (select cycle_number, lake_id, count(*)::double as a from u1 group by 1,2), uu as (select cycle_number, lake_id, avg(area_tot_u) as u from f join n1 using (cycle_number, lake_id) group by 1,2),
+  o as (select""").replace("nr.b.a as area_avg, nr.b.u as area_avg_u from", "coalesce(nr.b.a, ua.a) as area_avg, coalesce(nr.b.u, uu.u) as area_avg_u from").replace("left join nr using (cycle_number, lake_id))", "left join nr using (cycle_number, lake_id) left join ua using (cycle_number, lake_id) left join uu using (cycle_number, lake_id))")
+
+
+@query(_D8_SHAPES.replace("{lakesp}", "{lakesp_part}").replace("  select cycle_number, lake_id, npass, ", "  select cycle_number, lake_id, area_avg is not null and exists (select 1 from n1 where n1.cycle_number=o.cycle_number and n1.lake_id=o.lake_id) as united, round(area_avg_u,8) as area_avg_u, npass, "))
+def d8_a23_cycle_with_shapes(spark, sf_dir):
+    """The cycle product with geometry: lakes that no pass saw whole take the union of their partial shapes, its area and a storage change."""
+    out = C.cycle_product(_shaped(X.lakesp_part(spark, sf_dir)), X.pld(spark, sf_dir))
+    united = F.col("rings").isNotNull() & (F.col("npass_full") == 0)
+    return r6(out.select("cycle_number", "lake_id", united.alias("united"), F.round("area_avg_u", 8).alias("area_avg_u"), "npass", "pass_full", "pass_part", "wse_avg", "wse_hmin", "wse_hmed", "wse_hmax", "area_avg", "ds1_l_avg", "ds1_q_avg"), digits=7)
+
+
 @query("""with o as (select distinct cast(o_orderdate as date) as d from orders), l as (select distinct cast(l_shipdate as date) as s from lineitem),
   j as (select d, s, row_number() over (partition by d order by abs(s-d), s) as r from o left join l on abs(s-d)<=99)
   select d as acquired, s as nearest from j where r=1""")

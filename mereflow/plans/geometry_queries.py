@@ -74,6 +74,32 @@ def g6_union_areas(spark, sf_dir):
     return r6(G.overlay_area(pairs, o, p, "obs_id", "lake_id", "union"))
 
 
+@query("with {poly}, " + _OBS + """, t as (select obs_id, lake_id, a.x0 as ax0, a.x1 as ax1, a.y0 as ay0, a.y1 as ay1, b.x0, b.x1, b.y0, b.y1, """ + _CUT + """ as cut from obs a join poly b on a.x0<=b.x1 and b.x0<=a.x1 and a.y0<=b.y1 and b.y0<=a.y1),
+  v as (select *, (ax0>x0 and ax0<x1)::int as l, (ax1>x0 and ax1<x1)::int as r, (ay0>y0 and ay0<y1)::int as d, (ay1>y0 and ay1<y1)::int as u, (x0>ax0 and x0<ax1)::int as l2, (x1>ax0 and x1<ax1)::int as r2, (y0>ay0 and y0<ay1)::int as d2, (y1>ay0 and y1<ay1)::int as u2 from t)
+  select obs_id, lake_id, round((ax1-ax0)*(ay1-ay0)+(x1-x0)*(y1-y0)-cut,6) as area, cast(8-(l+r)*(d+u)-(l2+r2)*(d2+u2)+(l+r)*(d2+u2)+(l2+r2)*(d+u) as bigint) as n_vertices, cast(1 as int) as n_rings, least(x0,ax0) as x0, greatest(y1,ay1) as y1 from v""")
+def g6_union_polygons(spark, sf_dir):
+    o, p = _observed(spark, sf_dir), _prior(spark, sf_dir)
+    pairs = G.touching_boxes(G.boxes(o, "obs_id"), G.boxes(p, "lake_id"), "obs_id", "lake_id", 10.0)
+    shapes = pairs.join(o, "obs_id").withColumn("part", F.lit(0)).unionByName(pairs.join(p, "lake_id").withColumn("part", F.lit(1)))
+    u = G.union_polygons(shapes, ["obs_id", "lake_id"], "part")
+    along = lambda k: F.flatten(F.transform("rings", lambda r: F.transform(r, lambda q: q[k])))
+    corners = F.aggregate("rings", F.lit(0).cast("long"), lambda a, r: a + F.size(r) - 1)
+    return u.select("obs_id", "lake_id", F.round(G.rings_area(F.col("rings")), 6).alias("area"), corners.alias("n_vertices"), F.size("rings").alias("n_rings"), F.array_min(along("x")).alias("x0"), F.array_max(along("y")).alias("y1"))
+
+
+#: Square frames around one another, of suppliers beside one another in their nation's scene: region k has radius 2k.
+@query("""with k as (select s_nationkey as scene, s_suppkey*10+k as region, s_suppkey*10 as own, k, s_suppkey%4+1 as d from supplier, range(0,5) t(k) where k<=s_suppkey%4+1)
+  select scene, region, cast((4*k+1)*(4*k+1) as double) as area, case when k<d then region+1 end as parent_region, cast(2*(d-k) as int) as depth from k
+  union all select scene, region, cast(-(4*k-1)*(4*k-1) as double), region, cast(2*(d-k)+1 as int) from k where k>0""")
+def g11_ring_nesting(spark, sf_dir):
+    s = X.table(spark, sf_dir, "supplier").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s_suppkey") % 4 + 1)))
+    side = lambda: F.explode(F.sequence(-2 * F.col("k"), 2 * F.col("k")))
+    cells = s.withColumn("i", side()).withColumn("j", side()).where("greatest(abs(i), abs(j)) = 2 * k")
+    cells = cells.select(F.col("s_nationkey").alias("scene"), (F.col("s_suppkey") * 10 + F.col("k")).alias("region"), (F.col("s_suppkey") * 20 + F.col("i")).alias("range_index"), (F.col("j") + 10).alias("azimuth_index"))
+    rings = G.ring_nesting(cells, ["scene", "region"], ["scene"])
+    return rings.select("scene", "region", "area", F.col("parent_keys.region").alias("parent_region"), "depth")
+
+
 @query("with {poly}, " + _OBS + ", " + _LINKS + " select obs_id, lake_id, round(area,6) as area, round(overlap,6) as overlap from lk")
 def j5_j14_overlaps(spark, sf_dir):
     return r6(_links(spark, sf_dir))
