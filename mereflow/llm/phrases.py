@@ -32,6 +32,8 @@ BLOCK_WORDS, PART_BYTES = 2_500_000, 1 << 20
 _IDS = 1 << 21
 #: Bits of the bitmap for each candidate, and the most it may have: 32 MB, whatever the input.
 BITS_EACH, MOST_BITS = 16, 1 << 28
+#: Steps of the sketch of a language's scores.
+SKETCH = 10_000
 _MULT, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 
 
@@ -228,13 +230,20 @@ def scored(counts: DataFrame, share: int = 50) -> DataFrame:
 def collocations(docs: DataFrame, support: int = 10, longest: int = 3, most: int = 2000, share: int = 50, shards: int = SHARDS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``most`` best phrases by score, then count, then phrase.
 
-    A language's candidates are ranked in lots first, so that no task gets more of them than ``most`` a lot.
+    A sketch of each language's scores gives one below which none of them can lie; of those above it, some twice as many as are
+    wanted and what ties with them, lots are ranked first, so that no task gets more than ``most`` a lot.
     """
     counts, total = frequent(docs, support, longest, shards)
-    best = scored(counts, share)
+    best = scratch.save(scored(counts, share), "scored")
+    high = F.col("score") * (1 << 32) + F.least("a", F.lit((1 << 32) - 1))
+    steps = [1 - 0.5**j for j in range(1, 12)]
+    cuts = best.groupBy("lang").agg(F.count(F.lit(1)).alias("of"), F.percentile_approx(high, steps, SKETCH).alias("at"))
+    # the sketch errs by a part of 1 / SKETCH of all; a step is taken if enough lie above it even so
+    above = F.filter(F.arrays_zip(F.array(*map(F.lit, steps)).alias("q"), F.col("at").alias("v")), lambda x: (1 - x["q"] - 2 / SKETCH) * F.col("of") > most)
+    cuts = cuts.select("lang", F.coalesce(F.array_max(F.transform(above, lambda x: x["v"])), F.lit(-1)).alias("least"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     lots = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    best = best.withColumn("lot", F.pmod(F.xxhash64("phrase"), F.lit(lots)))
+    best = best.join(cuts, "lang").where(high >= F.col("least")).withColumn("lot", F.pmod(F.xxhash64("phrase"), F.lit(lots)))
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "lot").orderBy(*order))).where(F.col("rank") <= most)
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= most)
     return best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
