@@ -27,7 +27,7 @@ _TABLE = bytes.maketrans(UPPER.encode() + BREAKS + b"\t", LOWER.encode() + b","
 #: Shards, however many documents there are: their supports stay over one, and tasks share the mining of each.
 SHARDS = 4
 #: Words that a task holds between two emissions, and bytes of a text that it takes at once.
-BLOCK_WORDS, PART_BYTES = 2_500_000, 1 << 20
+BLOCK_WORDS, PART_BYTES = 1_500_000, 1 << 20
 #: Words to a block's key: three of them fit 63 bits.
 _IDS = 1 << 21
 #: Bits of the bitmap for each candidate, and the most it may have: 32 MB, whatever the input.
