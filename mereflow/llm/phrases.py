@@ -240,7 +240,7 @@ def collocations(docs: DataFrame, support: int = 10, longest: int = 3, most: int
     cuts = best.groupBy("lang").agg(F.count(F.lit(1)).alias("of"), F.percentile_approx(high, steps, SKETCH).alias("at"))
     # the sketch errs by a part of 1 / SKETCH of all; a step is taken if enough lie above it even so
     above = F.filter(F.arrays_zip(F.array(*map(F.lit, steps)).alias("q"), F.col("at").alias("v")), lambda x: (1 - x["q"] - 2 / SKETCH) * F.col("of") > most)
-    cuts = cuts.select("lang", F.coalesce(F.array_max(F.transform(above, lambda x: x["v"])), F.lit(-1)).alias("least"))
+    cuts = scratch.save(cuts.select("lang", F.coalesce(F.array_max(F.transform(above, lambda x: x["v"])), F.lit(-1)).alias("least")), "cuts")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     lots = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     best = best.join(cuts, "lang").where(high >= F.col("least")).withColumn("lot", F.pmod(F.xxhash64("phrase"), F.lit(lots)))
