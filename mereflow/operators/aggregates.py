@@ -18,7 +18,10 @@ CANCELS = 1e-12
 
 
 def metric(column: str, kind: str, percentile: float = 50.0) -> Column:
-    """mean, median, sum, std, percentile, count or mode of a column; NaN is skipped by the first four."""
+    """mean, median, sum, std, percentile, count or mode of a column; NaN is skipped by the first four.
+
+    Medians, percentiles and modes keep a group's distinct values in one task; :func:`percentiles` and :func:`modes` do not.
+    """
     c, clean = F.col(column), F.nanvl(F.col(column), F.lit(None).cast("double"))
     return {
         "mean": lambda: F.avg(clean),
@@ -31,6 +34,55 @@ def metric(column: str, kind: str, percentile: float = 50.0) -> Column:
     }[kind]()
 
 
+#: Rank error of the bracket in parts of a group, and how many of it lie between the bracket's ends and the wanted rank.
+BRACKET, MARGIN = 10_000, 10
+
+
+def percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """(keys, names): exact interpolated percentiles {name: (column, part from 0 to 1)} of each group; null where a column has no value.
+
+    A sketch of bounded size gives two values of the group on either side of the wanted rank. A second aggregate counts what
+    lies below and on them and keeps what lies between, a few thousandths of a group, in which the wanted row is found. No task
+    holds a group's values. Nulls and NaN are skipped.
+    """
+    own = df.select(*keys, *(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"__v_{k}") for k, (c, _) in wanted.items()))
+    away = MARGIN / BRACKET
+    ends = own.groupBy(*keys).agg(*(F.percentile_approx(f"__v_{k}", [max(0.0, q - away), min(1.0, q + away)], BRACKET).alias(f"__e_{k}") for k, (_, q) in wanted.items()), *(F.count(f"__v_{k}").alias(f"__n_{k}") for k in wanted))
+    both = own.join(ends, keys)
+    parts = []
+    for k, (_, q) in wanted.items():
+        v, many = F.col(f"__v_{k}"), F.col(f"__n_{k}") * away > 5
+        # in a small group, and at the ends, the bracket is open
+        lo = F.when(many & F.lit(q > away), F.col(f"__e_{k}")[0]).otherwise(float("-inf"))
+        hi = F.when(many & F.lit(q < 1 - away), F.col(f"__e_{k}")[1]).otherwise(float("inf"))
+        parts += [F.count(F.when(v < lo, 1)).alias(f"__b_{k}"), F.count(F.when(v == lo, 1)).alias(f"__l_{k}"), F.sort_array(F.collect_list(F.when((v > lo) & (v < hi), v))).alias(f"__m_{k}"), F.max(lo).alias(f"__lo_{k}"), F.max(hi).alias(f"__hi_{k}"), F.max(f"__n_{k}").alias(f"__n_{k}")]
+    found = both.groupBy(*keys).agg(*parts)
+    out = []
+    for k, (_, q) in wanted.items():
+        c = lambda x, k=k: F.col(f"__{x}_{k}")
+        place = (c("n") - 1) * F.lit(q)
+
+        def value(rank, c=c):
+            at = rank.cast("long") - c("b")
+            between = at - c("l")
+            return F.when(at < c("l"), c("lo")).when(between < F.size(c("m")), F.get(c("m"), between.cast("int"))).otherwise(c("hi"))
+
+        low, high = value(F.floor(place)), value(F.ceil(place))
+        part = place - F.floor(place)
+        out.append(F.when(c("n") > 0, F.when(part == 0, low).otherwise((1 - part) * low + part * high)).alias(k))
+    return found.select(*keys, *out)
+
+
+def modes(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """(keys, columns): the most frequent value of each column, the smallest of equals, by counts of values."""
+    out = df.select(*keys).distinct()
+    for c in columns:
+        n = df.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("__n"))
+        best = n.groupBy(*keys).agg(F.min(F.struct((-F.col("__n")).alias("n"), F.col(c).alias("v"))).alias("__b"))
+        out = out.join(best.select(*keys, F.col("__b.v").alias(c)), keys, "left")
+    return out
+
+
 def _weight(std: Column, method: str) -> Column:
     return F.try_divide(F.lit(1.0), std * std) if method == "weight" else F.lit(1.0)
 
@@ -175,7 +227,8 @@ def backscatter(kind: str = "rare") -> dict[str, Column]:
 def two_sigma(df: DataFrame, keys: list[str], columns: list[str], how: str = "mean") -> DataFrame:
     """Mean or deviation of each column over the rows within two deviations of the median, in one pass of rejection."""
     clean = df.select(*keys, *(finite(F.col(c)).alias(c) for c in columns))
-    middle = clean.groupBy(*keys).agg(*(x for c in columns for x in (F.median(c).alias(f"__m_{c}"), F.stddev_pop(c).alias(f"__s_{c}"))))
+    spread = clean.groupBy(*keys).agg(*(F.stddev_pop(c).alias(f"__s_{c}") for c in columns))
+    middle = percentiles(clean, keys, {f"__m_{c}": (c, 0.5) for c in columns}).join(spread, keys)
     kept = lambda c: F.when(F.abs(F.col(c) - F.col(f"__m_{c}")) <= 2 * F.col(f"__s_{c}"), F.col(c))
     out = F.avg if how == "mean" else F.stddev_pop
     return clean.join(middle, keys).groupBy(*keys).agg(*(out(kept(c)).alias(c) for c in columns))

@@ -208,11 +208,37 @@ def ordered_rings(cells: DataFrame, keys: list[str], x: str = "range_index", y:
 
     Positions come from pointer doubling: each round doubles the distance that every edge knows to the ring's start.
     """
-    return _in_order(scratch.save(mask_boundary(cells, keys, x, y), "rings"), keys)
+    return _in_order(scratch.save(mask_boundary(cells, keys, x, y), "rings"), keys).drop("edge")
+
+
+def thick(cells: DataFrame, keys: list[str], x: str = "range_index", y: str = "azimuth_index") -> DataFrame:
+    """Groups that hold a full block of two by two cells: others have no contour."""
+    corner = F.explode(F.array(*(F.struct((F.col(x) - a).alias("bx"), (F.col(y) - b).alias("by")) for a in (0, 1) for b in (0, 1))))
+    blocks = cells.select(*keys, x, y).distinct().select(*keys, corner.alias("b")).groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("n"))
+    return blocks.where("n = 4").select(*keys).distinct()
+
+
+def placed_rings(pixels: DataFrame, keys: list[str], lon: str = "longitude", lat: str = "latitude", x: str = "range_index", y: str = "azimuth_index", least: int = 3) -> DataFrame:
+    """(keys, ring, position, x, y): each object's boundary in longitude (x) and latitude (y), ring by ring, through the pixels that own it.
+
+    The boundary of the mask is followed, every edge of it stands for the pixel on its inner side, and a pixel's first edge for the
+    pixel; its place may come from :func:`mereflow.operators.products.pixel_lines` or a geolocation. Objects without a full block of two by two
+    pixels have no ring, nor have contours of fewer than ``least`` pixels; pixels without a place are left out of their rings.
+    """
+    own = pixels.join(thick(pixels, keys, x, y), keys, "left_semi")
+    order = _in_order(scratch.save(mask_boundary(own, keys, x, y), "rings"), keys)
+    side = F.col("edge") % 4
+    cell = order.withColumns({"__cx": F.col("x") - F.when(side.isin(1, 2), 1).otherwise(0), "__cy": F.col("y") - F.when(side.isin(2, 3), 1).otherwise(0)})
+    first = cell.groupBy(*keys, "ring", "__cx", "__cy").agg(F.min("position").alias("position"))
+    place = own.groupBy(*keys, F.col(x).cast("long").alias("__cx"), F.col(y).cast("long").alias("__cy")).agg(F.min(F.struct(F.col(lon).cast("double").alias("x"), F.col(lat).cast("double").alias("y"))).alias("p"))
+    at = first.join(place, [*keys, "__cx", "__cy"]).where("p.x is not null and p.y is not null")
+    ring = Window.partitionBy(*keys, "ring")
+    at = at.withColumns({"n": F.count(F.lit(1)).over(ring), "position": F.row_number().over(ring.orderBy("position")) - 1})
+    return at.where(F.col("n") >= least).select(*keys, "ring", "position", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
 
 def _in_order(rim: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, ring, position, x, y) of edges (keys, edge, next, x1, y1), which are unique in their group."""
+    """(keys, ring, edge, position, x, y) of edges (keys, edge, next, x1, y1), which are unique in their group."""
     root = connected_components(rim.select(F.xxhash64(*keys, "edge").alias("a"), F.xxhash64(*keys, "next").alias("b")))
     first = rim.withColumn("__e", F.xxhash64(*keys, "edge")).join(root, F.col("__e") == root.node).withColumn("ring", F.min("edge").over(Window.partitionBy(*keys, "root")))
     own = scratch.save(first.select(*keys, "ring", "edge", "next", "x1", "y1", F.count(F.lit(1)).over(Window.partitionBy(*keys, "root")).alias("n")), "ring-edges")
@@ -226,7 +252,7 @@ def _in_order(rim: DataFrame, keys: list[str]) -> DataFrame:
         nxt = scratch.save(nxt, "steps")
         scratch.drop(steps)
         steps = nxt
-    return own.join(steps.select(*keys, "edge", "gone"), [*keys, "edge"]).select(*keys, "ring", F.pmod(F.col("n") - F.col("gone"), F.col("n")).alias("position"), F.col("x1").alias("x"), F.col("y1").alias("y"))
+    return own.join(steps.select(*keys, "edge", "gone"), [*keys, "edge"]).select(*keys, "ring", "edge", F.pmod(F.col("n") - F.col("gone"), F.col("n")).alias("position"), F.col("x1").alias("x"), F.col("y1").alias("y"))
 
 
 def boundary_cells(cells: DataFrame, keys: list[str], x: str = "range_index", y: str = "azimuth_index") -> DataFrame:
@@ -302,7 +328,7 @@ def union_polygons(shapes: DataFrame, keys: list[str], part: str, least: int = 1
     cover nothing have no row.
     """
     pieces = overlay.outline(overlay.slabs(_part_edges(shapes, keys, part), keys), keys, least)
-    return collect_rings(without_straight(_stitched(pieces, keys), keys), keys)
+    return collect_rings(without_straight(_stitched(pieces, keys).drop("edge"), keys), keys)
 
 
 def rings_area(rings: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -161,38 +160,42 @@ def absorb_small(labelled: DataFrame, keys: list[str], least: int) -> DataFrame:
 def height_kmeans(labelled: DataFrame, keys: list[str], most: int = 11, spread: float = 1.0) -> DataFrame:
     """``labelled`` with ``cluster``: 1-D k-means of each object's heights, with the least k whose clusters all deviate by at most ``spread``.
 
-    Centres start at even quantiles and move until no height changes its cluster. Objects that no k up to ``most``, the reference's
-    bound, fits take ``most``. The distinct heights of one object, with their counts, are in one task's memory.
+    Centres start at even quantiles and move until no height changes its cluster; a height between two centres, to a billionth,
+    goes to the lower one, and clusters that stand empty go. Objects that no k up to ``most``, the reference's bound, fits take ``most``.
+    All objects and all k take their rounds together: a round deals the distinct heights with their counts to the centres, a small list
+    per object and k, and sums them up; the list is what is written. No task holds an object's heights.
     """
-    import pandas as pd
-
-    h = labelled.where(F.col("height").isNotNull() & ~F.isnan("height"))
-    levels = h.groupBy(*keys, F.col("height").cast("double").alias("height")).agg(F.count(F.lit(1)).alias("n"))
-    types = dict(levels.dtypes)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("height")
-        return pdf[[*keys, "height"]].assign(cluster=_kmeans(pdf["height"].to_numpy(), pdf["n"].to_numpy(), most, spread))
-
-    out = levels.groupBy(*keys).applyInPandas(run, ", ".join([*(f"{k} {types[k]}" for k in keys), "height double, cluster int"]))
-    return labelled.join(out, [*keys, "height"])
-
-
-def _kmeans(height: np.ndarray, n: np.ndarray, most: int, spread: float) -> np.ndarray:
-    """Cluster of each of the ascending heights, of which there are ``n`` each; a height between two centres, to a billionth, goes to the lower one."""
-    upto = np.cumsum(n)
-    for k in range(1, most + 1):
-        place = (np.arange(k) + 0.5) / k * (upto[-1] - 1)
-        low, high = (height[np.searchsorted(upto, f(place), side="right")] for f in (np.floor, np.ceil))
-        centres, seen, cluster = low + (high - low) * (place - np.floor(place)), set(), None
-        while cluster is None or cluster.tobytes() not in seen:
-            if cluster is not None:
-                seen.add(cluster.tobytes())
-                centres = np.bincount(cluster, height * n) / np.bincount(cluster, n)
-            cluster = np.searchsorted((centres[1:] + centres[:-1]) / 2 + 1e-9, height, side="left")
-            cluster = np.unique(cluster, return_inverse=True)[1]  # without clusters that stand empty
-        count = np.bincount(cluster, n)
-        mean = np.bincount(cluster, height * n) / count
-        if (np.sqrt(np.bincount(cluster, (height - mean[cluster]) ** 2 * n) / count) <= spread).all():
-            break
-    return cluster
+    from mereflow.operators.aggregates import percentiles
+
+    own = labelled.where(F.col("height").isNotNull() & ~F.isnan("height")).withColumn("height", F.col("height").cast("double"))
+    levels = scratch.save(own.groupBy(*keys, "height").agg(F.count(F.lit(1)).alias("n")), "levels")
+    places = {f"q{k}_{i}": ("height", (i + 0.5) / k) for k in range(1, most + 1) for i in range(k)}
+    starts = F.array(*(F.struct(F.lit(k).alias("k"), F.array(*(F.col(f"q{k}_{i}") for i in range(k))).alias("centres")) for k in range(1, most + 1)))
+    state = percentiles(own, keys, places).select(*keys, F.explode(starts).alias("s")).select(*keys, "s.k", "s.centres", F.array().cast("array<string>").alias("seen"), F.lit(False).alias("done"))
+    state = scratch.save(state, "centres")
+    middle = F.transform(F.sequence(F.lit(0), F.size("centres") - 2), lambda i: (F.get("centres", i + 1) + F.get("centres", i)) / 2 + 1e-9)
+    cuts = F.when(F.size("centres") > 1, middle).otherwise(F.array().cast("array<double>"))
+    dealt = lambda of: levels.join(of.withColumn("cuts", cuts), keys).withColumn("cluster", F.size(F.filter("cuts", lambda c: c < F.col("height"))))
+    while not state.where("not done").isEmpty():
+        live = state.where("not done").select(*keys, "k", "centres")
+        sums = dealt(live).groupBy(*keys, "k", "cluster").agg(F.sum("n").alias("n"), F.sum(F.col("height") * F.col("n")).alias("s"))
+        lists = sums.groupBy(*keys, "k").agg(F.sort_array(F.collect_list(F.struct("cluster", "n", "s"))).alias("g"))
+        moved = lists.select(*keys, "k", F.transform("g", lambda x: x["s"] / x["n"]).alias("now"), F.array_join(F.transform("g", lambda x: x["n"]), ",").alias("sizes"))
+        # clusters are stretches of the sorted heights, so equal sizes are equal clusters
+        still = F.col("done") | F.array_contains("seen", F.col("sizes"))
+        nxt = state.join(moved, [*keys, "k"], "left").withColumn("still", still)
+        nxt = nxt.select(*keys, "k", F.when(F.col("still"), F.col("centres")).otherwise(F.col("now")).alias("centres"), F.when(F.col("still"), F.col("seen")).otherwise(F.array_append("seen", F.col("sizes"))).alias("seen"), F.col("still").alias("done"))
+        nxt = scratch.save(nxt, "centres")
+        scratch.drop(state)
+        state = nxt
+    last = dealt(state.select(*keys, "k", "centres"))
+    mean = last.groupBy(*keys, "k", "cluster").agg((F.sum(F.col("height") * F.col("n")) / F.sum("n")).alias("m"))
+    off = last.join(mean, [*keys, "k", "cluster"]).groupBy(*keys, "k", "cluster").agg(F.sqrt(F.sum((F.col("height") - F.col("m")) ** 2 * F.col("n")) / F.sum("n")).alias("d"))
+    fits = off.groupBy(*keys, "k").agg((F.max("d") <= spread).alias("fits"))
+    chosen = fits.groupBy(*keys).agg(F.coalesce(F.min(F.when(F.col("fits"), F.col("k"))), F.lit(most)).alias("k"))
+    state = state.join(chosen, [*keys, "k"])
+    named = dealt(state.select(*keys, "centres")).select(*keys, "height", "cluster")
+    order = Window.partitionBy(*keys).orderBy("cluster")
+    packed = named.select(*keys, "cluster").distinct().withColumn("__p", (F.row_number().over(order) - 1).cast("int"))
+    named = named.join(packed, [*keys, "cluster"]).select(*keys, F.col("height").alias("__h"), F.col("__p").alias("cluster"))
+    return labelled.withColumn("__h", F.col("height").cast("double")).join(named, [*keys, "__h"]).drop("__h")

@@ -79,18 +79,18 @@ def nearest(left: DataFrame, right: DataFrame, k: int, key: str, right_key: str,
 LEAF, HALVINGS = 32, 20
 
 
-def nearest_of_classes(points: DataFrame, targets: DataFrame, key: str, cls: str) -> DataFrame:
-    """(key, cls, d2): for each point (key, cls, x, y; a row for each class it may take) its nearest target (cls, x, y), of equals the smaller class.
+def nearest_of_classes(points: DataFrame, targets: DataFrame, key: str, cls: str, *keep: str) -> DataFrame:
+    """(key, cls, d2, keep): for each point (key, cls, x, y; a row for each class it may take) its nearest target (cls, x, y, keep), of equals the smaller class.
 
     Every class has a tree of buckets over its own box, halved where a bucket holds over ``LEAF`` targets. All points go down
     together, a level a round, with the buckets that may hold their nearest target, whichever of their classes it is of; so a
     point meets a few leaves, however many targets a class has.
     """
     inside = "x is not null and y is not null"
-    own = targets.where(inside).select(cls, F.col("x").cast("double").alias("tx"), F.col("y").cast("double").alias("ty")).distinct()
+    own = targets.where(inside).select(cls, F.col("x").cast("double").alias("tx"), F.col("y").cast("double").alias("ty"), *keep).distinct()
     box = own.groupBy(cls).agg(F.min("tx").alias("x0"), F.min("ty").alias("y0"), F.greatest(F.max("tx") - F.min("tx"), F.max("ty") - F.min("ty")).alias("side"))
     cell = lambda v, o: F.when(F.col("side") > 0, F.least(F.floor((F.col(v) - F.col(o)) / F.col("side") * (1 << HALVINGS)), F.lit((1 << HALVINGS) - 1))).otherwise(0)
-    placed = scratch.save(own.join(box, cls).select(cls, "tx", "ty", cell("tx", "x0").alias("u"), cell("ty", "y0").alias("v")), "targets")
+    placed = scratch.save(own.join(box, cls).select(cls, "tx", "ty", *keep, cell("tx", "x0").alias("u"), cell("ty", "y0").alias("v")), "targets")
     up = lambda j: [F.shiftright(c, j).alias(c) for c in "uv"]
     # the nodes of all trees, a level a round, as long as some node is to be halved
     level, nodes, deep = HALVINGS, None, placed
@@ -132,8 +132,8 @@ def nearest_of_classes(points: DataFrame, targets: DataFrame, key: str, cls: str
     leaves = way.join(nodes.where("leaf").select(cls, "level", "u", "v"), [cls, "level", "u", "v"])
     d2 = (F.col("x") - F.col("tx")) ** 2 + (F.col("y") - F.col("ty")) ** 2
     met = done.join(leaves, [cls, "level", "u", "v"]).withColumn("d2", d2)
-    best = met.groupBy(key).agg(F.min(F.struct(F.col("d2"), F.col(cls))).alias("b"))
-    return best.select(key, F.col(f"b.{cls}").alias(cls), F.col("b.d2").alias("d2"))
+    best = met.groupBy(key).agg(F.min(F.struct(F.col("d2"), F.col(cls).alias("c"), *keep)).alias("b"))
+    return best.select(key, F.col("b.c").alias(cls), F.col("b.d2").alias("d2"), *(F.col(f"b.{c}").alias(c) for c in keep))
 
 
 def isolated_points(points: DataFrame, radius: float, more_than: int, key: str = "id") -> DataFrame:
@@ -142,13 +142,22 @@ def isolated_points(points: DataFrame, radius: float, more_than: int, key: str =
     return points.join(n.where(F.col("__n") > more_than).select(key), key, "left_semi")
 
 
-def small_components(points: DataFrame, radius: float, least: int, dims: tuple[str, ...] = ("x", "y", "z"), key: str = "id") -> DataFrame:
-    """Points of the components, linked within the radius, that have at least ``least`` points."""
+def small_components(points: DataFrame, radius: float, least: int, dims: tuple[str, ...] = ("x", "y", "z"), key: str = "id", alone: float | None = None) -> DataFrame:
+    """Points of the components, linked within the radius, that have at least ``least`` points.
+
+    With ``alone`` a smaller component only goes if no point of another component lies within that distance of its points.
+    """
     pairs = within(points.select(key, *dims), points.select(key, *dims), radius, dims).where(F.col(key) < F.col(f"{key}_r"))
     root = connected_components(pairs.select(F.col(key).alias("a"), F.col(f"{key}_r").alias("b")))
     named = points.join(root, points[key] == root.node, "left").withColumn("__root", F.coalesce("root", F.col(key))).drop("node", "root")
-    large = named.groupBy("__root").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= least).select("__root")
-    return named.join(large, "__root", "left_semi").drop("__root")
+    sizes = named.groupBy("__root").agg(F.count(F.lit(1)).alias("__n"))
+    kept = sizes.where(F.col("__n") >= least).select("__root")
+    if alone is not None:
+        named = scratch.save(named, "component-points")
+        small = named.join(sizes.where(F.col("__n") < least).select("__root"), "__root", "left_semi").select("__root", *dims)
+        met = within(small, named.select("__root", *dims), alone, dims).where(F.col("__root") != F.col("__root_r"))
+        kept = kept.union(met.select("__root").distinct())
+    return named.join(kept, "__root", "left_semi").drop("__root")
 
 
 def outliers_removed(points: DataFrame, k: int, factor: float, size: float, key: str = "id") -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mereflow import scratch
@@ -109,6 +111,37 @@ def write(df: DataFrame, path: str, order: list[str] | None = None, by: list[str
     (out.write.partitionBy(*by) if by else out.write).parquet(path)
 
 
+def write_observed(df: DataFrame, path: str, extents: dict[str, str], order: list[str] | None = None, by: list[str] | None = None) -> dict:
+    """Write a product and, beside it, a row of its own metadata: n_rows and the least and greatest value of each of ``extents`` {name: column}.
+
+    The values are observed by the pass that writes, so nothing is read or computed twice. NaN counts as no value. The row is returned,
+    and :func:`read_sidecar` reads it.
+    """
+    watch = Observation()
+    value = lambda c: finite(F.col(c).cast("double"))
+    own = df.observe(watch, F.count(F.lit(1)).alias("n_rows"), *(f(value(c)).alias(f"{k}_{end}") for k, c in extents.items() for end, f in (("min", F.min), ("max", F.max))))
+    write(own, path, order, by)
+    row = watch.get
+    schema = ", ".join(["n_rows long", *(f"{k}_{end} double" for k in extents for end in ("min", "max"))])
+    df.sparkSession.createDataFrame([tuple(row[c.split()[0]] for c in schema.split(", "))], schema).write.parquet(f"{path}.meta")
+    return row
+
+
+def read_sidecar(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}.meta")
+
+
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a product in sorted buckets of its keys, as a table of the session's catalogue; joins and groups by all of the keys need no exchange then.
+
+    Products that are to be joined need the same number of buckets.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    scratch.at_exit(spark, path)
+    return spark.table(name)
+
+
 def write_grid(grid: DataFrame, path: str, values: list[str], digits: int = 6) -> None:
     """A raster (ix, iy, x, y, values) as a Parquet table in the order of its cells, dealt by columns of cells; missing values are filled."""
     out = for_sink(grid, ["ix", "iy", "x", "y", *values], digits)

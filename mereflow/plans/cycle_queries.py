@@ -144,12 +144,12 @@ _D8_SHAPES = _D8.replace("  o as (select", "  " + _UNION + """, ua as (select cy
   o as (select""").replace("nr.b.a as area_avg, nr.b.u as area_avg_u from", "coalesce(nr.b.a, ua.a) as area_avg, coalesce(nr.b.u, uu.u) as area_avg_u from").replace("left join nr using (cycle_number, lake_id))", "left join nr using (cycle_number, lake_id) left join ua using (cycle_number, lake_id) left join uu using (cycle_number, lake_id))")
 
 
-@query(_D8_SHAPES.replace("{lakesp}", "{lakesp_part}").replace("  select cycle_number, lake_id, npass, ", "  select cycle_number, lake_id, area_avg is not null and exists (select 1 from n1 where n1.cycle_number=o.cycle_number and n1.lake_id=o.lake_id) as united, round(area_avg_u,8) as area_avg_u, npass, "))
+@query(_D8_SHAPES.replace("{lakesp}", "{lakesp_part}").replace("  select cycle_number, lake_id, npass, ", "  select cycle_number, lake_id, area_avg is not null and exists (select 1 from n1 where n1.cycle_number=o.cycle_number and n1.lake_id=o.lake_id) as united, round(area_avg_u,7) as area_avg_u, npass, "))
 def d8_a23_cycle_with_shapes(spark, sf_dir):
     """The cycle product with geometry: lakes that no pass saw whole take the union of their partial shapes, its area and a storage change."""
     out = C.cycle_product(_shaped(X.lakesp_part(spark, sf_dir)), X.pld(spark, sf_dir))
     united = F.col("rings").isNotNull() & (F.col("npass_full") == 0)
-    return r6(out.select("cycle_number", "lake_id", united.alias("united"), F.round("area_avg_u", 8).alias("area_avg_u"), "npass", "pass_full", "pass_part", "wse_avg", "wse_hmin", "wse_hmed", "wse_hmax", "area_avg", "ds1_l_avg", "ds1_q_avg"), digits=7)
+    return r6(out.select("cycle_number", "lake_id", united.alias("united"), "area_avg_u", "npass", "pass_full", "pass_part", "wse_avg", "wse_hmin", "wse_hmed", "wse_hmax", "area_avg", "ds1_l_avg", "ds1_q_avg"), digits=7)
 
 
 @query("""with o as (select distinct cast(o_orderdate as date) as d from orders), l as (select distinct cast(l_shipdate as date) as s from lineitem),

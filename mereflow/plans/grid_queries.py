@@ -192,6 +192,18 @@ def c7_small_components(spark, sf_dir):
     return N.small_components(_points(spark, sf_dir), 9.0, 3).select("id")
 
 
+@query("with recursive " + _PTS + """, e as materialized (select a.id as i, b.id as j from pts a join pts b on b.x between a.x-9 and a.x+9 and b.y between a.y-9 and a.y+9 where sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)+pow(a.z-b.z,2))<=9),
+  w(i, j) as (select id, id from pts union select w.i, e.j from w join e on w.j=e.i), l as materialized (select i as id, min(j) as root from w group by 1), s as (select root, count(*) as n from l group by 1),
+  q as materialized (select p.*, root, n from pts p join l using (id) join s using (root)),
+  k as (select distinct a.root from q a join q b on b.x between a.x-14 and a.x+14 and b.y between a.y-14 and a.y+14 where a.n<3 and a.root<>b.root and sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)+pow(a.z-b.z,2))<=14)
+  select id, cast(n>=3 as boolean) as large from q where n>=3 or root in (select root from k)""")
+def c7_isolated_components(spark, sf_dir):
+    """Points of large components and of small ones that have another component near."""
+    p = _points(spark, sf_dir)
+    kept, large = N.small_components(p, 9.0, 3, alone=14.0), N.small_components(p, 9.0, 3).select("id", F.lit(True).alias("large"))
+    return kept.select("id").join(large, "id", "left").select("id", F.coalesce("large", F.lit(False)).alias("large"))
+
+
 @query("with " + _PTS + """, k as (select a.id, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) as d, row_number() over (partition by a.id order by sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)), b.id) as r from pts a join pts b on b.x between a.x-150 and a.x+150 and b.y between a.y-150 and a.y+150),
   m as (select id, sum(d)/4 as m from k where r<=5 group by 1) select id from m where m<=(select avg(m)+1.0*stddev_pop(m) from m)""")
 def c8_outliers_removed(spark, sf_dir):

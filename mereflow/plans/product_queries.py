@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mereflow import fixtures as X
+from mereflow import scratch
 from mereflow.operators import geometry as G
 from mereflow.operators import geoloc as O
 from mereflow.operators import labels as L
 from mereflow.operators import neighbours as N
 from mereflow.operators import products as R
 from mereflow.operators import select as P
+from mereflow.operators import spatial as Z
 from mereflow.plans.grid_queries import _PTS, _cells, _points, _reach
 from mereflow.plans.queries import KEY, KEYS, LAKE, n, r6
 
@@ -54,7 +56,6 @@ def s1_s2_s14_scan(spark, sf_dir):
 
 
 def _stored(spark, sf_dir):
-    from mereflow import scratch
 
     path = scratch.new_path(spark, "pixc")
     R.write(X.pixc(spark, sf_dir).select(*KEY, "cycle_number", "pass_number", "longitude", "latitude", "classification"), path, by=["cycle_number", "pass_number"])
@@ -118,7 +119,6 @@ def s17_s18_point_export(spark, sf_dir):
 @query(_GRID + " select ix, iy, (ix+0.5e0)*20 as x, (iy+0.5e0)*20 as y, coalesce(round(max(m),6),-999999999999.0) as z, count(*) as n_pts from w join m using (ix, iy) group by 1,2")
 def s17_grid_sink(spark, sf_dir):
     """The raster as it is read back from its table."""
-    from mereflow import scratch
 
     p, path = _points(spark, sf_dir), scratch.new_path(spark, "grid")
     cells = N.grid(p, 20.0)
@@ -229,6 +229,24 @@ def d2_height_model(spark, sf_dir):
     return r6(O.height_model(p, LAKE).select(*KEY, "height_target"), digits=7)
 
 
+@query("""with {pixc}, p as (select tile_number, lake, cast(range_index as double) as x, cast(azimuth_index as double) as y, height, range_index, azimuth_index, height_std, pixel_area from pixc), z as (select tile_number, lake, sum(pixel_area)>=16000 as big, avg(x) as xc, avg(y) as yc,
+    sum(case when not isnan(height) then height/(height_std*height_std) end)/sum(case when not isnan(height) then 1/(height_std*height_std) end) as m from p group by 1,2),
+  j as (select *, greatest(abs(x-xc-i*6.0),abs(y-yc-k*6.0)) as f from p join z using (tile_number, lake), range(-4,5) a(i), range(-4,5) b(k) where big),
+  g as (select * from (select tile_number, lake, i, k, avg(case when not isnan(height) then height end) as h, avg(case when f<3 then range_index end) as r, avg(case when f<3 then azimuth_index end) as a from j where f<5 group by 1,2,3,4) where r is not null and h is not null),
+  n as (select tile_number, lake, range_index, azimuth_index, arg_min(h, struct_pack(d:=(x-r)*(x-r)+(y-a)*(y-a), h:=h)) as h from p join g using (tile_number, lake) group by 1,2,3,4)
+  select tile_number, range_index, azimuth_index, big, case when big then round(n.h,8) else round(m,8) end as height_target, case when big then round(3+0.2e0*range_index-0.01e0*range_index*range_index+0.3e0*azimuth_index,4) end as surface
+  from p join z using (tile_number, lake) left join n using (tile_number, lake, range_index, azimuth_index)""")
+def d2_a29_height_models(spark, sf_dir):
+    """Means of small lakes and grid heights of big ones, and beside them the surface of big lakes whose heights are a polynomial."""
+    p = X.pixc(spark, sf_dir).withColumns({"x": F.col("range_index").cast("double"), "y": F.col("azimuth_index").cast("double")})
+    big = p.groupBy(*LAKE).agg((F.sum("pixel_area") >= 16000).alias("big"))
+    grid = O.height_model(p, LAKE, big=16000.0, model="grid", spacing=6.0, resolution=10.0)
+    exact = p.withColumn("height", 3 + 0.2 * F.col("x") - 0.01 * F.col("x") * F.col("x") + 0.3 * F.col("y"))
+    poly = O.height_model(exact, LAKE, big=16000.0).select(*KEY, F.col("height_target").alias("surface"))
+    out = grid.join(big, LAKE).join(poly, list(KEY))
+    return out.select(*KEY, "big", F.round("height_target", 8).alias("height_target"), F.when(F.col("big"), F.round("surface", 4)).alias("surface"))
+
+
 @query("with {pixc}, t as (select distinct tile_number from pixc) select tile_number, k as point, round(5+3*(k*31/9.0)+0.5*pow(k*31/9.0,2),5) as lon from t, range(0,10) r(k)")
 def a30_quadratic_resampling(spark, sf_dir):
     i = F.col("index")
@@ -363,6 +381,71 @@ def d9_r7_floodplain(spark, sf_dir):
     return r6(R.floodplain(own, 4.0, near=20000.0, min_area=400.0, classes=(3, 4)))
 
 
+#: Boxes of orders, and a triangle that cuts some of them.
+_BOXES = "ob as (select cast(o_orderkey as varchar(20)) as lake_id, cast(o_orderkey*7919%1000 as double) as x0, cast(o_orderkey*104729%1000 as double) as y0, o_custkey%7+1.5 as w, o_custkey%11+0.5 as h from orders)"
+_AREA_RING = [(100.0, 100.0), (500.0, 100.0), (100.0, 400.0)]
+
+
+_EDGE_SQL = _TILE + """, ep as (select px.* from px join f using (label) where b=1 or tp=1)"""
+
+
+def _edge_product(spark, sf_dir):
+    p = P.located(X.pixc(spark, sf_dir)).where("classification in (3,4,5,6,7)")
+    return L.edge_pixels(L.lake_labels(p)).select(*KEY, "label", "edge_loc", "longitude", "latitude", "illumination_time", "classification")
+
+
+@query(_EDGE_SQL + """ select cast(count(*) as bigint) as n_rows, round(min(illumination_time),6) as start, round(max(illumination_time),6) as stop, round(min(longitude),6) as lon_min, round(max(longitude),6) as lon_max, round(min(latitude),6) as lat_min, round(max(latitude),6) as lat_max,
+  (select count(*) from ep where classification=4) as read_back from ep""")
+def s15_s19_edge_sink(spark, sf_dir):
+    """The edge product written, with the coverage and extents that the writing pass itself observed, and read back."""
+    path = scratch.new_path(spark, "edge")
+    R.write_observed(_edge_product(spark, sf_dir), path, {"time": "illumination_time", "lon": "longitude", "lat": "latitude"}, by=["tile_number"])
+    scratch.at_exit(spark, path)
+    n = R.read(spark, path).where("classification = 4").agg(F.count(F.lit(1)).alias("read_back"))
+    side = R.read_sidecar(spark, path)
+    names = {"n_rows": "n_rows", "time_min": "start", "time_max": "stop", "lon_min": "lon_min", "lon_max": "lon_max", "lat_min": "lat_min", "lat_max": "lat_max"}
+    one = side.select(*(F.round(c, 6).alias(a) if c != "n_rows" else F.col(c) for c, a in names.items()))
+    return one.join(n, F.lit(True))
+
+
+@query(f"""with {{pixc}}, k as (select {KEYS}, classification from pixc), r as (select *, reach_id as rr from pixc where river=1) select k.*, rr as reach_id from k left join (select {KEYS}, rr from r) using ({KEYS})""")
+def s13_j3_bucketed_complement(spark, sf_dir):
+    """The complement's join of two products that were written in buckets of their pixels' keys, which need no exchange."""
+    p = X.pixc(spark, sf_dir)
+    pixels = R.write_bucketed(p.select(*KEY, "classification"), scratch.new_path(spark, "pixels"), list(KEY), 8)
+    river = R.write_bucketed(p.where("river = 1").select(*KEY, "reach_id"), scratch.new_path(spark, "river"), list(KEY), 8)
+    return pixels.join(river.hint("merge"), list(KEY), "left")
+
+
+@query("with " + _BOXES + " select lake_id from ob where x0<=500 and x0+w>=100 and y0<=400 and y0+h>=100 and (greatest(x0,100)-100)/400+(greatest(y0,100)-100)/300<=1")
+def s4_spatial_scan(spark, sf_dir):
+    """Prior lakes that meet a triangle, from a table clustered by place."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    own = X.table(spark, sf_dir, "orders").selectExpr("cast(o_orderkey as string) as lake_id", "cast(o_orderkey*7919%1000 as double) as x0", "cast(o_orderkey*104729%1000 as double) as y0", "cast(o_custkey%7+1.5 as double) as w", "cast(o_custkey%11+0.5 as double) as h")
+    own = own.withColumns({"x1": F.col("x0") + F.col("w"), "y1": F.col("y0") + F.col("h")})
+    lakes = own.select("lake_id", F.array(F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1"), corner("x0", "y0"))).alias("rings"))
+    path = scratch.new_path(spark, "lakes")
+    Z.write_clustered(lakes, path, "lake_id", (0.0, 1010.0, 0.0, 1015.0))
+    scratch.at_exit(spark, path)
+    return Z.scan_area(spark, path, _AREA_RING, ["lake_id"])
+
+
+@query("with {pixc}, p as (select tile_number, lake, range_index as r, azimuth_index as a, longitude as lon, latitude as lat from pixc where classification in (3,4,5,6)), " + """
+  b as (select distinct p.tile_number, p.lake from p join p q on q.tile_number=p.tile_number and q.lake=p.lake and q.r=p.r+1 and q.a=p.a join p s on s.tile_number=p.tile_number and s.lake=p.lake and s.r=p.r and s.a=p.a+1 join p t on t.tile_number=p.tile_number and t.lake=p.lake and t.r=p.r+1 and t.a=p.a+1),
+  g as (select p.*, 8*a+r as id from p join b using (tile_number, lake)),
+  e as (select tile_number, lake, lon, lat from g where (select count(*) from g z where z.tile_number=g.tile_number and z.lake=g.lake and abs(z.r-g.r)+abs(z.a-g.a)=1)<4)
+  select tile_number, lake, count(*) as shore, round(min(lon),6) as west, round(max(lon),6) as east, round(min(lat),6) as south, round(max(lat),6) as north from e group by 1,2""")
+def g1_placed_boundary(spark, sf_dir):
+    """Shore pixels and extents of every lake's boundary in longitude and latitude; lakes without a block of two by two have none.
+
+    Shores of one or two pixels around a part of a lake make no ring of their own, so the shore is counted before short rings go.
+    """
+    p = X.pixc(spark, sf_dir).where("classification in (3,4,5,6)")
+    at = G.placed_rings(p, LAKE, least=1)
+    own = at.select(*LAKE, "x", "y").distinct()
+    return own.groupBy(*LAKE).agg(F.count(F.lit(1)).alias("shore"), *(F.round(f(c), 6).alias(n) for n, f, c in (("west", F.min, "x"), ("east", F.max, "x"), ("south", F.min, "y"), ("north", F.max, "y"))))
+
+
 @query()
 def c4_height_kmeans(spark, sf_dir):
     return L.height_kmeans(X.pixc(spark, sf_dir).select(*KEY, "lake", "height"), LAKE).select(*KEY, "cluster")

@@ -173,8 +173,9 @@ def f19_id_predicates(spark, sf_dir):
   (select tile_number, lake, arg_min(classification, struct_pack(a:=-k, b:=classification)) as mc from (select tile_number, lake, classification, count(*) as k from c group by 1,2,3) group by 1,2) using (tile_number, lake) group by 1,2""")
 def a1_metrics(spark, sf_dir):
     p = X.pixc(spark, sf_dir).withColumn("h", F.nanvl("height", F.lit(None).cast("double")))
-    kinds = ("mean", "median", "sum", "std", "percentile")
-    return r6(p.groupBy(*LAKE).agg(*(F.round(A.metric("h", k, 90.0), 6 if k == "sum" else 9).alias(k) for k in kinds), A.metric("classification", "count").alias("count"), A.metric("classification", "mode").alias("mode")), digits=9)
+    plain = p.groupBy(*LAKE).agg(*(F.round(A.metric("h", k), 6 if k == "sum" else 9).alias(k) for k in ("mean", "sum", "std")), A.metric("classification", "count").alias("count"))
+    ranked = A.percentiles(p, LAKE, {"median": ("h", 0.5), "percentile": ("h", 0.9)})
+    return r6(plain.join(ranked, LAKE).join(A.modes(p, LAKE, ["classification"]).withColumnRenamed("classification", "mode"), LAKE), digits=9)
 
 
 W = "1/(height_std*height_std)"

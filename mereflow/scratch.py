@@ -43,6 +43,11 @@ def _delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
         disk.delete(hadoop, True)
 
 
+def at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the driver's process ends."""
+    _delete(spark, path, at_exit=True)
+
+
 def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and lost executors lose nothing.
 
