@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mereflow.functions.scalars import finite
@@ -167,25 +167,27 @@ def area_uncertainty(pixels: DataFrame, klass: Column, keys: list[str], scope: l
     vdwf = pf * vdw + P_WATER * vf - 2 * pmd * P_WATER * pfa * (1 - P_TRUE_FRACTION)
     bdwf = (pfd * (1 - P_WATER) - pmd * P_WATER) * P_TRUE_FRACTION + P_WATER * bf
     va = u2 * pf + alpha * alpha * vf
-    over = Window.partitionBy(*scope)
-    share = F.least(F.lit(1.0), F.try_divide(F.sum(edge.cast("double")).over(over), F.sum(either.cast("double")).over(over)))
-    own = pixels.withColumn("pde", F.coalesce(share, F.lit(0.0)))
-    bias = F.when(either, a * ((1 - F.col("pde")) * bdwf + F.col("pde") * alpha * bf))
-    own = own.withColumn("bias", bias)
-    on = lambda cond, e: F.when(cond, e).otherwise(0.0)
-    terms = own.withColumns(
-        {
-            "v0": on(edge, a * a / 12 * P_TRUE_FRACTION),
-            "v1": on(either, sa * sa * pdw * pf),
-            "v2": on(either, a * a * vdwf),
-            "v3": on(either, a * a * va),
-            "v4": on(either, sa * sa * (u2 + alpha * alpha) * pf),
-            "b1": F.sum("bias").over(over),
-            "b2": F.sum(F.col("bias") * F.col("bias")).over(over),
-        }
+    on = lambda cond, e: F.sum(F.when(cond, e).otherwise(0.0))
+    wide = [*keys, *(c for c in scope if c not in keys)]
+    plain, part = a * bdwf, a * alpha * bf
+    # the bias of a pixel is a mixture of two terms by the edge share of its scope, so sums of their products are enough
+    moments = {"m0": plain, "m1": part, "m00": plain * plain, "m01": plain * part, "m11": part * part, "ne": F.when(edge, 1.0).otherwise(0.0), "nb": F.lit(1.0)}
+    per = pixels.groupBy(*wide).agg(
+        on(edge, a * a / 12 * P_TRUE_FRACTION).alias("v0"),
+        on(either, sa * sa * pdw * pf).alias("v1"),
+        on(either, a * a * vdwf).alias("v2"),
+        on(either, a * a * va).alias("v3"),
+        on(either, sa * sa * (u2 + alpha * alpha) * pf).alias("v4"),
+        *(on(either, e).alias(k) for k, e in moments.items()),
     )
+    whole = per.groupBy(*scope).agg(*(F.sum(k).alias(k) for k in moments))
+    pde = F.coalesce(F.least(F.lit(1.0), F.try_divide("ne", "nb")), F.lit(0.0))
+    q = 1 - F.col("pde")
+    bias = (q * F.col("m0") + F.col("pde") * F.col("m1")) ** 2 - (q * q * F.col("m00") + 2 * q * F.col("pde") * F.col("m01") + F.col("pde") ** 2 * F.col("m11"))
+    whole = whole.withColumn("pde", pde).select(*scope, "pde", bias.alias("bias"))
+    terms = per.drop(*moments).join(whole, scope)
     s = {k: F.sum(k) for k in ("v0", "v1", "v2", "v3", "v4")}
-    pde, b = F.max("pde"), F.max(F.coalesce("b1", F.lit(0.0)) ** 2 - F.coalesce("b2", F.lit(0.0)))
+    pde, b = F.max("pde"), F.max("bias")
     if method == "simple":
         total = 0.1 * s["v0"] + s["v2"] + s["v1"] + b
     elif method == "water_fraction":

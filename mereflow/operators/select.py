@@ -84,16 +84,16 @@ def cross_track_window(pixels: DataFrame, keys: list[str], low: float | None, hi
     Without a window, objects that touch the first or last range column, or a row flagged as the
     pass' border (``border``), are partial.
     """
-    over = Window.partitionBy(*keys)
     if low is not None or high is not None:
         x = F.abs("cross_track")
         inside = F.lit(True) if low is None else x >= low
         inside = inside if high is None else inside & (x <= high)
-        return pixels.withColumn("partial_f", F.max((~inside).cast("int")).over(over)).where(inside)
-    edge = (F.col("range_index") == 0) | (F.col("range_index") == F.lit(size_range - 1))
-    if "border" in pixels.columns:
-        edge = edge | F.col("border")
-    return pixels.withColumn("partial_f", F.max(edge.cast("int")).over(over))
+        cut, kept = ~inside, pixels.where(inside)
+    else:
+        cut, kept = (F.col("range_index") == 0) | (F.col("range_index") == F.lit(size_range - 1)), pixels
+        if "border" in pixels.columns:
+            cut = cut | F.col("border")
+    return kept.join(pixels.groupBy(*keys).agg(F.max(cut.cast("int")).alias("partial_f")), keys)
 
 
 def valid_geolocation(pixels: DataFrame, keys: list[str], columns: Iterable[str] = ("lon_imp", "lat_imp", "height_imp")) -> DataFrame:
@@ -101,8 +101,7 @@ def valid_geolocation(pixels: DataFrame, keys: list[str], columns: Iterable[str]
     good = F.lit(True)
     for c in columns:
         good = good & finite(F.col(c)).isNotNull()
-    all_good = F.min(good.cast("int")).over(Window.partitionBy(*keys))
-    return pixels.withColumn("validity", all_good + 1).where(good)
+    return pixels.where(good).join(pixels.groupBy(*keys).agg((F.min(good.cast("int")) + 1).alias("validity")), keys)
 
 
 def large_objects(pixels: DataFrame, keys: list[str], min_size_km2: float, interior: Column | None = None) -> DataFrame:

@@ -182,12 +182,20 @@ def j15_unobserved(spark, sf_dir):
     return K.unobserved(X.poly(spark, sf_dir), _links(spark, sf_dir)).select("lake_id")
 
 
+@query("with {poly}, " + _OBS + ", " + _LINKS + " select lake_id, false as seen from poly where lake_id not in (select lake_id from lk where right(obs_id,1)='3') union all select distinct lake_id, true from lk where right(obs_id,1)='3'")
+def j15_unobserved_some(spark, sf_dir):
+    """Prior lakes with and without an observation, of which a tenth are taken."""
+    links = _links(spark, sf_dir).where("obs_id like '%3'")
+    missing = K.unobserved(X.poly(spark, sf_dir), links).select("lake_id", F.lit(False).alias("seen"))
+    return missing.union(links.select("lake_id", F.lit(True).alias("seen")).distinct())
+
+
 @query("with {poly}, " + _OBS + ", " + _LINKS + """, p as (select lake_id, case when right(lake_id,1)='3' then null else concat('n', right(lake_id,3)) end as names, cast(right(lake_id,1) as int)%3 as ic, cast(right(lake_id,2) as int)%4 as res from poly)
-  select obs_id, string_agg(names, ';' order by -round(overlap,9), names) as lake_name, max(ic) as ice_clim_f, max(ic) as ice_dyn_f from lk join p using (lake_id) group by 1""")
+  select obs_id, string_agg(names, ';' order by -round(overlap,9), names) as lake_name, max(ic) as ice_clim_f, max(ic) as ice_dyn_f, arg_max(case when res>0 then res end, case when res>0 then struct_pack(o:=-round(overlap,9), l:=lake_id) end) as p_res_id from lk join p using (lake_id) group by 1""")
 def x14_copy_prior(spark, sf_dir):
     last = F.substring("lake_id", -1, 1).cast("int")
     prior = X.poly(spark, sf_dir).select("lake_id", F.when(last != 3, F.concat(F.lit("n"), F.substring("lake_id", -3, 3))).alias("names"), (last % 3).alias("ice_clim_flag"), (last % 3).alias("ice_dyn_flag"), (F.substring("lake_id", -2, 2).cast("int") % 4).alias("res_id"))
-    return K.copy_prior(_links(spark, sf_dir).withColumn("overlap", F.round("overlap", 9)), prior).drop("p_res_id")
+    return K.copy_prior(_links(spark, sf_dir).withColumn("overlap", F.round("overlap", 9)), prior)
 
 
 _RINGS = _reach("classification in (3,4,5,6)", FOUR)

@@ -67,16 +67,22 @@ def s3_edge_scan(spark, sf_dir):
     return R.edge_scan(X.pixc(spark, sf_dir).where("azimuth_index in (0, 95)"), ["cycle_number"]).select(*KEY)
 
 
+@query(f"with {{pixc}}, e as (select *, min(illumination_time) over (partition by pass_number, swath_side) as t0 from pixc where azimuth_index=0 or azimuth_index=95) select {KEYS}, pass_number, swath_side from e where illumination_time-t0<=72")
+def s3_edge_window(spark, sf_dir):
+    """Edge pixels of each swath within 72 seconds of its first one, which cuts the later tiles off."""
+    return R.edge_scan(X.pixc(spark, sf_dir).where("azimuth_index in (0, 95)"), ["pass_number", "swath_side"], 0.02).select(*KEY, "pass_number", "swath_side")
+
+
 @query("with {lakesp} select lake_id, cycle_number, pass_number, wse from lakesp where starts_with(lake_id,'10000001') and time>0 and wse>-1e10 and area_total>0")
 def s4_s5_lakes_of_basin(spark, sf_dir):
     return R.lakes_of_basin(X.lakesp(spark, sf_dir), "10000001").select("lake_id", "cycle_number", "pass_number", "wse")
 
 
-@query("with " + _FILES + " select o_orderkey, cycle, pass, concat(printf('%03d', (select o_custkey from orders o where o.o_orderkey=f.o_orderkey limit 1)%20+1), regexp_extract(file, '_[0-9]{3}([LR])_', 1)) as place, regexp_extract(file,'_([0-9]{8}T[0-9]{6})_',1) as start, 'PIC0' as crid, cast(o_orderkey%100 as int) as counter from files f")
+@query("with " + _FILES + " select o_orderkey, cycle, pass, concat(printf('%03d', (select o_custkey from orders o where o.o_orderkey=f.o_orderkey limit 1)%20+1), regexp_extract(file, '_[0-9]{3}([LR])_', 1)) as place, regexp_extract(file,'_([0-9]{8}T[0-9]{6})_',1) as start, concat('20240102T', printf('%06d', o_orderkey%240000)) as stop, 'PIC0' as crid, cast(o_orderkey%100 as int) as counter from files f")
 def s7_name_fields(spark, sf_dir):
     f = _files(spark, sf_dir).select("o_orderkey", F.concat(F.lit("/a/b/"), "file").alias("path"))
     got = R.name_fields(F.col("path"))
-    return f.select("o_orderkey", *(got[k].alias(k) for k in ("cycle", "pass", "place", "start", "crid", "counter")))
+    return f.select("o_orderkey", *(got[k].alias(k) for k in ("cycle", "pass", "place", "start", "stop", "crid", "counter")))
 
 
 @query("with " + _FILES + " select cycle, pass from files where list_contains(string_split(continents,';'),'EU') and o_orderkey%3>0 group by 1,2 having count(distinct kind)=5")
@@ -161,6 +167,14 @@ def u7_combined_cloud(spark, sf_dir):
     return R.combined_cloud([p], (20, 60, 10, 40), 2).select("x", "y", F.nanvl("z", F.lit(None).cast("double")).alias("z"), (F.col("tile_number") - 1).alias("source"), "valid")
 
 
+@query("with {pixc} select tile_number, range_index as x, azimuth_index as y, case when isnan(height) then null else height end as z, cast(case when classification=4 then 0 when classification=5 then 1 else 2 end as int) as source, not isnan(height) as valid from pixc where classification in (3,4,5,6) and range_index between 18 and 62 and azimuth_index between 8 and 42")
+def u7_combined_clouds(spark, sf_dir):
+    """Three clouds, of open, dark and other water, with the number of the cloud that each point is of."""
+    p = X.pixc(spark, sf_dir)
+    clouds = [p.where(c).select("tile_number", F.col("range_index").alias("x"), F.col("azimuth_index").alias("y"), F.col("height").alias("z")) for c in ("classification = 4", "classification = 5", "classification in (3, 6)")]
+    return R.combined_cloud(clouds, (20, 60, 10, 40), 2).withColumn("z", F.nanvl("z", F.lit(None).cast("double")))
+
+
 @query("""with {pixc}, r as (select tile_number, azimuth_index, range_index, case when tile_number%2=0 then row_number() over (partition by tile_number, azimuth_index order by range_index desc) else row_number() over (partition by tile_number, azimuth_index order by range_index) end as r from pixc),
   l as (select tile_number, azimuth_index, longitude, row_number() over (partition by tile_number, azimuth_index order by longitude, latitude) as r from pixc) select tile_number, azimuth_index, range_index, round(longitude,6) as longitude from r join l using (tile_number, azimuth_index, r)""")
 def w1_pixel_lines(spark, sf_dir):
@@ -247,6 +261,35 @@ def d2_a29_height_models(spark, sf_dir):
     return out.select(*KEY, "big", F.round("height_target", 8).alias("height_target"), F.when(F.col("big"), F.round("surface", 4)).alias("surface"))
 
 
+_NODES = """nd as (select reach_id, node_id, 100.0*node_id as s, case when node_id%5=4 then null else 10+0.5*node_id+(node_id%3)*0.1 end as hn, 20+0.01*node_id as ge, 0.01 as lo, 0.1 as so, 0.001*node_id as po from pixc where node_id<>6 group by 1,2),
+  ft as (select reach_id, regr_slope(hn,node_id) as sl, regr_intercept(hn,node_id) as ic from nd group by 1 having count(hn)>=2),
+  ne as (select nd.*, sl*node_id+ic+ge+lo+so+po as h from nd left join ft using (reach_id)),
+  nn as (select *, lag(node_id) over w as pn, lag(s) over w as sp, lag(h) over w as hp, lead(node_id) over w as nx, lead(s) over w as sn, lead(h) over w as hx from ne window w as (partition by reach_id order by node_id)),
+  j as (select p.tile_number, p.range_index, p.azimuth_index, p.height, n.h, n.s, 100.0*p.node_id+p.range_index%41-20 as al, case when pn=n.node_id-1 then sp end as sp, case when pn=n.node_id-1 then hp end as hp, case when nx=n.node_id+1 then sn end as sn, case when nx=n.node_id+1 then hx end as hx
+    from pixc p left join nn n using (reach_id, node_id) where p.river=1 and not isnan(p.height))"""
+
+
+@query("with {pixc}, " + _NODES + f""" select {KEYS}, round(coalesce(case when hp is not null and hx is not null then case when s<al then (h*(sn-al)+hx*(al-s))/(sn-s) else (hp*(s-al)+h*(al-sp))/(s-sp) end end, h, height),3) as height_imp, true as moved, 0e0 as range_change, 0e0 as doppler_change from j""")
+def d3_river_geolocation(spark, sf_dir):
+    """River pixels at their nodes' fitted heights on the ellipsoid, range and Doppler kept."""
+    from mereflow.functions.scalars import to_ecef
+
+    p = X.pixc(spark, sf_dir)
+    k = F.col("node_id")
+    nodes = p.where("node_id <> 6").select("reach_id", "node_id").distinct().select("reach_id", "node_id", (k * 100.0).alias("s"), F.when(k % 5 != 4, 10 + 0.5 * k + (k % 3) * 0.1).alias("h_n_ave"), (20 + 0.01 * k).alias("geoid_hght"), F.lit(0.01).alias("load_tidef"), F.lit(0.1).alias("solid_tide"), (0.001 * k).alias("pole_tide"))
+    sx, sy, sz = to_ecef(F.col("longitude") + 0.4, F.col("latitude") + 0.001, F.lit(891000.0))
+    px = p.where("river = 1 and not isnan(height)").select(*KEY, "reach_id", "node_id", (k * 100.0 + F.col("range_index") % 41 - 20).alias("along_reach"), "longitude", "latitude", "height")
+    px = px.withColumns({"sx": sx, "sy": sy, "sz": sz, "vx": F.lit(-5000.0), "vy": F.lit(1000.0), "vz": F.lit(5200.0)})
+    out = O.river_geolocation(px, nodes)
+    place = lambda a, b, c: to_ecef(F.col(a), F.col(b), F.col(c))
+    new, old = place("lon_imp", "lat_imp", "height_imp"), place("longitude", "latitude", "height")
+    s, v = [F.col(f"s{k}") for k in "xyz"], [F.col(f"v{k}") for k in "xyz"]
+    dist = lambda q: F.sqrt(sum((a - b) ** 2 for a, b in zip(q, s)))
+    dop = lambda q: sum((a - b) * c for a, b, c in zip(q, s, v)) / 7000
+    moved = (F.abs(F.col("lon_imp") - F.col("longitude")) + F.abs(F.col("lat_imp") - F.col("latitude"))) > 0
+    return out.select(*KEY, F.round("height_imp", 3).alias("height_imp"), moved.alias("moved"), F.abs(F.round(dist(new) - dist(old), 2)).alias("range_change"), F.abs(F.round(dop(new) - dop(old), 2)).alias("doppler_change"))
+
+
 @query("with {pixc}, t as (select distinct tile_number from pixc) select tile_number, k as point, round(5+3*(k*31/9.0)+0.5*pow(k*31/9.0,2),5) as lon from t, range(0,10) r(k)")
 def a30_quadratic_resampling(spark, sf_dir):
     i = F.col("index")
