@@ -3,8 +3,8 @@
 The documents are dealt to shards. A phrase with a support of s in all of a language's words has at least the shard's part of
 s in some shard, so each shard is mined completely at its proportionally lowered support, size by size: a phrase can only be
 frequent in a shard if the phrases without its last and without its first word are. What is mined are hashes of phrases, and
-the union of the shards' frequent ones becomes a bitmap: phrases that share a hash or a bit are only counted in vain. The
-last reading counts all candidates by their words, exactly, over all documents.
+the union of the shards' frequent ones, less those whose shards do not add up to the support, becomes a bitmap: phrases that
+share a hash or a bit are only counted in vain. The last reading counts all candidates by their words, exactly, over all documents.
 """
 
 from __future__ import annotations
@@ -66,6 +66,11 @@ class _Block:
         m = len(ids) - size + 1
         if m <= 0:
             return np.empty((0, size), np.int64), np.empty(0, np.int64)
+        if size == 1:
+            n = np.bincount(ids[ends])
+            n[:1] = 0
+            seen = np.flatnonzero(n)
+            return seen[:, None], n[seen]
         ok, key = ends[size - 1 :], np.zeros(m, np.int64)
         for k in range(size):
             part = ids[k : k + m]
@@ -186,15 +191,17 @@ def frequent(docs: DataFrame, support: int = 10, longest: int = 3, shards: int =
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
     found, bits, shares = [], None, None
     for size in range(1, longest + 1):
-        mined = texts.mapInArrow(_mine(size, shards, bits), "lang string, shard int, h long, n long").groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
+        # dealt by the hash before anything is added up, for nearly all of a task's rows differ
+        mined = texts.mapInArrow(_mine(size, shards, bits), "lang string, shard int, h long, n long").repartition("lang", "h").groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
         if shares is None:  # a shard's words, of all words of the language
             mined = scratch.save(mined, "mined")
             per = mined.groupBy("lang", "shard").agg(F.sum("n").alias("own"))
             total = scratch.save(per.groupBy("lang").agg(F.sum("own").alias("n")), "words")
             least = F.expr(f"(own * {support} + n - 1) div n")
             shares = scratch.save(per.join(total, "lang").select("lang", "shard", least.alias("least")), "shares")
-        local = mined.join(shares, ["lang", "shard"]).where("n >= least").select("h")
-        local = scratch.save(local, "local")
+        # frequent in some shard, and in all shards together too, up to hashes that are shared
+        either = mined.join(shares, ["lang", "shard"]).groupBy("lang", "h").agg(F.max(F.col("n") >= F.col("least")).alias("some"), F.sum("n").alias("f"))
+        local = scratch.save(either.where(F.col("some") & (F.col("f") >= support)).select("h"), "local")
         found.append(local)
         bits = _bitmap(spark, local)
     every = found[0]
