@@ -8,6 +8,7 @@ from mereflow import fixtures as X
 from mereflow import scratch
 from mereflow.operators import geometry as G
 from mereflow.operators import geoloc as O
+from mereflow.operators import jobs as J
 from mereflow.operators import labels as L
 from mereflow.operators import neighbours as N
 from mereflow.operators import products as R
@@ -429,6 +430,98 @@ _BOXES = "ob as (select cast(o_orderkey as varchar(20)) as lake_id, cast(o_order
 _AREA_RING = [(100.0, 100.0), (500.0, 100.0), (100.0, 400.0)]
 
 
+# The whole jobs -------------------------------------------------------------------------------
+
+_GOOD = "not isnan(height) and classification in (3,4,5,6,7) and not (river=1 and right(reach_id,1)<>'3') and geolocation_qual&8388608=0"
+_JOB = _TILE.replace("not isnan(height) and classification in (3,4,5,6,7)", _GOOD).replace("{pixc}", "{pixc}, {poly}")
+#: Prior lakes with names and references, from the boxes.
+_PLD = """pd as (select poly.*, case when right(lake_id,1)='3' then null else concat('n', right(lake_id,3)) end as names, 20.0+cast(right(lake_id,2) as int)%7 as ref_wse, (1+cast(right(lake_id,2) as int)%5)/1000.0 as ref_area from poly)"""
+#: Links, pixel lakes, attributes and storage of the objects ``own`` (label, oid), in scopes ``sc``.
+_CHAIN = _PLD + ", " + _TILE_LINKS + f""", lo as (select lk.*, o.oid, o.sc from lk join (select distinct label, oid, sc from own) o using (label)),
+  c as (select label, count(*) as k, min(lake_id) as single from lk group by 1),
+  pin as (select own.id, min(lake_id) as lake from own join lk using (label) join pd using (lake_id) where range_index+0.5>=x0 and range_index+0.5<x1 and azimuth_index+0.5>=y0 and azimuth_index+0.5<y1 group by 1),
+  v as (select lake_id, x0 as vx, y0 as vy from poly union all select lake_id, x1, y0 from poly union all select lake_id, x1, y1 from poly union all select lake_id, x0, y1 from poly),
+  ne as (select own.id, arg_min(lake_id, struct_pack(d:=pow(range_index+0.5-vx,2)+pow(azimuth_index+0.5-vy,2), l:=lake_id)) as lake from own join lk using (label) join v using (lake_id) group by 1),
+  pl as (select own.*, case when k=1 then single else coalesce(pin.lake, ne.lake) end as lake_id from own join c using (label) left join pin using (id) left join ne using (id)),
+  pa as (select sc, lake_id, count(*) as n_pix, max(partial_f) as partial_f, {_WSE} as wse, {_AREA} as area_total from pl group by 1,2),
+  st as (select sc, lake_id, (wse-ref_wse)/2*(ref_area+area_total)/1000 as ds_l, (wse-ref_wse)/3*(ref_area+area_total+sqrt(ref_area*area_total))/1000 as ds_q from pa join pd using (lake_id) where partial_f=0 and wse is not null and area_total is not null),
+  so as (select oid, sum(pt*ds_l) as ds_l, sum(pt*ds_q) as ds_q from (select *, area/sum(area) over (partition by sc, lake_id) as pt from lo) join st using (sc, lake_id) group by 1),
+  ce as (select distinct a.label from own a join own b on b.label=a.label and b.gx=a.gx+1 and b.gy=a.gy join own d on d.label=a.label and d.gx=a.gx and d.gy=a.gy+1 join own e on e.label=a.label and e.gx=a.gx+1 and e.gy=a.gy+1),
+  bd as (select own.label, count(*) as shore from own join ce using (label) where not divided and (select count(*) from own z where z.label=own.label and abs(z.gx-own.gx)+abs(z.gy-own.gy)=1)<4 group by 1),
+  ob as (select label, oid, max(partial_f) as partial_f, count(*) as n_pix, {_WSE} as wse, {_AREA} as area_total, sum(height/(height_std*height_std))/sum(1/(height_std*height_std)) as height_imp from own group by 1,2),
+  li as (select oid, string_agg(lake_id, ';' order by overlap desc, lake_id) as links, string_agg(names, ';' order by overlap desc, names) as lake_name from lo join pd using (lake_id) group by 1),
+  pr as (select sc, lake_id, string_agg(oid, ';' order by area desc, oid) as links from lo group by 1,2)"""
+_JOB_ROWS = """ select case when links is null then 'Unassigned' else 'Obs' end as kind, oid as id, links, lake_name, partial_f, n_pix, round(wse,6) as wse, round(area_total,9) as area_total, round(height_imp,3) as height_imp, shore, round(ds_l,9) as ds_l, round(ds_q,9) as ds_q
+    from ob left join li using (oid) left join bd using (label) left join so using (oid)
+  union all select 'Prior', concat(cast(sc as varchar), '-', lake_id), links, null, partial_f, n_pix, round(wse,6), round(area_total,9), null, null, round(ds_l,9), round(ds_q,9) from pa left join pr using (sc, lake_id) left join st using (sc, lake_id)
+  union all select 'Unobserved', lake_id, null, null, null, null, null, null, null, null, null, null from poly where lake_id not in (select lake_id from lk)"""
+
+
+def _sensed(spark, sf_dir):
+    from mereflow.functions.scalars import to_ecef
+
+    sx, sy, sz = to_ecef(F.col("longitude") + 0.4, F.col("latitude") + 0.001, F.lit(891000.0))
+    return _placed(spark, sf_dir).drop("lake").withColumns({"sx": sx, "sy": sy, "sz": sz, "vx": F.lit(-5000.0), "vy": F.lit(1000.0), "vz": F.lit(5200.0)})
+
+
+def _references(spark, sf_dir):
+    two, none = F.substring("lake_id", -2, 2).cast("int"), F.lit(None).cast("double")
+    names = F.when(~F.col("lake_id").endswith("3"), F.concat(F.lit("n"), F.substring("lake_id", -3, 3)))
+    return X.box_rings(X.poly(spark, sf_dir)).withColumns({"names": names, "ice_clim_flag": F.lit(1), "ice_dyn_flag": F.lit(0), "res_id": F.lit(0), "ref_wse": 20.0 + two % 7, "ref_wse_u": F.lit(0.1), "ref_area": (1 + two % 5) / 1000.0, "ref_area_u": F.lit(0.0001), "ds_t0": none})
+
+
+def _tile_job(spark, sf_dir):
+    p = _sensed(spark, sf_dir)
+    return J.tile_job(p, p.where("river = 1").select(*KEY, "reach_id"), _references(spark, sf_dir), {"geolocation_qual": 1 << 23}, 0.0001, 96)
+
+
+def _job_rows(job, scope):
+    digits = lambda c, d: F.round(c, d).alias(c)
+    none = lambda t: F.lit(None).cast(t)
+    shore = F.when(F.col("contour") & ~F.col("divided"), F.size(F.array_distinct(F.flatten(F.transform("rings", lambda r: F.slice(r, 1, F.size(r) - 1)))))).cast("long")
+    obs = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.col("obs_id").alias("id"), _listed("lake_ids").alias("links"), F.when(F.col("lake_ids").isNotNull(), F.col("lake_name")).alias("lake_name"), "partial_f", "n_pix", digits("wse", 6), digits("area_total", 9), digits("height_imp", 3), shore.alias("shore"), digits("ds_l", 9), digits("ds_q", 9))
+    prior = job["prior"].select(F.lit("Prior").alias("kind"), F.concat(F.col(scope).cast("string"), F.lit("-"), "lake_id").alias("id"), _listed("obs_ids").alias("links"), none("string").alias("lake_name"), "partial_f", "n_pix", digits("wse", 6), digits("area_total", 9), none("double").alias("height_imp"), none("long").alias("shore"), digits("ds_l", 9), digits("ds_q", 9))
+    unseen = job["unobserved"].select(F.lit("Unobserved").alias("kind"), F.col("lake_id").alias("id"))
+    return obs(job["obs"], "Obs").unionByName(obs(job["unassigned"], "Unassigned")).unionByName(prior).unionByName(unseen, allowMissingColumns=True)
+
+
+#: Objects inside the tiles, split by height where that pays, and numbered by their size.
+_SPLIT = """op as (select px.* from px join f using (label) where b=0 and tp=0),
+  o1 as (select label, min(height) as h0, max(height) as h1, avg(pixel_area) as pa from op group by 1 having count(*)>=5 and count(*)*avg(pixel_area)>=200 and max(height)>min(height)),
+  o2 as (select label, bin, count(*) as c, max(h0+(bin+0.5)*st) as x from (select label, least(floor((height-h0)/((h1-h0)/256)),255) as bin, h0, (h1-h0)/256 as st from op join o1 using (label)) group by 1,2),
+  o3 as (select *, sum(c) over u as w1, sum(c*x) over u as s1, sum(c) over a as w, sum(c*x) over a as s from o2 window u as (partition by label order by bin), a as (partition by label)),
+  o4 as (select label, arg_max(x, struct_pack(v:=round(w1*(w-w1)*pow(s1/w1-(s-s1)/(w-w1),2),6), b:=-bin)) as th from o3 where w>w1 group by 1),
+  o5 as (select label, height>th as side, count(*) as n, avg(height) as m, stddev_pop(height) as sd, max(th) as th, max(pa) as pa from op join o4 using (label) join o1 using (label) group by 1,2),
+  o6 as (select label, max(th) as th from o5 group by 1 having count(*)=2 and min(case when n*pa>=100 and n>5 and abs(th-m)>2*sd then 1 else 0 end)=1),
+  sp as (select op.* exclude (label), op.label*2+case when o6.label is not null and height>th then 1 else 0 end as label, range_index as gx, azimuth_index as gy, o6.label is not null as divided from op left join o6 on o6.label=op.label)"""
+
+
+@query(_JOB + ", " + _SPLIT + f""", sz as (select label from sp group by 1 having sum(case when classification in (4,5) then pixel_area end)/1e6>=0.0001 and min(range_index)<max(range_index) and min(azimuth_index)<max(azimuth_index)),
+  nu as (select label, tile_number, row_number() over (partition by tile_number order by count(*) desc, label) as k from sp join sz using (label) group by 1,2),
+  own as (select sp.*, concat('010', lpad(cast(tile_number as varchar),3,'0'), swath_side, lpad(cast(k as varchar),6,'0')) as oid, tile_number as sc, cast(max(case when range_index in (0,95) then 1 else 0 end) over (partition by label) as int) as partial_f from sp join nu using (label, tile_number)), """ + _CHAIN + _JOB_ROWS)
+def d6_tile_job(spark, sf_dir):
+    """Observed, unassigned, prior and unobserved lakes of the whole tile job: moved heights, boundaries, ids, names and storage."""
+    return _job_rows(_tile_job(spark, sf_dir), "tile_number")
+
+
+@query(_JOB + f""", z as (select px.*, range_index+3*(tile_number-1) as rr, (select max(azimuth_index) from px q join f g using (label) where (g.b=1 or g.tp=1) and q.tile_number=px.tile_number) as top from px join f using (label) where b=1 or tp=1),
+  k as (select distinct u.label as i, v.label as j from z u join z v on v.tile_number=u.tile_number+1 and u.azimuth_index=u.top and v.azimuth_index=0 and u.rr=v.rr), kk as (select i, j from k union select j, i from k),
+  m(i, j) as (select distinct label, label from z union select m.i, kk.j from m join kk on m.j=kk.i), mg as (select i as old, min(j) as merged from m group by 1),
+  zm as (select z.* exclude (label), merged as label, rr as gx, azimuth_index+96*(tile_number-1) as gy, false as divided from z join mg on old=label),
+  sz as (select label from zm group by 1 having sum(case when classification in (4,5) then pixel_area end)/1e6>=0.0001 and min(gx)<max(gx) and min(gy)<max(gy)),
+  mt as (select label, arg_max(tile_number, struct_pack(n:=n, t:=-tile_number)) as home, sum(n) as n from (select label, tile_number, count(*) as n from zm join sz using (label) group by 1,2) group by 1),
+  nu as (select label, home, row_number() over (partition by home order by n desc, label) as k from mt),
+  sd as (select label, min(swath_side) as side from zm group by 1),
+  own as (select zm.*, concat('010', lpad(cast(home as varchar),3,'0'), side, lpad(cast(k as varchar),6,'0')) as oid, 1 as sc, cast(0 as int) as partial_f from zm join nu using (label) join sd using (label)), """ + _CHAIN + _JOB_ROWS)
+def d7_pass_job(spark, sf_dir):
+    """The whole pass job: merged lakes with moved heights, boundaries, ids, names and storage, and their prior lakes."""
+    p = _sensed(spark, sf_dir)
+    edge = _tile_job(spark, sf_dir)["edge"].withColumn("pass_number", F.lit(1))
+    t = F.col("tile_number")
+    meta = p.select("tile_number").distinct().select(F.lit(1).alias("pass_number"), t, (800000 + t * 2.3).alias("near_range"), F.lit(0.75).alias("nominal_slant_range_spacing"), F.lit(96).alias("interferogram_size_azimuth"))
+    return _job_rows(J.pass_job(edge, meta, ["pass_number"], _references(spark, sf_dir), min_size_km2=0.0001), "pass_number")
+
+
 _EDGE_SQL = _TILE + """, ep as (select px.* from px join f using (label) where b=1 or tp=1)"""
 
 
