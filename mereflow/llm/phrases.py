@@ -26,101 +26,111 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(UPPER.encode() + BREAKS + b"\t", LOWER.encode() + b"," * len(BREAKS) + b" ")
 #: Shards, however many documents there are: their supports stay over one, and tasks share the mining of each.
 SHARDS = 4
-#: Words that a task holds between two emissions, and bytes of a text that it takes at once.
+#: Words that a task holds between two emissions, and bytes that it takes at once.
 BLOCK_WORDS, PART_BYTES = 1_500_000, 1 << 20
-#: Words to a block's key: three of them fit 63 bits.
-_IDS = 1 << 21
 #: Bits of the bitmap for each candidate, and the most it may have: 32 MB, whatever the input.
 BITS_EACH, MOST_BITS = 16, 1 << 28
 #: Steps of the sketch of a language's scores.
 SKETCH = 10_000
 _MULT, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
-
-
-class _Words(dict):
-    """Words to numbers from 1 on in the order of their coming; 0 ends a piece."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+#: Bases of two independent hashes of words: sums of bytes times powers, modulo 2^64.
+_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_powers: dict[tuple[int, bool], np.ndarray] = {}
+
+
+def _power(base: int, n: int, inverse: bool = False) -> np.ndarray:
+    """The first n powers of a base, or of its inverse, modulo 2^64."""
+    held = _powers.get((base, inverse))
+    if held is None or len(held) < n:
+        step = np.full(max(n, PART_BYTES + 4096), pow(base, -1, 1 << 64) if inverse else base, np.uint64)
+        step[0] = 1
+        held = _powers[(base, inverse)] = np.cumprod(step)
+    return held[:n]
+
+
+def _fold(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all phrases of ``size`` words that follow one another, from the words' hashes."""
+    m = max(0, len(words) - size + 1)
+    out = np.full(m, size, np.uint64)
+    for k in range(size):
+        out = (out ^ words[k : k + m]) * _MULT
+        out ^= out >> _SHIFT
+    return out
 
 
 class _Block:
-    """Words of one language's texts: their numbers, and whether a phrase that ends there counts."""
-
-    def __init__(self) -> None:
-        self.words = _Words({b",": 0})
-        self.ids: list[np.ndarray] = []
-        self.ends: list[np.ndarray] = []
-        self.n = 0
-
-    def add(self, tokens: list[bytes], fresh_from: int) -> None:
-        ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
-        self.ids.append(ids)
-        self.ends.append(np.arange(len(ids)) >= fresh_from)
-        self.n += len(ids)
-
-    def phrases(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(word numbers of each distinct phrase of ``size`` words, occurrences)."""
-        ids, ends = np.concatenate(self.ids), np.concatenate(self.ends)
-        m = len(ids) - size + 1
-        if m <= 0:
-            return np.empty((0, size), np.int64), np.empty(0, np.int64)
-        if size == 1:
-            n = np.bincount(ids[ends])
-            n[:1] = 0
-            seen = np.flatnonzero(n)
-            return seen[:, None], n[seen]
-        ok, key = ends[size - 1 :], np.zeros(m, np.int64)
-        for k in range(size):
-            part = ids[k : k + m]
-            ok, key = ok & (part > 0), key * _IDS + part
-        key, n = np.unique(key[ok], return_counts=True)
-        return np.stack([key >> 21 * (size - 1 - k) & (_IDS - 1) for k in range(size)], 1), n
-
-    def hashes(self, lang: str) -> np.ndarray:
-        """A hash of each word, with the language."""
-        import xxhash
-
-        seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
-        return np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words], np.uint64)
-
-
-def _hash(words: np.ndarray) -> np.ndarray:
-    """Hash of phrases from the hashes of their words (rows)."""
-    out = np.full(len(words), words.shape[1], np.uint64)
-    for k in range(words.shape[1]):
-        out = (out ^ words[:, k]) * _MULT
-        out ^= out >> _SHIFT
-    return out.view(np.int64)
+    """Words of one language's texts: where they lie, their hashes and pieces, and whether a phrase that ends there counts."""
 
+    def __init__(self, lang: str, hashes: int) -> None:
+        import xxhash
 
-def _blocks(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[dict[str, _Block]]:
-    """Blocks by language. A text goes part by part, with the last words of the part before it, so that each phrase ends in one."""
+        self.seed = np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))
+        self.parts: list[bytes] = []
+        self.rows: list[tuple[np.ndarray, ...]] = []
+        self.hashes, self.words, self.bytes, self.pieces = hashes, 0, 0, 0
+
+    def add(self, part: bytes, fresh_at: int) -> np.ndarray:
+        """Take a part of a text; words that begin before ``fresh_at`` only lead in. Returns where its words begin."""
+        buf = np.frombuffer(part, np.uint8)
+        comma = buf == 44
+        inside = np.zeros(len(buf) + 2, np.int8)
+        inside[1:-1] = ~(comma | (buf == 32))
+        turn = np.diff(inside)
+        starts, ends = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+        breaks = np.cumsum(comma, dtype=np.int64)
+        value, out = buf.astype(np.uint64) + np.uint64(1), []
+        for base in _BASES[: self.hashes]:
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * _power(base, len(buf), True))])
+            h = (total[ends] - total[starts]) * _power(base, len(buf))[starts]
+            h ^= h >> np.uint64(32)
+            out.append((h ^ self.seed) * _MULT)
+        pieces = breaks[starts] + self.pieces
+        self.rows.append((starts + self.bytes, ends + self.bytes, pieces, starts >= fresh_at, *out))
+        self.parts.append(part)
+        self.pieces += int(breaks[-1]) + 1 if len(buf) else 1
+        self.bytes += len(buf)
+        self.words += len(starts)
+        return starts
+
+    def columns(self) -> list[np.ndarray]:
+        return [np.concatenate(x) for x in zip(*self.rows)]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], longest: int, hashes: int) -> Iterator[dict[str, _Block]]:
+    """Blocks by language. Texts of a batch are taken together, part by part; the words before a part lead in, so each phrase ends in one part."""
     blocks: dict[str, _Block] = {}
-    held = 0
     for batch in batches:
-        for lang, text in zip(batch.column("lang"), batch.column("text")):
-            lang, low, at, last = lang.as_py(), (text.as_py() or b"").translate(_TABLE), 0, []
+        texts: dict[str, list[bytes]] = {}
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            if text:
+                texts.setdefault(lang, []).append(text)
+        for lang, own in texts.items():
+            low, at, lead = b",".join(own).translate(_TABLE), 0, 0
             while at < len(low):
+                if sum(b.words for b in blocks.values()) >= BLOCK_WORDS:
+                    yield blocks
+                    blocks = {}
                 z = low.find(b" ", at + PART_BYTES)
                 z = len(low) if z < 0 else z
-                tokens = last + low[at:z].replace(b",", b" , ").split()
-                block = blocks.setdefault(lang, _Block())
-                if held >= BLOCK_WORDS or len(block.words) + len(tokens) >= _IDS:
-                    yield blocks
-                    blocks, held = {lang: (block := _Block())}, 0
-                block.add(tokens, len(last))
-                held += len(tokens)
-                at, last = z, tokens[len(tokens) - longest + 1 :] if longest > 1 else []
-            if low:
-                blocks[lang].add([b","], 0)
+                starts = blocks.setdefault(lang, _Block(lang, hashes)).add(low[lead:z], at - lead)
+                before = starts[-(longest - 1) :] if longest > 1 else starts[:0]
+                at, lead = z, lead + int(before[0]) if len(before) else z
     yield blocks
 
 
 def _seen(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & (len(bits) * 8 - 1)
-    return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+    at = hashes & np.uint64(len(bits) * 8 - 1)
+    return bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+
+def _valid(pieces: np.ndarray, fresh: np.ndarray, size: int) -> np.ndarray:
+    m = max(0, len(pieces) - size + 1)
+    return (pieces[:m] == pieces[size - 1 : size - 1 + m]) & fresh[size - 1 : size - 1 + m]
+
+
+def _rows(lang: str, **columns: pa.Array) -> pa.RecordBatch:
+    same = pa.array([lang]).take(pa.array(np.zeros(len(columns["n"]), np.int64)))
+    return pa.RecordBatch.from_arrays([same, *columns.values()], names=["lang", *columns])
 
 
 def _mine(size: int, shards: int, known):
@@ -129,40 +139,42 @@ def _mine(size: int, shards: int, known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() % shards
         bits = np.frombuffer(known.value, np.uint8) if known else None
-        for blocks in _blocks(batches, size):
+        for blocks in _blocks(batches, size, 1):
             for lang, block in blocks.items():
-                if not block.n:
-                    continue
-                words, n = block.phrases(size)
-                spelled = block.hashes(lang)[words]
-                if bits is not None:
-                    good = _seen(bits, _hash(spelled[:, :-1])) & _seen(bits, _hash(spelled[:, 1:]))
-                    spelled, n = spelled[good], n[good]
+                _, _, pieces, fresh, h = block.columns()
+                good = _valid(pieces, fresh, size)
+                if bits is not None and len(good):
+                    less = _seen(bits, _fold(h, size - 1))
+                    good &= less[:-1] & less[1:]
+                key, n = np.unique(_fold(h, size)[good], return_counts=True)
                 if len(n):
-                    yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(n), np.int64))), pa.array(np.full(len(n), shard, np.int32)), pa.array(_hash(spelled)), pa.array(n)], names=["lang", "shard", "h", "n"])
+                    yield _rows(lang, shard=pa.array(np.full(len(n), shard, np.int32)), h=pa.array(key.view(np.int64)), n=pa.array(n))
 
     return run
 
 
 def _count(longest: int, known):
-    """Phrases of all sizes whose bits are set, with their counts."""
+    """Phrases of all sizes whose bits are set, with their counts: one row for occurrences that agree in two hashes of 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(known.value, np.uint8)
-        for blocks in _blocks(batches, longest):
+        for blocks in _blocks(batches, longest, 2):
             for lang, block in blocks.items():
-                if not block.n:
-                    continue
-                own, hashes = pa.array(list(block.words), pa.binary()), block.hashes(lang)
+                starts, ends, pieces, fresh, h, other = block.columns()
+                text = b"".join(block.parts)
                 for size in range(1, longest + 1):
-                    words, n = block.phrases(size)
-                    good = _seen(bits, _hash(hashes[words]))
-                    words, n = words[good], n[good]
-                    if len(n):
-                        text = own.take(pa.array(words[:, 0]))
-                        for k in range(1, size):
-                            text = pc.binary_join_element_wise(text, own.take(pa.array(words[:, k])), pa.scalar(b" "))
-                        yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(n), np.int64))), text, pa.array(np.full(len(n), size, np.int32)), pa.array(n)], names=["lang", "phrase", "size", "n"])
+                    key = _fold(h, size)
+                    at = np.flatnonzero(_valid(pieces, fresh, size) & _seen(bits, key))
+                    if not len(at):
+                        continue
+                    one, two = key[at], _fold(other, size)[at]
+                    order = np.argsort(one, kind="stable")
+                    one, two, at = one[order], two[order], at[order]
+                    new = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
+                    first, n = at[new], np.diff(np.append(new, len(at)))
+                    words = [pa.array([text[a:z] for a, z in zip(starts[first + k].tolist(), ends[first + k].tolist())], pa.binary()) for k in range(size)]
+                    phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ")) if size > 1 else words[0]
+                    yield _rows(lang, phrase=phrase, size=pa.array(np.full(len(n), size, np.int32)), n=pa.array(n))
 
     return run
 
