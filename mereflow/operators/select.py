@@ -81,8 +81,8 @@ def corrected_height(load: str = "load_tide_fes") -> Column:
 def cross_track_window(pixels: DataFrame, keys: list[str], low: float | None, high: float | None, size_range: int | None = None) -> DataFrame:
     """Pixels inside the cross-track window, with ``partial_f`` = 1 for objects that the window cuts.
 
-    Without a window, objects that touch the first or last range column, or a row flagged as the
-    pass' border (``border``), are partial.
+    Without a window, objects that touch the first or last range column (the last only if ``size_range`` is known), or a row
+    flagged as the pass' border (``border``), are partial.
     """
     if low is not None or high is not None:
         x = F.abs("cross_track")
@@ -90,7 +90,8 @@ def cross_track_window(pixels: DataFrame, keys: list[str], low: float | None, hi
         inside = inside if high is None else inside & (x <= high)
         cut, kept = ~inside, pixels.where(inside)
     else:
-        cut, kept = (F.col("range_index") == 0) | (F.col("range_index") == F.lit(size_range - 1)), pixels
+        last = F.lit(False) if size_range is None else F.col("range_index") == size_range - 1
+        cut, kept = (F.col("range_index") == 0) | last, pixels
         if "border" in pixels.columns:
             cut = cut | F.col("border")
     return kept.join(pixels.groupBy(*keys).agg(F.max(cut.cast("int")).alias("partial_f")), keys)
