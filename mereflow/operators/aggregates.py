@@ -38,18 +38,19 @@ def metric(column: str, kind: str, percentile: float = 50.0) -> Column:
 BRACKET, MARGIN = 10_000, 10
 
 
-def percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
-    """(keys, names): exact interpolated percentiles {name: (column, part from 0 to 1)} of each group; null where a column has no value.
+def percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]], beside: dict[str, Column] | None = None) -> DataFrame:
+    """(keys, names, beside): exact interpolated percentiles {name: (column, part from 0 to 1)} of each group; null where a column has no value.
 
     A sketch of bounded size gives two values of the group on either side of the wanted rank. A second aggregate counts what
     lies below and on them and keeps what lies between, a few thousandths of a group, in which the wanted row is found. No task
-    holds a group's values. Nulls and NaN are skipped.
+    holds a group's values. Nulls and NaN are skipped. ``beside`` are further aggregates of ``df``, which the first of the two takes along.
     """
-    own = df.select(*keys, *(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"__v_{k}") for k, (c, _) in wanted.items()))
+    beside = beside or {}
+    own = df.withColumns({f"__v_{k}": F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for k, (c, _) in wanted.items()})
     away = MARGIN / BRACKET
-    ends = own.groupBy(*keys).agg(*(F.percentile_approx(f"__v_{k}", [max(0.0, q - away), min(1.0, q + away)], BRACKET).alias(f"__e_{k}") for k, (_, q) in wanted.items()), *(F.count(f"__v_{k}").alias(f"__n_{k}") for k in wanted))
-    both = own.join(ends, keys)
-    parts = []
+    ends = own.groupBy(*keys).agg(*(a.alias(f"__x_{k}") for k, a in beside.items()), *(F.percentile_approx(f"__v_{k}", [max(0.0, q - away), min(1.0, q + away)], BRACKET).alias(f"__e_{k}") for k, (_, q) in wanted.items()), *(F.count(f"__v_{k}").alias(f"__n_{k}") for k in wanted))
+    both = own.select(*keys, *(f"__v_{k}" for k in wanted)).join(ends, keys)
+    parts = [F.first(f"__x_{k}").alias(k) for k in beside]
     for k, (_, q) in wanted.items():
         v, many = F.col(f"__v_{k}"), F.col(f"__n_{k}") * away > 5
         # in a small group, and at the ends, the bracket is open
@@ -70,7 +71,7 @@ def percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, flo
         low, high = value(F.floor(place)), value(F.ceil(place))
         part = place - F.floor(place)
         out.append(F.when(c("n") > 0, F.when(part == 0, low).otherwise((1 - part) * low + part * high)).alias(k))
-    return found.select(*keys, *out)
+    return found.select(*keys, *out, *beside)
 
 
 def modes(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -229,8 +230,7 @@ def backscatter(kind: str = "rare") -> dict[str, Column]:
 def two_sigma(df: DataFrame, keys: list[str], columns: list[str], how: str = "mean") -> DataFrame:
     """Mean or deviation of each column over the rows within two deviations of the median, in one pass of rejection."""
     clean = df.select(*keys, *(finite(F.col(c)).alias(c) for c in columns))
-    spread = clean.groupBy(*keys).agg(*(F.stddev_pop(c).alias(f"__s_{c}") for c in columns))
-    middle = percentiles(clean, keys, {f"__m_{c}": (c, 0.5) for c in columns}).join(spread, keys)
+    middle = percentiles(clean, keys, {f"__m_{c}": (c, 0.5) for c in columns}, {f"__s_{c}": F.stddev_pop(c) for c in columns})
     kept = lambda c: F.when(F.abs(F.col(c) - F.col(f"__m_{c}")) <= 2 * F.col(f"__s_{c}"), F.col(c))
     out = F.avg if how == "mean" else F.stddev_pop
     return clean.join(middle, keys).groupBy(*keys).agg(*(out(kept(c)).alias(c) for c in columns))
