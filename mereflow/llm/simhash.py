@@ -9,6 +9,7 @@ Keys that very many fingerprints share go on to variants of the whole fingerprin
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -305,12 +306,23 @@ def _kept(docs: DataFrame, rooted: DataFrame, id_col: str, text_col: str) -> Dat
 
 #: Fingerprints over a text's different words, of which one within four bits makes a candidate.
 VIEWS = 4
-#: Keys of more fingerprints than this link to hubs, so that a group of g near copies has no g * g candidates.
+#: Keys of more fingerprints than this link to hubs, and shingles of more texts are crowded: a group of g near copies has no g * g candidates.
 CROWD = 64
+#: Up to this many crowded shingles (48 MB) are broadcast to order the texts' shingles; more are joined.
+LISTED = 4 << 20
 
 
-def _signatures(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, h, sig, f0, f1, ...) of every row: a hash of the text, one of its set of shingles, and its fingerprints over words."""
+def _needed(n: int, similarity: float) -> int:
+    """Of this many first shingles of a text of ``n``, in any order common to all, one is shared with each similar text."""
+    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+
+
+def _signatures(docs: DataFrame, similarity: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, h, sig, f0, f1, ..., n, low) of every row.
+
+    ``h`` is a hash of the text, ``sig`` one of its set of ``n`` shingles, f0 ... its fingerprints over words, and ``low`` the
+    smallest hashes of its shingles, of which it shares one with each similar text.
+    """
     arrow_rows(docs.sparkSession)
     names = ["sig", *(f"f{k}" for k in range(VIEWS))]
 
@@ -318,23 +330,28 @@ def _signatures(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> Da
         for batch in batches:
             texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
             out, a, held = np.zeros((len(texts), 1 + VIEWS), np.uint64), 0, 0
+            n, low = np.zeros(len(texts), np.int64), [np.empty(0, np.int64)] * len(texts)
             for i, t in enumerate(texts):
                 held += len(t)
                 if held >= CHUNK_BYTES or i == len(texts) - 1:
                     norm, begin, stop, doc = _words(texts[a : i + 1])
                     if len(stop):
                         owners, h, cuts = _shingles(norm, begin, stop, doc, shingle)
-                        h, cuts = _distinct(h, cuts)
-                        out[a + owners, 0] = np.add.reduceat(_scatter(h, 0), cuts[:-1])
+                        h, cuts = _distinct(h.view(np.int64), cuts)
+                        out[a + owners, 0] = np.add.reduceat(_scatter(h.view(np.uint64), 0), cuts[:-1])
+                        n[a + owners] = np.diff(cuts)
+                        for k, first, last in zip((a + owners).tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+                            low[k] = h[first : first + _needed(last - first, similarity)]
                         words, cuts = _distinct(*_shingles(norm, begin, stop, doc, 1)[1:])
                         for k in range(VIEWS):
                             out[a + owners, 1 + k] = _votes(_scatter(words, k), cuts)
                     a, held = i + 1, 0
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), *(pa.array(out[:, k].astype(np.int64)) for k in range(1 + VIEWS))], names=["doc_id", "h", *names])
+            made = [*(pa.array(out[:, k].astype(np.int64)) for k in range(1 + VIEWS)), pa.array(n), pa.array(low, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), *made], names=["doc_id", "h", *names, "n", "low"])
 
     text = F.col(text_col).cast("string")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    return own.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "h", *names)))
+    return own.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "h", *names, "n")) + ", low array<long>")
 
 
 def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -345,24 +362,123 @@ def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
             sets = []
             for t in batch.column("text").cast(pa.binary()).to_pylist():
                 norm, begin, stop, doc = _words([t or b""])
-                sets.append(np.unique(_shingles(norm, begin, stop, doc, shingle)[1]).view(np.int64) if len(stop) else np.empty(0, np.int64))
+                sets.append(np.unique(_shingles(norm, begin, stop, doc, shingle)[1].view(np.int64)) if len(stop) else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(sets, pa.list_(pa.int64()))], names=["sig", "hashes"])
 
     return texts.mapInArrow(run, "sig long, hashes array<long>")
 
 
-def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+def _sets_of(asked: DataFrame, own: DataFrame, docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(sig, hashes) of the asked texts, read from the smallest row of each."""
+    reps = own.join(asked, "sig", "left_semi").select("sig", F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_"))
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text).alias("t"), text.alias("text"))
+    texts = texts.join(reps, F.col("i").eqNullSafe(F.col("i_")) & (F.col("t") == F.col("h_"))).select("sig", "text")
+    return scratch.save(_shingle_sets(texts, shingle).dropDuplicates(["sig"]), "sets")
+
+
+def _crowds(shingles: DataFrame, crowd: int) -> DataFrame:
+    """(token, c) of the shingles that over ``crowd`` of the rows (token, sig) have."""
+    return scratch.save(shingles.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > crowd), "crowds")
+
+
+def _by_rarity(sets: DataFrame, crowds: DataFrame, similarity: float, listed: int) -> DataFrame:
+    """(sig, n, low, deep): the first shingles of each set where crowded ones come last, by their counts; those not crowded, and those crowded."""
+    if crowds.count() <= listed:
+        found = crowds.orderBy("token").toPandas()  # at most ``listed`` rows
+        hot = sets.sparkSession.sparkContext.broadcast((found["token"].to_numpy(), found["c"].to_numpy()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tokens, counts = hot.value
+            for batch in batches:
+                n, low, deep = [], [], []
+                for x in batch.column("hashes"):
+                    h = x.values.to_numpy()
+                    c = np.zeros(len(h), np.int64)
+                    if len(tokens):
+                        at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
+                        c = np.where(tokens[at] == h, counts[at], 0)
+                    first = np.lexsort((h, c))[: _needed(len(h), similarity)]
+                    n.append(len(h))
+                    low.append(h[first[c[first] == 0]])
+                    deep.append(h[first[c[first] > 0]])
+                made = [pa.array(n, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (low, deep))]
+                yield pa.RecordBatch.from_arrays([batch.column("sig"), *made], names=["sig", "n", "low", "deep"])
+
+        return sets.mapInArrow(run, "sig long, n long, low array<long>, deep array<long>")
+    each = sets.select("sig", F.explode("hashes").alias("token")).join(crowds, "token", "left")
+    ordered = each.groupBy("sig").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "token"))).alias("x"))
+    n = F.size("x").cast("long")
+    first = F.slice("x", F.lit(1), (n - F.ceil(n * similarity - 1e-9) + 1).cast("int"))
+    part = lambda keep: F.transform(F.filter(first, keep), lambda y: y["token"])
+    return ordered.select("sig", n.alias("n"), part(lambda y: y["c"] == 0).alias("low"), part(lambda y: y["c"] > 0).alias("deep"))
+
+
+def _pairs_of_few(first: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of texts (sig, n, low) that share a shingle of ``low``, which few do, and whose sizes allow the similarity.
+
+    Copies share many shingles with the same others: their equal lists come together before pairs are made.
+    """
+    each = first.select(F.explode("low").alias("token"), F.struct("sig", "n").alias("x"))
+    lists = each.groupBy("token").agg(F.array_sort(F.collect_list("x")).alias("x")).where(F.size("x") > 1).select("x").distinct()
+    one = lists.select(F.explode("x").alias("o"), "x")
+    fits = lambda y: (y["sig"] > F.col("o.sig")) & (F.least(y["n"], F.col("o.n")) >= F.greatest(y["n"], F.col("o.n")) * similarity - 1e-9)
+    return one.select(F.col("o.sig").alias("a"), F.explode(F.transform(F.filter("x", fits), lambda y: y["sig"])).alias("b"))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity."""
+    both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+
+def _links_in_crowds(deep: DataFrame, sets: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
+    """``linked`` with the links (a, b) between different groups of texts (token, sig, n, shared) that meet in crowded shingles.
+
+    Texts that are linked already are not compared. Round by round each crowd's text that shares its fingerprints with most
+    is compared with those of other groups; when that links no more, what is left of other groups is compared with all of its crowds.
+    """
+    seen, last = None, False
+    pair = (F.least("sig", "to").alias("a"), F.greatest("sig", "to").alias("b"))
+    fits = F.least("n", "n_to") >= F.greatest("n", "n_to") * similarity - 1e-9
+    while True:
+        roots = connected_components(linked).select(F.col("node").alias("sig"), "root")
+        at = scratch.save(deep.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), "crowd")
+        head = F.max_by(F.struct(F.col("sig").alias("to"), F.col("n").alias("n_to"), F.col("root").alias("root_to")), F.struct("shared", "sig"))
+        mixed = at.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), head.alias("head")).where("least <> most")
+        mixed = scratch.save(mixed.select("token", "head.*"), "mixed")
+        found = at.join(mixed, "token").where("root <> root_to")
+        if last:
+            others = at.select("token", F.col("sig").alias("to"), F.col("n").alias("n_to"), F.col("root").alias("root_to"))
+            found = found.drop("to", "n_to", "root_to").join(others, "token").where("root <> root_to")
+        new = found.where(fits).select(*pair).distinct()
+        new = scratch.save(new if seen is None else new.join(seen, ["a", "b"], "left_anti"), "asked")
+        more = scratch.save(_alike(new, sets, similarity), "linked")
+        some = not more.isEmpty()
+        linked = linked.union(more)
+        if last:
+            return linked
+        seen = new if seen is None else seen.union(new)
+        last = not some
+
+
+def similar(
+    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, listed: int = LISTED
+) -> tuple[DataFrame, DataFrame]:
     """Two tables: (doc_id, h, sig) of every row; and (sig, root) of the different texts, with the smallest row of their group.
 
     Texts are one group where a chain of links joins them; a link is a Jaccard similarity of the sets of ``shingle``
-    words of at least ``similarity``, compared exactly. Candidates are texts that one of ``VIEWS`` fingerprints
-    over their different words puts within four bits, found by deletion variants. Words change less than shingles
-    do, so few bits do: a text of which every fiftieth word is replaced keeps a shingle similarity of 0.82, and 96 % of the words' angle.
+    words of at least ``similarity``, compared exactly, and none is lost. Candidates are texts that one of ``VIEWS`` fingerprints
+    over their different words puts within four bits, found by deletion variants; words change less than shingles
+    do, so few bits do. They join large groups of copies at little cost. What they miss shares one of the first shingles
+    in any order common to all texts: by hash, but shingles of over ``crowd`` texts last, so that passages that many
+    share make no candidates. Texts that have to share such a shingle are compared where they are of different groups.
     Texts without words are one group.
     """
-    rows = scratch.save(_signatures(docs, shingle, id_col, text_col), "signatures")
+    rows = scratch.save(_signatures(docs, similarity, shingle, id_col, text_col), "signatures")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    own = rows.groupBy("sig").agg(F.min(row).alias("m"), *(F.min(f"f{k}").alias(f"f{k}") for k in range(VIEWS)))
+    own = rows.groupBy("sig").agg(F.min(row).alias("m"), *(F.min(f"f{k}").alias(f"f{k}") for k in range(VIEWS)), F.min("n").alias("n"), F.first("low").alias("low"))
     own = scratch.save(own, "texts")
     # what a large group of near copies was copied from shares its fingerprints with the most of them: it speaks for them
     views = F.explode(F.array(*(F.struct(F.lit(k).alias("space"), F.col(f"f{k}").alias("fp")) for k in range(VIEWS))))
@@ -373,16 +489,29 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col:
     fps = scratch.save(each.groupBy("space", "fp").agg(F.max_by("sig", F.struct("shared", "sig")).alias("node")), "fps")
     same = each.select(F.col("sig").alias("b"), "space", "fp").join(fps, ["space", "fp"]).where("node <> b").select(F.col("node").alias("a"), "b")
     found = links(fps, 4, crowd, hubs=True).union(same)
+    # crowded shingles among the first by hash; the texts that have them put all their crowded ones last
+    hot = _crowds(own.select(F.explode("low").alias("token"), "sig"), crowd)
+    first, deep = own.select("sig", "n", "low"), None
+    if not hot.isEmpty():
+        crowded = own.select("sig", F.explode("low").alias("token")).join(hot, "token", "left_semi").select("sig").distinct()
+        crowded = scratch.save(crowded, "crowded")
+        sets = _sets_of(crowded, own, docs, shingle, id_col, text_col)
+        hot = _crowds(sets.select(F.explode("hashes").alias("token"), "sig"), crowd)
+        moved = scratch.save(_by_rarity(sets, hot, similarity, listed), "moved")
+        first = first.join(crowded, "sig", "left_anti").unionByName(moved.select("sig", "n", "low"))
+        deep = moved.where(F.size("deep") > 0).join(weight, "sig").select(F.explode("deep").alias("token"), "sig", "n", "shared")
+    found = found.union(_pairs_of_few(first, similarity))
     pairs = scratch.save(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     asked = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    reps = own.join(asked, "sig", "left_semi").select("sig", F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_"))
-    text = F.col(text_col).cast("string")
-    texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text).alias("t"), text.alias("text"))
-    texts = texts.join(reps, F.col("i").eqNullSafe(F.col("i_")) & (F.col("t") == F.col("h_"))).select("sig", "text")
-    sets = scratch.save(_shingle_sets(texts, shingle), "sets").dropDuplicates(["sig"])
-    both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    linked = both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    if deep is None:
+        sets = _sets_of(asked, own, docs, shingle, id_col, text_col)
+    else:
+        sets = sets.union(_sets_of(asked.join(crowded, "sig", "left_anti"), own, docs, shingle, id_col, text_col))
+    linked = scratch.save(_alike(pairs, sets, similarity), "linked")
+    if deep is not None:
+        deep = scratch.save(deep, "deep")
+        if not deep.isEmpty():
+            linked = _links_in_crowds(deep, sets, linked, similarity)
     node = F.struct("m.none", "m.doc_id", "m.h", "sig")
     named = own.select("sig", node.alias("node"))
     edges = linked.join(named.select(F.col("sig").alias("a"), F.col("node").alias("x")), "a").join(named.select(F.col("sig").alias("b"), F.col("node").alias("y")), "b").select("x", "y")

@@ -122,7 +122,7 @@ def similar_pairs(rows, least=0.8):
 
 
 def test_similar_texts(spark):
-    """All links are true ones; few true ones are missed; a large group of near copies is one group."""
+    """All links are true ones and none is missed, also in a large group of near copies and where shingles are crowded."""
     rng = random.Random(9)
     words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "klmnp"]
     text = lambda n: [rng.choice(words) + str(rng.randrange(40)) for _ in range(n)]
@@ -143,30 +143,59 @@ def test_similar_texts(spark):
         for k in rng.sample(range(200), 3):
             t[k] = "other" + str(rng.randrange(10**6))
         rows.append((i, " ".join(t)))
+    own = 1000
+    for _ in range(6):  # the same words in other orders share all fingerprints
+        words_of = text(120)
+        for _ in range(8):
+            rng.shuffle(words_of)
+            rows += [(own, " ".join(words_of)), (own + 1, " ".join([*words_of[:-2], words_of[-1], words_of[-2]]))]
+            own += 2
+    passage, chain = text(90), text(60)
+    for k in range(40):  # a passage that many texts share, and a chain of texts of which each is like the next only
+        rows.append((own, " ".join([*text(30), *passage, *text(30)])))
+        chain[k] = f"link{k}"
+        rows.append((own + 1, " ".join(chain)))
+        own += 2
     rows += [(5000, " ".join(base)), (5001, ""), (5002, None), (5003, " \n"), (5004, "two words"), (5005, "TWO  words"), (5006, "two other"), (None, " ".join(base))]
-    true = similar_pairs([r for r in rows if r[0] is not None and r[0] not in group])
-    signs, rooted = simhash.similar(docs_frame(spark, rows))
-    root = {r.sig: r.root.doc_id for r in rooted.collect()}
-    got = {r.doc_id: root[r.sig] for r in signs.collect() if r.doc_id is not None}
-    caught = sum(got[a] == got[b] for a, b in true)
-    assert caught >= 0.93 * len(true), (caught, len(true))
     chained = {}
     for a, b in sorted(similar_pairs([r for r in rows if r[0] is not None])):
         chained.setdefault(a, set()).add(b)
         chained.setdefault(b, set()).add(a)
-    for i, r in got.items():
+    want = {}
+    for i in sorted(r[0] for r in rows if r[0] is not None):
         seen, todo = {i}, [i]
-        while todo:
+        while todo and i not in want:
             new = chained.get(todo.pop(), set()) - seen
             seen |= new
             todo += new
-        assert r in seen and r <= i
-    assert len({got[i] for i in group}) <= 5 and got[5001] == got[5002] == got[5003] == 5001 and got[5004] == got[5005] == 5004 != got[5006]
+        want |= {k: i for k in seen if k not in want}
+    for crowd, listed in ((simhash.CROWD, simhash.LISTED), (4, 0)):
+        signs, rooted = simhash.similar(docs_frame(spark, rows), crowd=crowd, listed=listed)
+        root = {r.sig: r.root.doc_id for r in rooted.collect()}
+        got = {r.doc_id: root[r.sig] for r in signs.collect() if r.doc_id is not None}
+        assert got == want, (crowd, listed)
+    assert got[5001] == got[5002] == got[5003] == 5001 and got[5004] == got[5005] == 5004 != got[5006]
     kept = [r.doc_id for r in simhash.dedup_similar(docs_frame(spark, rows)).collect()]
     assert sorted(kept, key=str) == sorted(set(got.values()), key=str)
     assert simhash.dedup_similar(docs_frame(spark, [])).count() == 0
 
 
+def test_shingles_by_rarity(spark):
+    """Crowded shingles last by their counts, others by hash; the broadcast and the joined way agree."""
+    rng = random.Random(4)
+    own = {k: sorted(rng.sample(range(-60, 60), rng.randrange(1, 50))) for k in range(30)} | {99: []}
+    counts = {t: c for t in range(-60, 60) if (c := sum(t in x for x in own.values())) > 9}
+    sets = spark.createDataFrame(list(own.items()), "sig long, hashes array<long>")
+    crowds = spark.createDataFrame(list(counts.items()), "token long, c long")
+    want = {}
+    for k, x in own.items():
+        first = sorted(x, key=lambda t: (counts.get(t, 0), t))[: len(x) - -(-4 * len(x) // 5) + 1 if x else 0]
+        want[k] = (len(x), [t for t in first if t not in counts], [t for t in first if t in counts])
+    for listed in (1000, 0):
+        got = {r.sig: (r.n, r.low, r.deep) for r in simhash._by_rarity(sets, crowds, 0.8, listed).collect()}
+        assert {k: got.get(k, (0, [], [])) for k in want} == want, listed
+
+
 def test_suffixes(spark):
     rng = random.Random(3)
     base = "".join(rng.choice("abcdefgh \u00e9\u00df") for _ in range(2000))
