@@ -368,13 +368,14 @@ def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInArrow(run, "sig long, hashes array<long>")
 
 
-def _sets_of(asked: DataFrame, own: DataFrame, docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(sig, hashes) of the asked texts, read from the smallest row of each."""
+def _sets_of(asked: DataFrame, own: DataFrame, docs: DataFrame, repeated: bool, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(sig, hashes) of the asked texts, read from the smallest row of each; ``repeated`` if rows may share their id and text."""
     reps = own.join(asked, "sig", "left_semi").select("sig", F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_"))
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text).alias("t"), text.alias("text"))
     texts = texts.join(reps, F.col("i").eqNullSafe(F.col("i_")) & (F.col("t") == F.col("h_"))).select("sig", "text")
-    return scratch.save(_shingle_sets(texts, shingle).dropDuplicates(["sig"]), "sets")
+    texts = texts.dropDuplicates(["sig"]) if repeated else texts
+    return scratch.save(_shingle_sets(texts, shingle), "sets")
 
 
 def _crowds(shingles: DataFrame, crowd: int) -> DataFrame:
@@ -415,15 +416,17 @@ def _by_rarity(sets: DataFrame, crowds: DataFrame, similarity: float, listed: in
 
 
 def _pairs_of_few(first: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of texts (sig, n, low) that share a shingle of ``low``, which few do, and whose sizes allow the similarity.
+    """(a, b) of texts (sig, n, root, low) of different roots that share a shingle of ``low``, which few do.
 
-    Copies share many shingles with the same others: their equal lists come together before pairs are made.
+    At the first shingle that two similar texts share, what follows in both is enough for all that they have to share.
     """
-    each = first.select(F.explode("low").alias("token"), F.struct("sig", "n").alias("x"))
-    lists = each.groupBy("token").agg(F.array_sort(F.collect_list("x")).alias("x")).where(F.size("x") > 1).select("x").distinct()
-    one = lists.select(F.explode("x").alias("o"), "x")
-    fits = lambda y: (y["sig"] > F.col("o.sig")) & (F.least(y["n"], F.col("o.n")) >= F.greatest(y["n"], F.col("o.n")) * similarity - 1e-9)
-    return one.select(F.col("o.sig").alias("a"), F.explode(F.transform(F.filter("x", fits), lambda y: y["sig"])).alias("b"))
+    each = first.select(F.posexplode("low").alias("at", "token"), "sig", F.col("n").cast("int").alias("n"), "root")
+    # rows are dealt before they are listed: most shingles are of one text, and lists of one are wider than a row
+    lists = each.repartition("token").groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.collect_list(F.struct("sig", "n", "at", "root")).alias("x"))
+    one = lists.where("least <> most").select(F.explode("x").alias("o"), "x")
+    apart = lambda y: (y["sig"] > F.col("o.sig")) & (y["root"] != F.col("o.root"))
+    fits = lambda y: F.least(y["n"] - y["at"], F.col("o.n") - F.col("o.at")) >= (y["n"] + F.col("o.n")) * similarity / (1 + similarity) - 1e-9
+    return one.select(F.col("o.sig").alias("a"), F.explode(F.transform(F.filter("x", lambda y: apart(y) & fits(y)), lambda y: y["sig"])).alias("b")).distinct()
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -444,10 +447,11 @@ def _links_in_crowds(deep: DataFrame, sets: DataFrame, linked: DataFrame, simila
     fits = F.least("n", "n_to") >= F.greatest("n", "n_to") * similarity - 1e-9
     while True:
         roots = connected_components(linked).select(F.col("node").alias("sig"), "root")
-        at = scratch.save(deep.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), "crowd")
+        at = scratch.save(deep.drop("root").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), "crowd")
         head = F.max_by(F.struct(F.col("sig").alias("to"), F.col("n").alias("n_to"), F.col("root").alias("root_to")), F.struct("shared", "sig"))
         mixed = at.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), head.alias("head")).where("least <> most")
         mixed = scratch.save(mixed.select("token", "head.*"), "mixed")
+        at = deep = scratch.save(at.join(mixed, "token", "left_semi"), "crowd")  # groups only grow: crowds of one stay so
         found = at.join(mixed, "token").where("root <> root_to")
         if last:
             others = at.select("token", F.col("sig").alias("to"), F.col("n").alias("n_to"), F.col("root").alias("root_to"))
@@ -489,25 +493,30 @@ def similar(
     fps = scratch.save(each.groupBy("space", "fp").agg(F.max_by("sig", F.struct("shared", "sig")).alias("node")), "fps")
     same = each.select(F.col("sig").alias("b"), "space", "fp").join(fps, ["space", "fp"]).where("node <> b").select(F.col("node").alias("a"), "b")
     found = links(fps, 4, crowd, hubs=True).union(same)
+    pairs = scratch.save(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    repeated = not rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
+    sets_of = lambda asked: _sets_of(asked, own, docs, repeated, shingle, id_col, text_col)
+    ends = lambda pairs: pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     # crowded shingles among the first by hash; the texts that have them put all their crowded ones last
     hot = _crowds(own.select(F.explode("low").alias("token"), "sig"), crowd)
+    crowded = own.select("sig", F.explode("low").alias("token")).join(hot, "token", "left_semi").select("sig").distinct()
+    held = scratch.save(crowded.union(ends(pairs)).distinct(), "held")
+    sets = sets_of(held)
+    linked = scratch.save(_alike(pairs, sets, similarity), "linked")
     first, deep = own.select("sig", "n", "low"), None
     if not hot.isEmpty():
-        crowded = own.select("sig", F.explode("low").alias("token")).join(hot, "token", "left_semi").select("sig").distinct()
         crowded = scratch.save(crowded, "crowded")
-        sets = _sets_of(crowded, own, docs, shingle, id_col, text_col)
-        hot = _crowds(sets.select(F.explode("hashes").alias("token"), "sig"), crowd)
-        moved = scratch.save(_by_rarity(sets, hot, similarity, listed), "moved")
+        theirs = sets.join(crowded, "sig", "left_semi")
+        hot = _crowds(theirs.select(F.explode("hashes").alias("token"), "sig"), crowd)
+        moved = scratch.save(_by_rarity(theirs, hot, similarity, listed), "moved")
         first = first.join(crowded, "sig", "left_anti").unionByName(moved.select("sig", "n", "low"))
         deep = moved.where(F.size("deep") > 0).join(weight, "sig").select(F.explode("deep").alias("token"), "sig", "n", "shared")
-    found = found.union(_pairs_of_few(first, similarity))
-    pairs = scratch.save(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    asked = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    if deep is None:
-        sets = _sets_of(asked, own, docs, shingle, id_col, text_col)
-    else:
-        sets = sets.union(_sets_of(asked.join(crowded, "sig", "left_anti"), own, docs, shingle, id_col, text_col))
-    linked = scratch.save(_alike(pairs, sets, similarity), "linked")
+    roots = connected_components(linked).select(F.col("node").alias("sig"), "root")
+    first = first.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    pairs = scratch.save(_pairs_of_few(first, similarity), "candidates")
+    if not pairs.isEmpty():
+        more = sets_of(ends(pairs).join(held, "sig", "left_anti"))
+        linked = linked.union(scratch.save(_alike(pairs, sets.union(more), similarity), "linked"))
     if deep is not None:
         deep = scratch.save(deep, "deep")
         if not deep.isEmpty():
