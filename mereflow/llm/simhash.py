@@ -305,7 +305,7 @@ def _kept(docs: DataFrame, rooted: DataFrame, id_col: str, text_col: str) -> Dat
 # Similar texts ---------------------------------------------------------------------------------
 
 #: Fingerprints over a text's different words, of which one within four bits makes a candidate.
-VIEWS = 4
+VIEWS = 2
 #: Keys of more fingerprints than this link to hubs, and shingles of more texts are crowded: a group of g near copies has no g * g candidates.
 CROWD = 64
 #: Up to this many crowded shingles (48 MB) are broadcast to order the texts' shingles; more are joined.
@@ -370,7 +370,8 @@ def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
 
 def _sets_of(asked: DataFrame, own: DataFrame, docs: DataFrame, repeated: bool, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """(sig, hashes) of the asked texts, read from the smallest row of each; ``repeated`` if rows may share their id and text."""
-    reps = own.join(asked, "sig", "left_semi").select("sig", F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_"))
+    # written first, so that Spark knows its size and leaves the texts where they are while it is small
+    reps = scratch.save(own.join(asked, "sig", "left_semi").select("sig", F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_")), "asked")
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text).alias("t"), text.alias("text"))
     texts = texts.join(reps, F.col("i").eqNullSafe(F.col("i_")) & (F.col("t") == F.col("h_"))).select("sig", "text")
@@ -429,8 +430,15 @@ def _pairs_of_few(first: DataFrame, similarity: float) -> DataFrame:
     return one.select(F.col("o.sig").alias("a"), F.explode(F.transform(F.filter("x", lambda y: apart(y) & fits(y)), lambda y: y["sig"])).alias("b")).distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(sig) of the texts in pairs (a, b)."""
+    return pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity."""
+    ends = scratch.save(_ends(pairs), "ends")
+    sets = sets.join(ends, "sig", "left_semi")
     both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
@@ -496,11 +504,10 @@ def similar(
     pairs = scratch.save(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     repeated = not rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
     sets_of = lambda asked: _sets_of(asked, own, docs, repeated, shingle, id_col, text_col)
-    ends = lambda pairs: pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     # crowded shingles among the first by hash; the texts that have them put all their crowded ones last
     hot = _crowds(own.select(F.explode("low").alias("token"), "sig"), crowd)
     crowded = own.select("sig", F.explode("low").alias("token")).join(hot, "token", "left_semi").select("sig").distinct()
-    held = scratch.save(crowded.union(ends(pairs)).distinct(), "held")
+    held = scratch.save(crowded.union(_ends(pairs)).distinct(), "held")
     sets = sets_of(held)
     linked = scratch.save(_alike(pairs, sets, similarity), "linked")
     first, deep = own.select("sig", "n", "low"), None
@@ -515,7 +522,7 @@ def similar(
     first = first.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     pairs = scratch.save(_pairs_of_few(first, similarity), "candidates")
     if not pairs.isEmpty():
-        more = sets_of(ends(pairs).join(held, "sig", "left_anti"))
+        more = sets_of(_ends(pairs).join(held, "sig", "left_anti"))
         linked = linked.union(scratch.save(_alike(pairs, sets.union(more), similarity), "linked"))
     if deep is not None:
         deep = scratch.save(deep, "deep")
