@@ -3,8 +3,9 @@
 Vectors become integers, and a block of them is kept as bitmaps: one per component and binary
 digit, over the block's rows. A query's weighted digits are added with bitmap adders, the lowest
 digits left out, which gives every row's score from below and a bound on what is missing. The best
-rows are picked from the most significant slice downward; rows that the bound leaves open are
-resolved exactly. Each block of queries meets each block of rows once.
+rows are picked from the most significant slice downward, above what earlier blocks gave; rows that
+the bound leaves open are resolved exactly. Lots of queries stay in their tasks, and each task reads
+the blocks of its stripe from the shared folder one after the other.
 """
 
 from __future__ import annotations
@@ -13,15 +14,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mereflow import scratch
-from mereflow.llm.common import arrow_rows
+from mereflow.llm.common import arrow_rows, open_file
 
 BLOCK_ROWS = 16_384
-QUERY_ROWS = 128
+#: Queries of a lot, 4 MB of 64 components, and blocks that a task reads for it.
+LOT_ROWS, STRIPE_BLOCKS = 8192, 64
+#: Added to a score for a key of bytes in the scores' order.
+_LIFT, _LONG = 1 << 159, (1 << 63) - 1
 #: Digits of the sum that are left to the exact step.
 DROPPED = 5
 _ONE = np.uint64(1)
@@ -80,13 +85,6 @@ def _index(k: int):
     return run
 
 
-def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, values in _matrix(batches):
-        for a in range(0, len(ids), QUERY_ROWS):
-            lot = _dump({"ids": ids[a : a + QUERY_ROWS], "q": values[a : a + QUERY_ROWS]})
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() * 1000 + a // QUERY_ROWS], pa.int32()), pa.array([values.shape[1]], pa.int32()), pa.array([lot], pa.binary())], names=["lot", "dims", "queries"])
-
-
 def _dump(x: dict) -> bytes:
     import pickle
 
@@ -120,17 +118,24 @@ def _add(levels: dict[int, list[np.ndarray]]) -> dict[int, np.ndarray]:
     return out
 
 
-def _best(block: dict, slices: np.ndarray, first: np.ndarray, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of a block's k best rows for one query, its own id left out."""
-    n, digits = block["n"], block["digits"]
+def _best(block: dict, query_id: int, q: np.ndarray, k: int, found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(score, id) of the k best rows among ``found`` and a block's, the query's own id left out."""
+    n, digits, base, slices = block["n"], block["digits"], block["base"], block["slices"].view(np.uint64)
+    first = np.cumsum(digits) - digits
+    weights = [abs(int(w)) for w in q]
+    # with every component's digits, complemented where the query is negative, a score is their weighted sum and this
+    shift = sum(int(w) * int(b) - (abs(int(w)) * ((1 << int(d)) - 1) if w < 0 else 0) for w, b, d in zip(q, base, digits))
+    most = sum(w * ((1 << int(d)) - 1) for w, d in zip(weights, digits))
+    least = found[-1][0] - shift if len(found) == k else 0  # what could still be among the best
+    if least > most:
+        return found
     full = np.full(slices.shape[1], ~np.uint64(0))
     if n % 64:
         full[-1] = (_ONE << np.uint64(n % 64)) - _ONE
     levels: dict[int, list[np.ndarray]] = {}
     missing = 0
-    weight = np.abs(q)
-    for d in np.flatnonzero((weight > 0) & (digits > 0)):
-        w, flip = int(weight[d]), q[d] < 0
+    for d in np.flatnonzero((q != 0) & (digits > 0)):
+        w, flip = weights[d], q[d] < 0
         for b in range(int(digits[d])):
             s = None
             for j in range(w.bit_length()):
@@ -151,7 +156,7 @@ def _best(block: dict, slices: np.ndarray, first: np.ndarray, query_id: int, q:
             even, floor = up, floor | 1 << p
         else:
             sure, even = sure | up, even & ~total[p]
-    least = max(0, floor - missing)
+    least = max(0, floor - missing, least - missing)
     above, even = np.zeros_like(full), full
     for p in range(max([least.bit_length() - 1, *total]), -1, -1):
         s = total.get(p)
@@ -161,17 +166,46 @@ def _best(block: dict, slices: np.ndarray, first: np.ndarray, query_id: int, q:
             above, even = above | (even & s), even & ~s
     rows = np.flatnonzero(np.unpackbits((above | even).view(np.uint8), bitorder="little"))
     word, bit = rows >> 6, (rows & 63).astype(np.uint64)
-    own = ((slices[:, word] >> bit) & _ONE).astype(np.int64)
-    score = np.full(len(rows), int((q * block["base"]).sum()), np.int64)
-    for d in np.flatnonzero(digits):
-        score += q[d] * (own[first[d] : first[d] + digits[d]] << np.arange(digits[d])[:, None]).sum(0)
+    own = (slices[:, word] >> bit) & _ONE
+    # Python's integers where a long might not hold a score
+    kind = np.int64 if most + abs(shift) + sum(w * abs(int(b)) for w, b in zip(weights, base)) < _LONG else object
+    score = np.full(len(rows), sum(int(w) * int(b) for w, b in zip(q, base)), kind)
+    for d in np.flatnonzero((q != 0) & (digits > 0)):
+        score += int(q[d]) * (own[first[d] : first[d] + digits[d]] << np.arange(digits[d], dtype=np.uint64)[:, None]).sum(0).astype(kind)
     a, z = np.searchsorted(block["group"], rows), np.searchsorted(block["group"], rows, side="right")
     ids = np.concatenate([block["ids"][i:j] for i, j in zip(a, z)] or [np.empty(0, np.int64)])
-    score = np.repeat(score, z - a)
     other = ids != query_id
-    ids, score = ids[other], score[other]
-    top = np.lexsort((ids, -score))[:k]
-    return ids[top], score[top]
+    ids, score = ids[other], np.repeat(score, z - a)[other]
+    if kind is np.int64 and len(ids) > k:
+        top = np.lexsort((ids, -score))[:k]
+        ids, score = ids[top], score[top]
+    return sorted([*found, *zip(score.tolist(), ids.tolist())], key=lambda x: (-x[0], x[1]))[:k]
+
+
+def _search(heads: str, stripes: int, k: int):
+    """Lots of queries (stripe, vec_id, q), each against the blocks of its stripe."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lots: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            for stripe, i, q in zip(*(batch.column(c).to_pylist() for c in ("stripe", "vec_id", "q"))):
+                lots.setdefault((stripe, len(q)), []).append((i, np.array(q, np.int64)))
+        if not lots:
+            return
+        with open_file(heads) as f:
+            index = sorted(pq.read_table(f).to_pylist(), key=lambda h: h["file"])
+        for (stripe, dims), lot in lots.items():
+            best: list[list[tuple[int, int]]] = [[] for _ in lot]
+            for h in index[stripe::stripes]:
+                if h["dims"] == dims:
+                    with open_file(h["file"]) as f:
+                        block = _load(pq.read_table(f, columns=["data"]).column("data")[0].as_py())
+                    best = [_best(block, i, q, k, found) for (i, q), found in zip(lot, best)]
+            out = [(i, v, min(max(s, -_LONG), _LONG), (s + _LIFT).to_bytes(20, "big")) for (i, _), found in zip(lot, best) for s, v in found]
+            columns = [pa.array([o[c] for o in out], pa.binary() if c == 3 else pa.int64()) for c in range(4)]
+            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "key"])
+
+    return run
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
@@ -181,36 +215,27 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     take no part, nor do rows without an id; a query meets vectors of its own length only. Candidates
     are rows: one that is repeated takes a rank for each repeat. Rows that share the query's id count
     as its own. Queries repeated with their vector are asked once; different vectors under one query id are
-    asked together, and their scores ranked as one list.
+    asked together, and their scores ranked as one list. Components saturate at the range of a long; rows are
+    ranked by exact scores whatever their size, and scores that a long cannot hold are returned as its bounds.
     """
     spark = vectors.sparkSession
     arrow_rows(spark, 4096)
+    schema = "query_id long, rank int, vec_id long, score long"
     own = [df.select(F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vec_col), scale).alias("q")).where("vec_id is not null and q is not null") for df in (vectors, queries)]
     asked = own[1].distinct()
     rows, wanted = own[0].count(), asked.count()
-    blocks, lots = max(1, -(-rows // BLOCK_ROWS)), max(1, -(-wanted // QUERY_ROWS))
-    index = scratch.save(own[0].repartition(blocks).mapInArrow(_index(k), "block int, dims int, data binary"), "bit-slices")
-    # few blocks are laid out more than once, so that all cores have work; many are not
-    copies = max(1, min(lots, 64 // blocks))
-    spread = index.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    lot = asked.repartition(lots).mapInArrow(_lots, "lot int, dims int, queries binary")
-    lot = lot.withColumn("copy", F.pmod("lot", F.lit(copies))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = lot.repartition(blocks * copies, "block", "copy").join(spread, ["block", "copy", "dims"]).select("queries", "data")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for queries_, data in zip(batch.column("queries").to_pylist(), batch.column("data").to_pylist()):
-                block, ask = _load(data), _load(queries_)
-                slices = block["slices"].view(np.uint64)
-                first = np.cumsum(block["digits"]) - block["digits"]
-                out = [(i, *_best(block, slices, first, i, q, k)) for i, q in zip(ask["ids"].tolist(), ask["q"])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64)), pa.array(np.concatenate([o[1] for o in out])), pa.array(np.concatenate([o[2] for o in out]))],
-                    names=["query_id", "vec_id", "score"],
-                )
-
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    blocks = max(1, -(-rows // BLOCK_ROWS))
+    index = scratch.save(own[0].repartition(blocks).mapInArrow(_index(k), "block int, dims int, data binary"), "bit-slices", maxRecordsPerFile="1")
+    heads = scratch.save(index.select(F.col("_metadata.file_path").alias("file"), "dims").coalesce(1), "directory").inputFiles()
+    if not heads:
+        return spark.createDataFrame([], schema)
+    # a task has one lot and one stripe: queries are copied once a stripe, and blocks are read once a lot
+    stripes = -(-blocks // STRIPE_BLOCKS)
+    lots = max(1, -(-wanted // LOT_ROWS), min(64, -(-wanted // 32)))
+    dealt = asked.withColumn("lot", F.pmod(F.xxhash64("vec_id", "q"), F.lit(lots)).cast("int")).withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
+    dealt = dealt.repartitionById(lots * stripes, F.col("stripe") * lots + F.col("lot")).select("stripe", "vec_id", "q")
+    found = dealt.mapInArrow(_search(heads[0], stripes, k), "query_id long, vec_id long, score long, key binary")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("key"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

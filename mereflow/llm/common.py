@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,12 @@ def arrow_rows(spark: SparkSession, most: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
+def open_file(uri: str) -> pa.NativeFile:
+    """A file of the shared folder, for tasks that read tables one file after the other."""
+    disk, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+    return disk.open_input_file(path)
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

@@ -11,19 +11,17 @@ from __future__ import annotations
 
 import heapq
 import pickle
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mereflow import scratch
 from mereflow.llm.bitsliced import quantised
-from mereflow.llm.common import arrow_rows
+from mereflow.llm.common import arrow_rows, open_file
 
 BUCKET_ROWS, LOT_ROWS = 16_384, 512
 #: The anchor's largest coordinates, whose lists are intersected.
@@ -33,11 +31,6 @@ _EXACT = float(1 << 53)
 _LONG = (1 << 63) - 1
 
 
-def _open(uri: str) -> pa.NativeFile:
-    disk, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
-    return disk.open_input_file(path)
-
-
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (dims, label, length, vec_id, q), sorted, to buckets with a sorted list for each coordinate."""
 
@@ -63,7 +56,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 class _Bucket:
     def __init__(self, uri: str):
-        with _open(uri) as f:
+        with open_file(uri) as f:
             data = pickle.loads(pq.read_table(f, columns=["data"]).column("data")[0].as_py())
         self.ids, self.labels, self.order = data["ids"], data["labels"], data["order"]
         self.q = data["q"].astype(np.int64)
@@ -134,7 +127,7 @@ def _search(heads: str, positives: int, negatives: int, low: int, high: int):
         lot = [(r["dims"], r["label"], r["vec_id"], np.array(r["q"], np.int64)) for b in batches for r in b.to_pylist()]
         if not lot:
             return
-        with _open(heads) as f:
+        with open_file(heads) as f:
             index = sorted(pq.read_table(f).to_pylist(), key=lambda h: -h["longest"])
         near = [_Best(positives) for _ in lot]
         for h in index:

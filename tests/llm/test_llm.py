@@ -368,6 +368,23 @@ def test_topk_of_repeated_rows(spark):
         assert got == sorted(want)
 
 
+def test_topk_of_huge_components_and_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(bitsliced, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(bitsliced, "STRIPE_BLOCKS", 3)
+    rng = random.Random(9)
+    rows = [(i, [rng.choice([1e300, -1e300, 1e15, -1e15, 3.5, 0.0, -2.0]), rng.uniform(-4, 4), rng.uniform(-1e17, 1e17)]) for i in range(120)]
+    rows += [(200 + i, [rng.uniform(-2, 2) for _ in range(3)]) for i in range(120)]
+    low, high = -(1 << 63), (1 << 63) - 1
+    ints = {i: [min(max(math.floor(256 * x) if abs(x) < 1e290 else int(x), low), high) for x in e] for i, e in rows}
+    want = []
+    for a in (i for i in ints if i % 50 == 0):
+        s = sorted((-sum(x * y for x, y in zip(ints[a], ints[b])), b) for b in ints if b != a)[:5]
+        want += [(a, k + 1, b, min(max(-v, -high), high)) for k, (v, b) in enumerate(s)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in bitsliced.top_k(df, df.where("vec_id % 50 = 0")).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_warc(spark):
     rows = [(r["page_id"], r["url"], r["html"]) for r in rows_of("pages")]
     rows += [(1001, "http://a.B.com/x y\n?q", "<p>\u00e9"), (1002, None, None), (1003, "no host", ""), (None, "http://a.b.com/", "<p>\u00e9"), (1005, "http://a.b.com", "zz"), (1005, "http://a.b.com", "zz"), (1004, "https://\u00fc.de/%20%zz#f", "zz")]
