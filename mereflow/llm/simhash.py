@@ -380,10 +380,15 @@ def _sets_of(asked: DataFrame, own: DataFrame, docs: DataFrame, repeated: bool,
 
 
 def _crowds(shingles: DataFrame, crowd: int) -> DataFrame:
-    """(token, c) of the shingles that over ``crowd`` of the rows (token, sig) have."""
+    """(token, c) of the shingles that over ``crowd`` of the rows (token) have."""
     return scratch.save(shingles.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > crowd), "crowds")
 
 
+def _met(first: DataFrame) -> DataFrame:
+    """(token, c) of the shingles that more than one of the texts (sig, low) have among ``low``."""
+    return _crowds(first.select(F.explode("low").alias("token")), 1)
+
+
 def _by_rarity(sets: DataFrame, crowds: DataFrame, similarity: float, listed: int) -> DataFrame:
     """(sig, n, low, deep): the first shingles of each set where crowded ones come last, by their counts; those not crowded, and those crowded."""
     if crowds.count() <= listed:
@@ -416,16 +421,17 @@ def _by_rarity(sets: DataFrame, crowds: DataFrame, similarity: float, listed: in
     return ordered.select("sig", n.alias("n"), part(lambda y: y["c"] == 0).alias("low"), part(lambda y: y["c"] > 0).alias("deep"))
 
 
-def _pairs_of_few(first: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of texts (sig, n, root, low) of different roots that share a shingle of ``low``, which few do.
+def _pairs_of_few(first: DataFrame, shared: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of texts (sig, n, low, moved) of different roots, not both moved, that have a shingle of ``low`` that is in ``shared`` as well.
 
-    At the first shingle that two similar texts share, what follows in both is enough for all that they have to share.
+    At the first shingle that two similar texts share, what follows in both is enough for all that they have to share. ``shared`` is a
+    written table, so that while it is small the shingles of one text only go before anything is shuffled.
     """
-    each = first.select(F.posexplode("low").alias("at", "token"), "sig", F.col("n").cast("int").alias("n"), "root")
-    # rows are dealt before they are listed: most shingles are of one text, and lists of one are wider than a row
-    lists = each.repartition("token").groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.collect_list(F.struct("sig", "n", "at", "root")).alias("x"))
+    each = first.select(F.posexplode("low").alias("at", "token"), "sig", F.col("n").cast("int").alias("n"), "moved").join(shared, "token", "left_semi")
+    each = each.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    lists = each.repartition("token").groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.collect_list(F.struct("sig", "n", "at", "root", "moved")).alias("x"))
     one = lists.where("least <> most").select(F.explode("x").alias("o"), "x")
-    apart = lambda y: (y["sig"] > F.col("o.sig")) & (y["root"] != F.col("o.root"))
+    apart = lambda y: (y["sig"] > F.col("o.sig")) & (y["root"] != F.col("o.root")) & ~(y["moved"] & F.col("o.moved"))
     fits = lambda y: F.least(y["n"] - y["at"], F.col("o.n") - F.col("o.at")) >= (y["n"] + F.col("o.n")) * similarity / (1 + similarity) - 1e-9
     return one.select(F.col("o.sig").alias("a"), F.explode(F.transform(F.filter("x", lambda y: apart(y) & fits(y)), lambda y: y["sig"])).alias("b")).distinct()
 
@@ -490,7 +496,7 @@ def similar(
     """
     rows = scratch.save(_signatures(docs, similarity, shingle, id_col, text_col), "signatures")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    own = rows.groupBy("sig").agg(F.min(row).alias("m"), *(F.min(f"f{k}").alias(f"f{k}") for k in range(VIEWS)), F.min("n").alias("n"), F.first("low").alias("low"))
+    own = rows.groupBy("sig").agg(F.min(row).alias("m"), *(F.min(f"f{k}").alias(f"f{k}") for k in range(VIEWS)), F.min("n").alias("n"))
     own = scratch.save(own, "texts")
     # what a large group of near copies was copied from shares its fingerprints with the most of them: it speaks for them
     views = F.explode(F.array(*(F.struct(F.lit(k).alias("space"), F.col(f"f{k}").alias("fp")) for k in range(VIEWS))))
@@ -504,23 +510,29 @@ def similar(
     pairs = scratch.save(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     repeated = not rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
     sets_of = lambda asked: _sets_of(asked, own, docs, repeated, shingle, id_col, text_col)
-    # crowded shingles among the first by hash; the texts that have them put all their crowded ones last
-    hot = _crowds(own.select(F.explode("low").alias("token"), "sig"), crowd)
-    crowded = own.select("sig", F.explode("low").alias("token")).join(hot, "token", "left_semi").select("sig").distinct()
+    # the first shingles of each text by hash, taken from its smallest row; texts with crowded ones among them put all their crowded ones last
+    mine = own.select(F.col("sig").alias("sig_"), F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_"))
+    first = rows.join(mine, (F.col("sig") == F.col("sig_")) & F.col("doc_id").eqNullSafe(F.col("i_")) & (F.col("h") == F.col("h_"))).select("sig", "n", "low")
+    first = first.dropDuplicates(["sig"]) if repeated else first
+    met = _met(first)
+    hot = scratch.save(met.where(F.col("c") > crowd), "crowds")
+    crowded = first.select("sig", F.explode("low").alias("token")).join(hot, "token", "left_semi").select("sig").distinct()
+    crowded = scratch.save(crowded, "crowded")
     held = scratch.save(crowded.union(_ends(pairs)).distinct(), "held")
     sets = sets_of(held)
     linked = scratch.save(_alike(pairs, sets, similarity), "linked")
-    first, deep = own.select("sig", "n", "low"), None
+    roots = connected_components(linked).select(F.col("node").alias("sig"), "root")
+    # a text that has no crowded shingle among its first meets every similar one at a shingle that few have there
+    some = crowded.select("sig", F.lit(True).alias("moved"))
+    pairs = _pairs_of_few(first.join(some, "sig", "left").withColumn("moved", F.coalesce("moved", F.lit(False))), met.where(F.col("c") <= crowd), roots, similarity)
+    deep = None
     if not hot.isEmpty():
-        crowded = scratch.save(crowded, "crowded")
         theirs = sets.join(crowded, "sig", "left_semi")
-        hot = _crowds(theirs.select(F.explode("hashes").alias("token"), "sig"), crowd)
+        hot = _crowds(theirs.select(F.explode("hashes").alias("token")), crowd)
         moved = scratch.save(_by_rarity(theirs, hot, similarity, listed), "moved")
-        first = first.join(crowded, "sig", "left_anti").unionByName(moved.select("sig", "n", "low"))
+        pairs = pairs.union(_pairs_of_few(moved.select("sig", "n", "low", F.lit(False).alias("moved")), _met(moved), roots, similarity)).distinct()
         deep = moved.where(F.size("deep") > 0).join(weight, "sig").select(F.explode("deep").alias("token"), "sig", "n", "shared")
-    roots = connected_components(linked).select(F.col("node").alias("sig"), "root")
-    first = first.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    pairs = scratch.save(_pairs_of_few(first, similarity), "candidates")
+    pairs = scratch.save(pairs, "candidates")
     if not pairs.isEmpty():
         more = sets_of(_ends(pairs).join(held, "sig", "left_anti"))
         linked = linked.union(scratch.save(_alike(pairs, sets.union(more), similarity), "linked"))
