@@ -235,10 +235,15 @@ def read(places: DataFrame, folder: str, payload: bool = True) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write every page, index the captures, look all of them up and read them back, without the payloads."""
-    folder = folder or scratch.new_path(pages.sparkSession, "warc")
+    """Write every page, index the captures, look all of them up and read them back, without the payloads.
+
+    Without a ``folder`` the archives lie in the shared one and go with the driver's process.
+    """
+    given, folder = folder, folder or scratch.new_path(pages.sparkSession, "warc")
     captures = write(pages, folder)
     capture = build_index(captures)
+    if not given:
+        scratch.at_exit(pages.sparkSession, folder)
     keys = pages.select(sort_key(F.col("url"), F.col("page_id").cast("long")).alias("key"))
     return read(look_up(capture, keys), folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
