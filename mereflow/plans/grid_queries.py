@@ -199,9 +199,8 @@ def c7_small_components(spark, sf_dir):
   select id, cast(n>=3 as boolean) as large from q where n>=3 or root in (select root from k)""")
 def c7_isolated_components(spark, sf_dir):
     """Points of large components and of small ones that have another component near."""
-    p = _points(spark, sf_dir)
-    kept, large = N.small_components(p, 9.0, 3, alone=14.0), N.small_components(p, 9.0, 3).select("id", F.lit(True).alias("large"))
-    return kept.select("id").join(large, "id", "left").select("id", F.coalesce("large", F.lit(False)).alias("large"))
+    kept = N.small_components(_points(spark, sf_dir), 9.0, 3, alone=14.0, size="n")
+    return kept.select("id", (F.col("n") >= 3).alias("large"))
 
 
 @query("with " + _PTS + """, k as (select a.id, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) as d, row_number() over (partition by a.id order by sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)), b.id) as r from pts a join pts b on b.x between a.x-150 and a.x+150 and b.y between a.y-150 and a.y+150),
