@@ -93,3 +93,34 @@ def test_small_components_near_others_stay(spark):
     got = {(r["id"], r["n"]) for r in N.small_components(points, 2.0, 3, alone=7.0, size="n").collect()}
     assert got == {(i, 5) for i in range(5)} | {(10, 1)}
     assert {r["id"] for r in N.small_components(points, 2.0, 3).select("id").collect()} == set(range(5))
+
+
+def _boxes(spark, key, at):
+    ring = lambda x, y: [[(x, y), (x + 3.0, y), (x + 3.0, y + 2.0), (x, y + 2.0), (x, y)]]
+    return spark.createDataFrame([(f"{key}{i}", ring(*at(i))) for i in range(60)], f"{key} string, rings array<array<struct<x: double, y: double>>>")
+
+
+def test_equal_polygons_are_overlaid_once(spark, monkeypatch):
+    from mereflow.operators import geometry as G
+
+    asked, plain = [], G.overlay_area
+
+    def overlay_area(pairs, *a, **k):
+        asked.append(pairs.count())
+        return plain(pairs, *a, **k)
+
+    monkeypatch.setattr(G, "overlay_area", overlay_area)
+    left, right = _boxes(spark, "a", lambda i: (float(i % 3), 0.0)), _boxes(spark, "b", lambda i: (i % 2 + 0.5, 1.0))
+    cut = lambda i, j: max(0.0, min(i % 3, j % 2 + 0.5) + 3 - max(i % 3, j % 2 + 0.5))
+    want = {(f"a{i}", f"b{j}"): round(cut(i, j), 9) for i in range(60) for j in range(60)}
+    got = {(r["a"], r["b"]): round(r["area"], 9) for r in G.overlaps(left, right, "a", "b", 4.0).collect()}
+    assert got == {k: v for k, v in want.items() if v > 0} and asked == [6]
+    got = {(r["a"], r["b"]): round(r["area"], 9) for r in G.touching_areas(left, right, "a", "b", 4.0).collect()}
+    assert got == want
+
+
+def test_edges_of_a_mask_are_not_broadcast(spark):
+    from mereflow.operators import geometry as G
+
+    cells = spark.createDataFrame([(1, x, y) for x in range(6) for y in range(6) if x != 3], "g int, range_index int, azimuth_index int")
+    assert "Broadcast" not in G.mask_boundary(cells, ["g"])._jdf.queryExecution().executedPlan().toString()
