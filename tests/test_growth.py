@@ -124,3 +124,45 @@ def test_edges_of_a_mask_are_not_broadcast(spark):
 
     cells = spark.createDataFrame([(1, x, y) for x in range(6) for y in range(6) if x != 3], "g int, range_index int, azimuth_index int")
     assert "Broadcast" not in G.mask_boundary(cells, ["g"])._jdf.queryExecution().executedPlan().toString()
+
+
+def _stacked(spark):
+    """Points of 6 tiles in the same 25 places, and 40 lakes of 4 different boxes."""
+    points = [(t * 100 + i, t, f"o{t}", i % 5 + 0.5, i // 5 + 0.5) for t in range(6) for i in range(25)]
+    lakes = [(f"l{k:02d}", k % 4 * 1.0, k % 4 + 2.0, 0.0, 3.0) for k in range(40)]
+    corner = "array(array(struct(a as x, c as y), struct(b as x, c as y), struct(b as x, d as y), struct(a as x, d as y), struct(a as x, c as y)))"
+    polygons = spark.createDataFrame(lakes, "lake_id string, a double, b double, c double, d double").selectExpr("lake_id", f"{corner} as rings")
+    return spark.createDataFrame(points, "id int, tile int, obs_id string, x double, y double"), points, polygons, lakes
+
+
+def test_places_instead_of_points_meet_shapes_instead_of_polygons(spark):
+    from mereflow.operators import geometry as G
+    from mereflow.operators import link as K
+    from mereflow.operators import products as R
+
+    points, rows, polygons, lakes = _stacked(spark)
+    held, members = G.places_in_polygons(points, polygons, "lake_id", 2.0)
+    inside = lambda p, k: k[1] <= p[3] < k[2] and k[3] <= p[4] < k[4]
+    assert held.count() == sum(inside(p, k) for p in rows[:25] for k in lakes[:4]) and members.count() == 40
+    want = {(p[0], k[0]) for p in rows for k in lakes if inside(p, k)}
+    got = [tuple(r) for r in G.points_in_polygons(points, polygons, "id", "lake_id", 2.0).collect()]
+    assert len(got) == len(want) and set(got) == want
+    ratio = {(r["tile"], r["area_id"]): r["ratio"] for r in G.coverage(polygons.withColumnRenamed("lake_id", "area_id"), points, 1.0, 2.0, "tile").collect()}
+    assert ratio == {(t, k[0]): sum(inside(p, k) for p in rows[:25]) / 6 for t in range(6) for k in lakes}
+    links = R.linked_cells(points, polygons, "obs_id", 2.0)
+    assert {(r["obs_id"], r["lake_id"]): r["area"] for r in links.collect()} == {(f"o{t}", k[0]): 6.0 for t in range(6) for k in lakes}
+    lake = {r["id"]: r["lake_id"] for r in K.pixel_lakes(points, links, polygons, 2.0, "id").collect()}
+    assert all(lake[p[0]] == min(k[0] for k in lakes if inside(p, k)) for p in rows if p[4] < 3)
+    corners = lambda k: [(x, y) for x in k[1:3] for y in k[3:5]]
+    nearest = lambda p: min((min((p[3] - x) ** 2 + (p[4] - y) ** 2 for x, y in corners(k)), k[0]) for k in lakes)[1]
+    assert all(lake[p[0]] == nearest(p) for p in rows if p[4] > 3)
+
+
+def test_coverage_of_many_places_is_shuffled(spark, monkeypatch):
+    from mereflow.operators import geometry as G
+
+    points, _, polygons, _ = _stacked(spark)
+    areas = polygons.withColumnRenamed("lake_id", "area_id")
+    few = {tuple(r) for r in G.coverage(areas, points, 1.0, 2.0, "tile").collect()}
+    monkeypatch.setattr(G, "MAX_HELD", 0)
+    assert {tuple(r) for r in G.coverage(areas, points, 1.0, 2.0, "tile").collect()} == few
