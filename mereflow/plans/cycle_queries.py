@@ -213,8 +213,9 @@ def x4_elevation(spark, sf_dir):
 
 
 @query(f"""with {{pixc}}, a as (select *, radians(latitude) as f, radians(longitude) as l, 6378137.0/sqrt(1-(1-pow(6356752.31424518/6378137.0,2))*pow(sin(radians(latitude)),2)) as nn from pixc where not isnan(height))
-  select {KEYS}, round((nn+height)*cos(f)*cos(l),3) as x, round((nn+height)*cos(f)*sin(l),3) as y, round((nn*pow(6356752.31424518/6378137.0,2)+height)*sin(f),3) as z, round(longitude,8) as lon, round(latitude,8) as lat, round(height,4) as h from a""")
+  select {KEYS}, round((nn+height)*cos(f)*cos(l),3) as x, round((nn+height)*cos(f)*sin(l),3) as y, round((nn*pow(6356752.31424518/6378137.0,2)+height)*sin(f),3) as z, round(degrees(atan2(cos(f)*sin(l),cos(f)*cos(l))),8) as lon, round(degrees(atan2(sin(f),abs(cos(f)))),8) as lat, round(height,4) as h from a""")
 def x5_ecef(spark, sf_dir):
+    """There and back: tiles run on over the pole, where the way back names a place by its latitude within 90 degrees."""
     x, y, z = S.to_ecef(F.col("longitude"), F.col("latitude"), F.col("height"))
     p = X.pixc(spark, sf_dir).where("not isnan(height)").withColumns({"x": x, "y": y, "z": z})
     lon, lat, h = S.from_ecef(F.col("x"), F.col("y"), F.col("z"))

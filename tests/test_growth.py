@@ -166,3 +166,26 @@ def test_coverage_of_many_places_is_shuffled(spark, monkeypatch):
     few = {tuple(r) for r in G.coverage(areas, points, 1.0, 2.0, "tile").collect()}
     monkeypatch.setattr(G, "MAX_HELD", 0)
     assert {tuple(r) for r in G.coverage(areas, points, 1.0, 2.0, "tile").collect()} == few
+
+
+def test_places_beyond_the_pole_come_back_as_the_sql_names_them(spark, duck):
+    from mereflow.functions import scalars as S
+
+    rows = [(lon, lat) for lon in (45.01, 78.25, 96.5) for lat in (45.5, 89.9999, 90.01, 141.3)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    back = S.from_ecef(*S.to_ecef(F.col("a"), F.col("b"), F.lit(30.0)))
+    got = [tuple(round(v, 8) for v in r[:2]) for r in df.orderBy("a", "b").select(*back).collect()]
+    sql = "select round(degrees(atan2(cos(f)*sin(l),cos(f)*cos(l))),8), round(degrees(atan2(sin(f),abs(cos(f)))),8) from (select radians(?::double) as l, radians(?::double) as f)"
+    assert got == [duck.execute(sql, list(r)).fetchone() for r in sorted(rows)]
+    import __spark_entry__
+
+    assert sql[7:90] in __spark_entry__.oracle_sql()["x5_ecef"].replace(" as lon", "").replace(" as lat", "")
+
+
+def test_ties_of_a_mask_do_not_depend_on_the_order_of_points(spark):
+    # the same 400 weights for both masks, in other orders
+    places = [(i * 37 % 400 / 20.0, i * 91 % 400 / 23.0) for i in range(400)]
+    rows = [(x, y, 1) for x, y in places] + [(20.0 - x, y, 2) for x, y in places[::-1]]
+    cells = spark.createDataFrame([(0, 0, 10.0, 10.0)], "ix int, iy int, x double, y double")
+    got = N.mask_raster(cells, spark.createDataFrame(rows * 500, "x double, y double, mask int"), 20.0, 1.0, 15.0).collect()
+    assert [r["mask"] for r in got] == [None]
