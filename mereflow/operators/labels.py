@@ -13,24 +13,61 @@ def pixel_id(tile: str = "tile_number") -> Column:
     return F.shiftleft(F.col(tile).cast("long"), 40).bitwiseOR(F.shiftleft(F.col("azimuth_index").cast("long"), 20)).bitwiseOR(F.col("range_index").cast("long"))
 
 
+#: Pixels along a side of the blocks in which pixels are linked before the blocks are.
+BLOCK = 128
+
+
+def _linked_in_block(types: dict[str, str], tile: str, diagonal: bool):
+    """A block's pixels, at most ``BLOCK`` squared different ones, with ``run``: the smallest pixel id that they reach inside the block."""
+    import numpy as np
+    import pandas as pd
+
+    moves = ((1, 0), (0, 1), (1, 1), (1, -1)) if diagonal else ((1, 0), (0, 1))
+
+    def link(block):
+        ids, at = np.unique(block["id"].to_numpy(), return_index=True)
+        a, r = block["azimuth_index"].to_numpy()[at], block["range_index"].to_numpy()[at]
+        u, v = a - a.min() + 1, r - r.min() + 1
+        place = np.full((u.max() + 2, v.max() + 2), -1)
+        place[u, v] = np.arange(len(ids))
+        beside = [(np.arange(len(ids)), place[u + da, v + dr]) for da, dr in moves]
+        i, j = np.concatenate([n[m >= 0] for n, m in beside]), np.concatenate([m[m >= 0] for _, m in beside])
+        root = np.arange(len(ids))
+        while True:
+            low, nxt = np.minimum(root[i], root[j]), root.copy()
+            np.minimum.at(nxt, root[i], low)
+            np.minimum.at(nxt, root[j], low)
+            nxt = nxt[nxt]
+            if (nxt == root).all():
+                break
+            root = nxt
+        return pd.DataFrame({tile: block[tile].to_numpy()[at], "azimuth_index": a, "range_index": r, "run": ids[root]})
+
+    return link, ", ".join([*(f"{c} {types[c]}" for c in (tile, "azimuth_index", "range_index")), "run bigint"])
+
+
 def lake_labels(pixels: DataFrame, diagonal: bool = False, tile: str = "tile_number") -> DataFrame:
     """``pixels`` with ``label``: the smallest pixel id of its connected region in the tile.
 
-    Rows of adjacent pixels along an azimuth line become runs first, so that the graph has a node per run.
-    4-connected, or 8-connected with ``diagonal``. Repeated pixels share a label.
+    Pixels are dealt once, into blocks of a bounded size, and linked there; the graph has a node per region of a block
+    that touches one of another block. 4-connected, or 8-connected with ``diagonal``. Repeated pixels share a label.
     """
-    line = Window.partitionBy(tile, "azimuth_index").orderBy("range_index")
-    cells = pixels.select(tile, "azimuth_index", "range_index").distinct()
-    new = F.coalesce(F.col("range_index") - F.lag("range_index").over(line) > 1, F.lit(True))
-    start = F.last(F.when(F.col("new"), F.col("id")), ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, 0))
-    runs = scratch.save(cells.withColumns({"id": pixel_id(tile), "new": new}).withColumn("run", start).select(tile, "azimuth_index", "range_index", "run"), "runs")
-    above = runs.select(tile, (F.col("azimuth_index") + 1).alias("azimuth_index"), "range_index", F.col("run").alias("other"))
-    if diagonal:
-        above = above.withColumn("range_index", F.explode(F.array(F.col("range_index") - 1, F.col("range_index"), F.col("range_index") + 1)))
-    touch = runs.join(above, [tile, "azimuth_index", "range_index"]).select(F.col("run").alias("a"), F.col("other").alias("b")).distinct()
-    root = connected_components(touch)
-    named = runs.join(root, runs.run == root.node, "left").select(tile, "azimuth_index", "range_index", F.coalesce("root", "run").alias("label"))
-    return pixels.join(named, [tile, "azimuth_index", "range_index"])
+    place = [tile, "azimuth_index", "range_index"]
+    block = [F.floor(F.col(c) / BLOCK).alias(f"__{c}") for c in place[1:]]
+    cells = pixels.select(*place).where(" and ".join(f"{c} is not null" for c in place)).withColumn("id", pixel_id(tile))
+    link, schema = _linked_in_block(dict(pixels.dtypes), tile, diagonal)
+    runs = scratch.save(cells.groupBy(tile, *block).applyInPandas(link, schema), "runs")
+    border = [F.pmod(F.col(c), F.lit(BLOCK)).isin(0, BLOCK - 1) for c in place[1:]]
+    rim = runs.where(border[0] | border[1])
+    moves = ((1, 0), (0, 1), (1, 1), (1, -1)) if diagonal else ((1, 0), (0, 1))
+    steps = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(r).alias("r")) for a, r in moves)))
+    moved = rim.withColumn("m", steps).select(tile, (F.col("azimuth_index") + F.col("m.a")).alias("azimuth_index"), (F.col("range_index") + F.col("m.r")).alias("range_index"), F.col("run").alias("other"))
+    touch = scratch.save(rim.join(moved.hint("merge"), place).where("run <> other").select(F.col("run").alias("a"), F.col("other").alias("b")).distinct(), "touching-runs")
+    named = runs.withColumnRenamed("run", "label")
+    if not touch.isEmpty():
+        root = connected_components(touch)
+        named = runs.join(root.hint("merge"), runs.run == root.node, "left").select(*place, F.coalesce("root", "run").alias("label"))
+    return pixels.join(named.hint("merge"), place)
 
 
 def large_regions(labelled: DataFrame, min_area: float) -> DataFrame:

@@ -189,3 +189,34 @@ def test_ties_of_a_mask_do_not_depend_on_the_order_of_points(spark):
     cells = spark.createDataFrame([(0, 0, 10.0, 10.0)], "ix int, iy int, x double, y double")
     got = N.mask_raster(cells, spark.createDataFrame(rows * 500, "x double, y double, mask int"), 20.0, 1.0, 15.0).collect()
     assert [r["mask"] for r in got] == [None]
+
+
+@pytest.mark.parametrize("diagonal", [False, True])
+def test_labels_of_blocks_are_those_of_the_tile(spark, monkeypatch, diagonal):
+    from mereflow.operators import labels as L
+
+    cells = [(t, a, r) for t in (1, 2) for a in range(23) for r in range(19) if (a * 7 + r * 5 + a * r * t) % 11 < 6]
+    df = spark.createDataFrame(cells + cells[:9], "tile_number int, azimuth_index int, range_index int")
+    moves = [(a, r) for a in (-1, 0, 1) for r in (-1, 0, 1) if (a or r) and (diagonal or not a * r)]
+    want, there = {}, set(cells)
+    for c in sorted(cells):
+        todo = [c]
+        while todo:
+            t, a, r = todo.pop()
+            if (t, a, r) in want or (t, a, r) not in there:
+                continue
+            want[t, a, r] = (c[0] << 40) | (c[1] << 20) | c[2]
+            todo += [(t, a + i, r + j) for i, j in moves]
+    nodes, plain = [], L.connected_components
+
+    def connected_components(edges, *a):
+        nodes.append(edges.count())
+        return plain(edges, *a)
+
+    monkeypatch.setattr(L, "connected_components", connected_components)
+    for side, asked in ((128, 0), (5, 1)):
+        monkeypatch.setattr(L, "BLOCK", side)
+        nodes.clear()
+        got = L.lake_labels(df, diagonal).collect()
+        assert len(got) == len(cells) + 9 and {(r["tile_number"], r["azimuth_index"], r["range_index"]): r["label"] for r in got} == want
+        assert len(nodes) == asked and sum(nodes) < len(cells)
