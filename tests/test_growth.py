@@ -238,3 +238,12 @@ def test_regions_of_equal_cells_meet_once(spark, monkeypatch):
     # r00 and r02 are taken, r01 meets both; closed they leave the rim of the widened ones
     wide = {(x, y) for x in range(-1, 8) for y in range(-1, 5)}
     assert got == wide - {(x, y) for x in range(7) for y in range(4)} and asked == [(3, 2)]
+
+
+def test_pairs_within_a_radius_are_compared_by_place(spark, counted, monkeypatch):
+    monkeypatch.setattr(N, "MEMBERS", 8)
+    points, rows = _crowds(spark, 140)
+    got = sorted((r.id, r.id_r, r.d) for r in N.within_by_place(points, points, 5.0, "id", "id", 6).collect())
+    want = sorted((p[0], q[0], round(math.dist(p[1:3], q[1:3]), 6)) for p in rows for q in rows if math.dist(p[1:3], q[1:3]) <= 5.0)
+    assert [g[:2] for g in got] == [w[:2] for w in want] and all(abs(g[2] - w[2]) < 2e-6 for g, w in zip(got, want))
+    assert sum(counted) < len(want) / 10
