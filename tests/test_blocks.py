@@ -91,3 +91,17 @@ def test_labels_of_bare_pixels_are_not_joined_back(spark):
     own = L.lake_labels(df)
     assert "Join" not in own._jdf.queryExecution().optimizedPlan().toString()
     assert len({r.label for r in own.collect()}) == 2 and own.count() == 4
+
+
+def test_kmeans_by_lists_and_in_rounds(spark):
+    noise = random.Random(3)
+    rows = [(o, round(noise.gauss(o * 2 + 9 * noise.randrange(4), 1.5), 2)) for o in range(4) for _ in range(60)]
+    df = spark.createDataFrame(rows, "label int, height double")
+    lists, rounds = ({(r.label, r.height): r.cluster for r in L.height_kmeans(df, ["label"], listed=n).collect()} for n in (4096, 1))
+    assert lists == rounds and len({c for c in lists.values()}) > 3
+
+
+def test_kmeans_of_few_heights_takes_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(L, "_kmeans_in_rounds", None)
+    df = spark.createDataFrame([(1, float(v)) for v in (0, 1, 10, 11)], "label int, height double")
+    assert sorted((r.height, r.cluster) for r in L.height_kmeans(df, ["label"]).collect()) == [(0.0, 0), (1.0, 0), (10.0, 1), (11.0, 1)]
