@@ -255,7 +255,11 @@ def d2_height_model(spark, sf_dir):
   from p join z using (tile_number, lake) left join n using (tile_number, lake, range_index, azimuth_index)""")
 def d2_a29_height_models(spark, sf_dir):
     """Means of small lakes and grid heights of big ones, and beside them the surface of big lakes whose heights are a polynomial."""
-    p = X.pixc(spark, sf_dir).withColumns({"x": F.col("range_index").cast("double"), "y": F.col("azimuth_index").cast("double")})
+    from mereflow import scratch
+
+    # every step of both models reads the pixels, which are made once
+    p = scratch.save(X.pixc(spark, sf_dir).select(*KEY, "lake", "height", "height_std", "pixel_area"), "model-pixels")
+    p = p.withColumns({"x": F.col("range_index").cast("double"), "y": F.col("azimuth_index").cast("double")})
     big = p.groupBy(*LAKE).agg((F.sum("pixel_area") >= 16000).alias("big"))
     grid = O.height_model(p, LAKE, big=16000.0, model="grid", spacing=6.0, resolution=10.0)
     exact = p.withColumn("height", 3 + 0.2 * F.col("x") - 0.01 * F.col("x") * F.col("x") + 0.3 * F.col("y"))

@@ -247,3 +247,9 @@ def test_pairs_within_a_radius_are_compared_by_place(spark, counted, monkeypatch
     want = sorted((p[0], q[0], round(math.dist(p[1:3], q[1:3]), 6)) for p in rows for q in rows if math.dist(p[1:3], q[1:3]) <= 5.0)
     assert [g[:2] for g in got] == [w[:2] for w in want] and all(abs(g[2] - w[2]) < 2e-6 for g, w in zip(got, want))
     assert sum(counted) < len(want) / 10
+
+
+def test_pixels_of_the_height_models_are_made_once(spark):
+    from mereflow.plans.product_queries import QUERIES
+
+    assert not [f for f in QUERIES["d2_a29_height_models"](spark, "/root/testdata/sf0.001").inputFiles() if "lineitem" in f]
