@@ -310,6 +310,10 @@ VIEWS = 2
 CROWD = 64
 #: Up to this many crowded shingles (48 MB) are broadcast to order the texts' shingles; more are joined.
 LISTED = 4 << 20
+#: Times that the crowded shingles are added to by those of whole sets; what crowds share after that is compared crowd by crowd.
+TURNS = 3
+#: Up to this many asked texts (24 bytes each) are broadcast to the texts; for more, texts are shuffled.
+ASKED = 1 << 19
 
 
 def _needed(n: int, similarity: float) -> int:
@@ -317,11 +321,17 @@ def _needed(n: int, similarity: float) -> int:
     return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
 
 
+def _noted(n: int, similarity: float) -> int:
+    """Of so many smallest hashes of a text of ``n`` most texts can leave the crowded ones out and still have the first that are needed."""
+    first = _needed(n, similarity)
+    return min(n, first + first // 4 + 16)
+
+
 def _signatures(docs: DataFrame, similarity: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, h, sig, f0, f1, ..., n, low) of every row.
 
     ``h`` is a hash of the text, ``sig`` one of its set of ``n`` shingles, f0 ... its fingerprints over words, and ``low`` the
-    smallest hashes of its shingles, of which it shares one with each similar text.
+    smallest hashes of its shingles: those of which it shares one with each similar text, and some more.
     """
     arrow_rows(docs.sparkSession)
     names = ["sig", *(f"f{k}" for k in range(VIEWS))]
@@ -341,7 +351,7 @@ def _signatures(docs: DataFrame, similarity: float, shingle: int, id_col: str, t
                         out[a + owners, 0] = np.add.reduceat(_scatter(h.view(np.uint64), 0), cuts[:-1])
                         n[a + owners] = np.diff(cuts)
                         for k, first, last in zip((a + owners).tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
-                            low[k] = h[first : first + _needed(last - first, similarity)]
+                            low[k] = h[first : first + _noted(last - first, similarity)]
                         words, cuts = _distinct(*_shingles(norm, begin, stop, doc, 1)[1:])
                         for k in range(VIEWS):
                             out[a + owners, 1 + k] = _votes(_scatter(words, k), cuts)
@@ -370,8 +380,8 @@ def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
 
 def _sets_of(asked: DataFrame, own: DataFrame, docs: DataFrame, repeated: bool, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """(sig, hashes) of the asked texts, read from the smallest row of each; ``repeated`` if rows may share their id and text."""
-    # written first, so that Spark knows its size and leaves the texts where they are while it is small
     reps = scratch.save(own.join(asked, "sig", "left_semi").select("sig", F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_")), "asked")
+    reps = F.broadcast(reps) if reps.count() <= ASKED else reps
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text).alias("t"), text.alias("text"))
     texts = texts.join(reps, F.col("i").eqNullSafe(F.col("i_")) & (F.col("t") == F.col("h_"))).select("sig", "text")
@@ -384,13 +394,12 @@ def _crowds(shingles: DataFrame, crowd: int) -> DataFrame:
     return scratch.save(shingles.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > crowd), "crowds")
 
 
-def _met(first: DataFrame) -> DataFrame:
-    """(token, c) of the shingles that more than one of the texts (sig, low) have among ``low``."""
-    return _crowds(first.select(F.explode("low").alias("token")), 1)
-
-
 def _by_rarity(sets: DataFrame, crowds: DataFrame, similarity: float, listed: int) -> DataFrame:
-    """(sig, n, low, deep): the first shingles of each set where crowded ones come last, by their counts; those not crowded, and those crowded."""
+    """(sig, n, low, deep, whole): the first shingles of each set where crowded ones come last, by their counts; those not crowded, and those crowded.
+
+    With a column n, ``hashes`` are but the smallest of a set of n; where they do not hold all of its first shingles, it is not ``whole``.
+    """
+    part = "n" in sets.columns
     if crowds.count() <= listed:
         found = crowds.orderBy("token").toPandas()  # at most ``listed`` rows
         hot = sets.sparkSession.sparkContext.broadcast((found["token"].to_numpy(), found["c"].to_numpy()))
@@ -398,42 +407,50 @@ def _by_rarity(sets: DataFrame, crowds: DataFrame, similarity: float, listed: in
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens, counts = hot.value
             for batch in batches:
-                n, low, deep = [], [], []
-                for x in batch.column("hashes"):
+                n, low, deep, whole = batch.column("n").to_pylist() if part else [], [], [], []
+                for k, x in enumerate(batch.column("hashes")):
                     h = x.values.to_numpy()
                     c = np.zeros(len(h), np.int64)
                     if len(tokens):
                         at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
                         c = np.where(tokens[at] == h, counts[at], 0)
-                    first = np.lexsort((h, c))[: _needed(len(h), similarity)]
-                    n.append(len(h))
+                    if not part:
+                        n.append(len(h))
+                    first = np.lexsort((h, c))[: _needed(n[k], similarity)]
                     low.append(h[first[c[first] == 0]])
                     deep.append(h[first[c[first] > 0]])
-                made = [pa.array(n, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (low, deep))]
-                yield pa.RecordBatch.from_arrays([batch.column("sig"), *made], names=["sig", "n", "low", "deep"])
-
-        return sets.mapInArrow(run, "sig long, n long, low array<long>, deep array<long>")
-    each = sets.select("sig", F.explode("hashes").alias("token")).join(crowds, "token", "left")
-    ordered = each.groupBy("sig").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "token"))).alias("x"))
-    n = F.size("x").cast("long")
+                    whole.append(len(h) == n[k] or not len(deep[k]))
+                made = [pa.array(n, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (low, deep)), pa.array(whole, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([batch.column("sig"), *made], names=["sig", "n", "low", "deep", "whole"])
+
+        return sets.mapInArrow(run, "sig long, n long, low array<long>, deep array<long>, whole boolean")
+    each = sets.select("sig", *["n"] * part, F.explode("hashes").alias("token")).join(crowds, "token", "left")
+    ordered = each.groupBy("sig", *["n"] * part).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "token"))).alias("x"))
+    n = F.col("n") if part else F.size("x").cast("long")
     first = F.slice("x", F.lit(1), (n - F.ceil(n * similarity - 1e-9) + 1).cast("int"))
-    part = lambda keep: F.transform(F.filter(first, keep), lambda y: y["token"])
-    return ordered.select("sig", n.alias("n"), part(lambda y: y["c"] == 0).alias("low"), part(lambda y: y["c"] > 0).alias("deep"))
+    kind = lambda keep: F.transform(F.filter(first, keep), lambda y: y["token"])
+    made = ordered.select("sig", n.alias("n"), kind(lambda y: y["c"] == 0).alias("low"), kind(lambda y: y["c"] > 0).alias("deep"), F.size("x").alias("held"))
+    return made.withColumn("whole", (F.col("held") == F.col("n")) | (F.size("deep") == 0)).drop("held")
 
 
-def _pairs_of_few(first: DataFrame, shared: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of texts (sig, n, low, moved) of different roots, not both moved, that have a shingle of ``low`` that is in ``shared`` as well.
+def _pairs_of_few(each: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of texts of different roots that have enough of their first shingles in common, from rows (token, sig, n, at, deep).
 
-    At the first shingle that two similar texts share, what follows in both is enough for all that they have to share. ``shared`` is a
-    written table, so that while it is small the shingles of one text only go before anything is shuffled.
+    All texts have their shingles in one order; ``at`` is a shingle's place in it and ``deep`` how many of a text's first shingles have no
+    row. What two texts share lies among the first of both, or behind the first of one of them and behind the last that they share there.
     """
-    each = first.select(F.posexplode("low").alias("at", "token"), "sig", F.col("n").cast("int").alias("n"), "moved").join(shared, "token", "left_semi")
     each = each.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    lists = each.repartition("token").groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.collect_list(F.struct("sig", "n", "at", "root", "moved")).alias("x"))
+    own = F.struct("sig", "root", *(F.col(c).cast("int").alias(c) for c in ("n", "at", "deep")))
+    lists = each.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.collect_list(own).alias("x"))
     one = lists.where("least <> most").select(F.explode("x").alias("o"), "x")
-    apart = lambda y: (y["sig"] > F.col("o.sig")) & (y["root"] != F.col("o.root")) & ~(y["moved"] & F.col("o.moved"))
-    fits = lambda y: F.least(y["n"] - y["at"], F.col("o.n") - F.col("o.at")) >= (y["n"] + F.col("o.n")) * similarity / (1 + similarity) - 1e-9
-    return one.select(F.col("o.sig").alias("a"), F.explode(F.transform(F.filter("x", lambda y: apart(y) & fits(y)), lambda y: y["sig"])).alias("b")).distinct()
+    o = F.col("o")
+    apart = lambda y: (y["sig"] > o["sig"]) & (y["root"] != o["root"]) & (F.least(y["n"], o["n"]) >= F.greatest(y["n"], o["n"]) * similarity - 1e-9)
+    met = one.select(F.col("o.sig").alias("a"), F.col("o.n").alias("n"), F.col("o.at").alias("i"), F.col("o.deep").alias("deep"), F.explode(F.filter("x", apart)).alias("y"))
+    met = met.select("a", F.col("y.sig").alias("b"), F.col("n").alias("na"), F.col("y.n").alias("nb"), "i", F.col("y.at").alias("j"), F.least("deep", "y.deep").alias("deep"))
+    met = met.groupBy("a", "b", "na", "nb", "deep").agg(F.count(F.lit(1)).alias("k"), F.max("i").alias("i"), F.max("j").alias("j"))
+    behind = lambda n: F.ceil(F.col(n) * similarity - 1e-9) - 1
+    most = F.greatest(F.least(behind("na"), F.expr("nb - j - 1")), F.least(behind("nb"), F.expr("na - i - 1")))
+    return met.where(F.col("k") + F.col("deep") + most >= (F.col("na") + F.col("nb")) * similarity / (1 + similarity) - 1e-9).select("a", "b")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -494,10 +511,13 @@ def similar(
     share make no candidates. Texts that have to share such a shingle are compared where they are of different groups.
     Texts without words are one group.
     """
-    rows = scratch.save(_signatures(docs, similarity, shingle, id_col, text_col), "signatures")
+    signed = scratch.save(_signatures(docs, similarity, shingle, id_col, text_col), "signatures")
+    rows = scratch.save(signed.select("doc_id", "h", "sig"), "rows")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    own = rows.groupBy("sig").agg(F.min(row).alias("m"), *(F.min(f"f{k}").alias(f"f{k}") for k in range(VIEWS)), F.min("n").alias("n"))
+    own = signed.groupBy("sig").agg(F.min(row).alias("m"), *(F.min(f"f{k}").alias(f"f{k}") for k in range(VIEWS)), F.min("n").alias("n"))
     own = scratch.save(own, "texts")
+    first = scratch.save(signed.select("sig", "n", F.col("low").alias("hashes")).dropDuplicates(["sig"]), "first")  # a set's rows have the same
+    scratch.drop(signed)
     # what a large group of near copies was copied from shares its fingerprints with the most of them: it speaks for them
     views = F.explode(F.array(*(F.struct(F.lit(k).alias("space"), F.col(f"f{k}").alias("fp")) for k in range(VIEWS))))
     each = own.select("sig", views.alias("x")).select("sig", "x.space", "x.fp")
@@ -510,36 +530,49 @@ def similar(
     pairs = scratch.save(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     repeated = not rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
     sets_of = lambda asked: _sets_of(asked, own, docs, repeated, shingle, id_col, text_col)
-    # the first shingles of each text by hash, taken from its smallest row; texts with crowded ones among them put all their crowded ones last
-    mine = own.select(F.col("sig").alias("sig_"), F.col("m.doc_id").alias("i_"), F.col("m.h").alias("h_"))
-    first = rows.join(mine, (F.col("sig") == F.col("sig_")) & F.col("doc_id").eqNullSafe(F.col("i_")) & (F.col("h") == F.col("h_"))).select("sig", "n", "low")
-    first = first.dropDuplicates(["sig"]) if repeated else first
-    met = _met(first)
-    hot = scratch.save(met.where(F.col("c") > crowd), "crowds")
-    crowded = first.select("sig", F.explode("low").alias("token")).join(hot, "token", "left_semi").select("sig").distinct()
-    crowded = scratch.save(crowded, "crowded")
-    held = scratch.save(crowded.union(_ends(pairs)).distinct(), "held")
+    held = _ends(pairs)
     sets = sets_of(held)
     linked = scratch.save(_alike(pairs, sets, similarity), "linked")
     roots = connected_components(linked).select(F.col("node").alias("sig"), "root")
-    # a text that has no crowded shingle among its first meets every similar one at a shingle that few have there
-    some = crowded.select("sig", F.lit(True).alias("moved"))
-    pairs = _pairs_of_few(first.join(some, "sig", "left").withColumn("moved", F.coalesce("moved", F.lit(False))), met.where(F.col("c") <= crowd), roots, similarity)
-    deep = None
-    if not hot.isEmpty():
-        theirs = sets.join(crowded, "sig", "left_semi")
-        hot = _crowds(theirs.select(F.explode("hashes").alias("token")), crowd)
-        moved = scratch.save(_by_rarity(theirs, hot, similarity, listed), "moved")
-        pairs = pairs.union(_pairs_of_few(moved.select("sig", "n", "low", F.lit(False).alias("moved")), _met(moved), roots, similarity)).distinct()
-        deep = moved.where(F.size("deep") > 0).join(weight, "sig").select(F.explode("deep").alias("token"), "sig", "n", "shared")
-    pairs = scratch.save(pairs, "candidates")
-    if not pairs.isEmpty():
-        more = sets_of(_ends(pairs).join(held, "sig", "left_anti"))
-        linked = linked.union(scratch.save(_alike(pairs, sets.union(more), similarity), "linked"))
-    if deep is not None:
-        deep = scratch.save(deep, "deep")
-        if not deep.isEmpty():
-            linked = _links_in_crowds(deep, sets, linked, similarity)
+    # the first shingles of each text where those that crowds have come last; they are found among the smallest hashes of all texts
+    met = _crowds(first.select(F.explode("hashes").alias("token")), 1)
+    hot = scratch.save(met.where(F.col("c") > crowd), "crowds")
+    spare = None
+    for turn in range(TURNS):
+        ordered = scratch.save(_by_rarity(first, hot, similarity, listed), "ordered")
+        asked = ordered.where(~F.col("whole")).select("sig")
+        asked = scratch.save(asked if spare is None else asked.join(spare, "sig", "left_anti"), "asked")
+        if spare is not None and asked.isEmpty():
+            break
+        more = sets_of(asked)
+        spare = more if spare is None else spare.union(more)
+        # any set of crowded shingles makes an order that all texts have in common: this one adds what these whole sets have in common
+        theirs = spare.select(F.explode("hashes").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).join(met.withColumnRenamed("c", "c_"), "token", "left")
+        new = theirs.select("token", (F.col("c") + F.coalesce("c_", F.lit(0))).alias("c")).where(F.col("c") > crowd).join(hot, "token", "left_anti")
+        new = scratch.save(new, "crowds")
+        if turn == TURNS - 1 or new.isEmpty():
+            break
+        hot = scratch.save(hot.union(new), "crowds")
+        scratch.drop(ordered)
+    scratch.drop(first)
+    rest = spare.join(ordered.where(~F.col("whole")), "sig", "left_semi")
+    rest = scratch.save(_by_rarity(rest, hot, similarity, listed), "ordered")
+    shared = met.select("token").union(rest.select(F.explode("low"))).distinct()
+    ordered = ordered.where("whole").unionByName(rest)
+    few = ordered.select("sig", "n", F.size("deep").alias("deep"), F.posexplode("low").alias("at", "token")).join(shared, "token", "left_semi")
+    few = scratch.save(few, "few")
+    # where whole sets were read, shingles can be crowded that are not among the smallest hashes of as many texts
+    over = _crowds(few, crowd)
+    more = few.join(over, "token", "left_semi").groupBy("sig").agg(F.count(F.lit(1)).alias("more"))
+    deep = ordered.where(F.size("deep") > 0).select(F.explode("deep").alias("token"), "sig", "n")
+    deep = scratch.save(deep.union(few.join(over, "token", "left_semi").select("token", "sig", "n")).join(weight, "sig"), "deep")
+    few = few.join(over, "token", "left_anti").join(more, "sig", "left").withColumn("deep", F.col("deep") + F.coalesce("more", F.lit(0)))
+    pairs = scratch.save(_pairs_of_few(few, roots, similarity), "candidates")
+    asked = scratch.save(_ends(pairs).union(deep.select("sig")).distinct().join(held, "sig", "left_anti"), "asked")
+    sets = sets.union(sets_of(asked))
+    linked = linked.union(scratch.save(_alike(pairs, sets, similarity), "linked"))
+    if not deep.isEmpty():
+        linked = _links_in_crowds(deep, sets, linked, similarity)
     node = F.struct("m.none", "m.doc_id", "m.h", "sig")
     named = own.select("sig", node.alias("node"))
     edges = linked.join(named.select(F.col("sig").alias("a"), F.col("node").alias("x")), "a").join(named.select(F.col("sig").alias("b"), F.col("node").alias("y")), "b").select("x", "y")
