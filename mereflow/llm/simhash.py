@@ -26,6 +26,8 @@ from mereflow.operators.components import connected_components
 #: (first bit, bits) of the three segments.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 CHUNK_BYTES = 2 << 20
+#: For signatures, of which more arrays are held at a time.
+SIGNED_BYTES = 512 << 10
 #: Keys of more distinct fingerprints than this go on to variants of the whole fingerprint.
 DENSE = 1024
 
@@ -343,7 +345,7 @@ def _signatures(docs: DataFrame, similarity: float, shingle: int, id_col: str, t
             n, low = np.zeros(len(texts), np.int64), [np.empty(0, np.int64)] * len(texts)
             for i, t in enumerate(texts):
                 held += len(t)
-                if held >= CHUNK_BYTES or i == len(texts) - 1:
+                if held >= SIGNED_BYTES or i == len(texts) - 1:
                     norm, begin, stop, doc = _words(texts[a : i + 1])
                     if len(stop):
                         owners, h, cuts = _shingles(norm, begin, stop, doc, shingle)
