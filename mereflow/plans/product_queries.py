@@ -616,7 +616,9 @@ def g7_r7_clip_cells(spark, sf_dir):
 
 @query("with recursive {poly}, rk as materialized (select lake_id as id, row_number() over (order by (x1-x0)*(y1-y0), lake_id) as k, (x1-x0)*(y1-y0) as area from poly), mt as materialized (select a.lake_id as id, list(rk.k) as bs from poly a join poly b on a.lake_id<>b.lake_id and a.x0<=b.x1 and b.x0<=a.x1 and a.y0<=b.y1 and b.y0<=a.y1 join rk on rk.id=b.lake_id group by 1), " + _GREEDY + " select id, area from rk join ch using (id)")
 def t5_disjoint_smallest(spark, sf_dir):
-    p = X.poly(spark, sf_dir)
+    """Equal boxes meet one another and the same others, so of each only the smallest key can be taken."""
+    p = X.poly(spark, sf_dir).groupBy("x0", "x1", "y0", "y1").agg(F.min("lake_id").alias("lake_id"))
+    p = scratch.save(p, "different-boxes")
     boxes = p.select(F.col("lake_id").alias("a"), "x0", "x1", "y0", "y1")
     meets = G.touching_boxes(boxes, boxes.withColumnRenamed("a", "b"), "a", "b", 10.0)
     area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))

@@ -253,3 +253,28 @@ def test_pixels_of_the_height_models_are_made_once(spark):
     from mereflow.plans.product_queries import QUERIES
 
     assert not [f for f in QUERIES["d2_a29_height_models"](spark, "/root/testdata/sf0.001").inputFiles() if "lineitem" in f]
+
+
+def test_equal_boxes_are_one_of_the_disjoint_ones(spark, monkeypatch, tmp_path):
+    """Suppliers' boxes repeat after 6,160 keys."""
+    import duckdb
+    from conftest import same
+
+    from mereflow.operators import geometry as G
+    from mereflow.plans import product_queries as Q
+
+    keys = [i + 6160 * j for i in range(40) for j in range(4)]
+    spark.createDataFrame([(k,) for k in keys], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    asked, plain = [], G.disjoint_smallest
+
+    def disjoint_smallest(regions, meets, *a):
+        asked.append((regions.count(), meets.where("a <> b").count()))
+        return plain(regions, meets, *a)
+
+    monkeypatch.setattr(G, "disjoint_smallest", disjoint_smallest)
+    c = duckdb.connect()
+    c.execute(f"create view supplier as select * from '{tmp_path}/supplier.parquet/*.parquet'")
+    same(Q.QUERIES["t5_disjoint_smallest"](spark, str(tmp_path)), c, Q.ORACLE["t5_disjoint_smallest"])
+    box = lambda k: (k * 17 % 80, k * 17 % 80 + 4 + k % 11, k * 29 % 80, k * 29 % 80 + 4 + k % 7)
+    meet = lambda p, q: p[0] <= q[1] and q[0] <= p[1] and p[2] <= q[3] and q[2] <= p[3]
+    assert asked == [(40, sum(meet(box(i), box(j)) for i in range(40) for j in range(40) if i != j))]
