@@ -278,3 +278,34 @@ def test_equal_boxes_are_one_of_the_disjoint_ones(spark, monkeypatch, tmp_path):
     box = lambda k: (k * 17 % 80, k * 17 % 80 + 4 + k % 11, k * 29 % 80, k * 29 % 80 + 4 + k % 7)
     meet = lambda p, q: p[0] <= q[1] and q[0] <= p[1] and p[2] <= q[3] and q[2] <= p[3]
     assert asked == [(40, sum(meet(box(i), box(j)) for i in range(40) for j in range(40) if i != j))]
+
+
+def test_few_places_are_sent_to_the_points(spark, monkeypatch):
+    from mereflow.operators import geometry as G
+
+    points, rows, polygons, lakes = _stacked(spark)
+    met = G.points_in_polygons(points, polygons, "id", "lake_id", 2.0)
+    cut = G.clip_cells(points, polygons, "id", 2.0)
+    for df in (met, cut):
+        assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    few, few_cut = sorted(map(tuple, met.collect())), sorted(map(tuple, cut.collect()))
+    monkeypatch.setattr(G, "MAX_HELD", 0)
+    assert sorted(map(tuple, G.points_in_polygons(points, polygons, "id", "lake_id", 2.0).collect())) == few
+    assert sorted(map(tuple, G.clip_cells(points, polygons, "id", 2.0).collect())) == few_cut
+    assert few == sorted((p[0], k[0]) for p in rows for k in lakes if k[1] <= p[3] < k[2] and k[3] <= p[4] < k[4])
+
+
+def test_coverage_makes_rows_from_lists(spark, monkeypatch):
+    """Cells without a place or outside all areas, and an area without extent."""
+    from mereflow.operators import geometry as G
+
+    points, _, polygons, _ = _stacked(spark)
+    points = points.unionByName(spark.createDataFrame([(900, 7, "o7", 50.0, 50.0), (901, 8, "o8", None, 1.0)], points.schema))
+    flat = spark.createDataFrame([("flat", [[(1.0, 1.0), (2.0, 1.0), (1.0, 1.0)]])], "lake_id string, rings array<array<struct<x: double, y: double>>>")
+    areas = polygons.unionByName(flat).withColumnRenamed("lake_id", "area_id")
+    got = G.coverage(areas, points, 0.7, 2.0, "tile", digits=3)
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    few = sorted(map(tuple, got.collect()), key=repr)
+    assert len(few) == 8 * 41 and {r for r in few if r[0] > 6} == {(t, k, 0.0) for t in (7, 8) for k in [r[0] for r in polygons.select("lake_id").collect()]} | {(t, "flat", None) for t in (7, 8)}
+    monkeypatch.setattr(G, "MAX_HELD", 0)
+    assert sorted(map(tuple, G.coverage(areas, points, 0.7, 2.0, "tile", digits=3).collect()), key=repr) == few
