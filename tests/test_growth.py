@@ -309,3 +309,42 @@ def test_coverage_makes_rows_from_lists(spark, monkeypatch):
     assert len(few) == 8 * 41 and {r for r in few if r[0] > 6} == {(t, k, 0.0) for t in (7, 8) for k in [r[0] for r in polygons.select("lake_id").collect()]} | {(t, "flat", None) for t in (7, 8)}
     monkeypatch.setattr(G, "MAX_HELD", 0)
     assert sorted(map(tuple, G.coverage(areas, points, 0.7, 2.0, "tile", digits=3).collect()), key=repr) == few
+
+
+def test_links_of_shapes_are_lists_of_objects(spark, monkeypatch):
+    """Objects in parts of several boxes, one of them outside all and without a place, by lists and shuffled."""
+    from mereflow.operators import geometry as G
+    from mereflow.operators import link as K
+
+    points, rows, polygons, lakes = _stacked(spark)
+    more = [(600 + i, 6, "o6", 0.5 + i % 2 * 4, 0.5) for i in range(3)] + [(610, 7, "o7", 50.0, 50.0), (611, 7, "o7", None, 1.0)]
+    points = points.unionByName(spark.createDataFrame(more, points.schema))
+    prior = polygons.select("lake_id", F.when(~F.col("lake_id").endswith("3"), F.concat(F.lit("n"), F.reverse("lake_id"))).alias("names"), (F.substring("lake_id", -1, 1).cast("int") % 3).alias("ice_clim_flag"), F.lit(1).alias("ice_dyn_flag"), (F.substring("lake_id", -2, 2).cast("int") % 5).alias("res_id"))
+    found = []
+    for most in (G.MAX_HELD, 0):
+        monkeypatch.setattr(G, "MAX_HELD", most)
+        links = K.ShapeLinks(points, polygons, 2.0)
+        assert (links.lists is None) == (most == 0)
+        # a row per object and shape, not per object and lake
+        assert links.met.count() == 6 * 4 + 2 and links.members.count() == 40
+        each = G.expanded(links.met, "lake_id", links.members)
+        plain = K.linked_lists(each)
+        sides = [(links.per_object(), plain[0]), (G.expanded(links.per_lake(), "lake_id", links.members).select("lake_id", "obs_ids"), plain[1]), (links.objects(), each.select("obs_id").distinct()), (links.lakes(), each.select("lake_id").distinct()), (K.copy_prior_of_shapes(links, prior), K.copy_prior(each, prior)), (K.pixel_lakes(points, links, polygons, 2.0, "id"), K.pixel_lakes(points, each, polygons, 2.0, "id"))]
+        for a, b in sides:
+            got, want = ({repr(r.asDict()) for r in df.select(*sorted(df.columns)).collect()} for df in (a, b))
+            assert got == want and got
+        found.append(sorted(map(tuple, each.select("obs_id", "lake_id", "area", "overlap").collect())))
+    assert found[0] == found[1]
+
+
+def test_hulls_of_many_groups_are_made_in_batches(spark):
+    from mereflow.operators import geometry as G
+
+    rows = [(g, r, float((g * 7 + r * r * 3 + k * 5) % 11), float(r)) for g in range(50) for r in range(4) for k in range(3)]
+    got = G.convex_hulls(spark.createDataFrame(rows, "g int, azimuth_index int, x double, y double"), ["g"])
+    assert "FlatMapGroupsInPandas" not in got._jdf.queryExecution().executedPlan().toString()
+    for r in got.collect():
+        pts, ring = {p[2:] for p in rows if p[0] == r.g}, [(p.x, p.y) for p in r.ring]
+        assert ring[0] == ring[-1] and set(ring) <= pts
+        turn = lambda a, b, p: (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+        assert all(turn(a, b, p) >= 0 for a, b in zip(ring, ring[1:]) for p in pts)
