@@ -27,7 +27,7 @@ def crossings(e: DataFrame, keys: list[str]) -> DataFrame:
     """
     length = F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)
     size = e.groupBy(*keys).agg(F.greatest(F.avg(length), F.lit(1e-12)).alias("s"))
-    own = scratch.save(e.withColumn("id", F.monotonically_increasing_id()).join(size, keys), "crossing-edges")
+    own = scratch.save(e.withColumn("id", F.monotonically_increasing_id()).join(size.hint("merge"), keys), "crossing-edges")
     eps = F.col("s") * 1e-6
     rows = own.withColumn("by", F.explode(F.sequence(F.floor((F.col("y1") - eps) / F.col("s")), F.floor((F.col("y2") + eps) / F.col("s")))))
     lo, hi = F.greatest(F.col("y1"), F.col("by") * F.col("s") - eps), F.least(F.col("y2"), (F.col("by") + 1) * F.col("s") + eps)
@@ -38,7 +38,7 @@ def crossings(e: DataFrame, keys: list[str]) -> DataFrame:
     det = sx * ty - sy * tx
     dx, dy = F.col("x1_") - F.col("x1"), F.col("y1_") - F.col("y1")
     t, u = F.try_divide(dx * ty - dy * tx, det), F.try_divide(dx * sy - dy * sx, det)
-    pairs = cells.join(other, [*keys, "bx", "by"]).where((F.col("part") < F.col("part_")) & (F.greatest("y1", "y1_") < F.least("y2", "y2_")) & (det != 0))
+    pairs = cells.join(other.hint("merge"), [*keys, "bx", "by"]).where((F.col("part") < F.col("part_")) & (F.greatest("y1", "y1_") < F.least("y2", "y2_")) & (det != 0))
     met = pairs.withColumns({"t": t, "u": u}).where("t > 0 and t < 1 and u >= -1e-9 and u <= 1 + 1e-9")
     return met.groupBy(*keys, "id", "id_").agg(F.first(F.col("y1") + F.col("t") * sy).alias("y")).select(*keys, "y")
 
@@ -52,9 +52,10 @@ def slabs(e: DataFrame, keys: list[str]) -> DataFrame:
     cuts = e.select(*keys, F.col("y1").alias("y")).union(e.select(*keys, F.col("y2").alias("y"))).union(crossings(e, keys)).distinct()
     order = Window.partitionBy(*keys).orderBy("y")
     cuts = scratch.save(cuts.select(*keys, F.row_number().over(order).alias("slab"), F.col("y").alias("lo"), F.lead("y").over(order).alias("hi")), "cuts")
-    number = lambda end, name: cuts.select(*keys, F.col("lo").alias(end), F.col("slab").alias(name))
+    # cuts compress to little, and are as many as the edges
+    number = lambda end, name: cuts.select(*keys, F.col("lo").alias(end), F.col("slab").alias(name)).hint("merge")
     own = e.join(number("y1", "first"), [*keys, "y1"]).join(number("y2", "last"), [*keys, "y2"])
-    own = own.withColumn("slab", F.explode(F.sequence("first", F.col("last") - 1))).drop("first", "last").join(cuts, [*keys, "slab"])
+    own = own.withColumn("slab", F.explode(F.sequence("first", F.col("last") - 1))).drop("first", "last").join(cuts.hint("merge"), [*keys, "slab"])
     xl = F.when(F.col("lo") == F.col("y1"), F.col("x1")).otherwise(_at(F.col("lo")))
     xh = F.when(F.col("hi") == F.col("y2"), F.col("x2")).otherwise(_at(F.col("hi")))
     return own.select(*keys, "part", "slab", "lo", "hi", xl.alias("xl"), xh.alias("xh"))

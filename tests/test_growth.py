@@ -348,3 +348,26 @@ def test_hulls_of_many_groups_are_made_in_batches(spark):
         assert ring[0] == ring[-1] and set(ring) <= pts
         turn = lambda a, b, p: (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
         assert all(turn(a, b, p) >= 0 for a, b in zip(ring, ring[1:]) for p in pts)
+
+
+@pytest.mark.parametrize("listed", [4096, 3])
+def test_unions_are_not_broadcast_and_followed_as_lists(spark, monkeypatch, listed):
+    from mereflow import scratch
+    from mereflow.operators import geometry as G
+
+    saved, plain = [], scratch.save
+
+    def save(df, name, **options):
+        saved.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(df, name, **options)
+
+    monkeypatch.setattr(scratch, "save", save)
+    monkeypatch.setattr(G, "LISTED", listed)
+    ring = lambda x, y, w: [[(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]]
+    rows = [(g, p, ring(float(p), p * 0.5, 2.0 + g % 3)) for g in range(20) for p in range(2)]
+    shapes = spark.createDataFrame(rows, "g int, part int, rings array<array<struct<x: double, y: double>>>")
+    got = {r.g: (r.a, r.n) for r in G.union_polygons(shapes, ["g"], "part").select("g", G.rings_area(F.col("rings")).alias("a"), F.size(F.col("rings")[0]).alias("n")).collect()}
+    want = lambda w: 2 * w * w - (w - 1) * (w - 0.5)
+    assert got.keys() == set(range(20)) and all(a == pytest.approx(want(2.0 + g % 3)) and n == 9 for g, (a, n) in got.items())
+    assert not [n for n, plan in saved if "BroadcastHashJoin" in plan and n in ("crossing-edges", "cuts", "pieces", "rim")]
+    assert ("ring-edges" in [n for n, _ in saved]) == (listed == 3)
