@@ -115,8 +115,10 @@ def write_observed(df: DataFrame, path: str, extents: dict[str, str], order: lis
     """Write a product and, beside it, a row of its own metadata: n_rows and the least and greatest value of each of ``extents`` {name: column}.
 
     The values are observed by the pass that writes, so nothing is read or computed twice. NaN counts as no value. The row is returned,
-    and :func:`read_sidecar` reads it.
+    and :func:`read_sidecar` reads it. Rows are dealt by their folder, so that a folder gets one file and not one of every task.
     """
+    if by:
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
     watch = Observation()
     value = lambda c: finite(F.col(c).cast("double"))
     own = df.observe(watch, F.count(F.lit(1)).alias("n_rows"), *(f(value(c)).alias(f"{k}_{end}") for k, c in extents.items() for end, f in (("min", F.min), ("max", F.max))))

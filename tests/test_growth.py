@@ -371,3 +371,14 @@ def test_unions_are_not_broadcast_and_followed_as_lists(spark, monkeypatch, list
     assert got.keys() == set(range(20)) and all(a == pytest.approx(want(2.0 + g % 3)) and n == 9 for g, (a, n) in got.items())
     assert not [n for n, plan in saved if "BroadcastHashJoin" in plan and n in ("crossing-edges", "cuts", "pieces", "rim")]
     assert ("ring-edges" in [n for n, _ in saved]) == (listed == 3)
+
+
+def test_a_products_folder_gets_one_file(spark, tmp_path):
+    import glob
+
+    from mereflow.operators import products as R
+
+    df = spark.range(0, 4000, 1, 8).selectExpr("id", "id % 10 as tile_number", "cast(id as double) as t")
+    row = R.write_observed(df, f"{tmp_path}/p", {"t": "t"}, by=["tile_number"])
+    assert row == {"n_rows": 4000, "t_min": 0.0, "t_max": 3999.0}
+    assert len(glob.glob(f"{tmp_path}/p/tile_number=*/*.parquet")) == 10 and R.read(spark, f"{tmp_path}/p").count() == 4000
